@@ -188,18 +188,38 @@ def kmeans_fit(features: DataFrame, k: int, cols: Sequence[str] = SCALED_COLS, n
     Returns (model, cost).  The assembled features are cached for the
     restarts and unpersisted afterwards.
     """
+    return kmeans_fit_many(features, [k], cols, n_init, seed, max_iter, tol)[k]
+
+
+def kmeans_fit_many(features: DataFrame, ks: Sequence[int], cols: Sequence[str] = SCALED_COLS,
+                    n_init: int = 10, seed: int = 42, max_iter: int = 1000, tol: float = 1e-4,
+                    parallel: int = 8) -> dict:
+    """Best-of-``n_init`` fits for several K; the independent fits run as
+    concurrent Spark jobs over one cached feature set.  Returns {k: (model, cost)}.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
-    vec = VectorAssembler(inputCols=list(cols), outputCol="features").transform(features).cache()
-    best = None
+    vec = VectorAssembler(inputCols=list(cols), outputCol="features").transform(features) \
+        .select("features").cache()
+    vec.count()
+
+    def fit(job):
+        k, r = job
+        km = KMeans(k=k, seed=seed + r, maxIter=max_iter, tol=tol, featuresCol="features",
+                    predictionCol="cluster")
+        model = km.fit(vec)
+        return k, r, model, model.summary.trainingCost
+
+    jobs = [(k, r) for k in ks for r in range(n_init)]
+    best: dict = {}
     try:
-        for r in range(n_init):
-            km = KMeans(k=k, seed=seed + r, maxIter=max_iter, tol=tol, featuresCol="features",
-                        predictionCol="cluster")
-            model = km.fit(vec)
-            cost = model.summary.trainingCost
-            if best is None or cost < best[1]:
-                best = (model, cost)
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            for k, r, model, cost in pool.map(fit, jobs):
+                # lowest cost wins; equal costs keep the lower restart number
+                if k not in best or cost < best[k][1]:
+                    best[k] = (model, cost)
     finally:
         vec.unpersist()
     return best
@@ -220,7 +240,12 @@ def kmeans_centroids(model, cols: Sequence[str] = SCALED_COLS, order_col: int =
 
 def kmeans_segments(features: DataFrame, k: int = 4, cols: Sequence[str] = SCALED_COLS,
                     n_init: int = 10, seed: int = 42) -> DataFrame:
-    """Fit, then assign every row to its (renumbered) nearest centroid."""
+    """Fit, then assign every row to its (renumbered) nearest centroid.
+
+    The features are checkpointed once (reliable storage under the session's
+    checkpoint dir) so the restarts and the assignment don't re-run their plan.
+    """
+    features = features.checkpoint()
     model, _ = kmeans_fit(features, k, cols, n_init, seed)
     return assign_nearest(features, kmeans_centroids(model, cols), cols)
 
@@ -229,9 +254,11 @@ def kmeans_sweep(features: DataFrame, ks: Sequence[int] = range(2, 11), cols: Se
                  n_init: int = 10, seed: int = 42) -> DataFrame:
     """Inertia and squared-Euclidean silhouette per K (one small row per K)."""
     spark = features.sparkSession
+    features = features.checkpoint()   # one materialisation for all K
+    fits = kmeans_fit_many(features, list(ks), cols, n_init, seed)
     rows = []
     for k in ks:
-        model, cost = kmeans_fit(features, k, cols, n_init, seed)
+        model, cost = fits[k]
         assigned = assign_nearest(features, kmeans_centroids(model, cols), cols)
         sil = silhouette_sq(assigned, cols).first()["silhouette"]
         rows.append((int(k), float(cost), float(sil)))
