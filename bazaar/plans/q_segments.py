@@ -5,18 +5,20 @@ from bazaar.operators import cleaning as CL
 from bazaar.operators import profile as P
 from bazaar.operators import segments as S
 from bazaar.plans.registry import finish, query
+from bazaar.session import materialize
 from bazaar.sources import fixtures as X
 
 MONEY = {"monetary_value": 2}
 
 
 def _rfm(spark, sf):
-    return S.rfm(CL.clean_rfm(X.retail_lines(spark, sf)))
+    # one row per customer, reused by every downstream step: cut lineage here
+    return materialize(S.rfm(CL.clean_rfm(X.retail_lines(spark, sf))))
 
 
-def _assigned(spark, sf):
-    feats = S.scaled_features(_rfm(spark, sf))
-    return S.assign_nearest(feats, S.band_centroids(feats))
+def _assigned(spark, sf, r=None):
+    feats = materialize(S.scaled_features(r if r is not None else _rfm(spark, sf)))
+    return materialize(S.assign_nearest(feats, S.band_centroids(feats)))
 
 
 @query("rfm")
@@ -88,8 +90,7 @@ def name_clusters(spark, sf):
 
 def _all_segments(spark, sf):
     r = _rfm(spark, sf)
-    feats = S.scaled_features(r)
-    assigned = S.assign_nearest(feats, S.band_centroids(feats))
+    assigned = _assigned(spark, sf, r)
     names = S.name_clusters(S.cluster_profile(assigned))
     return S.all_segments(assigned, names, S.whale_segments(r))
 

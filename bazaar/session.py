@@ -58,3 +58,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def materialize(df):
+    """Cut lineage at a reused intermediate: a reliable checkpoint under the
+    session's checkpoint dir (shared storage on a cluster), never a local one.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
