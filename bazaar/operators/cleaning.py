@@ -163,3 +163,33 @@ def consistent_assignment(df: DataFrame, pairs: Sequence[tuple[str, str]],
     for a, p in pairs:
         cond = cond | ((F.col(arm) == a) & (F.col(page) == p))
     return df.where(cond)
+
+
+def active_orders(orders: DataFrame, statuses: Sequence[str], col: str = "status") -> DataFrame:
+    """The 'active' subset as an IN-list filter (pushed into the scan)."""
+    return orders.where(F.col(col).isin(*statuses))
+
+
+def exclude_keys(df: DataFrame, keys_df: DataFrame, on: Sequence[str] | str) -> DataFrame:
+    """Rows whose key is absent from ``keys_df`` (left anti join, no collected set)."""
+    on = [on] if isinstance(on, str) else list(on)
+    return df.join(keys_df.select(*on), on, "left_anti")
+
+
+def distinct_values(df: DataFrame, col: str) -> DataFrame:
+    """The distinct values of a column."""
+    return df.select(col).distinct()
+
+
+def zero_fill(counts: DataFrame, labels: DataFrame, on: Sequence[str] | str, value: str) -> DataFrame:
+    """Reindex ``counts`` to the label table, missing labels as 0."""
+    on = [on] if isinstance(on, str) else list(on)
+    j = labels.join(counts, on, "left")
+    return j.withColumn(value, F.coalesce(F.col(value), F.lit(0)))
+
+
+def order_like(df: DataFrame, ranking: DataFrame, on: str, by: str, descending: bool = True) -> DataFrame:
+    """Order ``df`` by another aggregate's values (ties by the key)."""
+    r = ranking.select(on, F.col(by).alias("__order"))
+    o = F.col("__order").desc() if descending else F.col("__order").asc()
+    return df.join(r, on, "left").orderBy(o, F.col(on)).drop("__order")

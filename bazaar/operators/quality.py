@@ -85,31 +85,31 @@ class FkEdge:
 
 
 def fk_audit(edges: Sequence[FkEdge]) -> DataFrame:
-    """Per foreign-key edge: child rows, NULL keys, orphan rows, max fan-out.
+    """Per foreign-key edge: child rows, NULL keys, orphan rows/keys, max fan-out.
 
-    Child rows are first counted per key value (partial aggregation), so a
-    hot key is one row before the anti join against the parent keys.
+    One pass per edge: child rows are counted per key value (partial
+    aggregation, so a hot key is one row), left-joined to the distinct
+    parent keys (both sides already hash-partitioned on the key), and one
+    aggregate produces every figure.
     """
     parts = []
     for e in edges:
         per_key = e.child.groupBy(F.col(e.fk).alias("__k")).agg(F.count(F.lit(1)).alias("__n"))
-        parent_keys = e.parent.select(F.col(e.pk).alias("__k")).where(F.col("__k").isNotNull())
-        orphans = (per_key.where(F.col("__k").isNotNull())
-                   .join(parent_keys, "__k", "left_anti")
-                   .agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("orphan_rows"),
-                        F.count(F.lit(1)).alias("orphan_keys")))
-        stats = per_key.agg(
+        parent_keys = (e.parent.select(F.col(e.pk).alias("__k")).where(F.col("__k").isNotNull())
+                       .distinct().withColumn("__hit", F.lit(True)))
+        j = per_key.join(parent_keys, "__k", "left")
+        orphan = F.col("__k").isNotNull() & F.col("__hit").isNull()
+        stats = j.agg(
             F.sum("__n").alias("child_rows"),
             F.coalesce(F.sum(F.when(F.col("__k").isNull(), F.col("__n"))), F.lit(0)).alias("null_keys"),
+            F.coalesce(F.sum(F.when(orphan, F.col("__n"))), F.lit(0)).alias("orphan_rows"),
+            F.count_if(orphan).alias("orphan_keys"),
             F.max(F.when(F.col("__k").isNotNull(), F.col("__n"))).alias("max_fanout"))
-        parts.append(stats.crossJoin(orphans).select(    # 1 row x 1 row
+        parts.append(stats.select(
             F.lit(e.child_table).alias("child_table"), F.lit(e.fk).alias("fk_column"),
             F.lit(e.parent_table).alias("parent_table"),
-            F.col("child_rows").cast("long").alias("child_rows"),
-            F.col("null_keys").cast("long").alias("null_keys"),
-            F.col("orphan_rows").cast("long").alias("orphan_rows"),
-            F.col("orphan_keys").cast("long").alias("orphan_keys"),
-            F.col("max_fanout").cast("long").alias("max_fanout")))
+            *[F.col(c).cast("long").alias(c) for c in
+              ("child_rows", "null_keys", "orphan_rows", "orphan_keys", "max_fanout")]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -357,3 +357,10 @@ k AS (
 SELECT device_type, CAST(grid_index AS BIGINT) AS grid_index, round(g0 + grid_index * step, 6) AS x,
        round(ks / (n * h * sqrt(2 * pi())), 6) AS density
 FROM k"""
+
+
+@sql("active_orders")
+def _():
+    return with_(STAR) + """
+SELECT status, count(*) AS orders, round(sum(total_amount), 2) AS amount
+FROM app_orders WHERE status IN ('O', 'P') GROUP BY 1"""

@@ -257,3 +257,10 @@ SELECT coalesce(b.segment, '(new)') AS from_segment, coalesce(a.segment, '(gone)
        count(*) AS customers
 FROM snap0 b FULL OUTER JOIN snap1 a ON b.customer_id = a.customer_id
 GROUP BY 1, 2"""
+
+
+@sql("non_whale_customers")
+def _():
+    return base() + """
+SELECT customer_id, round(monetary_value, 2) AS monetary_value, frequency, recency FROM rfm
+WHERE customer_id NOT IN (SELECT customer_id FROM whales)"""

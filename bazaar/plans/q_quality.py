@@ -176,3 +176,15 @@ def histogram(spark, sf):
 def density(spark, sf):
     return finish(P.density(X.user_events(spark, sf), "session_duration_minutes", 64,
                             by=["device_type"]))
+
+
+@query("file_inventory")
+def file_inventory(spark, sf):
+    from bazaar.sources.tables import table_files
+    return table_files(spark, sf, TABLES)
+
+
+@query("active_orders")
+def active_orders(spark, sf):
+    return CL.active_orders(_star(spark, sf)["orders"], ["O", "P"]).groupBy("status").agg(
+        F.count(F.lit(1)).alias("orders"), F.round(F.sum("total_amount"), 2).alias("amount"))

@@ -124,3 +124,9 @@ def kmeans_segments(spark, sf):
 @query("kmeans_sweep")
 def kmeans_sweep(spark, sf):
     return finish(S.k_selection(S.kmeans_sweep(S.scaled_features(_rfm(spark, sf)))))
+
+
+@query("non_whale_customers")
+def non_whale_customers(spark, sf):
+    r = _rfm(spark, sf)
+    return finish(CL.exclude_keys(r, S.whale_segments(r), "customer_id"), money=MONEY)

@@ -90,3 +90,40 @@ def file_inventory(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
                       F.col("_metadata.file_size").alias("file_bytes"))
               .groupBy("file_name", "file_bytes")
               .agg(F.count(F.lit(1)).alias("rows")))
+
+
+def table_files(spark: SparkSession, sf_dir: str, names) -> DataFrame:
+    """A10 over several tables: one row per (table, file) with bytes and rows."""
+    out = None
+    for n in names:
+        part = file_inventory(spark, f"{sf_dir.rstrip('/')}/{n}.parquet").select(
+            F.lit(n).alias("table_name"), "file_name", "file_bytes", "rows")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+# The campaign export's column headers and their snake_case names.
+CAMPAIGN_RENAMES = {
+    "Campaign Name": "campaign_name", "Date": "date", "Spend [USD]": "spend",
+    "# of Impressions": "impressions", "Reach": "reach", "# of Website Clicks": "clicks",
+    "# of Searches": "searches", "# of View Content": "view_content", "# of Add to Cart": "add_to_cart",
+    "# of Purchase": "purchases",
+}
+
+
+def rename_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
+    """Rename by a map (columns not in the frame are ignored)."""
+    return df.withColumnsRenamed({k: v for k, v in mapping.items() if k in df.columns})
+
+
+def read_campaign_arms(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """A2 + B11 + B21: ';'-separated daily campaign files (one per arm),
+    dates as d.M.yyyy, renamed to snake_case, tagged with the arm."""
+    from pyspark.sql import types as T
+    fields = [T.StructField("Campaign Name", T.StringType()), T.StructField("Date", T.StringType()),
+              T.StructField("Spend [USD]", T.DoubleType()), T.StructField("# of Impressions", T.LongType()),
+              T.StructField("Reach", T.LongType()), T.StructField("# of Website Clicks", T.LongType()),
+              T.StructField("# of Searches", T.LongType()), T.StructField("# of View Content", T.LongType()),
+              T.StructField("# of Add to Cart", T.LongType()), T.StructField("# of Purchase", T.LongType())]
+    raw = read_arms(spark, paths, T.StructType(fields), sep=";")
+    return rename_columns(raw, CAMPAIGN_RENAMES).withColumn("date", F.to_date("date", "d.M.yyyy"))
