@@ -8,6 +8,7 @@ Sign convention: every difference is treatment - control (N10).
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -361,3 +362,63 @@ def novelty_by_week(prepared: DataFrame, ts: str = "ts", alpha: float = 0.05) ->
     slope = F.try_divide(F.covar_pop("lift_abs", "__wk").over(w), F.var_pop("__wk").over(w))
     return t.select(EXP, "week_start", "n_c", "x_c", "n_t", "x_t", "lift_abs", "z", "p_value",
                     slope.alias("lift_trend_per_week"))
+
+
+def multi_arm_anova(df: DataFrame, value: str, arm: str, by: Sequence[str] = (EXP,),
+                    log1p: bool = True) -> DataFrame:
+    """Welch's ANOVA across arms (unequal variances), on log1p(value) by default.
+
+    Per-arm moments come from one aggregate; the test itself runs over one
+    row per arm (a window over an experiment's arms only).  Arms with fewer
+    than two values or zero variance are left out.
+    """
+    by = list(by)
+    y = F.log1p(F.col(value)) if log1p else F.col(value).cast("double")
+    g = (df.where(F.col(value).isNotNull()).groupBy(*by, arm)
+           .agg(F.count(F.lit(1)).alias("n"), F.avg(y).alias("m"), F.var_samp(y).alias("s2"))
+           .where((F.col("n") > 1) & (F.col("s2") > 0))
+           .withColumn("w", F.col("n") / F.col("s2")))
+    e = Window.partitionBy(*by)
+    g = (g.withColumn("wsum", F.sum("w").over(e))
+          .withColumn("mw", F.sum(F.col("w") * F.col("m")).over(e) / F.col("wsum")))
+    t = g.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("arms"),
+        F.sum(F.col("w") * F.pow(F.col("m") - F.col("mw"), 2)).alias("__a"),
+        F.sum(F.pow(1 - F.col("w") / F.col("wsum"), 2) / (F.col("n") - 1)).alias("__lam"))
+    k = F.col("arms").cast("double")
+    f_stat = (F.col("__a") / (k - 1)) / (1 + 2 * (k - 2) * F.col("__lam") / (k * k - 1))
+    df2 = (k * k - 1) / (3 * F.col("__lam"))
+    t = (t.where(F.col("arms") >= 2)
+          .withColumn("f_stat", f_stat).withColumn("df1", k - 1).withColumn("df2", df2))
+    return t.select(*by, "arms", "f_stat", "df1", "df2",
+                    ST.f_sf(F.col("f_stat"), F.col("df1"), F.col("df2")).alias("p_value"))
+
+
+def fisher_exact(a: DataFrame) -> DataFrame:
+    """Fisher's exact test on each experiment's 2x2 table (n_c, x_c, n_t, x_t).
+
+    Sums hypergeometric probabilities over the tables with the observed
+    margins (one array per experiment row, as long as the smallest margin).
+    Two-sided: tables no more likely than the observed one (relative
+    tolerance 1e-7); ``p_greater``: treatment successes at least as high.
+    """
+    N = F.col("n_c") + F.col("n_t")
+    K = F.col("x_c") + F.col("x_t")
+    n = F.col("n_t")
+    lo = F.greatest(F.lit(0).cast("long"), K - F.col("n_c"))
+    hi = F.least(K, n)
+    lf = ST.log_factorial
+    const = lf(K) + lf(N - K) - lf(N) + lf(n) + lf(N - n)
+
+    def logp(x):
+        return const - lf(x) - lf(K - x) - lf(n - x) - lf(N - K - n + x)
+
+    d = a.withColumn("__lobs", logp(F.col("x_t")))
+    xs = F.sequence(lo, hi)
+    two = F.aggregate(xs, F.lit(0.0), lambda acc, x: acc + F.when(
+        logp(x) <= F.col("__lobs") + math.log1p(1e-7), F.exp(logp(x))).otherwise(F.lit(0.0)))
+    greater = F.aggregate(xs, F.lit(0.0), lambda acc, x: acc + F.when(
+        x >= F.col("x_t"), F.exp(logp(x))).otherwise(F.lit(0.0)))
+    return d.select(EXP, "n_c", "x_c", "n_t", "x_t",
+                    F.least(F.lit(1.0), two).alias("p_two_sided"),
+                    F.least(F.lit(1.0), greater).alias("p_greater"))

@@ -353,3 +353,47 @@ def _():
     res = """cres AS (
   SELECT c.*, c.p_c * 0.1 AS abs_mde, g.cpc_variant <= g.cpc_control * (1 + 0.0) AS gok FROM ct c, guard g)"""
     return with_(CAMPAIGN, _RATES, arms, _tested_cte("carms", "larger", "ct"), res) + _checklist("cres", "gok")
+
+
+@sql("multi_arm_anova")
+def _():
+    from bazaar.functions.stats import sql_f_sf
+    return f"""WITH g0 AS (
+  SELECT o_orderpriority AS experiment_id,
+         CASE o_custkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE 'C' END AS arm,
+         count(*) AS n, avg(ln(1 + o_totalprice)) AS m, var_samp(ln(1 + o_totalprice)) AS s2
+  FROM orders WHERE o_totalprice IS NOT NULL GROUP BY 1, 2),
+g1 AS (SELECT *, n / s2 AS w FROM g0 WHERE n > 1 AND s2 > 0),
+g2 AS (SELECT *, sum(w) OVER (PARTITION BY experiment_id) AS wsum,
+              sum(w * m) OVER (PARTITION BY experiment_id) / sum(w) OVER (PARTITION BY experiment_id) AS mw
+       FROM g1),
+t AS (
+  SELECT experiment_id, count(*) AS arms, sum(w * pow(m - mw, 2)) AS a, sum(pow(1 - w / wsum, 2) / (n - 1)) AS lam
+  FROM g2 GROUP BY 1 HAVING count(*) >= 2),
+t2 AS (
+  SELECT *, (a / (arms - 1)) / (1 + 2 * (arms - 2) * lam / (arms * arms - 1)) AS f_stat,
+         CAST(arms - 1 AS DOUBLE) AS df1, (arms * arms - 1) / (3 * lam) AS df2
+  FROM t)
+SELECT experiment_id, arms, {r6('f_stat')}, {r6('df1')}, {r6('df2')},
+       round({sql_f_sf('f_stat', 'df1', 'df2')}, 6) AS p_value
+FROM t2"""
+
+
+@sql("fisher_exact")
+def _():
+    from bazaar.functions.stats import sql_log_factorial as lf
+
+    def logp(x):
+        return (f"({lf('(x_c + x_t)')} + {lf('(n_c + n_t - x_c - x_t)')} - {lf('(n_c + n_t)')} + {lf('n_t')} "
+                f"+ {lf('n_c')} - {lf(x)} - {lf(f'(x_c + x_t - {x})')} - {lf(f'(n_t - {x})')} "
+                f"- {lf(f'(n_c - x_c - x_t + {x})')})")
+    rng = "range(greatest(0, x_c + x_t - n_c), least(x_c + x_t, n_t) + 1)"
+    two = (f"list_reduce(list_transform({rng}, lambda x: CASE WHEN {logp('x')} <= lobs + {__import__('math').log1p(1e-7)!r} "
+           f"THEN exp({logp('x')}) ELSE 0.0 END), lambda p, q: p + q)")
+    greater = (f"list_reduce(list_transform({rng}, lambda x: CASE WHEN x >= x_t THEN exp({logp('x')}) ELSE 0.0 END), "
+               f"lambda p, q: p + q)")
+    return base() + f""",
+fe AS (SELECT *, {logp('x_t')} AS lobs FROM arms)
+SELECT experiment_id, n_c, x_c, n_t, x_t, round(least(1.0, {two}), 6) AS p_two_sided,
+       round(least(1.0, {greater}), 6) AS p_greater
+FROM fe"""

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from bazaar.operators import experiments as E
 from bazaar.plans.registry import finish, query
 from bazaar.sources import fixtures as X
+from bazaar.sources.tables import table
 
 SAMPLE_SALT = "ab-sample"
 SAMPLE_PER_ARM = 500
@@ -154,3 +155,21 @@ def campaign_checklist(spark, sf):
     guard = E.guardrail_cpc(daily).select("guardrail_ok")
     res = tested.join(mde, E.EXP).crossJoin(guard)      # 1 row x 1 row
     return E.ship_checklist(res)
+
+
+def _three_arm_orders(spark, sf):
+    """3-arm test on a skewed money metric: arm by customer key mod 3 (an assignment rule)."""
+    o = table(spark, sf, "orders")
+    arm = F.element_at(F.array(F.lit("A"), F.lit("B"), F.lit("C")), (F.col("o_custkey") % 3 + 1).cast("int"))
+    return o.select(F.col("o_orderpriority").alias(E.EXP), arm.alias("arm"),
+                    F.col("o_totalprice").alias("order_value"))
+
+
+@query("multi_arm_anova")
+def multi_arm_anova(spark, sf):
+    return finish(E.multi_arm_anova(_three_arm_orders(spark, sf), "order_value", "arm"))
+
+
+@query("fisher_exact")
+def fisher_exact(spark, sf):
+    return finish(E.fisher_exact(E.arms(_summary(spark, sf))))

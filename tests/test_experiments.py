@@ -115,3 +115,30 @@ def test_stratified_sample_is_fixed_n_and_deterministic(spark):
     a = E.stratified_sample(df, 30, "salt").select("user_id").collect()
     b = E.stratified_sample(df.repartition(7), 30, "salt").select("user_id").collect()
     assert len(a) == 60 and sorted(a) == sorted(b)
+
+
+def test_fisher_exact_matches_enumeration(spark):
+    from math import comb
+    tables = [("a", 10, 2, 12, 9), ("b", 30, 4, 25, 3), ("c", 8, 0, 9, 6)]
+    df = spark.createDataFrame(tables, "experiment_id string, n_c long, x_c long, n_t long, x_t long")
+    got = {r.experiment_id: r for r in E.fisher_exact(df).collect()}
+    for e, n_c, x_c, n_t, x_t in tables:
+        N, K = n_c + n_t, x_c + x_t
+        ps = {x: comb(K, x) * comb(N - K, n_t - x) / comb(N, n_t) for x in range(max(0, K - n_c), min(K, n_t) + 1)}
+        two = sum(p for p in ps.values() if p <= ps[x_t] * (1 + 1e-7))
+        greater = sum(p for x, p in ps.items() if x >= x_t)
+        assert got[e].p_two_sided == pytest.approx(min(1.0, two), abs=1e-9)
+        assert got[e].p_greater == pytest.approx(min(1.0, greater), abs=1e-9)
+
+
+def test_welch_anova_two_groups_equals_welch_t_squared(spark):
+    import random
+    rnd = random.Random(5)
+    rows = [("e", "A", rnd.lognormvariate(3, 1)) for _ in range(40)] + \
+           [("e", "B", rnd.lognormvariate(3.3, 0.6)) for _ in range(55)]
+    df = spark.createDataFrame(rows, "experiment_id string, arm string, v double")
+    an = E.multi_arm_anova(df, "v", "arm").first()
+    wt = E.welch_t(df.withColumn("y", F.log1p("v")), "y", arm="arm", treatment="B", control="A").first()
+    assert an.f_stat == pytest.approx(wt.t_stat ** 2, rel=1e-9)
+    assert an.df2 == pytest.approx(wt.df, rel=1e-9)
+    assert an.p_value == pytest.approx(wt.p_two_sided, abs=1e-7)

@@ -35,3 +35,22 @@ def test_sql_text_agrees_with_spark():
     assert got[0] == pytest.approx(1 - N.cdf(2.127016), abs=1e-12)
     assert got[1] == pytest.approx(N.inv_cdf(0.975), abs=1e-10)
     assert got[2] == pytest.approx(0.0366940173853702, abs=1e-9)
+
+
+def test_f_tail_known_values(spark):
+    # d1 = 2: P(F > f) = (1 + 2 f / d2) ** (-d2 / 2) exactly
+    cases = [(1.5, 2.0, 10.0), (3.0, 2.0, 40.0), (0.7, 2.0, 5000.0), (4.0, 2.0, 3.0)]
+    df = spark.createDataFrame(cases, "f double, d1 double, d2 double")
+    for r in df.select("f", "d1", "d2", ST.f_sf("f", "d1", "d2").alias("p")).collect():
+        assert r.p == pytest.approx((1 + 2 * r.f / r.d2) ** (-r.d2 / 2), rel=1e-7, abs=1e-12)
+    # F(1, nu) = T(nu)^2: P(F > t^2) = 2 P(T > t); d1 = 4 against the closed form for even d1
+    row = spark.range(1).select(ST.f_sf(F.lit(2.5), F.lit(4.0), F.lit(12.0)).alias("p")).first()
+    x = 12.0 / (12.0 + 4.0 * 2.5)           # P(F > f) = I_x(6, 2) = x^6 (1 + 6 (1 - x))
+    assert row.p == pytest.approx(x ** 6 * (1 + 6 * (1 - x)), rel=1e-8)
+
+
+def test_log_factorial(spark):
+    import math
+    df = spark.createDataFrame([(m,) for m in (0, 1, 2, 5, 9, 10, 11, 50, 1000)], "m long")
+    for r in df.select("m", ST.log_factorial("m").alias("lf")).collect():
+        assert r.lf == pytest.approx(math.lgamma(r.m + 1), abs=1e-10)
