@@ -6,7 +6,7 @@ import uuid
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaar.operators.ranking import rank_within, top_per_group
+from bazaar.operators.ranking import rank_within, row_number_within, top_per_group
 from bazaar.session import ensure_checkpoint_dir
 from bazaar.sources.tables import export_parquet
 
@@ -62,10 +62,11 @@ def session_rank_methods(events: DataFrame, action: str = "view") -> DataFrame:
     """row_number, rank and dense_rank of every session, side by side."""
     base = events.where(F.col("action_type") == action).select(
         "event_id", "user_id", "device_type", "session_duration_minutes")
-    r = rank_within(base, ["device_type"], ["session_duration_minutes"], True, ["event_id"],
-                    "row_number", "row_number")
-    r = rank_within(r, ["device_type"], ["session_duration_minutes"], True, ["event_id"],
-                    "rank", "rank")
+    dur = F.col("session_duration_minutes")
+    # row number in the device, then within equal durations: rank = rn - rn_tie + 1
+    r = row_number_within(base, ["device_type"], [dur.desc_nulls_last(), F.col("event_id")], "row_number")
+    r = row_number_within(r, ["device_type", "session_duration_minutes"], [F.col("event_id")], "__rn_tie")
+    r = r.withColumn("rank", F.col("row_number") - F.col("__rn_tie") + 1).drop("__rn_tie")
     return rank_within(r, ["device_type"], ["session_duration_minutes"], True, ["event_id"],
                        "dense_rank", "dense_rank")
 

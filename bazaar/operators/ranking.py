@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,28 +52,52 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
                                        *[F.col(f"__r.{c}").alias(c) for c in right_cols])
 
 
-def _run_starts(keys: pd.DataFrame, prev: tuple | None) -> pd.Series:
-    """True where a row starts a new run of equal keys (nulls compare equal)."""
-    shifted = keys.shift(1)
-    if len(keys):
-        if prev is None:
-            shifted.iloc[0] = pd.Series({c: object() for c in keys.columns})
+def _same_as_prev(col: pd.Series, prev) -> np.ndarray:
+    """Per row: equal to the previous row (nulls equal nulls); row 0 compares with ``prev``."""
+    v = col.to_numpy()
+    na = pd.isna(v)
+    same = np.empty(len(v), dtype=bool)
+    if len(v) > 1:
+        same[1:] = (v[1:] == v[:-1]) | (na[1:] & na[:-1])
+    if len(v):
+        if prev is _NO_PREV:
+            same[0] = False
         else:
-            shifted.iloc[0] = pd.Series(dict(zip(keys.columns, prev)))
-    same = (keys == shifted) | (keys.isna() & shifted.isna())
-    return ~same.all(axis=1)
+            p_na = prev is None or (isinstance(prev, float) and np.isnan(prev)) or prev is pd.NaT
+            same[0] = bool(na[0]) if p_na else (not na[0] and v[0] == prev)
+    return same
+
+
+_NO_PREV = object()
+
+
+def _run_starts(keys: pd.DataFrame, prev: tuple | None) -> np.ndarray:
+    """True where a row starts a new run of equal keys (nulls compare equal)."""
+    same = np.ones(len(keys), dtype=bool)
+    for i, c in enumerate(keys.columns):
+        same &= _same_as_prev(keys[c], _NO_PREV if prev is None else prev[i])
+    return ~same
 
 
 def _runs(keys: pd.DataFrame, prev: tuple | None):
-    """Runs of equal keys in a sorted batch: (continues_prev, [(key, size), ...])."""
-    starts = _run_starts(keys, prev).to_numpy()
+    """Runs of equal keys in a sorted batch: (continues_prev, [(key, size), ...]).
+
+    Only the first and last run matter to the caller, but the number of
+    runs is needed to know whether the partition holds more than one.
+    """
+    starts = _run_starts(keys, prev)
     idx = starts.nonzero()[0]
     bounds = list(idx) + [len(keys)]
     runs = []
     if len(idx) == 0 or idx[0] != 0:          # leading rows continue the previous run
         runs.append((None, int(bounds[0])))
-    for a, b in zip(bounds[:-1], bounds[1:]):
-        runs.append((tuple(keys.iloc[a]), int(b - a)))
+    if len(idx):
+        first, last = idx[0], idx[-1]
+        runs.append((tuple(keys.iloc[first]), int(bounds[1] - first)))
+        if len(idx) > 2:
+            runs.append((None, -1))           # middle runs: only their existence matters
+        if len(idx) > 1:
+            runs.append((tuple(keys.iloc[last]), int(len(keys) - last)))
     return (len(idx) == 0 or idx[0] != 0), runs
 
 
@@ -84,7 +109,7 @@ def _edges_fn(by: list[str]):
             if pdf.empty:
                 continue
             pid = int(pdf[_PID].iat[0])
-            keys = pdf[by].astype(object)
+            keys = pdf[by]
             cont, runs = _runs(keys, prev)
             for i, (key, size) in enumerate(runs):
                 if i == 0 and cont:
@@ -112,15 +137,17 @@ def _number_fn(by: list[str], out: str, keep: list[str]):
         for pdf in it:
             if pdf.empty:
                 continue
-            keys = pdf[by].astype(object)
+            keys = pdf[by]
             starts = _run_starts(keys, prev)
-            run = starts.cumsum()
-            local = pdf.groupby(run.to_numpy(), sort=False).cumcount().to_numpy() + 1
-            cont = (run == 0).to_numpy()
-            local[cont] += run_len
-            carry = pdf[_CARRY].fillna(0).astype("int64").to_numpy()
-            res = pdf[keep].copy()
-            res[out] = local + carry
+            pos = np.arange(len(pdf), dtype=np.int64)
+            start_pos = np.maximum.accumulate(np.where(starts, pos, 0))
+            local = pos - start_pos + 1
+            if not starts[0]:                          # first run continues the previous batch
+                cont = start_pos == 0
+                local[cont] += run_len
+            carry = pdf[_CARRY].fillna(0).to_numpy(dtype=np.int64)
+            res = pdf[keep]
+            res = res.assign(**{out: local + carry})
             run_len = int(local[-1])
             prev = tuple(keys.iloc[-1])
             yield res
@@ -240,25 +267,54 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str] | None = None,
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                     by: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
-    """Linearly interpolated quantiles (pandas / quantile_cont semantics).
-
-    Returns (*by, prob, quantile).  Built on the distributed row number, so
-    no task ever buffers a whole group's values (Spark's exact
-    ``percentile`` keeps every distinct value of a group in one buffer).
+    """Linearly interpolated quantiles (pandas / quantile_cont semantics), JVM only.
+
+    Returns (*by, prob, quantile).  Spark's exact ``percentile`` keeps every
+    distinct value of a group in one buffer; here no task sees more than
+    one range partition:
+
+    1. range-partition (group, value) - a hot group spans many partitions;
+    2. count rows per (group, partition) (partial aggregation, tiny output)
+       and turn the counts into each partition's rank interval;
+    3. locate the partition holding each target rank (a join of two
+       small tables: targets x partitions of the same group);
+    4. rank values only inside the located partitions and pick the targets.
+
+    Steps 2 and 4 read the same exchange (the aggregate also takes the
+    maximum value so no column is pruned below it), hence the same bounds.
+    Group keys must be non-null.
     """
     by = list(by)
+    if not by:
+        res = exact_quantiles(df.withColumn("__all", F.lit(0)), value, probs, ["__all"], num_partitions)
+        return res.drop("__all")
+    n = num_partitions or shuffle_partitions(df.sparkSession)
     vals = df.select(*by, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    ranked = row_number_within(vals, by, [F.col("__v").asc()], "__rn", num_partitions)
-    counts = vals.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
+    ranged = (vals.repartitionByRange(n, *[F.col(b).asc_nulls_first() for b in by], F.col("__v").asc())
+                  .withColumn(_PID, F.spark_partition_id()))
+    parts = ranged.groupBy(*by, _PID).agg(F.count(F.lit(1)).alias("__c"), F.max("__v").alias("__mx"))
+    w = Window.partitionBy(*by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = (parts.withColumn("__end", F.sum("__c").over(w))        # one group's partitions only
+                  .withColumn("__start", F.col("__end") - F.col("__c")))
+    totals = parts.groupBy(*by).agg(F.sum("__c").alias("__n"))
     probs_arr = F.array(*[F.lit(float(p)) for p in probs])
-    pos = (counts.select(*by, "__n", F.explode(probs_arr).alias("prob"))
+    pos = (totals.select(*by, "__n", F.explode(probs_arr).alias("prob"))
                  .withColumn("__h", (F.col("__n") - 1) * F.col("prob"))
-                 .withColumn("__lo", F.floor("__h").cast("long") + 1)
-                 .withColumn("__hi", F.ceil("__h").cast("long") + 1)
                  .withColumn("__d", F.col("__h") - F.floor("__h")))
-    targets = pos.select(*by, "prob", "__d", F.explode(F.array("__lo", "__hi")).alias("__rn")).dropDuplicates()
-    picked = ranked.join(targets, by + ["__rn"], "inner")
+    targets = pos.select(*by, "prob", "__d", F.explode(F.array(
+        F.struct(F.lit(0).alias("__side"), (F.floor("__h").cast("long") + 1).alias("__r")),
+        F.struct(F.lit(1).alias("__side"), (F.ceil("__h").cast("long") + 1).alias("__r")))).alias("__t")
+    ).select(*by, "prob", "__d", "__t.__side", "__t.__r")
+    loc = (targets.join(parts.select(*by, _PID, "__start", "__end"), by)
+                  .where((F.col("__r") > F.col("__start")) & (F.col("__r") <= F.col("__end")))
+                  .select(*by, "prob", "__d", "__side", _PID, (F.col("__r") - F.col("__start")).alias("__j")))
+    hot = loc.select(*by, _PID).distinct()
+    cand = ranged.join(hot, by + [_PID], "left_semi")
+    wj = Window.partitionBy(*by, _PID).orderBy("__v")               # one range partition
+    picked = (cand.withColumn("__j", F.row_number().over(wj).cast("long"))
+                  .join(loc, by + [_PID, "__j"]))
     agg = picked.groupBy(*by, "prob", "__d").agg(
-        F.min_by("__v", "__rn").alias("__vlo"), F.max_by("__v", "__rn").alias("__vhi"))
+        F.max(F.when(F.col("__side") == 0, F.col("__v"))).alias("__vlo"),
+        F.max(F.when(F.col("__side") == 1, F.col("__v"))).alias("__vhi"))
     return agg.select(*by, "prob",
                       (F.col("__vlo") + (F.col("__vhi") - F.col("__vlo")) * F.col("__d")).alias("quantile"))
