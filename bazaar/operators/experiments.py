@@ -422,3 +422,10 @@ def fisher_exact(a: DataFrame) -> DataFrame:
     return d.select(EXP, "n_c", "x_c", "n_t", "x_t",
                     F.least(F.lit(1.0), two).alias("p_two_sided"),
                     F.least(F.lit(1.0), greater).alias("p_greater"))
+
+
+def adequacy(summary: DataFrame, sizes: DataFrame, arm: str = "grp") -> DataFrame:
+    """K5: observed units per arm against the required per-arm sample size."""
+    req = sizes.select(EXP, F.col("n_formula").alias("n_required"))
+    return summary.join(req, EXP).select(EXP, arm, "users", "n_required",
+                                         (F.col("users") >= F.col("n_required")).alias("adequate"))

@@ -232,3 +232,18 @@ def density(df: DataFrame, col: str, grid: int = 64, by: Sequence[str] = (), cut
                        (F.col("__g0") + F.col("grid_index") * F.col("__step")).alias("x"),
                        (F.col("__s") / (F.col("__n") * F.col("__h") * F.lit((2 * 3.141592653589793) ** 0.5)))
                        .alias("density"))
+
+
+def distinct_by(df: DataFrame, by: Sequence[str], col: str, approx: bool = False,
+                rsd: float = 0.01) -> DataFrame:
+    """Distinct values of ``col`` per group; ``approx`` uses HyperLogLog++ (bounded state)."""
+    f = F.approx_count_distinct(col, rsd) if approx else F.count_distinct(col)
+    return df.groupBy(*by).agg(f.alias(f"distinct_{col}"))
+
+
+def union_all(*dfs: DataFrame) -> DataFrame:
+    """G1: UNION ALL by column name."""
+    out = dfs[0]
+    for d in dfs[1:]:
+        out = out.unionByName(d)
+    return out

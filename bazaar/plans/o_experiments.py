@@ -397,3 +397,18 @@ fe AS (SELECT *, {logp('x_t')} AS lobs FROM arms)
 SELECT experiment_id, n_c, x_c, n_t, x_t, round(least(1.0, {two}), 6) AS p_two_sided,
        round(least(1.0, {greater}), 6) AS p_greater
 FROM fe"""
+
+
+@sql("dedup_first")
+def _():
+    return with_(AB_UNITS) + """
+SELECT experiment_id, user_id, row_id, ts, grp, landing_page, converted FROM (
+  SELECT *, row_number() OVER (PARTITION BY experiment_id, user_id ORDER BY ts, row_id) AS rn FROM ab_units)
+WHERE rn = 1"""
+
+
+@sql("adequacy")
+def _():
+    return base() + """
+SELECT s.experiment_id, s.grp, s.users, z.n_formula AS n_required, s.users >= z.n_formula AS adequate
+FROM summary s JOIN sizes z ON s.experiment_id = z.experiment_id"""

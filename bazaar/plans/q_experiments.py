@@ -173,3 +173,14 @@ def multi_arm_anova(spark, sf):
 @query("fisher_exact")
 def fisher_exact(spark, sf):
     return finish(E.fisher_exact(E.arms(_summary(spark, sf))))
+
+
+@query("dedup_first")
+def dedup_first(spark, sf):
+    from bazaar.operators.ranking import dedup_first as keep_first
+    return keep_first(X.ab_units(spark, sf), [E.EXP, "user_id"], ["ts", "row_id"])
+
+
+@query("adequacy")
+def adequacy(spark, sf):
+    return E.adequacy(_summary(spark, sf), _sizes(spark, sf))

@@ -56,3 +56,12 @@ def test_exclude_zero_fill_order_like(spark):
     assert {r.label: r.n for r in CL.zero_fill(counts, labels, "label", "n").collect()} == {"a": 4, "b": 0}
     rank = spark.createDataFrame([(1, 5), (2, 9), (3, 1)], "k long, size long")
     assert [r.k for r in CL.order_like(df, rank, "k", "size").collect()] == [2, 1, 3]
+
+
+def test_distinct_by_exact_and_approx(spark):
+    from bazaar.operators import profile as P
+    df = spark.createDataFrame([(g, i % 50) for g in ("a", "b") for i in range(500)], "g string, u long")
+    ex = {r.g: r.distinct_u for r in P.distinct_by(df, ["g"], "u").collect()}
+    ap = {r.g: r.distinct_u for r in P.distinct_by(df, ["g"], "u", approx=True).collect()}
+    assert ex == {"a": 50, "b": 50} and all(abs(ap[k] - 50) <= 2 for k in ap)
+    assert P.union_all(df, df, df).count() == 3000
