@@ -26,3 +26,16 @@ def ratio(num: Column, den: Column) -> Column:
 
 def col_or(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
+
+
+def hour_floor(ts: Column) -> Column:
+    """Floor a timestamp_ntz to the hour without a session time-zone round trip."""
+    return F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.lit(0), F.lit(0))
+
+
+def week_start(ts: Column) -> Column:
+    """Monday 00:00 of the ISO week of a timestamp_ntz (time-zone independent)."""
+    d = F.to_date(ts)
+    monday = F.date_sub(d, ((F.dayofweek(d) + 5) % 7).cast("int"))
+    return F.make_timestamp_ntz(F.year(monday), F.month(monday), F.dayofmonth(monday),
+                                F.lit(0), F.lit(0), F.lit(0))

@@ -6,14 +6,15 @@ import uuid
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from bazaar.functions.columns import hour_floor
 from bazaar.operators.ranking import rank_within, row_number_within, top_per_group
 from bazaar.session import ensure_checkpoint_dir
 from bazaar.sources.tables import export_parquet
 
 
 def hour_of(ts_col: str = "ts"):
-    """Floor to the hour, kept as timestamp_ntz (the input type)."""
-    return F.date_trunc("HOUR", F.col(ts_col)).cast("timestamp_ntz")
+    """Floor to the hour, kept as timestamp_ntz (the input type), independent of the session zone."""
+    return hour_floor(F.col(ts_col))
 
 
 def hourly_metrics(events: DataFrame, ts_col: str = "ts") -> DataFrame:

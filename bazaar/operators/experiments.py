@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaar.functions import stats as ST
-from bazaar.functions.columns import ratio
+from bazaar.functions.columns import ratio, week_start
 from bazaar.operators.cleaning import consistent_assignment
 from bazaar.operators.ranking import dedup_first, row_number_within, top_per_group
 
@@ -348,7 +348,7 @@ def experiment_report(tested: DataFrame, sizes: DataFrame) -> DataFrame:
 def novelty_by_week(prepared: DataFrame, ts: str = "ts", alpha: float = 0.05) -> DataFrame:
     """K23 (novelty): the z-test per experiment and calendar week of first exposure,
     plus each experiment's lift trend over weeks (least-squares slope)."""
-    wk = prepared.withColumn("week_start", F.date_trunc("WEEK", F.col(ts)).cast("timestamp_ntz"))
+    wk = prepared.withColumn("week_start", week_start(F.col(ts)))
     s = wk.groupBy(EXP, "week_start", "grp").agg(F.count(F.lit(1)).alias("users"),
                                                    F.sum("converted").cast("long").alias("conversions"))
     a = s.groupBy(EXP, "week_start").agg(
