@@ -211,8 +211,9 @@ def histogram(df: DataFrame, col: str, bins: int = 20, by: Sequence[str] = ()) -
 def density(df: DataFrame, col: str, grid: int = 64, by: Sequence[str] = (), cut: float = 3.0) -> DataFrame:
     """Gaussian kernel density (Scott bandwidth) on an evenly spaced grid.
 
-    Every row adds its kernel to the ``grid`` points; the sums combine
-    map-side, so the shuffle holds grid x groups rows, not the data.
+    Every distinct value adds its kernel (times its count) to the ``grid``
+    points; the sums combine map-side, so the shuffle holds grid x groups
+    rows, not the data.
     """
     by = list(by)
     v = F.col(col).cast("double")
@@ -222,10 +223,13 @@ def density(df: DataFrame, col: str, grid: int = 64, by: Sequence[str] = (), cut
     stats = stats.withColumn("__h", F.col("__sd") * F.pow(F.col("__n"), F.lit(-0.2)))
     stats = (stats.withColumn("__g0", F.col("__lo") - cut * F.col("__h"))
                   .withColumn("__step", (F.col("__hi") - F.col("__lo") + 2 * cut * F.col("__h")) / (grid - 1)))
-    joined = src.join(stats, by) if by else attach(src, stats)  # per-group stats: size-checked join
+    # identical values share one kernel evaluation, weighted by how often they occur
+    distinct_v = src.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__w"))
+    joined = distinct_v.join(stats, by) if by else attach(distinct_v, stats)  # size-checked join
     contrib = joined.select(*by, "__n", "__h", "__g0", "__step", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(grid - 1)),
-        lambda j: F.exp(-0.5 * F.pow((F.col("__g0") + j * F.col("__step") - F.col("__v")) / F.col("__h"), 2))
+        lambda j: F.col("__w") * F.exp(
+            -0.5 * F.pow((F.col("__g0") + j * F.col("__step") - F.col("__v")) / F.col("__h"), 2))
     )).alias("grid_index", "__k"))
     sums = contrib.groupBy(*by, "grid_index", "__n", "__h", "__g0", "__step").agg(F.sum("__k").alias("__s"))
     return sums.select(*by, F.col("grid_index").cast("long").alias("grid_index"),

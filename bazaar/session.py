@@ -21,6 +21,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.driver.memory": "16g",
+    # remove checkpoint files once the checkpointed DataFrame is garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
