@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from bazaar.operators.profile import attach, iqr_bounds
 from bazaar.operators.ranking import exact_quantiles
+from bazaar.session import materialize
 
 RFM_COLS = ("monetary_value", "frequency", "recency")
 SCALED_COLS = ("monetary_value_scaled", "frequency_scaled", "recency_scaled")
@@ -242,10 +243,10 @@ def kmeans_segments(features: DataFrame, k: int = 4, cols: Sequence[str] = SCALE
                     n_init: int = 10, seed: int = 42) -> DataFrame:
     """Fit, then assign every row to its (renumbered) nearest centroid.
 
-    The features are checkpointed once (reliable storage under the session's
+    The features are materialised once (a reliable checkpoint under the session's
     checkpoint dir) so the restarts and the assignment don't re-run their plan.
     """
-    features = features.checkpoint()
+    features = materialize(features)
     model, _ = kmeans_fit(features, k, cols, n_init, seed)
     return assign_nearest(features, kmeans_centroids(model, cols), cols)
 
@@ -254,7 +255,7 @@ def kmeans_sweep(features: DataFrame, ks: Sequence[int] = range(2, 11), cols: Se
                  n_init: int = 10, seed: int = 42) -> DataFrame:
     """Inertia and squared-Euclidean silhouette per K (one small row per K)."""
     spark = features.sparkSession
-    features = features.checkpoint()   # one materialisation for all K
+    features = materialize(features)   # one materialisation for all K
     fits = kmeans_fit_many(features, list(ks), cols, n_init, seed)
     rows = []
     for k in ks:

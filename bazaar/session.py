@@ -63,8 +63,16 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def materialize(df):
-    """Cut lineage at a reused intermediate: a reliable checkpoint under the
-    session's checkpoint dir (shared storage on a cluster), never a local one.
+    """Cut lineage at a reused intermediate with a reliable checkpoint in the
+    session's checkpoint folder (shared storage on a cluster; never local).
+
+    The frame is cached first so the checkpoint write reads the cached
+    blocks instead of running the plan a second time; the cache is released
+    once the checkpoint files exist (lost executors then cost nothing).
     """
+    from pyspark import StorageLevel
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
