@@ -23,13 +23,13 @@ def first_purchase(lines: DataFrame, user: str = "customer_id", ts: str = "invoi
 
 def _cohort_cols(first: str = "first_purchase_date"):
     return [F.trunc(F.col(first), "MM").alias("cohort_date"),
-            F.year(first).alias("cohort_year"), F.month(first).alias("cohort_month"),
-            F.dayofmonth(first).alias("cohort_day")]
+            F.year(first).cast("long").alias("cohort_year"), F.month(first).cast("long").alias("cohort_month"),
+            F.dayofmonth(first).cast("long").alias("cohort_day")]
 
 
 def cohort_index(year, month, cohort_year, cohort_month):
     """1-based month distance from the cohort month."""
-    return (year - cohort_year) * 12 + (month - cohort_month) + 1
+    return ((year - cohort_year) * 12 + (month - cohort_month) + 1).cast("long")
 
 
 def assign_cohort(lines: DataFrame, user: str = "customer_id", ts: str = "invoice_date") -> DataFrame:
@@ -37,7 +37,8 @@ def assign_cohort(lines: DataFrame, user: str = "customer_id", ts: str = "invoic
     fp = first_purchase(lines, user, ts).select(user, "first_purchase_date", *_cohort_cols())
     j = lines.join(fp, user)
     return j.select(*lines.columns,
-                    F.year(ts).alias("year"), F.month(ts).alias("month"), F.dayofmonth(ts).alias("day"),
+                    F.year(ts).cast("long").alias("year"), F.month(ts).cast("long").alias("month"),
+                    F.dayofmonth(ts).cast("long").alias("day"),
                     (F.col("quantity") * F.col("price")).alias("revenue"),
                     "first_purchase_date", "cohort_date", "cohort_year", "cohort_month", "cohort_day",
                     cohort_index(F.year(ts), F.month(ts), F.col("cohort_year"), F.col("cohort_month"))
@@ -47,7 +48,8 @@ def assign_cohort(lines: DataFrame, user: str = "customer_id", ts: str = "invoic
 def active_months(lines: DataFrame, user: str = "customer_id", ts: str = "invoice_date",
                   extra_keys: Sequence[str] = ()) -> DataFrame:
     """Distinct (customer, year, month) with revenue and the month's first purchase."""
-    return (lines.groupBy(user, *extra_keys, F.year(ts).alias("year"), F.month(ts).alias("month"))
+    return (lines.groupBy(user, *extra_keys, F.year(ts).cast("long").alias("year"),
+                          F.month(ts).cast("long").alias("month"))
                  .agg(F.sum(F.col("quantity") * F.col("price")).alias("revenue"),
                       F.min(ts).alias("__first_in_month")))
 
@@ -97,10 +99,13 @@ def retention_triangle(activity: DataFrame, max_index: int | None = None,
 
 
 def retention_cells(pct: DataFrame) -> DataFrame:
-    """I7: "count (pct%)" labels, percent rounded half-to-even like numpy."""
+    """I7: "count (pct%)" labels (and the "pct%" / yyyy-MM-dd axis labels), percent
+    rounded half-to-even like numpy."""
     pr = F.rint(F.col("retention_pct")).cast("long").cast("string")
     n = F.col("active_customers").cast("string")
     return pct.select("cohort_date", "cohort_index",
+                      F.date_format("cohort_date", "yyyy-MM-dd").alias("cohort_label"),
+                      F.concat(pr, F.lit("%")).alias("retention_label"),
                       F.concat(n, F.lit(" ("), pr, F.lit("%)")).alias("cell"),
                       F.concat(n, F.lit("\n("), pr, F.lit("%)")).alias("cell_multiline"))
 

@@ -55,7 +55,8 @@ def rank_sessions(events: DataFrame, action: str | None = "view", k: int | None
         if frame == "rows":
             w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         fn = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank}[method]
-        return df.withColumn("session_rank", fn().over(w)).where(F.col("session_rank") <= k)
+        return (df.withColumn("session_rank", fn().over(w)).where(F.col("session_rank") <= k)
+                  .withColumn("session_rank", F.col("session_rank").cast("long")))
     return rank_within(df, [partition_col], [value_col], True, [tiebreak], method, "session_rank")
 
 

@@ -76,6 +76,9 @@ FROM pct"""
 def _():
     return base() + """
 SELECT CAST(cohort_date AS TIMESTAMP) AS cohort_date, cohort_index,
+       strftime(cohort_date, '%Y-%m-%d') AS cohort_label,
+       CAST(CAST(round_even(CAST(active_customers AS DOUBLE) / CAST(cohort_size AS DOUBLE) * 100, 0) AS BIGINT)
+            AS VARCHAR) || '%' AS retention_label,
        CAST(active_customers AS VARCHAR) || ' (' ||
          CAST(CAST(round_even(CAST(active_customers AS DOUBLE) / CAST(cohort_size AS DOUBLE) * 100, 0) AS BIGINT)
               AS VARCHAR) || '%)' AS cell,
