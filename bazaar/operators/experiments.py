@@ -77,13 +77,34 @@ def assignment_summary(units: DataFrame) -> DataFrame:
         F.sum("converted").cast("long").alias("conversions"))
 
 
+def arm_stats(prepared: DataFrame, arm: str = "grp", ts: str = "ts") -> DataFrame:
+    """One aggregate per experiment x arm: units, conversions, first and last timestamp.
+
+    Everything after the unit rows (summary, traffic, designs, tests) derives
+    from this small table, so the unit rows are read once.
+    """
+    return prepared.groupBy(EXP, arm).agg(F.count(F.lit(1)).alias("users"),
+                                          F.sum("converted").cast("long").alias("conversions"),
+                                          F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
+
+
+def summary_from_stats(stats: DataFrame, arm: str = "grp") -> DataFrame:
+    return stats.select(EXP, arm, "users", "conversions",
+                        ratio(F.col("conversions"), F.col("users")).alias("rate"),
+                        (F.col("users") - F.col("conversions")).alias("non_converted"))
+
+
+def traffic_from_stats(stats: DataFrame) -> DataFrame:
+    t = stats.groupBy(EXP).agg(F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"),
+                               F.sum("users").alias("users"))
+    days = F.timestamp_diff("DAY", F.col("first_ts"), F.col("last_ts"))
+    return t.select(EXP, "first_ts", "last_ts", days.alias("experiment_days"), "users",
+                    ratio(F.col("users"), days).alias("users_per_day"))
+
+
 def conversion_summary(prepared: DataFrame, arm: str = "grp") -> DataFrame:
     """D3: users, conversions, rate and non-converted per experiment x arm."""
-    s = prepared.groupBy(EXP, arm).agg(F.count(F.lit(1)).alias("users"),
-                                       F.sum("converted").cast("long").alias("conversions"))
-    return s.select(EXP, arm, "users", "conversions",
-                    ratio(F.col("conversions"), F.col("users")).alias("rate"),
-                    (F.col("users") - F.col("conversions")).alias("non_converted"))
+    return summary_from_stats(arm_stats(prepared, arm), arm)
 
 
 def stratified_sample(prepared: DataFrame, n: int, salt: str, by: Sequence[str] = (EXP, "grp"),
@@ -98,13 +119,9 @@ def stratified_sample(prepared: DataFrame, n: int, salt: str, by: Sequence[str]
                          [F.col("sample_key"), F.col(unit)], n)
 
 
-def traffic_summary(prepared: DataFrame, ts: str = "ts") -> DataFrame:
+def traffic_summary(prepared: DataFrame, ts: str = "ts", arm: str = "grp") -> DataFrame:
     """Experiment span in whole days, users and users per day."""
-    t = prepared.groupBy(EXP).agg(F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"),
-                                  F.count(F.lit(1)).alias("users"))
-    days = F.timestamp_diff("DAY", F.col("first_ts"), F.col("last_ts"))
-    return t.select(EXP, "first_ts", "last_ts", days.alias("experiment_days"), "users",
-                    ratio(F.col("users"), days).alias("users_per_day"))
+    return traffic_from_stats(arm_stats(prepared, arm, ts))
 
 
 def designs_from_data(summary: DataFrame, traffic: DataFrame, relative_mde: float = 0.10,

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from bazaar.operators import experiments as E
 from bazaar.plans.registry import finish, query
+from bazaar.session import materialize
 from bazaar.sources import fixtures as X
 from bazaar.sources.tables import table
 
@@ -15,24 +16,30 @@ def _prepared(spark, sf):
     return E.prepare_ab(X.ab_units(spark, sf))
 
 
-def _summary(spark, sf):
-    return E.conversion_summary(_prepared(spark, sf))
+def _stats(spark, sf):
+    # the only pass over the unit rows; a few rows per experiment, reused below
+    return materialize(E.arm_stats(_prepared(spark, sf)))
 
 
-def _sizes(spark, sf):
-    prepared = _prepared(spark, sf)
-    designs = E.designs_from_data(E.conversion_summary(prepared), E.traffic_summary(prepared),
+def _summary(spark, sf, stats=None):
+    return E.summary_from_stats(stats if stats is not None else _stats(spark, sf))
+
+
+def _sizes(spark, sf, stats=None):
+    stats = stats if stats is not None else _stats(spark, sf)
+    designs = E.designs_from_data(E.summary_from_stats(stats), E.traffic_from_stats(stats),
                                   relative_mde=RELATIVE_MDE)
     return E.sample_size(designs)
 
 
-def _tested(spark, sf):
-    return E.wald_ci(E.two_proportion_z(E.arms(_summary(spark, sf))))
+def _tested(spark, sf, stats=None):
+    return E.wald_ci(E.two_proportion_z(E.arms(_summary(spark, sf, stats))))
 
 
 def _results(spark, sf):
-    sizes = _sizes(spark, sf).select(E.EXP, "abs_mde", F.col("n_formula").alias("n_required"))
-    return _tested(spark, sf).join(sizes, E.EXP)
+    stats = _stats(spark, sf)
+    sizes = _sizes(spark, sf, stats).select(E.EXP, "abs_mde", F.col("n_formula").alias("n_required"))
+    return _tested(spark, sf, stats).join(sizes, E.EXP)
 
 
 @query("ab_prepared")
@@ -57,7 +64,7 @@ def stratified_sample(spark, sf):
 
 @query("traffic_summary")
 def traffic_summary(spark, sf):
-    return finish(E.traffic_summary(_prepared(spark, sf)))
+    return finish(E.traffic_from_stats(_stats(spark, sf)))
 
 
 @query("sample_size")
@@ -108,7 +115,8 @@ def ci_reading(spark, sf):
 
 @query("experiment_report")
 def experiment_report(spark, sf):
-    return finish(E.experiment_report(_tested(spark, sf), _sizes(spark, sf)))
+    stats = _stats(spark, sf)
+    return finish(E.experiment_report(_tested(spark, sf, stats), _sizes(spark, sf, stats)))
 
 
 @query("novelty_by_week")
@@ -183,4 +191,5 @@ def dedup_first(spark, sf):
 
 @query("adequacy")
 def adequacy(spark, sf):
-    return E.adequacy(_summary(spark, sf), _sizes(spark, sf))
+    stats = _stats(spark, sf)
+    return E.adequacy(_summary(spark, sf, stats), _sizes(spark, sf, stats))
