@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaar.functions.columns import hour_floor
+from bazaar.operators.profile import attach
 from bazaar.operators.ranking import rank_within, row_number_within, top_per_group
 from bazaar.session import ensure_checkpoint_dir
 from bazaar.sources.tables import export_parquet
@@ -114,5 +115,5 @@ def create_analytics_pipeline(events: DataFrame, path: str | None = None) -> tup
     files = exported.select(F.col("_metadata.file_path").alias("f"),
                             F.col("_metadata.file_size").alias("s")).dropDuplicates(["f"])
     size = files.agg(F.count(F.lit(1)).alias("files_written"), F.sum("s").alias("bytes_written"))
-    summary = span.crossJoin(out.select("rows_out")).crossJoin(size)
+    summary = attach(attach(span, out.select("rows_out")), size)
     return exported.drop("event_date"), summary

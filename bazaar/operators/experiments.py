@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from bazaar.functions import stats as ST
 from bazaar.functions.columns import ratio, week_start
 from bazaar.operators.cleaning import consistent_assignment
+from bazaar.operators.profile import attach
 from bazaar.operators.ranking import dedup_first, row_number_within, top_per_group
 
 EXP = "experiment_id"
@@ -337,7 +338,7 @@ def qq_points(df: DataFrame, value: str, by: Sequence[str] = ("arm",)) -> DataFr
     v = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("value"))
     ranked = row_number_within(v, by, [F.col("value")], "i")
     n = v.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    j = ranked.join(n, by) if by else ranked.crossJoin(F.broadcast(n))
+    j = ranked.join(n, by) if by else attach(ranked, n)
     i, nn = F.col("i").cast("double"), F.col("n").cast("double")
     last = F.pow(F.lit(0.5), 1.0 / nn)
     pos = (F.when(F.col("i") == F.col("n"), last).when(F.col("i") == 1, 1 - last)
@@ -346,7 +347,7 @@ def qq_points(df: DataFrame, value: str, by: Sequence[str] = ("arm",)) -> DataFr
     fit = pts.groupBy(*by).agg(F.regr_slope("value", "theoretical").alias("slope"),
                                F.regr_intercept("value", "theoretical").alias("intercept"),
                                F.corr("value", "theoretical").alias("r"))
-    return (pts.join(fit, by) if by else pts.crossJoin(F.broadcast(fit))).select(
+    return (pts.join(fit, by) if by else attach(pts, fit)).select(
         *by, "i", "n", "value", "position", "theoretical", "slope", "intercept", "r")
 
 

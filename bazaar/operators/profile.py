@@ -23,8 +23,16 @@ SELECTIVITY_CLASSES = (("very_high", 1.0), ("medium", 10.0), ("low", None))
 
 
 def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row aggregate to every row (broadcast, 1 row)."""
-    return df.crossJoin(F.broadcast(one_row))
+    """Attach the columns of a one-row aggregate to every row.
+
+    The aggregate becomes one scalar subquery returning a struct: it runs
+    once and its value is a constant in the row-level projection, so there
+    is no join (and no row pairing) at all.
+    """
+    packed = one_row.select(F.struct(*one_row.columns)).scalar()
+    return df.withColumn("__attached", packed).select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        *[F.col("__attached").getField(c).alias(c) for c in one_row.columns])
 
 
 def unpivot(df: DataFrame, cols: Sequence[str], value_type: str = "string",

@@ -1,9 +1,9 @@
 """RFM segmentation (survey 2.J with 2.C10, 2.D4, 2.D11, 2.D12, 2.D23-D24, 2.D31, 2.G5-G6).
 
 Global scalars (the reference date, IQR fences, scaler moments, centroids)
-are one-row aggregates attached to the rows by a broadcast of that single
-row - never collected to the driver, never an unpartitioned window over
-the data.  Centroids travel as one row holding an array of k structs, so
+are one-row aggregates attached to the rows as a scalar subquery (computed
+once, a constant in the row projection) - no join, no unpartitioned window
+over the data.  Centroids travel as one row holding an array of k structs, so
 nearest-centroid assignment is a per-row expression (no k-way join).
 K-means itself is ``pyspark.ml.clustering.KMeans`` (distributed Lloyd
 iterations with k-means|| seeding); everything downstream of the labels is

@@ -2,6 +2,7 @@
 from pyspark.sql import functions as F
 
 from bazaar.operators import experiments as E
+from bazaar.operators.profile import attach
 from bazaar.plans.registry import finish, query
 from bazaar.session import materialize
 from bazaar.sources import fixtures as X
@@ -161,7 +162,7 @@ def campaign_checklist(spark, sf):
     tested = E.wald_ci(E.two_proportion_z(a, alternative="larger"))
     mde = tested.select(E.EXP, (F.col("p_c") * RELATIVE_MDE).alias("abs_mde"))
     guard = E.guardrail_cpc(daily).select("guardrail_ok")
-    res = tested.join(mde, E.EXP).crossJoin(guard)      # 1 row x 1 row
+    res = attach(tested.join(mde, E.EXP), guard)        # guard: one row
     return E.ship_checklist(res)
 
 
