@@ -12,6 +12,7 @@ deterministically from the data.
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -202,8 +203,12 @@ def kmeans_fit_many(features: DataFrame, ks: Sequence[int], cols: Sequence[str]
 
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
-    vec = VectorAssembler(inputCols=list(cols), outputCol="features").transform(features) \
-        .select("features").cache()
+    vec = VectorAssembler(inputCols=list(cols), outputCol="features").transform(features).select("features")
+    # every Lloyd step is a job over all partitions: size them by rows (about
+    # 100k per partition), never above what the input already has
+    rows = features.count()
+    parts = vec.rdd.getNumPartitions()
+    vec = vec.coalesce(max(1, min(parts, math.ceil(rows / 100_000)))).cache()
     vec.count()
 
     def fit(job):
