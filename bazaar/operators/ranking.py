@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bazaar.session import shuffle_partitions
+from bazaar.session import ship_code, shuffle_partitions
 
 _PID, _CARRY, _SIDE, _CNT = "__pid", "__carry", "__side", "__cnt"
 
@@ -166,6 +166,7 @@ def row_number_within(df: DataFrame, by: Sequence[str], order: Sequence, out: st
                                 num_partitions)
         return res.drop("__all")
     order = [_as_col(o) for o in order]
+    ship_code(df.sparkSession)          # the passes below run in Python workers
     n = num_partitions or shuffle_partitions(df.sparkSession)
     sort_exprs = [F.col(b).asc_nulls_first() for b in by] + order
     keep = list(df.columns)

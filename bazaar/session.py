@@ -6,6 +6,7 @@ session.  ``get_spark`` is a convenience for tests, the bench and scripts.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -39,6 +40,7 @@ def get_spark(master: str | None = None, app: str = "bazaar",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_code(spark)
     return spark
 
 
@@ -76,3 +78,21 @@ def materialize(df):
     out = cached.checkpoint(eager=True)
     cached.unpersist()
     return out
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Make ``bazaar`` importable in the Python workers (once per SparkContext).
+
+    Only the Arrow-batched passes run Python on executors, and their
+    functions are pickled by module reference, so the package is zipped and
+    distributed with ``addPyFile``.  A no-op when already shipped.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_bazaar_shipped", False):
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="bazaar-pyfiles-")
+    archive = shutil.make_archive(os.path.join(out_dir, "bazaar"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir="bazaar")
+    sc.addPyFile(archive)
+    sc._bazaar_shipped = True
