@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from bazaar.functions.columns import hour_floor
 from bazaar.operators.profile import attach
-from bazaar.operators.ranking import rank_within, row_number_within, top_per_group
+from bazaar.operators.ranking import rank_within, row_number_within
 from bazaar.session import ensure_checkpoint_dir
 from bazaar.sources.tables import export_parquet
 
