@@ -57,9 +57,12 @@ def fences(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
 
 
 def iqr_split(df: DataFrame, cols: Sequence[str] = ("monetary_value", "frequency"),
-              k: float = 1.5) -> DataFrame:
-    """Whale (above any upper fence) > low_value (below any lower) > main."""
-    f = fences(df, cols, k)
+              k: float = 1.5, fence_row: DataFrame | None = None) -> DataFrame:
+    """Whale (above any upper fence) > low_value (below any lower) > main.
+
+    ``fence_row`` (from :func:`fences`) lets several steps share one computation.
+    """
+    f = fence_row if fence_row is not None else fences(df, cols, k)
     whale = F.lit(False)
     low = F.lit(False)
     for c in cols:
@@ -69,9 +72,9 @@ def iqr_split(df: DataFrame, cols: Sequence[str] = ("monetary_value", "frequency
     return attach(df, f).select(*df.columns, seg.alias("segment"))
 
 
-def whale_segments(df: DataFrame, k: float = 1.5) -> DataFrame:
+def whale_segments(df: DataFrame, k: float = 1.5, fence_row: DataFrame | None = None) -> DataFrame:
     """Whales labelled by which fences they exceed (overlap = both)."""
-    f = fences(df, ["monetary_value", "frequency"], k)
+    f = fence_row if fence_row is not None else fences(df, ["monetary_value", "frequency"], k)
     hm = F.col("monetary_value") > F.col("monetary_value_upper")
     hf = F.col("frequency") > F.col("frequency_upper")
     label = (F.when(hm & hf, WHALE_LABELS[0]).when(hm, WHALE_LABELS[1]).when(hf, WHALE_LABELS[2]))
@@ -92,9 +95,9 @@ def standardise(df: DataFrame, cols: Sequence[str], out: Sequence[str]) -> DataF
         for i, (c, o) in enumerate(zip(cols, out))])
 
 
-def scaled_features(rfm_df: DataFrame) -> DataFrame:
+def scaled_features(rfm_df: DataFrame, fence_row: DataFrame | None = None) -> DataFrame:
     """The main (non-outlier) customers with log + standardised RFM features."""
-    main = iqr_split(rfm_df).where(F.col("segment") == "main").drop("segment")
+    main = iqr_split(rfm_df, fence_row=fence_row).where(F.col("segment") == "main").drop("segment")
     logged = log_features(main)
     return standardise(logged, [f"{c}_log" for c in RFM_COLS], SCALED_COLS)
 

@@ -16,8 +16,14 @@ def _rfm(spark, sf):
     return materialize(S.rfm(CL.clean_rfm(X.retail_lines(spark, sf))))
 
 
-def _assigned(spark, sf, r=None):
-    feats = materialize(S.scaled_features(r if r is not None else _rfm(spark, sf)))
+def _fences(r):
+    # one row, shared by the scaled features and the whale labels (two jobs)
+    return materialize(S.fences(r, ["monetary_value", "frequency"]))
+
+
+def _assigned(spark, sf, r=None, f=None):
+    r = r if r is not None else _rfm(spark, sf)
+    feats = materialize(S.scaled_features(r, f))
     return materialize(S.assign_nearest(feats, S.band_centroids(feats)))
 
 
@@ -90,9 +96,10 @@ def name_clusters(spark, sf):
 
 def _all_segments(spark, sf):
     r = _rfm(spark, sf)
-    assigned = _assigned(spark, sf, r)
+    f = _fences(r)
+    assigned = _assigned(spark, sf, r, f)
     names = S.name_clusters(S.cluster_profile(assigned))
-    return S.all_segments(assigned, names, S.whale_segments(r))
+    return S.all_segments(assigned, names, S.whale_segments(r, fence_row=f))
 
 
 @query("all_segments")
