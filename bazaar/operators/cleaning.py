@@ -51,11 +51,31 @@ def clean_rfm(lines: DataFrame) -> DataFrame:
     return lines.where(cond)
 
 
-def clean_retention(lines: DataFrame) -> DataFrame:
-    """Known customer (not 0), positive quantity and price, exact duplicates dropped."""
+def drop_duplicates_except(df: DataFrame, ignore: Sequence[str]) -> DataFrame:
+    """One row per distinct combination of the other columns.
+
+    The ignored columns keep their smallest value (an explicit tie-break
+    instead of file order); with nothing ignored this is ``dropDuplicates()``.
+    Either way it is an aggregate, partially combined map-side.
+    """
+    ignore = [c for c in ignore if c in df.columns]
+    if not ignore:
+        return df.dropDuplicates()
+    keys = [c for c in df.columns if c not in ignore]
+    agg = df.groupBy(*keys).agg(*[F.min(c).alias(c) for c in ignore])
+    return agg.select(*df.columns)
+
+
+def clean_retention(lines: DataFrame, dedup_ignore: Sequence[str] = ("invoice",)) -> DataFrame:
+    """Known customer (not 0), positive quantity and price, duplicates dropped.
+
+    The retention data is read with the invoice number as the row index, so
+    its duplicate check compares every column except the invoice; that is
+    the default here (``dedup_ignore=()`` drops only exact duplicates).
+    """
     kept = clean(lines, not_null=["customer_id"], nonzero=["customer_id"],
                  positive=["quantity", "price"])
-    return kept.dropDuplicates()
+    return drop_duplicates_except(kept, dedup_ignore)
 
 
 def cleaning_funnel(df: DataFrame, steps: Sequence[tuple[str, Column]],

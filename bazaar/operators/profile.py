@@ -118,9 +118,9 @@ def date_range(df: DataFrame, col: str) -> DataFrame:
     return df.agg(F.min(col).alias("min_value"), F.max(col).alias("max_value"))
 
 
-def duplicate_summary(df: DataFrame) -> DataFrame:
-    """Total rows vs distinct rows (one grouping of all columns)."""
-    g = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n"))
+def duplicate_summary(df: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
+    """Total rows vs distinct rows (one grouping of the compared columns)."""
+    g = df.groupBy(*[c for c in df.columns if c not in ignore]).agg(F.count(F.lit(1)).alias("n"))
     return g.agg(F.sum("n").alias("total_rows"), F.count(F.lit(1)).alias("distinct_rows"),
                  (F.sum("n") - F.count(F.lit(1))).alias("duplicate_rows"))
 

@@ -2,8 +2,10 @@
 from bazaar.plans.oracle import RETAIL, sql, with_
 
 RET = """ret AS (
-  SELECT DISTINCT * FROM retail_lines
-  WHERE customer_id IS NOT NULL AND customer_id <> 0 AND quantity > 0 AND price > 0),
+  SELECT min(invoice) AS invoice, stock_code, description, quantity, invoice_date, price, customer_id, country
+  FROM retail_lines
+  WHERE customer_id IS NOT NULL AND customer_id <> 0 AND quantity > 0 AND price > 0
+  GROUP BY ALL),
 assigned0 AS (
   SELECT r.*, year(invoice_date) AS year, month(invoice_date) AS month, day(invoice_date) AS day,
          quantity * price AS revenue,

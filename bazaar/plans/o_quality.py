@@ -311,8 +311,9 @@ JOIN (SELECT order_id, line_number, count(*) AS dup_count FROM app_order_items
 @sql("duplicate_summary")
 def _():
     return with_(RETAIL) + """
-SELECT count(*) AS total_rows, (SELECT count(*) FROM (SELECT DISTINCT * FROM retail_lines)) AS distinct_rows,
-       count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM retail_lines)) AS duplicate_rows
+SELECT count(*) AS total_rows, (SELECT count(*) FROM (SELECT DISTINCT * EXCLUDE (invoice) FROM retail_lines))
+         AS distinct_rows,
+       count(*) - (SELECT count(*) FROM (SELECT DISTINCT * EXCLUDE (invoice) FROM retail_lines)) AS duplicate_rows
 FROM retail_lines"""
 
 

@@ -70,3 +70,16 @@ def test_campaign_null_day_is_skipped(spark):
     assert t["control"].days == 1 and t["control"].pooled_ctr == 0.1
     rates = E.add_campaign_metrics(daily.withColumn("add_to_cart", F.lit(0)).withColumn("view_content", F.lit(0)))
     assert rates.where("ctr IS NULL").count() == 1
+
+
+def test_retention_dedup_ignores_invoice(spark):
+    from bazaar.operators.cleaning import clean_retention
+    lines = spark.createDataFrame(
+        [("000002", "10001", "a", 1, dt.datetime(2020, 1, 1), 2.0, 7, "NL"),
+         ("000001", "10001", "a", 1, dt.datetime(2020, 1, 1), 2.0, 7, "NL"),
+         ("000003", "10001", "a", 2, dt.datetime(2020, 1, 1), 2.0, 7, "NL")],
+        "invoice string, stock_code string, description string, quantity int, invoice_date timestamp_ntz, "
+        "price double, customer_id long, country string")
+    kept = sorted((r.invoice, r.quantity) for r in clean_retention(lines).collect())
+    assert kept == [("000001", 1), ("000003", 2)]
+    assert clean_retention(lines, dedup_ignore=()).count() == 3
