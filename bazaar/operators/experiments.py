@@ -60,7 +60,8 @@ def sample_size(designs: DataFrame) -> DataFrame:
           .withColumn("n_formula", n_formula.cast("long") + 1)
           .withColumn("n_cohen", n_cohen.cast("long") + 1))
     return (d.withColumn("total_n", 2 * F.col("n_formula"))
-             .withColumn("days_needed", F.ceil(ratio(F.col("total_n"), F.col("daily_traffic"))).cast("long")))
+             .withColumn("days_needed_exact", ratio(F.col("total_n"), F.col("daily_traffic")))
+             .withColumn("days_needed", F.ceil(F.col("days_needed_exact")).cast("long")))
 
 
 # ------------------------------------------------------------ unit rows --

@@ -118,6 +118,7 @@ def _():
     return base() + f"""
 SELECT experiment_id, {r6('p1')}, {r6('p2')}, {r6('abs_mde')}, {r6('z_alpha')}, {r6('z_beta')}, {r6('cohens_h')},
        n_formula, n_cohen, 2 * n_formula AS total_n, {r6('daily_traffic')},
+       round(CAST(2 * n_formula AS DOUBLE) / daily_traffic, 6) AS days_needed_exact,
        CAST(ceil(CAST(2 * n_formula AS DOUBLE) / daily_traffic) AS BIGINT) AS days_needed
 FROM sizes"""
 
@@ -412,3 +413,31 @@ def _():
     return base() + """
 SELECT s.experiment_id, s.grp, s.users, z.n_formula AS n_required, s.users >= z.n_formula AS adequate
 FROM summary s JOIN sizes z ON s.experiment_id = z.experiment_id"""
+
+
+@sql("sampled_z_test")
+def _():
+    sample = """sampled AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY experiment_id, grp
+                                 ORDER BY md5(CAST(user_id AS VARCHAR) || '|' || 'ab-sample'), user_id) AS rn
+    FROM prepared)
+  WHERE rn <= 500),
+ssum AS (
+  SELECT experiment_id, grp, count(*) AS users, CAST(sum(converted) AS BIGINT) AS conversions,
+         CAST(sum(converted) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS rate
+  FROM sampled GROUP BY 1, 2),
+sok AS (
+  SELECT experiment_id, bool_and(users * rate > 10 AND users * (1 - rate) > 10) AS normal_approx_ok
+  FROM ssum GROUP BY 1),
+sarms AS (
+  SELECT experiment_id,
+         CAST(sum(CASE WHEN grp = 'control' THEN users END) AS BIGINT) AS n_c,
+         CAST(sum(CASE WHEN grp = 'control' THEN conversions END) AS BIGINT) AS x_c,
+         CAST(sum(CASE WHEN grp = 'treatment' THEN users END) AS BIGINT) AS n_t,
+         CAST(sum(CASE WHEN grp = 'treatment' THEN conversions END) AS BIGINT) AS x_t
+  FROM ssum GROUP BY 1)"""
+    cols = ", ".join(r6(c) for c in ("z", "p_value", "lift_abs", "ci_lower", "ci_upper"))
+    return with_(AB_UNITS, PREP, sample, _tested_cte("sarms", "two-sided", "st")) + f"""
+SELECT t.experiment_id, n_c, x_c, n_t, x_t, {cols}, reject_h0, o.normal_approx_ok
+FROM st t JOIN sok o ON t.experiment_id = o.experiment_id"""

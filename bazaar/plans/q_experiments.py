@@ -72,7 +72,7 @@ def traffic_summary(spark, sf):
 def sample_size(spark, sf):
     return finish(_sizes(spark, sf).select(
         E.EXP, "p1", "p2", "abs_mde", "z_alpha", "z_beta", "cohens_h", "n_formula", "n_cohen",
-        "total_n", "daily_traffic", "days_needed"))
+        "total_n", "daily_traffic", "days_needed_exact", "days_needed"))
 
 
 @query("success_failure")
@@ -194,3 +194,14 @@ def dedup_first(spark, sf):
 def adequacy(spark, sf):
     stats = _stats(spark, sf)
     return E.adequacy(_summary(spark, sf, stats), _sizes(spark, sf, stats))
+
+
+@query("sampled_z_test")
+def sampled_z_test(spark, sf):
+    """The reference's flow: fixed-n sample per arm -> summary -> success-failure -> z-test -> CI."""
+    sample = E.stratified_sample(_prepared(spark, sf), SAMPLE_PER_ARM, SAMPLE_SALT)
+    summary = E.conversion_summary(sample)
+    ok = E.success_failure(summary).groupBy(E.EXP).agg(F.bool_and("success_failure_ok").alias("normal_approx_ok"))
+    tested = E.wald_ci(E.two_proportion_z(E.arms(summary)))
+    return finish(tested.join(ok, E.EXP).select(E.EXP, "n_c", "x_c", "n_t", "x_t", "z", "p_value", "lift_abs",
+                                                "ci_lower", "ci_upper", "reject_h0", "normal_approx_ok"))
