@@ -441,3 +441,24 @@ sarms AS (
     return with_(AB_UNITS, PREP, sample, _tested_cte("sarms", "two-sided", "st")) + f"""
 SELECT t.experiment_id, n_c, x_c, n_t, x_t, {cols}, reject_h0, o.normal_approx_ok
 FROM st t JOIN sok o ON t.experiment_id = o.experiment_id"""
+
+
+@sql("campaign_z_test")
+def _():
+    arms = """zarms AS (
+  SELECT 'campaign' AS experiment_id,
+         CAST(sum(CASE WHEN arm = 'control' THEN impressions END) AS BIGINT) AS n_c,
+         CAST(sum(CASE WHEN arm = 'control' THEN clicks END) AS BIGINT) AS x_c,
+         CAST(sum(CASE WHEN arm = 'test' THEN impressions END) AS BIGINT) AS n_t,
+         CAST(sum(CASE WHEN arm = 'test' THEN clicks END) AS BIGINT) AS x_t
+  FROM totals),
+zok AS (
+  SELECT 'campaign' AS experiment_id,
+         bool_and(impressions * pooled_ctr > 10 AND impressions * (1 - pooled_ctr) > 10) AS success_failure_ok,
+         bool_and(impressions >= 30) AS n_at_least_30
+  FROM totals)"""
+    cols = ", ".join(r6(c) for c in ("p_c", "p_t", "p_pool", "z", "p_value"))
+    return with_(CAMPAIGN, _RATES, arms, _tested_cte("zarms", "larger", "zt")) + f"""
+SELECT t.experiment_id, n_c, x_c, n_t, x_t, {cols}, p_value < 0.10 AS reject_h0, o.success_failure_ok,
+       o.n_at_least_30
+FROM zt t JOIN zok o ON t.experiment_id = o.experiment_id"""

@@ -205,3 +205,19 @@ def sampled_z_test(spark, sf):
     tested = E.wald_ci(E.two_proportion_z(E.arms(summary)))
     return finish(tested.join(ok, E.EXP).select(E.EXP, "n_c", "x_c", "n_t", "x_t", "z", "p_value", "lift_abs",
                                                 "ci_lower", "ci_upper", "reject_h0", "normal_approx_ok"))
+
+
+@query("campaign_z_test")
+def campaign_z_test(spark, sf):
+    """Campaign CTR test: n = impressions, right-tailed at alpha 0.10, with the n >= 30
+    and success-failure checks on the per-arm totals."""
+    totals = E.campaign_totals(X.campaign_daily(spark, sf)).withColumn(E.EXP, F.lit("campaign"))
+    a = E.arms(totals, control="control", treatment="test", arm="arm", n="impressions", x="clicks")
+    tested = E.two_proportion_z(a, alternative="larger", alpha=0.10)
+    checks = E.success_failure(totals.select(E.EXP, "arm", F.col("impressions").alias("users"),
+                                             F.col("pooled_ctr").alias("rate")))
+    ok = checks.groupBy(E.EXP).agg(F.bool_and("success_failure_ok").alias("success_failure_ok"),
+                                   F.bool_and("n_at_least_30").alias("n_at_least_30"))
+    return finish(tested.join(ok, E.EXP).select(E.EXP, "n_c", "x_c", "n_t", "x_t", "p_c", "p_t", "p_pool",
+                                                "z", "p_value", "reject_h0", "success_failure_ok",
+                                                "n_at_least_30"))
