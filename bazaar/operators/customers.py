@@ -84,6 +84,6 @@ def revenue_by_customer(customers: DataFrame, orders: DataFrame, k: int = 20) ->
     TakeOrderedAndProject.  Ties are broken by customer id.
     """
     rev = orders.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("order_count"), F.sum("total_amount").alias("revenue"))
-    j = customers.select("customer_id", "email", "tier").join(rev, "customer_id")
+        F.count("order_id").alias("order_count"), F.sum("total_amount").alias("revenue"))
+    j = customers.select("customer_id", "country", "tier").join(rev, "customer_id")
     return j.orderBy(F.col("revenue").desc(), F.col("customer_id")).limit(k)
