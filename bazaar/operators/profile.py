@@ -37,10 +37,9 @@ def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
 def unpivot(df: DataFrame, cols: Sequence[str], value_type: str = "string",
             keep: Sequence[str] = ()) -> DataFrame:
-    """(keep..., column_name, value) rows for the given columns."""
-    arr = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast(value_type).alias("value"))
-                    for c in cols])
-    return df.select(*keep, F.inline(arr))
+    """(keep..., column_name, value) rows for the given columns (``DataFrame.unpivot``)."""
+    cast = df.select(*keep, *[F.col(c).cast(value_type).alias(c) for c in cols])
+    return cast.unpivot(list(keep), list(cols), "column_name", "value")
 
 
 def value_counts(df: DataFrame, col: str, dropna: bool = True) -> DataFrame:
