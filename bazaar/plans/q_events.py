@@ -27,3 +27,10 @@ def session_rank_full(spark, sf):
 def hourly_metrics_export(spark, sf):
     exported, _ = E.create_analytics_pipeline(X.user_events(spark, sf))
     return exported
+
+
+@query("pipeline_summary")
+def pipeline_summary(spark, sf):
+    """L8 summary: rows in and out, time span, files and bytes written (rows-only check)."""
+    _, summary = E.create_analytics_pipeline(X.user_events(spark, sf))
+    return summary
