@@ -346,3 +346,16 @@ def segment_migration(before: DataFrame, after: DataFrame, user: str = "customer
     return (j.groupBy(F.coalesce("from_segment", F.lit("(new)")).alias("from_segment"),
                       F.coalesce("to_segment", F.lit("(gone)")).alias("to_segment"))
              .agg(F.count(F.lit(1)).alias("customers")))
+
+
+def segment_drift(before: DataFrame, after: DataFrame, user: str = "customer_id") -> DataFrame:
+    """J15 (drift): per starting segment, how the RFM values of customers present in
+    both snapshots moved (mean change of each measure, share that changed segment)."""
+    b = before.select(user, F.col("segment").alias("from_segment"),
+                      *[F.col(c).alias(f"{c}_0") for c in RFM_COLS])
+    a = after.select(user, F.col("segment").alias("to_segment"), *[F.col(c).alias(f"{c}_1") for c in RFM_COLS])
+    j = b.join(a, user)
+    return j.groupBy("from_segment").agg(
+        F.count(F.lit(1)).alias("customers"),
+        *[F.avg(F.col(f"{c}_1") - F.col(f"{c}_0")).alias(f"{c}_change") for c in RFM_COLS],
+        F.avg((F.col("from_segment") != F.col("to_segment")).cast("double")).alias("moved_share"))

@@ -264,3 +264,21 @@ def _():
     return base() + """
 SELECT customer_id, round(monetary_value, 2) AS monetary_value, frequency, recency FROM rfm
 WHERE customer_id NOT IN (SELECT customer_id FROM whales)"""
+
+
+
+@sql("segment_drift")
+def _():
+    before = _split_sql("snap0", "WHERE invoice_date < TIMESTAMP '2000-01-01'", "TIMESTAMP '2000-01-01'")
+    after = _split_sql("snap1", "", "(SELECT max(max_date) FROM snap1_per) + INTERVAL 1 DAY")
+    return base() + f""",
+{before},
+{after}
+SELECT b.segment AS from_segment, count(*) AS customers,
+       round(avg(r1.monetary_value - r0.monetary_value), 6) AS monetary_value_change,
+       round(avg(r1.frequency - r0.frequency), 6) AS frequency_change,
+       round(avg(r1.recency - r0.recency), 6) AS recency_change,
+       round(avg(CAST(b.segment <> a.segment AS DOUBLE)), 6) AS moved_share
+FROM snap0 b JOIN snap0_rfm r0 ON b.customer_id = r0.customer_id
+JOIN snap1 a ON b.customer_id = a.customer_id JOIN snap1_rfm r1 ON a.customer_id = r1.customer_id
+GROUP BY 1"""

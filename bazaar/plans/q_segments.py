@@ -112,14 +112,21 @@ def segment_summary(spark, sf):
     return finish(S.segment_summary(_all_segments(spark, sf)))
 
 
-@query("segment_migration")
-def segment_migration(spark, sf):
+def _snapshots(spark, sf, cut="2000-01-01"):
     lines = CL.clean_rfm(X.retail_lines(spark, sf))
-    cut = "2000-01-01"
     before = S.iqr_split(S.rfm(lines.where(F.col("invoice_date") < F.lit(cut).cast("timestamp_ntz")),
                                as_of=cut))
-    after = S.iqr_split(S.rfm(lines))
-    return S.segment_migration(before, after)
+    return before, S.iqr_split(S.rfm(lines))
+
+
+@query("segment_migration")
+def segment_migration(spark, sf):
+    return S.segment_migration(*_snapshots(spark, sf))
+
+
+@query("segment_drift")
+def segment_drift(spark, sf):
+    return finish(S.segment_drift(*_snapshots(spark, sf)))
 
 
 @query("kmeans_segments")
