@@ -16,6 +16,10 @@ full-ranking operators here never do that:
        the broadcast is bounded by the partition count;
     4. a second pass numbers rows inside each run and adds the carry.
 
+``exact_quantiles`` needs only a few ranks per group, so it stays in the
+JVM: per-(group, partition) counts over the same range partitioning locate
+the partitions holding the target ranks, and only those are ranked.
+
 Top-k per group uses ``row_number() <= k``, which Spark plans with a
 partial ``WindowGroupLimit`` before the shuffle, so each task ships at most
 k rows per group.  Keep-first de-duplication is an aggregate (``min_by``)
