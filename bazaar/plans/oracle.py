@@ -235,10 +235,6 @@ GROUP BY 1"""
 
 
 def load_all() -> dict[str, str]:
-    for mod in ("o_quality", "o_cohorts", "o_segments", "o_experiments"):
-        try:
-            __import__(f"bazaar.plans.{mod}")
-        except ModuleNotFoundError as e:
-            if e.name != f"bazaar.plans.{mod}":
-                raise
+    """Import the SQL modules (their decorators fill SQL) and return the oracle map."""
+    from bazaar.plans import o_cohorts, o_experiments, o_quality, o_segments  # noqa: F401
     return dict(SQL)

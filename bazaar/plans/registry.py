@@ -52,12 +52,7 @@ def finish(df: DataFrame, digits: int = 6, money: dict[str, int] | None = None,
 
 
 def load_all() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    # importing the query modules fills QUERIES
-    from bazaar.plans import q_customers, q_events  # noqa: F401
-    for mod in ("q_quality", "q_cohorts", "q_segments", "q_experiments"):
-        try:
-            __import__(f"bazaar.plans.{mod}")
-        except ModuleNotFoundError as e:
-            if e.name != f"bazaar.plans.{mod}":
-                raise
+    """Import the query modules (their decorators fill QUERIES) and return the registry."""
+    from bazaar.plans import (q_cohorts, q_customers, q_events, q_experiments,  # noqa: F401
+                              q_quality, q_segments)
     return dict(QUERIES)
