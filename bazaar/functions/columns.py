@@ -39,3 +39,11 @@ def week_start(ts: Column) -> Column:
     monday = F.date_sub(d, ((F.dayofweek(d) + 5) % 7).cast("int"))
     return F.make_timestamp_ntz(F.year(monday), F.month(monday), F.dayofmonth(monday),
                                 F.lit(0), F.lit(0), F.lit(0))
+
+
+def fill(template: str, **values) -> Column:
+    """A string column from a ``{name}`` template whose fields are columns."""
+    import re
+    parts = re.split(r"\{(\w+)\}", template)
+    pieces = [F.lit(p) if i % 2 == 0 else values[p] for i, p in enumerate(parts) if i % 2 or p]
+    return F.concat(*pieces)

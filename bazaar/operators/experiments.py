@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaar.functions import stats as ST
-from bazaar.functions.columns import ratio, week_start
+from bazaar.functions.columns import fill, ratio, week_start
 from bazaar.operators.cleaning import consistent_assignment
 from bazaar.operators.profile import attach
 from bazaar.operators.ranking import dedup_first, row_number_within, top_per_group
@@ -23,6 +23,22 @@ from bazaar.operators.ranking import dedup_first, row_number_within, top_per_gro
 EXP = "experiment_id"
 # The valid (arm, landing page) pairs of the page test.
 VALID_PAIRS = (("control", "old_page"), ("treatment", "new_page"))
+# The conclusion report's verdict texts, in report order
+# ({p} p-value .4f, {pp} lift in points +.2f, {rel} relative lift +.2%,
+# {mde} MDE in points .0f, {ci} CI upper bound .4f, {need}/{got} sample sizes).
+REASON_SIG = "Result is statistically significant (p = {p} < α = {alpha})."
+REASON_NOT_SIG = "Not statistically significant — p = {p} is well above α = {alpha}."
+REASON_LIFT = "Treatment lifted conversion by {pp} pp ({rel} relative) in the right direction."
+REASON_CI_MDE = "CI upper bound ({ci}) reaches the MDE — the effect is large enough to matter."
+REASON_WORSE = "But the treatment performed worse — lift is {pp} pp ({rel} relative)."
+REASON_ROLL_BACK = "Shipping would harm conversion. Roll back."
+REASON_SMALL = "But the effect is too small — lift is only {pp} pp vs MDE of +{mde} pp."
+REASON_SHORT = "Even the optimistic end of the CI ({ci}) falls short of the MDE. Not worth shipping."
+REASON_POWERED = "The test was adequately powered ({need} per group needed, {got} collected)."
+REASON_NULL = "This is a genuine null, not a power problem. The new page shows no real effect."
+# Not in the reference (its null text assumes enough data): the underpowered case.
+REASON_UNDERPOWERED = "The test was underpowered ({need} per group needed, {got} collected)."
+REASON_MORE_DATA = "Collect more data before drawing a conclusion."
 # The six ship checks, in order.
 SHIP_CHECKS = ("p_below_alpha", "right_direction", "lift_at_least_mde", "ci_excludes_zero",
                "ci_lower_at_least_mde", "guardrail_ok")
@@ -208,37 +224,27 @@ def decide_ladder(results: DataFrame, alpha: float = 0.05) -> DataFrame:
     Needs p_value, lift_abs, lift_rel, ci_upper, abs_mde, n_required, n_c, n_t.
     The null-result text depends on whether the test reached its sample size.
     """
-    a = str(alpha)
+    a = F.lit(str(alpha))
     sig = F.col("p_value") < alpha
     excl_mde = F.col("ci_upper") < F.col("abs_mde")
-    p4 = F.format_string("%.4f", F.col("p_value"))
-    pp = F.format_string("%+.2f", F.col("lift_abs") * 100)
-    r_sig = F.concat(F.lit("Result is statistically significant (p = "), p4, F.lit(f" < α = {a})."))
-    min_n = F.least(F.col("n_c"), F.col("n_t"))
-    powered = min_n >= F.col("n_required")
-    need = F.concat(F.format_number(F.col("n_required"), 0), F.lit(" per group needed, "),
-                    F.format_number(min_n, 0), F.lit(" collected)."))
+    fields = dict(p=F.format_string("%.4f", F.col("p_value")), alpha=a,
+                  pp=F.format_string("%+.2f", F.col("lift_abs") * 100), rel=_pct(F.col("lift_rel")),
+                  mde=F.format_string("%.0f", F.col("abs_mde") * 100),
+                  ci=F.format_string("%.4f", F.col("ci_upper")),
+                  need=F.format_number(F.col("n_required"), 0),
+                  got=F.format_number(F.least(F.col("n_c"), F.col("n_t")), 0))
+    powered = F.least(F.col("n_c"), F.col("n_t")) >= F.col("n_required")
     ship = sig & (F.col("lift_abs") > 0) & ~excl_mde
     neg = sig & (F.col("lift_abs") <= 0)
     small = sig & excl_mde
     decision = F.when(ship, "SHIP").otherwise("DO NOT SHIP")
-    r1 = F.when(sig, r_sig).otherwise(F.concat(F.lit("Not statistically significant — p = "), p4,
-                                               F.lit(f" is well above α = {a}.")))
-    r2 = (F.when(ship, F.concat(F.lit("Treatment lifted conversion by "), pp, F.lit(" pp ("), _pct(F.col("lift_rel")),
-                                F.lit(" relative) in the right direction.")))
-           .when(neg, F.concat(F.lit("But the treatment performed worse — lift is "), pp, F.lit(" pp ("),
-                               _pct(F.col("lift_rel")), F.lit(" relative).")))
-           .when(small, F.concat(F.lit("But the effect is too small — lift is only "), pp, F.lit(" pp vs MDE of +"),
-                                 F.format_string("%.0f", F.col("abs_mde") * 100), F.lit(" pp.")))
-           .when(powered, F.concat(F.lit("The test was adequately powered ("), need))
-           .otherwise(F.concat(F.lit("The test was underpowered ("), need)))
-    r3 = (F.when(ship, F.concat(F.lit("CI upper bound ("), F.format_string("%.4f", F.col("ci_upper")),
-                                F.lit(") reaches the MDE — the effect is large enough to matter.")))
-           .when(neg, F.lit("Shipping would harm conversion. Roll back."))
-           .when(small, F.concat(F.lit("Even the optimistic end of the CI ("), F.format_string("%.4f", F.col("ci_upper")),
-                                 F.lit(") falls short of the MDE. Not worth shipping.")))
-           .when(powered, F.lit("This is a genuine null, not a power problem. The new page shows no real effect."))
-           .otherwise(F.lit("Collect more data before drawing a conclusion.")))
+    r1 = F.when(sig, fill(REASON_SIG, **fields)).otherwise(fill(REASON_NOT_SIG, **fields))
+    r2 = (F.when(ship, fill(REASON_LIFT, **fields)).when(neg, fill(REASON_WORSE, **fields))
+           .when(small, fill(REASON_SMALL, **fields)).when(powered, fill(REASON_POWERED, **fields))
+           .otherwise(fill(REASON_UNDERPOWERED, **fields)))
+    r3 = (F.when(ship, fill(REASON_CI_MDE, **fields)).when(neg, F.lit(REASON_ROLL_BACK))
+           .when(small, fill(REASON_SHORT, **fields)).when(powered, F.lit(REASON_NULL))
+           .otherwise(F.lit(REASON_MORE_DATA)))
     return results.select(EXP, decision.alias("decision"), r1.alias("reason_1"), r2.alias("reason_2"),
                           r3.alias("reason_3"))
 

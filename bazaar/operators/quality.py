@@ -7,7 +7,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Finding texts and priorities of the audit summary.
+from bazaar.functions.columns import fill
+
+# Finding texts and priorities of the audit summary (the
+# orphan and duplicate texts are this library's re-aimed checks).
+FK_ISSUE = "Orphan keys: {table}.{column} ({rows} rows without a {parent} row)"
+DUP_ISSUE = "{table}: {count} duplicate key values on ({key})"
+NULL_ISSUE = "{table}.{column} has {pct}% nulls"
 NULL_IMPACT = "Possible data quality issue"
 NULL_OK = ("No high-null columns (> 5%)", "Data completeness is healthy", "OK")
 FK_IMPACT = "Rows lost on inner joins"
@@ -131,18 +137,18 @@ def findings(null_rates: DataFrame, fk: DataFrame, duplicates: DataFrame) -> Dat
         return detail.select("issue", "impact", "priority", F.col(sort_key).alias("sort_key")).unionByName(none)
 
     nulls = null_rates.where("flagged").select(
-        F.format_string("%s.%s has %s%% nulls", "table_name", "column_name",
-                        F.col("null_pct").cast("string")).alias("issue"),
+        fill(NULL_ISSUE, table=F.col("table_name"), column=F.col("column_name"),
+             pct=F.col("null_pct").cast("string")).alias("issue"),
         F.lit(NULL_IMPACT).alias("impact"), F.lit("MEDIUM").alias("priority"),
         F.concat_ws(".", "table_name", "column_name").alias("k"))
     orphans = fk.where(F.col("orphan_rows") > 0).select(
-        F.format_string("Orphan keys: %s.%s (%d rows without a %s row)", "child_table", "fk_column",
-                        "orphan_rows", "parent_table").alias("issue"),
+        fill(FK_ISSUE, table=F.col("child_table"), column=F.col("fk_column"),
+             rows=F.col("orphan_rows").cast("string"), parent=F.col("parent_table")).alias("issue"),
         F.lit(FK_IMPACT).alias("impact"), F.lit("HIGH").alias("priority"),
         F.concat_ws(".", "child_table", "fk_column").alias("k"))
     dups = duplicates.where(F.col("duplicate_keys") > 0).select(
-        F.format_string("%s: %d duplicate key values on (%s)", "table_name", "duplicate_keys", "key")
-         .alias("issue"),
+        fill(DUP_ISSUE, table=F.col("table_name"), count=F.col("duplicate_keys").cast("string"),
+             key=F.col("key")).alias("issue"),
         F.lit(DUP_IMPACT).alias("impact"), F.lit("MEDIUM").alias("priority"),
         F.concat_ws(".", "table_name", "key").alias("k"))
     parts = [section(orphans, FK_OK, "k").withColumn("section", F.lit(1)),

@@ -83,3 +83,19 @@ def test_retention_dedup_ignores_invoice(spark):
     kept = sorted((r.invoice, r.quantity) for r in clean_retention(lines).collect())
     assert kept == [("000001", 1), ("000003", 2)]
     assert clean_retention(lines, dedup_ignore=()).count() == 3
+
+
+def test_fk_audit_orphans_and_findings(spark):
+    from bazaar.operators import profile as P
+    from bazaar.operators import quality as Q
+    parent = spark.createDataFrame([(1,), (2,)], "customer_id long")
+    child = spark.createDataFrame([(10, 1), (11, 1), (12, 3), (13, None)], "order_id long, customer_id long")
+    fk = Q.fk_audit([Q.FkEdge("orders", child, "customer_id", "customers", parent, "customer_id")])
+    r = fk.first()
+    assert (r.child_rows, r.null_keys, r.orphan_rows, r.orphan_keys, r.max_fanout) == (4, 1, 1, 1, 2)
+    nulls = P.null_rates(child, "orders")
+    dups = Q.duplicate_keys(child, "orders", ["order_id"])
+    got = {x.section: (x.issue, x.priority) for x in Q.findings(nulls, fk, dups).collect()}
+    assert got[1] == ("Orphan keys: orders.customer_id (1 rows without a customers row)", "HIGH")
+    assert got[2] == ("orders.customer_id has 25.0% nulls", "MEDIUM")
+    assert got[3][1] == "OK"
