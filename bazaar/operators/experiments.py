@@ -39,6 +39,8 @@ REASON_NULL = "This is a genuine null, not a power problem. The new page shows n
 # Not in the reference (its null text assumes enough data): the underpowered case.
 REASON_UNDERPOWERED = "The test was underpowered ({need} per group needed, {got} collected)."
 REASON_MORE_DATA = "Collect more data before drawing a conclusion."
+# Filliben's plotting positions (i - a) / (n + b) of the Q-Q plot.
+FILLIBEN_A, FILLIBEN_B = 0.3175, 0.365
 # The six ship checks, in order.
 SHIP_CHECKS = ("p_below_alpha", "right_direction", "lift_at_least_mde", "ci_excludes_zero",
                "ci_lower_at_least_mde", "guardrail_ok")
@@ -349,7 +351,7 @@ def qq_points(df: DataFrame, value: str, by: Sequence[str] = ("arm",)) -> DataFr
     i, nn = F.col("i").cast("double"), F.col("n").cast("double")
     last = F.pow(F.lit(0.5), 1.0 / nn)
     pos = (F.when(F.col("i") == F.col("n"), last).when(F.col("i") == 1, 1 - last)
-            .otherwise((i - 0.3175) / (nn + 0.365)))
+            .otherwise((i - FILLIBEN_A) / (nn + FILLIBEN_B)))
     pts = j.withColumn("position", pos).withColumn("theoretical", ST.norm_ppf(F.col("position")))
     fit = pts.groupBy(*by).agg(F.regr_slope("value", "theoretical").alias("slope"),
                                F.regr_intercept("value", "theoretical").alias("intercept"),

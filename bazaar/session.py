@@ -87,7 +87,10 @@ def ship_code(spark: SparkSession) -> None:
     functions are pickled by module reference, so the package is zipped and
     distributed with ``addPyFile``.  A no-op when already shipped.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:            # Spark Connect: no SparkContext; artifacts are the user's to add
+        return
     if getattr(sc, "_bazaar_shipped", False):
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
