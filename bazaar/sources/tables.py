@@ -127,3 +127,46 @@ def read_campaign_arms(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
               T.StructField("# of Add to Cart", T.LongType()), T.StructField("# of Purchase", T.LongType())]
     raw = read_arms(spark, paths, T.StructType(fields), sep=";")
     return rename_columns(raw, CAMPAIGN_RENAMES).withColumn("date", F.to_date("date", "d.M.yyyy"))
+
+
+# Column headers of the reference's input files and the names used here.
+RETAIL_RENAMES = {
+    "Invoice": "invoice", "StockCode": "stock_code", "Description": "description", "Quantity": "quantity",
+    "InvoiceDate": "invoice_date", "Price": "price", "Customer ID": "customer_id", "Country": "country",
+}
+AB_RENAMES = {"user_id": "user_id", "timestamp": "ts", "group": "grp", "landing_page": "landing_page",
+              "converted": "converted"}
+
+
+def read_retail_lines(spark: SparkSession, path: str, fmt: str = "csv",
+                      timestamp_format: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
+    """A3: invoice lines (exported from the workbook) with a fixed schema.
+
+    Codes stay strings (no numeric inference), the customer id is a nullable
+    long (never a float), timestamps are timestamp_ntz.
+    """
+    from pyspark.sql import types as T
+    schema = T.StructType([
+        T.StructField("Invoice", T.StringType()), T.StructField("StockCode", T.StringType()),
+        T.StructField("Description", T.StringType()), T.StructField("Quantity", T.IntegerType()),
+        T.StructField("InvoiceDate", T.StringType()), T.StructField("Price", T.DoubleType()),
+        T.StructField("Customer ID", T.DoubleType()), T.StructField("Country", T.StringType())])
+    raw = read_table(spark, path, schema, fmt=fmt)
+    df = rename_columns(raw, RETAIL_RENAMES)
+    return df.select("invoice", "stock_code", "description", "quantity",
+                     F.to_timestamp_ntz(F.col("invoice_date"), F.lit(timestamp_format)).alias("invoice_date"),
+                     "price", F.col("customer_id").cast("long").alias("customer_id"), "country")
+
+
+def read_ab_units(spark: SparkSession, path: str, experiment_id: str = "ab") -> DataFrame:
+    """A1: the unit-level A/B file (user, timestamp, group, page, converted) with a fixed
+    schema, tagged with an experiment id and a row number in file order as tie-break."""
+    from pyspark.sql import types as T
+    schema = T.StructType([
+        T.StructField("user_id", T.LongType()), T.StructField("timestamp", T.StringType()),
+        T.StructField("group", T.StringType()), T.StructField("landing_page", T.StringType()),
+        T.StructField("converted", T.IntegerType())])
+    raw = rename_columns(read_table(spark, path, schema), AB_RENAMES)
+    return raw.select(F.lit(experiment_id).alias("experiment_id"),
+                      F.monotonically_increasing_id().alias("row_id"), "user_id",
+                      F.to_timestamp_ntz(F.col("ts")).alias("ts"), "grp", "landing_page", "converted")

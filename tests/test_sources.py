@@ -65,3 +65,30 @@ def test_distinct_by_exact_and_approx(spark):
     ap = {r.g: r.distinct_u for r in P.distinct_by(df, ["g"], "u", approx=True).collect()}
     assert ex == {"a": 50, "b": 50} and all(abs(ap[k] - 50) <= 2 for k in ap)
     assert P.union_all(df, df, df).count() == 3000
+
+
+def test_reference_shaped_inputs(spark):
+    from bazaar.operators import cleaning as CL
+    from bazaar.operators import experiments as E
+    d = tempfile.mkdtemp(prefix="bazaar-ref-")
+    retail = os.path.join(d, "retail.csv")
+    with open(retail, "w") as f:
+        f.write("Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country\n"
+                "489434,85048,LED LIGHT,12,2009-12-01 07:45:00,6.95,13085.0,United Kingdom\n"
+                "C489449,22087,PAPER BUNTING,-12,2009-12-01 10:33:00,2.95,16321.0,Australia\n"
+                "489436,POST,POSTAGE,1,2009-12-01 09:06:00,18.0,,United Kingdom\n")
+    lines = T.read_retail_lines(spark, retail)
+    rows = {r.invoice: r for r in lines.collect()}
+    assert rows["489434"].customer_id == 13085 and rows["489436"].customer_id is None
+    assert rows["C489449"].invoice_date == dt.datetime(2009, 12, 1, 10, 33)
+    assert [r.invoice for r in CL.clean_rfm(lines).collect()] == ["489434"]
+    ab = os.path.join(d, "ab.csv")
+    with open(ab, "w") as f:
+        f.write("user_id,timestamp,group,landing_page,converted\n"
+                "851104,2017-01-21 22:11:48.556739,control,old_page,0\n"
+                "804228,2017-01-12 08:01:45.159739,control,new_page,0\n"
+                "661590,2017-01-11 16:55:06.154213,treatment,new_page,1\n"
+                "661590,2017-01-12 16:55:06.154213,treatment,new_page,0\n")
+    units = T.read_ab_units(spark, ab)
+    prepared = E.prepare_ab(units)
+    assert sorted((r.user_id, r.converted) for r in prepared.collect()) == [(661590, 1), (851104, 0)]
