@@ -170,3 +170,16 @@ def read_ab_units(spark: SparkSession, path: str, experiment_id: str = "ab") ->
     return raw.select(F.lit(experiment_id).alias("experiment_id"),
                       F.monotonically_increasing_id().alias("row_id"), "user_id",
                       F.to_timestamp_ntz(F.col("ts")).alias("ts"), "grp", "landing_page", "converted")
+
+
+def read_user_events(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The event log layout (user_id, timestamp, device_type, action_type,
+    session_duration_minutes) with an event id in file order as tie-break."""
+    from pyspark.sql import types as T
+    schema = T.StructType([
+        T.StructField("user_id", T.LongType()), T.StructField("timestamp", T.TimestampNTZType()),
+        T.StructField("device_type", T.StringType()), T.StructField("action_type", T.StringType()),
+        T.StructField("session_duration_minutes", T.DoubleType())])
+    raw = read_table(spark, path, schema, fmt=fmt)
+    return raw.select(F.monotonically_increasing_id().alias("event_id"), "user_id",
+                      F.col("timestamp").alias("ts"), "device_type", "action_type", "session_duration_minutes")

@@ -92,3 +92,17 @@ def test_reference_shaped_inputs(spark):
     units = T.read_ab_units(spark, ab)
     prepared = E.prepare_ab(units)
     assert sorted((r.user_id, r.converted) for r in prepared.collect()) == [(661590, 1), (851104, 0)]
+
+
+def test_read_user_events_feeds_hourly_metrics(spark):
+    from bazaar.operators import events as EV
+    d = os.path.join(tempfile.mkdtemp(prefix="bazaar-ev-"), "ev")
+    spark.createDataFrame(
+        [(1001, dt.datetime(2024, 5, 1, 10, 1), "mobile", "view", 12.5),
+         (1002, dt.datetime(2024, 5, 1, 10, 40), "desktop", "click", 3.0),
+         (1001, dt.datetime(2024, 5, 1, 11, 5), "mobile", "purchase", 8.0)],
+        "user_id long, timestamp timestamp_ntz, device_type string, action_type string, "
+        "session_duration_minutes double").write.parquet(d)
+    ev = T.read_user_events(spark, d)
+    got = {r.hour: (r.session_count, r.unique_users) for r in EV.hourly_metrics(ev).collect()}
+    assert got == {dt.datetime(2024, 5, 1, 10): (2, 2), dt.datetime(2024, 5, 1, 11): (1, 1)}
