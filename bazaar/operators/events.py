@@ -18,19 +18,34 @@ def hour_of(ts_col: str = "ts"):
     return hour_floor(F.col(ts_col))
 
 
-def hourly_metrics(events: DataFrame, ts_col: str = "ts") -> DataFrame:
+def modal_value(df: DataFrame, by: list, col: str, out: str | None = None) -> DataFrame:
+    """Most frequent value per group (ties -> smallest value), for any number of values.
+
+    Counts per (group, value) are partially aggregated, then ``min_by`` picks
+    the winner per group - no per-group buffer of all distinct values.
+    """
+    counts = df.where(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("__n"))
+    return counts.groupBy(*by).agg(
+        F.min_by(col, F.struct(-F.col("__n"), F.col(col))).alias(out or f"mode_{col}"))
+
+
+def hourly_metrics(events: DataFrame, ts_col: str = "ts", mode: str = "buffer") -> DataFrame:
     """Sessions, unique users, mean duration and the modal device per hour.
 
     One aggregate: counts and sums combine map-side; the single distinct
     count is planned as a two-level aggregate on (hour, user); ``mode``
     keeps one counter per device value (a small, fixed domain), ties go to
-    the smallest device name (N8).
+    the smallest device name (N8).  ``mode="two_level"`` uses
+    :func:`modal_value` instead, for columns with many distinct values.
     """
-    return events.groupBy(hour_of(ts_col).alias("hour")).agg(
-        F.count(F.lit(1)).alias("session_count"),
-        F.count_distinct("user_id").alias("unique_users"),
-        F.avg("session_duration_minutes").alias("avg_session_duration"),
-        F.mode("device_type", deterministic=True).alias("most_popular_device"))
+    ev = events.withColumn("hour", hour_of(ts_col))
+    base = [F.count(F.lit(1)).alias("session_count"),
+            F.count_distinct("user_id").alias("unique_users"),
+            F.avg("session_duration_minutes").alias("avg_session_duration")]
+    if mode == "two_level":     # any device cardinality: counts per (hour, device), then min_by
+        return ev.groupBy("hour").agg(*base).join(
+            modal_value(ev, ["hour"], "device_type", "most_popular_device"), "hour", "left")
+    return ev.groupBy("hour").agg(*base, F.mode("device_type", deterministic=True).alias("most_popular_device"))
 
 
 def rank_sessions(events: DataFrame, action: str | None = "view", k: int | None = 10,

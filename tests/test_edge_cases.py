@@ -99,3 +99,12 @@ def test_fk_audit_orphans_and_findings(spark):
     assert got[1] == ("Orphan keys: orders.customer_id (1 rows without a customers row)", "HIGH")
     assert got[2] == ("orders.customer_id has 25.0% nulls", "MEDIUM")
     assert got[3][1] == "OK"
+
+
+def test_two_level_mode_equals_buffered_mode(spark):
+    from bazaar.sources import fixtures as X
+    from conftest import SF_SMALL
+    ue = X.user_events(spark, SF_SMALL)
+    a = {r.hour: r.most_popular_device for r in EV.hourly_metrics(ue).collect()}
+    b = {r.hour: r.most_popular_device for r in EV.hourly_metrics(ue, mode="two_level").collect()}
+    assert a == b and len(a) > 100
