@@ -164,3 +164,31 @@ def duplicate_keys(df: DataFrame, table_name: str, keys: Sequence[str]) -> DataF
              .agg(F.count(F.lit(1)).alias("duplicate_keys")))
     return dup.select(F.lit(table_name).alias("table_name"), F.lit(",".join(keys)).alias("key"),
                       F.col("duplicate_keys").cast("long").alias("duplicate_keys"))
+
+
+def table_audit(df: DataFrame, table_name: str, keys: Sequence[str], threshold: float = 5.0):
+    """Null rates and duplicate keys of one table from a single pass.
+
+    Rows are counted per key value together with each column's NULL count
+    (partial aggregation); one more aggregate over those per-key rows gives
+    the table's NULL counts and the number of keys seen more than once.
+    Returns (null_rates, duplicate_keys) shaped like ``profile.null_rates``
+    and ``duplicate_keys``.
+    """
+    keys = list(keys)
+    others = [c for c in df.columns if c not in keys]
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
+                                    *[F.count_if(F.col(c).isNull()).alias(f"__z{i}") for i, c in enumerate(others)])
+    null_of = {c: F.sum(F.when(F.col(c).isNull(), F.col("__n")).otherwise(F.lit(0))) for c in keys}
+    null_of.update({c: F.sum(f"__z{i}") for i, c in enumerate(others)})
+    tot = per_key.agg(F.sum("__n").alias("__total"), F.count_if(F.col("__n") > 1).alias("__dups"),
+                      *[null_of[c].alias(f"__null_{j}") for j, c in enumerate(df.columns)])
+    arr = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"__null_{j}").cast("long").alias("null_count"))
+                    for j, c in enumerate(df.columns)])
+    long = tot.select("__total", F.inline(arr))
+    pct = F.round(F.try_divide(F.col("null_count") * 100.0, F.col("__total")), 1)
+    nulls = long.select(F.lit(table_name).alias("table_name"), "column_name", "null_count",
+                        F.col("__total").alias("total_rows"), pct.alias("null_pct"), (pct > threshold).alias("flagged"))
+    dups = tot.select(F.lit(table_name).alias("table_name"), F.lit(",".join(keys)).alias("key"),
+                      F.col("__dups").cast("long").alias("duplicate_keys"))
+    return nulls, dups

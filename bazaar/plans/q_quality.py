@@ -137,13 +137,12 @@ def expectations(spark, sf):
 def findings(spark, sf):
     star = _star(spark, sf)
     star["customers"] = X.customers(spark, sf, null_email_every=12)
-    nulls = None
-    for name, df in star.items():
-        part = P.null_rates(df, name)
-        nulls = part if nulls is None else nulls.unionByName(part)
-    dups = (Q.duplicate_keys(star["order_items"], "order_items", ["order_id", "line_number"])
-            .unionByName(Q.duplicate_keys(star["customers"], "customers", ["customer_id"])))
-    return Q.findings(nulls, Q.fk_audit(_edges(star)), dups)
+    # null rates and duplicate keys of a keyed table come from one pass
+    n_items, d_items = Q.table_audit(star["order_items"], "order_items", ["order_id", "line_number"])
+    n_cust, d_cust = Q.table_audit(star["customers"], "customers", ["customer_id"])
+    nulls = P.union_all(n_cust, P.null_rates(star["products"], "products"),
+                        P.null_rates(star["orders"], "orders"), n_items)
+    return Q.findings(nulls, Q.fk_audit(_edges(star)), P.union_all(d_items, d_cust))
 
 
 @query("duplicate_rows")

@@ -108,3 +108,15 @@ def test_two_level_mode_equals_buffered_mode(spark):
     a = {r.hour: r.most_popular_device for r in EV.hourly_metrics(ue).collect()}
     b = {r.hour: r.most_popular_device for r in EV.hourly_metrics(ue, mode="two_level").collect()}
     assert a == b and len(a) > 100
+
+
+def test_table_audit_equals_separate_checks(spark):
+    from bazaar.operators import profile as P
+    from bazaar.operators import quality as Q
+    df = spark.createDataFrame([(1, 1, "a", None), (1, 1, None, 2.0), (2, None, "b", 3.0), (None, 5, None, None),
+                                (2, None, "c", 1.0)], "k1 long, k2 long, s string, v double")
+    nulls, dups = Q.table_audit(df, "t", ["k1", "k2"])
+    want = {r.column_name: tuple(r)[2:] for r in P.null_rates(df, "t").collect()}
+    got = {r.column_name: tuple(r)[2:] for r in nulls.collect()}
+    assert got == want
+    assert dups.first().duplicate_keys == Q.duplicate_keys(df, "t", ["k1", "k2"]).first().duplicate_keys == 2
