@@ -40,3 +40,17 @@ def op8_topk_search(spark, sf_dir):
     """The 5 best integer inner products of every 50th vector over all others."""
     from bazaar.llm.topk import exact_top_k
     return exact_top_k(read(spark, sf_dir, "embeddings"), is_query=F.col("id") % 50 == 0, k=5)
+
+
+@query
+def op1_secret_scan(spark, sf_dir):
+    """Secrets of every document by the base patterns and the inferred formats."""
+    from bazaar.llm.secrets import find_secrets
+    return find_secrets(read(spark, sf_dir, "documents"))
+
+
+@query
+def op10_packing(spark, sf_dir):
+    """All documents in sequences of at most 4096 tokens by best-fit decreasing."""
+    from bazaar.llm.packing import pack_documents
+    return pack_documents(read(spark, sf_dir, "documents"))
