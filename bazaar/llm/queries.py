@@ -54,3 +54,10 @@ def op10_packing(spark, sf_dir):
     """All documents in sequences of at most 4096 tokens by best-fit decreasing."""
     from bazaar.llm.packing import pack_documents
     return pack_documents(read(spark, sf_dir, "documents"))
+
+
+@query
+def op3_license_scan(spark, sf_dir):
+    """Licence phrases and licence texts of every document."""
+    from bazaar.llm.licenses import scan_licenses
+    return scan_licenses(read(spark, sf_dir, "documents"))
