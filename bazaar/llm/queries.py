@@ -61,3 +61,10 @@ def op3_license_scan(spark, sf_dir):
     """Licence phrases and licence texts of every document."""
     from bazaar.llm.licenses import scan_licenses
     return scan_licenses(read(spark, sf_dir, "documents"))
+
+
+@query
+def op5_quality_classifier(spark, sf_dir):
+    """Quality score of every document by the compiled rule ensemble."""
+    from bazaar.llm.quality import score_quality
+    return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
