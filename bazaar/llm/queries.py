@@ -68,3 +68,10 @@ def op5_quality_classifier(spark, sf_dir):
     """Quality score of every document by the compiled rule ensemble."""
     from bazaar.llm.quality import score_quality
     return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query
+def op6_near_duplicates(spark, sf_dir):
+    """Near-duplicate class of every document by Order MinHash and banded alignment."""
+    from bazaar.llm.neardup import near_duplicates
+    return near_duplicates(read(spark, sf_dir, "documents"))
