@@ -75,3 +75,10 @@ def op6_near_duplicates(spark, sf_dir):
     """Near-duplicate class of every document by Order MinHash and banded alignment."""
     from bazaar.llm.neardup import near_duplicates
     return near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query
+def op9_embedding_duplicates(spark, sf_dir):
+    """Near-duplicate embeddings of one label by NN-descent."""
+    from bazaar.llm.neighbours import embedding_duplicates
+    return embedding_duplicates(read(spark, sf_dir, "embeddings"))
