@@ -217,3 +217,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         groups = groups.join(component, "node", "left").select("h1", "h2", F.coalesce("component", "node").alias("class_id"))
     return (sketch.select(F.col("id").alias(id_col), "h1", "h2").join(groups, ["h1", "h2"])
             .select(id_col, "class_id", (F.col(id_col) == F.col("class_id")).alias("kept")))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` (all their columns) that stay: the smallest id of each class.
+
+    Rows that repeat an id and its text are kept once; rows with a null id are
+    not compared and stay.
+    """
+    chosen = near_duplicates(docs, id_col, text_col, **options).where("kept").select(id_col).distinct()
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    same = docs.where(F.col(id_col).isNotNull()).join(chosen, id_col, "left_semi").withColumn("__same", F.xxhash64(text_col))
+    once = same.dropDuplicates([id_col, "__same"]).select(*names)
+    return once.unionByName(docs.where(F.col(id_col).isNull()).select(*names))

@@ -228,23 +228,21 @@ def redact(text: str, spans: list[tuple], mark: str = "<secret>") -> str:
     return "".join(out) + text[at:]
 
 
-def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = 1000,
-                 redacted: bool = False) -> DataFrame:
+def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = 1000) -> DataFrame:
     """Secrets of every document: base spans, spans of inferred formats, scores.
 
     Returns the id, n_assign, n_access, n_hex, n_format, base_sha256 (lower-case
     hex SHA-256 of the base spans ``kind:start:end``), spans (all, comma-joined,
-    by start then kind), best_score (null without a candidate) and, if
-    ``redacted``, the text with secret values masked.  A base span is its whole
-    match; offsets are code points.  Null texts are empty; repeated rows stay;
-    an empty table gives no rows; other columns are ignored.
+    by start then kind) and best_score (null without a candidate).  A base span
+    is its whole match; offsets are code points.  Null texts are empty;
+    repeated rows stay; an empty table gives no rows; other columns are ignored.
     """
     prepared(docs.sparkSession)
     models = learn_formats(docs, text_col, sample)
     names = (*KINDS, FORMAT)
     fields = [(id_col, pa.int64()), ("n_assign", pa.int64()), ("n_access", pa.int64()), ("n_hex", pa.int64()),
               ("n_format", pa.int64()), ("base_sha256", pa.string()), ("spans", pa.string()), ("best_score", pa.float64())]
-    schema = pa.schema(fields + [("redacted", pa.string())] * redacted)
+    schema = pa.schema(fields)
 
     def scan(batches):
         machines = [Automaton(m["states"], m["floor"]) for m in models.values()]
@@ -258,11 +256,40 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     shown = [f"{names[k]}:{s}:{e}" for s, k, e, _ in sorted(base + added)]
                     of_base = ",".join(f"{names[k]}:{s}:{e}" for s, k, e, _ in base)
                     n = [sum(x[1] == k for x in base) for k in range(3)]
-                    row = [i, *n, len(added), hashlib.sha256(of_base.encode()).hexdigest(), ",".join(shown), best]
-                    rows.append(row + [redact(t, base + added)] * redacted)
+                    rows.append([i, *n, len(added), hashlib.sha256(of_base.encode()).hexdigest(), ",".join(shown), best])
                 cols = list(zip(*rows)) if rows else [[] for _ in schema]
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, schema)], schema=schema)
 
     kind = f"`{id_col}` long, n_assign long, n_access long, n_hex long, n_format long, base_sha256 string, spans string, best_score double"
     return (docs.select(F.col(id_col).cast("long"), text_of(text_col).alias("text"))
-            .mapInArrow(scan, kind + ", redacted string" * redacted))
+            .mapInArrow(scan, kind))
+
+
+def redact_secrets(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars", sample: int = 1000,
+                   mark: str = "<secret>") -> DataFrame:
+    """All rows and columns of ``docs`` with the values of found secrets replaced by ``mark``.
+
+    Where a text changes, ``length_col`` (if there is one) is set to its new
+    length.  Texts without secrets, and null texts, stay as they are.
+    """
+    prepared(docs.sparkSession)
+    models = learn_formats(docs, text_col, sample)
+    names, at = docs.columns, docs.columns.index(text_col)
+
+    def mask(batches):
+        machines = [Automaton(m["states"], m["floor"]) for m in models.values()]
+        for batch in batches:
+            texts, changed = [], []
+            for t in batch.column(at).to_pylist():
+                base, added, _ = scan_text(t, machines) if t else ([], [], None)
+                changed.append(bool(base or added))
+                texts.append(redact(t, base + added, mark) if changed[-1] else t)
+            cols = [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(len(names))]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(changed, pa.bool_())], names=[*names, "__changed"])
+
+    from pyspark.sql.types import BooleanType, StructField, StructType
+    out = docs.mapInArrow(mask, StructType([*docs.schema.fields, StructField("__changed", BooleanType())]))
+    if length_col in names:
+        new = F.length(text_col).cast(docs.schema[length_col].dataType)
+        out = out.withColumn(length_col, F.when(F.col("__changed"), new).otherwise(F.col(length_col)))
+    return out.select(*[F.col(f"`{c}`") for c in names])
