@@ -82,3 +82,11 @@ def op9_embedding_duplicates(spark, sf_dir):
     """Near-duplicate embeddings of one label by NN-descent."""
     from bazaar.llm.neighbours import embedding_duplicates
     return embedding_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op7_sentencepiece(spark, sf_dir):
+    """SentencePiece ids of every document, and the CRC-32 of the text decoded from them."""
+    from bazaar.llm.pieces import decode_pieces, encode_pieces
+    out = decode_pieces(encode_pieces(read(spark, sf_dir, "documents")))
+    return out.select("doc_id", "n_tokens", "ids_crc32", F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
