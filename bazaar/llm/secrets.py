@@ -20,6 +20,7 @@ _WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
+SMOOTH = 20.0
 NOISE_BITS = math.log2(66)          # bits per character of an unpredictable credential character
 
 
@@ -48,9 +49,19 @@ class Automaton:
 
     def __init__(self, states: list[dict], floor: float = 0.0):
         self.states, self.floor = states, floor
+        self.all: dict[str, float] = defaultdict(lambda: 0.5)       # characters over all transitions
+        for st in states:
+            for edge in st["next"].values():
+                for ch, c in edge["chars"].items():
+                    self.all[ch] += c
+        self.total = sum(self.all.values()) + 0.5 * 66
 
     def bits(self, value: str) -> float:
-        """Mean log2 likelihood per character and the end, with add-one smoothing of unseen events."""
+        """Mean log2 likelihood per character and the end.
+
+        A transition's characters are smoothed by ``SMOOTH`` draws from those
+        of the whole automaton, so rarely used states do not overfit.
+        """
         at, total = 0, 0.0
         for ch in value:
             st = self.states[at]
@@ -58,21 +69,31 @@ class Automaton:
             if edge is None:                      # unseen: stay, at the price of a rare event
                 total -= math.log2(st["n"] + 66)
                 continue
-            total += math.log2(edge["n"] / (st["n"] + 1)) + math.log2((edge["chars"].get(ch, 0) + 0.1) / (edge["n"] + 1.6))
+            total += math.log2(edge["n"] / (st["n"] + 1)) + math.log2(
+                (edge["chars"].get(ch, 0) + SMOOTH * self.all.get(ch, 0.5) / self.total) / (edge["n"] + SMOOTH))
             at = edge["to"]
         st = self.states[at]
         return (total + math.log2((st["end"] + 0.01) / (st["n"] + 1))) / (len(value) + 1)
 
 
-def infer_automaton(values: list[str], alpha: float = 0.01, quantile: float = 0.01) -> Automaton:
+def fit_format(values: list[str], quantile: float = 0.01) -> Automaton:
+    """The automaton of all values; its floor is the ``quantile`` of scores of one half under the other's."""
+    values = sorted(values, key=lambda v: (hashlib.sha256(v.encode()).digest(), v))
+    halves = values[::2], values[1::2]
+    held = sorted(m.bits(v) for m, other in zip(map(infer_automaton, halves), halves[::-1]) for v in other)
+    machine = infer_automaton(values)
+    machine.floor = held[int(quantile * (len(held) - 1))] - 1e-9
+    return machine
+
+
+def infer_automaton(values: list[str], alpha: float = 0.01) -> Automaton:
     """State merging (ALERGIA) over the prefix tree of ``values``.
 
     Red states are final; each blue child is compared with the red states in
     order of creation: two states are compatible if their end, symbol and
     character frequencies, and those of all their common successors, differ by
     less than the Hoeffding bound at ``alpha``.  Compatible states are merged
-    and folded, others turn red.  ``floor`` is the ``quantile`` of the values'
-    own scores.
+    and folded, others turn red.
     """
     n, end, kids, chars = [0], [0], [{}], [defaultdict(lambda: defaultdict(int))]
     for v in sorted(values):
@@ -144,12 +165,9 @@ def infer_automaton(values: list[str], alpha: float = 0.01, quantile: float = 0.
             red.append(k)
             done.add(k)
     place = {q: i for i, q in enumerate(red)}
-    machine = Automaton([{"n": n[q], "end": end[q], "next": {
+    return Automaton([{"n": n[q], "end": end[q], "next": {
         s: {"to": place[k], "n": through[q][s], "chars": dict(chars[q][s])} for s, k in sorted(kids[q].items())}}
         for q in red])
-    own = sorted(machine.bits(v) for v in values)
-    machine.floor = own[int(quantile * (len(own) - 1))] - 1e-9
-    return machine
 
 
 def labelled_credentials(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -187,7 +205,7 @@ def learn_formats(docs: DataFrame, text_col: str = "text", sample: int = 1000, l
         values = pdf["value"].tolist()
         if len(values) < least:
             return pd.DataFrame({"kind": [], "model": []}, dtype=str)
-        m = infer_automaton(values)
+        m = fit_format(values)
         return pd.DataFrame({"kind": [pdf["kind"].iloc[0]], "model": [json.dumps({"states": m.states, "floor": m.floor})]})
 
     rows = chosen.groupBy("kind").applyInPandas(train, "kind string, model string").collect()

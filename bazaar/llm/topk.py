@@ -75,7 +75,8 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str =
 
     Ties go to the smaller id.  Null, null-holding and non-finite vectors and
     null ids take no part; repeated (id, vector) rows count once; vectors of
-    different lengths are never compared; an empty input gives no rows.
+    different lengths are never compared; scores beyond 64 bits saturate; an
+    empty input gives no rows.
     Returns query_id long, rank int (from 1), vec_id long, score long.
     """
     prepared(vectors.sparkSession)
