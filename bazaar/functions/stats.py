@@ -1,20 +1,24 @@
-"""Normal and Student-t distribution functions as Spark column expressions.
+"""Normal, Student-t and F distribution functions as Spark column expressions.
 
 Neither Spark SQL nor the SQL oracle has erf, an inverse normal or a t
 distribution, and the statistics here are evaluated on one row per
-experiment, so they are plain expressions (no UDF):
-
-* Phi tail by composite Simpson integration of the normal density over
-  [0, |z|] with ``STEPS`` intervals (``aggregate`` over ``sequence``);
+experiment, so they are plain expressions (no UDF).  Every tail is integrated
+itself, with the value of the density at its start taken out as a factor, so
+it keeps its relative precision however small it is (0 where a double cannot
+hold it), and one formula serves all degrees of freedom:
+
+* normal: Q(z) = phi(z) * integral of exp(-z t - t^2/2) over t >= 0;
+* Student-t: with t = sqrt(nu) tan(u) the density is cos(u)^(nu-1), and
+  cos(u + v) = cos(u) (cos v - tan u sin v) gives the factor;
+* F: with tan^2(u) = d1 f / d2 the density is sin(u)^(d1-1) cos(u)^(d2-1);
 * Phi^-1 by a rational approximation (Acklam, relative error < 1.2e-9)
-  refined with one Newton step on the integrated tail;
-* Student-t tail with the substitution t = sqrt(nu) tan(u): the density
-  becomes cos(u)^(nu-1), so the tail is a ratio of two Simpson integrals
-  and needs no gamma function.  Above ``T_AS_NORMAL`` degrees of freedom
-  the normal tail is used.
-
-``sql_*`` helpers return the same formulas as DuckDB SQL text for the
-oracle queries.
+  refined with one Newton step on the integrated tail.
+
+The integrands are log-concave, which bounds where they fall below e^-40; the
+composite Boole rule runs up to there (``aggregate`` over ``sequence``).
+
+``sql_*`` helpers give DuckDB the same functions by other methods: series and
+continued fractions of the error function and of the incomplete beta.
 """
 from __future__ import annotations
 
@@ -24,7 +28,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 STEPS = 2000
-T_AS_NORMAL = 1.0e5
+DROP = 40.0                      # integrands are followed down to e^-DROP
 _SQRT_2PI = math.sqrt(2.0 * math.pi)
 
 # Acklam's rational approximation of the inverse normal CDF.
@@ -47,22 +51,30 @@ def _lit(x) -> Column:
     return F.lit(float(x))
 
 
-def _simpson(f, a: Column, b: Column) -> Column:
-    """Composite Simpson rule of f over [a, b] (f maps a double Column to a Column)."""
-    h = (b - a) / STEPS
+def _tail_integral(g, width: Column, power: Column) -> Column:
+    """Integral of g over [0, width] by the composite Boole rule.
 
-    def step(acc, i):
-        w = F.when((i == 0) | (i == STEPS), 1.0).when(i % 2 == 1, 4.0).otherwise(2.0)
-        return acc + w * f(a + i.cast("double") * h)
+    Where g ends like (width - v)^power with a low power, the points crowd
+    towards that end, so that the rule keeps its order.
+    """
+    low = power < 8.0
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(STEPS)), F.lit(0.0), step) * h / 3.0
+    def point(i):
+        q = i.cast("double") / STEPS
+        v = width * F.when(low, 1.0 - F.pow(q, F.lit(5.0))).otherwise(1.0 - q)
+        w = (F.when((i == 0) | (i == STEPS), 7.0).when(i % 4 == 0, 14.0).when(i % 2 == 0, 12.0).otherwise(32.0))
+        return w * g(v) * F.when(low, 5.0 * F.pow(q, F.lit(4.0))).otherwise(1.0)
+
+    total = F.aggregate(F.sequence(F.lit(0), F.lit(STEPS)), F.lit(0.0), lambda acc, i: acc + point(i))
+    return total * width * (2.0 / 45.0 / STEPS)
 
 
 def norm_sf(z) -> Column:
     """P(Z > z) for a standard normal Z."""
     z = _lit(z)
-    inner = _simpson(lambda t: F.exp(-t * t / 2.0), F.lit(0.0), F.abs(z)) / _SQRT_2PI
-    upper = F.lit(0.5) - inner
+    x = F.abs(z)
+    width = 2.0 * DROP / (x + F.sqrt(x * x + 2.0 * DROP))
+    upper = norm_pdf(x) * _tail_integral(lambda t: F.exp(-x * t - t * t / 2.0), width, F.lit(DROP))
     return F.when(z >= 0, upper).otherwise(F.lit(1.0) - upper)
 
 
@@ -101,15 +113,21 @@ def norm_ppf(p) -> Column:
     return F.when((p > 0) & (p < 1), refined)
 
 
+def _cos_integral(m: Column, slope: Column) -> Column:
+    """Integral of (cos v - slope sin v)^m from 0 to its zero."""
+    full = math.pi / 2.0 - F.atan(slope)
+    k = F.greatest(m, F.lit(1e-300))
+    width = F.least(full, 2.0 * DROP / k / (slope + F.sqrt(slope * slope + (1.0 + slope * slope) * 2.0 * DROP / k)))
+    return _tail_integral(lambda v: F.pow(F.greatest(F.cos(v) - slope * F.sin(v), F.lit(0.0)), m), width, m)
+
+
 def t_sf(t, nu) -> Column:
     """P(T > t) for Student's t with ``nu`` >= 1 degrees of freedom (real-valued)."""
     t, nu = _lit(t), _lit(nu)
-    theta = F.atan(F.abs(t) / F.sqrt(nu))
-    dens = lambda u: F.pow(F.cos(u), nu - 1.0)
-    part = _simpson(dens, F.lit(0.0), theta)
-    whole = _simpson(dens, F.lit(0.0), F.lit(math.pi / 2.0))
-    upper = F.lit(0.5) - part / (2.0 * whole)
-    tail = F.when(nu > T_AS_NORMAL, norm_sf(F.abs(t))).otherwise(upper)
+    slope = F.abs(t) / F.sqrt(nu)
+    m = nu - 1.0
+    factor = F.exp(-m / 2.0 * F.log1p(t * t / nu))
+    tail = factor * _cos_integral(m, slope) / (2.0 * _cos_integral(m, F.lit(0.0)))
     return F.when(t >= 0, tail).otherwise(F.lit(1.0) - tail)
 
 
@@ -118,27 +136,43 @@ def cohens_h(p1, p2) -> Column:
     return 2.0 * F.asin(F.sqrt(_lit(p1))) - 2.0 * F.asin(F.sqrt(_lit(p2)))
 
 
-# ---- the same formulas as DuckDB SQL text ------------------------------------
+# ---- the same functions as DuckDB SQL text, by other methods -------------------
 
-def _sql_simpson(f, a: str, b: str) -> str:
-    h = f"(({b}) - ({a})) / {STEPS}"
-    w = f"(CASE WHEN i = 0 OR i = {STEPS} THEN 1.0 WHEN i % 2 = 1 THEN 4.0 ELSE 2.0 END)"
-    body = f(f"(({a}) + CAST(i AS DOUBLE) * {h})")
-    return f"(list_reduce(list_transform(range(0, {STEPS + 1}), lambda i: {w} * {body}), " \
-           f"lambda x, y: x + y) * {h} / 3.0)"
+LEVELS = 600                     # of the continued fractions
 
 
 def _d(x: str) -> str:
     return f"CAST({x} AS DOUBLE)"
 
 
+def _sql_fraction(body: str, start: str = "1.0") -> str:
+    """Continued fraction from the innermost level outwards; ``body`` maps acc and the level i."""
+    return f"list_reduce(list_prepend({start}, list_transform(range({LEVELS}, 0, -1), lambda j: CAST(j AS DOUBLE))), " \
+           f"lambda acc, i: {body})"
+
+
 def sql_norm_sf(z: str) -> str:
+    """Power series below 2.5, Laplace's continued fraction above."""
     z = _d(z)
-    inner = _sql_simpson(lambda t: f"exp(-({t}) * ({t}) / 2.0)", "0.0", f"abs({z})")
-    upper = f"(0.5 - {inner} / {_SQRT_2PI!r})"
+    x = f"abs({z})"
+    terms = f"list_transform(range(0, 60), lambda k: exp((2 * k + 1) * ln({x}) - (k + 1) * ln(2.0) - lgamma(k + 1.5)))"
+    series = f"(CASE WHEN {x} = 0 THEN 0.5 ELSE 0.5 - {sql_norm_pdf(z)} * sqrt(pi()) * list_sum({terms}) END)"
+    fraction = f"({sql_norm_pdf(z)} / {_sql_fraction(f'{x} + i / acc', x)})"
+    upper = f"(CASE WHEN {x} < 2.5 THEN {series} ELSE {fraction} END)"
     return f"(CASE WHEN ({z}) >= 0 THEN {upper} ELSE 1.0 - {upper} END)"
 
 
+def _sql_beta(a: str, b: str, x: str, y: str) -> str:
+    """Regularised incomplete beta I_x(a, b), y = 1 - x, by its continued fraction (on the side where it converges)."""
+    def side(a, b, x, y):
+        even = f"(floor(i / 2) * ({b} - floor(i / 2)) * {x} / (({a} + i - 1) * ({a} + i)))"
+        odd = f"(-({a} + floor(i / 2)) * ({a} + {b} + floor(i / 2)) * {x} / (({a} + i - 1) * ({a} + i)))"
+        front = f"exp({a} * ln({x}) + {b} * ln({y}) + lgamma({a} + {b}) - lgamma({a}) - lgamma({b})) / {a}"
+        return f"({front} / {_sql_fraction(f'1.0 + (CASE WHEN i % 2 = 0 THEN {even} ELSE {odd} END) / acc')})"
+    return f"(CASE WHEN {x} <= 0 THEN 0.0 WHEN {y} <= 0 THEN 1.0 " \
+           f"WHEN {x} < ({a} + 1) / ({a} + {b} + 2) THEN {side(a, b, x, y)} ELSE 1.0 - {side(b, a, y, x)} END)"
+
+
 def sql_norm_cdf(z: str) -> str:
     return sql_norm_sf(f"(-({z}))")
 
@@ -176,12 +210,7 @@ def sql_norm_ppf(p: str) -> str:
 
 def sql_t_sf(t: str, nu: str) -> str:
     t, nu = _d(t), _d(nu)
-    theta = f"atan(abs({t}) / sqrt({nu}))"
-    dens = lambda u: f"pow(cos({u}), ({nu}) - 1.0)"
-    part = _sql_simpson(dens, "0.0", theta)
-    whole = _sql_simpson(dens, "0.0", repr(math.pi / 2.0))
-    upper = f"(0.5 - {part} / (2.0 * {whole}))"
-    tail = f"(CASE WHEN ({nu}) > {T_AS_NORMAL!r} THEN {sql_norm_sf(f'abs({t})')} ELSE {upper} END)"
+    tail = f"(0.5 * {_sql_beta(f'({nu} / 2)', '0.5', f'({nu} / ({nu} + {t} * {t}))', f'({t} * {t} / ({nu} + {t} * {t}))')})"
     return f"(CASE WHEN ({t}) >= 0 THEN {tail} ELSE 1.0 - {tail} END)"
 
 
@@ -190,28 +219,39 @@ def sql_cohens_h(p1: str, p2: str) -> str:
 
 
 # ---- F distribution and log-factorials --------------------------------------
-#
-# P(F <= f; d1, d2) = I_w(a, b), a = d1/2, b = d2/2, w = d1 f / (d1 f + d2).
-# With u = sin^2(t) the Beta integrand becomes sin^(2a-1) t cos^(2b-1) t on
-# [0, pi/2]; for large b it lives below t ~ sqrt((2a + 80) / (2b - 1)), so
-# both integrals run over that range only and keep their resolution.
 
-def _f_range(a: Column, b: Column) -> Column:
-    wide = F.lit(math.pi / 2.0)
-    narrow = F.sqrt((2.0 * a + 80.0) / (2.0 * b - 1.0))
-    return F.when(b > 1.0, F.least(wide, narrow)).otherwise(wide)
+def _f_upper(f: Column, d1: Column, d2: Column) -> Column:
+    """P(F > f) for f >= 1, where the density falls (or has all but reached its top)."""
+    a, b = d1 - 1.0, d2 - 1.0
+    n = F.greatest(a + b, F.lit(1e-300))
+    at, top = F.atan(F.sqrt(d1 * f / d2)), F.atan2(F.sqrt(a), F.sqrt(F.greatest(b, F.lit(1e-300))))
+
+    def rest(u, up: bool) -> Column:
+        """Integral of the density over its value at u, from u to the end of the range."""
+        sign = 1.0 if up else -1.0
+        slope = sign * (a * F.cos(u) / F.greatest(F.sin(u), F.lit(1e-300)) - b * F.sin(u) / F.greatest(F.cos(u), F.lit(1e-300)))
+        full = math.pi / 2.0 - u if up else u
+        root = F.sqrt(slope * slope + 2.0 * DROP * n)
+        width = F.least(full, F.when(slope < 0, 2.0 * DROP / (root - slope)).otherwise((slope + root) / n))
+        def g(v):
+            w = u + v if up else u - v
+            return (F.pow(F.greatest(F.sin(w), F.lit(0.0)) / F.greatest(F.sin(u), F.lit(1e-300)), a)
+                    * F.pow(F.greatest(F.cos(w), F.lit(0.0)) / F.greatest(F.cos(u), F.lit(1e-300)), b))
+        return _tail_integral(g, width, b if up else a)
+
+    factor = F.exp(a * F.log(F.sin(at) / F.greatest(F.sin(top), F.lit(1e-300)))
+                   + b * F.log(F.cos(at) / F.greatest(F.cos(top), F.lit(1e-300))))
+    level = F.when(a > 0, factor).otherwise(F.pow(F.cos(at), b))       # d1 = 1: the top is at 0
+    whole = rest(top, True) + F.when(a > 0, rest(top, False)).otherwise(0.0)
+    return level * rest(at, True) / whole
 
 
 def f_sf(f, d1, d2) -> Column:
-    """P(F > f) for the F distribution with d1 >= 2 and d2 > 0 degrees of freedom."""
+    """P(F > f) for the F distribution with d1 >= 1 and d2 >= 1 degrees of freedom (real-valued)."""
     f, d1, d2 = _lit(f), _lit(d1), _lit(d2)
-    a, b = d1 / 2.0, d2 / 2.0
-    w = d1 * f / (d1 * f + d2)
-    hi = _f_range(a, b)
-    g = lambda t: F.pow(F.sin(t), 2.0 * a - 1.0) * F.pow(F.cos(t), 2.0 * b - 1.0)
-    part = _simpson(g, F.lit(0.0), F.least(F.asin(F.sqrt(w)), hi))
-    whole = _simpson(g, F.lit(0.0), hi)
-    return F.when(f <= 0, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), 1.0 - part / whole))
+    up = _f_upper(F.greatest(f, F.lit(1.0)), d1, d2)
+    low = _f_upper(F.greatest(F.try_divide(F.lit(1.0), f), F.lit(1.0)), d2, d1)
+    return F.when(f <= 0, F.lit(1.0)).when(f >= 1, up).otherwise(1.0 - low)
 
 
 def log_factorial(m) -> Column:
@@ -227,14 +267,9 @@ def log_factorial(m) -> Column:
 
 def sql_f_sf(f: str, d1: str, d2: str) -> str:
     f, d1, d2 = _d(f), _d(d1), _d(d2)
-    a, b = f"({d1} / 2.0)", f"({d2} / 2.0)"
-    w = f"({d1} * {f} / ({d1} * {f} + {d2}))"
-    hi = f"(CASE WHEN {b} > 1.0 THEN least({math.pi / 2.0!r}, sqrt((2.0 * {a} + 80.0) / (2.0 * {b} - 1.0))) " \
-         f"ELSE {math.pi / 2.0!r} END)"
-    g = lambda t: f"(pow(sin({t}), 2.0 * {a} - 1.0) * pow(cos({t}), 2.0 * {b} - 1.0))"
-    part = _sql_simpson(g, "0.0", f"least(asin(sqrt({w})), {hi})")
-    whole = _sql_simpson(g, "0.0", hi)
-    return f"(CASE WHEN {f} <= 0 THEN 1.0 ELSE greatest(0.0, 1.0 - {part} / {whole}) END)"
+    total = f"({d2} + {d1} * {f})"
+    return f"(CASE WHEN {f} <= 0 THEN 1.0 ELSE " \
+           f"{_sql_beta(f'({d2} / 2)', f'({d1} / 2)', f'({d2} / {total})', f'({d1} * {f} / {total})')} END)"
 
 
 def sql_log_factorial(m: str) -> str:
