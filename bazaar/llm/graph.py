@@ -1,7 +1,7 @@
 """Connected components by alternating large-star and small-star steps, as joins and aggregates."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from bazaar.llm.common import saved
@@ -19,14 +19,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
     round is written to the shared folder; only a count and a checksum come
     to the driver.
     """
-    e = saved(edges.where(F.col("a") != F.col("b")).select(
-        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    def put(df: DataFrame) -> tuple[DataFrame, tuple]:
+        """Save the edges; the same job counts and sums them."""
+        seen = Observation()
+        out = saved(df.distinct().observe(seen, F.count(F.lit(1)).alias("n"),
+                                          F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")), "edges")
+        return out, (seen.get["n"], seen.get["sum"])
+
+    e, now = put(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")))
     before = None
-    while True:
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-                e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    while now != before and now[0]:
         before = now
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = (both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
@@ -36,4 +38,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         rest = (large.join(small, "u").where(F.col("v") != F.col("m"))
                 .select(F.col("v").alias("u"), F.col("m").alias("v")))
-        e = saved(rest.union(small.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        e, now = put(rest.union(small.select("u", F.col("m").alias("v"))))
+    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
+        e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -63,14 +63,21 @@ def labelled_shingles(words: np.ndarray, k: int = SHINGLE) -> np.ndarray:
 
 def order_minhash(shingles: np.ndarray, samples: int, minima: int, seed: int) -> np.ndarray:
     """One key per sample: the ``minima`` shingles smallest under the sample's hash, kept in text order."""
-    out = np.zeros(samples if len(shingles) else 0, dtype=np.uint64)
-    for j in range(len(out)):
-        h = _mix(shingles ^ _mix(np.array([seed * 1_000_003 + j + 1], dtype=np.uint64)))
-        low = np.sort(np.argpartition(h, minima - 1)[:minima]) if len(h) > minima else np.arange(len(h))
-        key = np.array([j + 1], dtype=np.uint64)
-        for x in shingles[low]:
-            key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + x)
-        out[j] = key[0]
+    n = len(shingles)
+    if not n:
+        return np.zeros(0, dtype=np.uint64)
+    salts = _mix(np.arange(1, samples + 1, dtype=np.uint64) + np.uint64(seed * 1_000_003))
+    out = np.arange(1, samples + 1, dtype=np.uint64)
+    at_once = max(1, 1_000_000 // n)                     # bounds the hash table of a very long text
+    for lo in range(0, samples, at_once):
+        part = salts[lo:lo + at_once]
+        if n > minima:
+            h = _mix(shingles[None, :] ^ part[:, None])
+            low = np.sort(np.argpartition(h, minima - 1, axis=1)[:, :minima], axis=1)
+        else:
+            low = np.broadcast_to(np.arange(n), (len(part), n))
+        for x in shingles[low].T:
+            out[lo:lo + at_once] = _mix(out[lo:lo + at_once] * np.uint64(0x9E3779B97F4A7C15) + x)
     return out
 
 
@@ -187,7 +194,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = docs.where(F.col(id_col).isNotNull())
     sketch = saved(sketches(docs, id_col, text_col, samples, minima, seed), "sketches")
     same = saved(sketch.groupBy("h1", "h2").agg(F.min("id").alias("class"), F.any_value("keys").alias("keys")), "classes")
-    buckets = saved(same.select(F.explode("keys").alias("key"), F.col("class").alias("id")), "buckets")
+    buckets = same.select(F.explode("keys").alias("key"), F.col("class").alias("id"))
     shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     buckets = saved(buckets.join(shared, "key", "left_semi"), "buckets")
     needed = buckets.select("id").distinct()
@@ -198,7 +205,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         members = buckets if component is None else buckets.join(component.withColumnRenamed("node", "id"), "id", "left")
         root = F.col("id") if component is None else F.coalesce("component", "id")
         members = members.select("key", "id", root.alias("root"))
-        lot = F.struct(F.xxhash64(F.lit(seed + turn), "key", "id").alias("h"), F.col("id").alias("id"), F.col("root").alias("root"))
+        # one lot per text and round: buckets that share many texts share their centre, and the pairs coincide
+        lot = F.struct(F.xxhash64(F.lit(seed + turn), "id").alias("h"), F.col("id").alias("id"), F.col("root").alias("root"))
         centres = (members.groupBy("key").agg(F.min(lot).alias("c"), F.min("root").alias("lo"), F.max("root").alias("hi"))
                    .where("lo <> hi").select("key", F.col("c.id").alias("centre"), F.col("c.root").alias("centre_root")))
         pairs = (members.join(saved(centres, "centres"), "key").where(F.col("root") != F.col("centre_root"))
