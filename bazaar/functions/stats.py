@@ -265,6 +265,43 @@ def log_factorial(m) -> Column:
     return F.when(m <= 1, F.lit(0.0)).when(m < 10, exact).otherwise(stirling)
 
 
+def _deviance(x: Column, np_: Column) -> Column:
+    """x ln(x / np) + np - x without cancellation, 0 at x = np."""
+    x, np_ = x.cast("double"), np_.cast("double")
+    v = F.try_divide(x - np_, x + np_)
+    near = F.aggregate(F.sequence(F.lit(1), F.lit(12)), F.struct((x - np_).alias("unused"), ((x - np_) * v).alias("s"), (2.0 * x * v).alias("e")),
+                       lambda acc, i: F.struct(acc["unused"].alias("unused"),
+                                               (acc["s"] + acc["e"] * v * v / (2.0 * i.cast("double") + 1.0)).alias("s"),
+                                               (acc["e"] * v * v).alias("e")))["s"]
+    far = F.when(x > 0, x * F.log(F.greatest(x, F.lit(1e-300)) / F.greatest(np_, F.lit(1e-300)))).otherwise(0.0) + np_ - x
+    return F.when(F.abs(x - np_) < 0.1 * (x + np_), near).otherwise(far)
+
+
+def _stirling_error(n: Column) -> Column:
+    """ln n! - (n + 1/2) ln n + n - ln(2 pi) / 2, exact sums below 16, series above."""
+    d = F.greatest(n.cast("double"), F.lit(1.0))
+    exact = log_factorial(F.least(n, F.lit(15))) - (d + 0.5) * F.log(d) + d - 0.5 * math.log(2.0 * math.pi)
+    series = (1.0 / 12 - (1.0 / 360 - (1.0 / 1260 - (1.0 / 1680) / (d * d)) / (d * d)) / (d * d)) / d
+    return F.when(n < 16, exact).otherwise(series)
+
+
+def _log_binomial(x: Column, n: Column, p: Column) -> Column:
+    """ln of the binomial probability of x in n (saddle-point form), for 0 <= p <= 1."""
+    nd, xd = n.cast("double"), x.cast("double")
+    inside = (_stirling_error(n) - _stirling_error(x) - _stirling_error(n - x)
+              - _deviance(x, nd * p) - _deviance(n - x, nd * (1.0 - p))
+              + 0.5 * F.log(F.greatest(nd, F.lit(1.0)) / (2.0 * math.pi * F.greatest(xd, F.lit(1.0)) * F.greatest(nd - xd, F.lit(1.0)))))
+    none = nd * F.log1p(-F.least(p, F.lit(1.0 - 1e-16)))
+    every = nd * F.log(F.greatest(p, F.lit(1e-300)))
+    return F.when(n == 0, 0.0).when(x == 0, none).when(x == n, every).otherwise(inside)
+
+
+def log_hypergeometric(x: Column, n_t: Column, n_c: Column, k: Column) -> Column:
+    """ln P(x of k successes fall in n_t of n_t + n_c units), as three binomials with p = k / N."""
+    p = F.try_divide(k.cast("double"), (n_t + n_c).cast("double"))
+    return _log_binomial(x, n_t, p) + _log_binomial(k - x, n_c, p) - _log_binomial(k, n_t + n_c, p)
+
+
 def sql_f_sf(f: str, d1: str, d2: str) -> str:
     f, d1, d2 = _d(f), _d(d1), _d(d2)
     total = f"({d2} + {d1} * {f})"

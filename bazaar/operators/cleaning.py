@@ -141,22 +141,16 @@ def code_catalog(df: DataFrame, code: str = "stock_code", desc: str = "descripti
                  order: Sequence[str] = ("invoice_date", "invoice")) -> DataFrame:
     """First non-null description (by an explicit order) and its count per code."""
     key = F.struct(*[F.col(o) for o in order], F.col(desc))
-    nn = df.where(F.col(desc).isNotNull())
-    first = nn.groupBy(code).agg(F.min_by(desc, key).alias("first_description"))
-    counts = df.groupBy(code).agg(F.count(desc).alias("description_count"))
-    return counts.join(first, code, "left")
+    return df.groupBy(code).agg(F.count(desc).alias("description_count"),
+                                F.min_by(desc, F.when(F.col(desc).isNotNull(), key)).alias("first_description"))
 
 
-def value_sets(df: DataFrame, key: str, col: str, sep: str = "|") -> DataFrame:
-    """The sorted distinct values per key (joined into one string).
+def value_sets(df: DataFrame, key: str, col: str) -> DataFrame:
+    """The distinct values per key, one row per (key, value) with its rows.
 
-    Distinct (key, value) pairs are formed by an aggregate first, so the
-    list per key is the number of distinct values, not of rows.
+    A key with very many values is many rows, never one long list.
     """
-    pairs = df.where(F.col(col).isNotNull()).select(key, col).dropDuplicates()
-    return pairs.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n_values"),
-        F.array_join(F.sort_array(F.collect_list(col)), sep).alias("values"))
+    return df.where(F.col(col).isNotNull()).groupBy(key, col).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def map_labels(df: DataFrame, col: str, mapping: dict, out: str) -> DataFrame:

@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from bazaar.functions.columns import ratio
 
 
+COHORT_SALTS = 16
+
+
 def first_purchase(lines: DataFrame, user: str = "customer_id", ts: str = "invoice_date") -> DataFrame:
     """E6 as an aggregate: first purchase per customer."""
     return lines.groupBy(user).agg(F.min(ts).alias("first_purchase_date"))
@@ -35,7 +38,10 @@ def cohort_index(year, month, cohort_year, cohort_month):
 def assign_cohort(lines: DataFrame, user: str = "customer_id", ts: str = "invoice_date") -> DataFrame:
     """Every line with its customer's cohort fields and cohort index."""
     fp = first_purchase(lines, user, ts).select(user, "first_purchase_date", *_cohort_cols())
-    j = lines.join(fp, user)
+    # deal a customer's lines over salts and copy the one first-purchase row to each
+    fp = fp.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(COHORT_SALTS - 1))))
+    salt = F.pmod(F.xxhash64(*lines.columns), F.lit(COHORT_SALTS)).cast("int")
+    j = lines.withColumn("__salt", salt).join(fp, [user, "__salt"])
     return j.select(*lines.columns,
                     F.year(ts).cast("long").alias("year"), F.month(ts).cast("long").alias("month"),
                     F.dayofmonth(ts).cast("long").alias("day"),
@@ -86,16 +92,20 @@ def retention_pct(activity: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
                            (ratio(F.col("active_customers"), size) * 100).alias("retention_pct"))
 
 
-def retention_triangle(activity: DataFrame, max_index: int | None = None,
+def retention_triangle(activity: DataFrame, months: int | None = None,
                        value: str = "active_customers") -> DataFrame:
     """The wide triangle, one column per cohort index, NULL outside.
 
-    With ``max_index`` the column list is fixed up front (no extra job);
-    otherwise Spark collects the distinct indexes first.
+    ``months`` is the length of the data's calendar: it fixes the columns
+    1..months up front (no extra job), and an index beyond it is an error, so
+    none is dropped.  Without it Spark collects the distinct indexes first.
     """
-    g = activity.groupBy("cohort_date")
-    p = g.pivot("cohort_index", list(range(1, max_index + 1))) if max_index else g.pivot("cohort_index")
-    return p.agg(F.first(value))
+    if months is None:
+        return activity.groupBy("cohort_date").pivot("cohort_index").agg(F.first(value))
+    index = F.when(F.col("cohort_index").between(1, months), F.col("cohort_index")).otherwise(
+        F.raise_error(F.lit("cohort index beyond the calendar")).cast("long"))
+    known = activity.withColumn("cohort_index", index)
+    return known.groupBy("cohort_date").pivot("cohort_index", list(range(1, months + 1))).agg(F.first(value))
 
 
 def retention_cells(pct: DataFrame) -> DataFrame:

@@ -1,7 +1,6 @@
 """Event aggregation and session ranking (survey 2.D1, 2.E1-E3, 2.L8, 2.F1/F3)."""
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -9,7 +8,6 @@ from pyspark.sql import functions as F
 from bazaar.functions.columns import hour_floor
 from bazaar.operators.profile import attach
 from bazaar.operators.ranking import rank_within, row_number_within
-from bazaar.session import ensure_checkpoint_dir
 from bazaar.sources.tables import export_parquet
 
 
@@ -29,23 +27,25 @@ def modal_value(df: DataFrame, by: list, col: str, out: str | None = None) -> Da
         F.min_by(col, F.struct(-F.col("__n"), F.col(col))).alias(out or f"mode_{col}"))
 
 
-def hourly_metrics(events: DataFrame, ts_col: str = "ts", mode: str = "buffer") -> DataFrame:
+def hourly_metrics(events: DataFrame, ts_col: str = "ts") -> DataFrame:
     """Sessions, unique users, mean duration and the modal device per hour.
 
-    One aggregate: counts and sums combine map-side; the single distinct
-    count is planned as a two-level aggregate on (hour, user); ``mode``
-    keeps one counter per device value (a small, fixed domain), ties go to
-    the smallest device name (N8).  ``mode="two_level"`` uses
-    :func:`modal_value` instead, for columns with many distinct values.
+    Rows are counted per (hour, device, user) first; everything rolls up from
+    those counts, so neither a user's nor a device's rows meet in one task and
+    no buffer grows with the number of devices.  Modal ties go to the smallest
+    device name (N8).
     """
     ev = events.withColumn("hour", hour_of(ts_col))
-    base = [F.count(F.lit(1)).alias("session_count"),
-            F.count_distinct("user_id").alias("unique_users"),
-            F.avg("session_duration_minutes").alias("avg_session_duration")]
-    if mode == "two_level":     # any device cardinality: counts per (hour, device), then min_by
-        return ev.groupBy("hour").agg(*base).join(
-            modal_value(ev, ["hour"], "device_type", "most_popular_device"), "hour", "left")
-    return ev.groupBy("hour").agg(*base, F.mode("device_type", deterministic=True).alias("most_popular_device"))
+    per = ev.groupBy("hour", "device_type", "user_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("session_duration_minutes").alias("total"),
+        F.count("session_duration_minutes").alias("timed"))
+    hours = per.groupBy("hour").agg(
+        F.sum("n").alias("session_count"), F.count_distinct("user_id").alias("unique_users"),
+        F.try_divide(F.sum("total"), F.sum("timed")).alias("avg_session_duration"))
+    devices = per.groupBy("hour", "device_type").agg(F.sum("n").alias("n")).where(F.col("device_type").isNotNull())
+    modal = devices.groupBy("hour").agg(
+        F.min_by("device_type", F.struct(-F.col("n"), F.col("device_type"))).alias("most_popular_device"))
+    return hours.join(modal, "hour", "left")
 
 
 def rank_sessions(events: DataFrame, action: str | None = "view", k: int | None = 10,
@@ -100,7 +100,7 @@ def preview(df: DataFrame, order: list, n: int = 5) -> DataFrame:
 
 
 # Compact storage types of the hourly export.
-COMPACT_HOURLY = {"session_count": "int", "unique_users": "int",
+COMPACT_HOURLY = {"session_count": "bigint", "unique_users": "bigint",
                   "avg_session_duration": "float", "most_popular_device": "string"}
 
 
@@ -110,15 +110,13 @@ def compact_types(df: DataFrame, spec: dict[str, str]) -> DataFrame:
                        for c in df.columns])
 
 
-def create_analytics_pipeline(events: DataFrame, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+def create_analytics_pipeline(events: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
     """Aggregate -> compact types -> Parquet (partitioned by day) -> summary.
 
-    Returns (exported hourly metrics read back, one-row summary).  Without
-    ``path`` the export goes under the session's shared checkpoint folder.
+    Returns (exported hourly metrics read back, one-row summary).  ``path`` is a
+    folder that all executors share.
     """
     spark = events.sparkSession
-    if path is None:
-        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/exports/hourly_metrics-{uuid.uuid4().hex}"
     hourly = compact_types(hourly_metrics(events), COMPACT_HOURLY).withColumn(
         "event_date", F.to_date("hour"))
     # one file per day: the hourly aggregate is tiny, so cluster it by day before the write
@@ -126,10 +124,9 @@ def create_analytics_pipeline(events: DataFrame, path: str | None = None) -> tup
     exported = spark.read.parquet(path)
     span = events.agg(F.count(F.lit(1)).alias("rows_in"),
                       F.min("ts").alias("first_event"), F.max("ts").alias("last_event"))
-    out = exported.agg(F.count(F.lit(1)).alias("rows_out"),
-                       F.sum(F.col("_metadata.file_size")).alias("approx_scan_bytes"))
+    out = exported.agg(F.count(F.lit(1)).alias("rows_out"))
     files = exported.select(F.col("_metadata.file_path").alias("f"),
                             F.col("_metadata.file_size").alias("s")).dropDuplicates(["f"])
     size = files.agg(F.count(F.lit(1)).alias("files_written"), F.sum("s").alias("bytes_written"))
-    summary = attach(attach(span, out.select("rows_out")), size)
+    summary = attach(attach(span, out), size)
     return exported.drop("event_date"), summary

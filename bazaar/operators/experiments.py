@@ -18,7 +18,7 @@ from bazaar.functions import stats as ST
 from bazaar.functions.columns import fill, ratio, week_start
 from bazaar.operators.cleaning import consistent_assignment
 from bazaar.operators.profile import attach
-from bazaar.operators.ranking import dedup_first, row_number_within, top_per_group
+from bazaar.operators.ranking import dedup_first, row_number_within
 
 EXP = "experiment_id"
 # The valid (arm, landing page) pairs of the page test.
@@ -64,16 +64,17 @@ def sample_size(designs: DataFrame) -> DataFrame:
     """K2/K3/K4: per-arm n by the variance formula and by Cohen's h, and duration.
 
     n = int(x) + 1 (N12).  Cohen's h uses the closed form 2((z_a+z_b)/h)^2
-    of the power equation (the opposite tail is negligible).
+    of the power equation (the opposite tail is negligible).  A baseline that
+    leaves no difference to detect (p1 = p2) has NULL sizes.
     """
     d = mde_columns(designs)
     za = _z_alpha(F.col("alpha"), F.col("alternative"))
     zb = ST.norm_ppf(F.col("power"))
     d = d.withColumn("z_alpha", za).withColumn("z_beta", zb)
     var = F.col("p1") * (1 - F.col("p1")) + F.col("p2") * (1 - F.col("p2"))
-    n_formula = F.pow(F.col("z_alpha") + F.col("z_beta"), 2) * var / F.pow(F.col("p2") - F.col("p1"), 2)
+    n_formula = ratio(F.pow(F.col("z_alpha") + F.col("z_beta"), 2) * var, F.pow(F.col("p2") - F.col("p1"), 2))
     h = ST.cohens_h(F.col("p1"), F.col("p2"))
-    n_cohen = 2 * F.pow((F.col("z_alpha") + F.col("z_beta")) / h, 2)
+    n_cohen = 2 * F.pow(ratio(F.col("z_alpha") + F.col("z_beta"), h), 2)
     d = (d.withColumn("cohens_h", h)
           .withColumn("n_formula", n_formula.cast("long") + 1)
           .withColumn("n_cohen", n_cohen.cast("long") + 1))
@@ -127,16 +128,19 @@ def conversion_summary(prepared: DataFrame, arm: str = "grp") -> DataFrame:
     return summary_from_stats(arm_stats(prepared, arm), arm)
 
 
-def stratified_sample(prepared: DataFrame, n: int, salt: str, by: Sequence[str] = (EXP, "grp"),
-                      unit: str = "user_id") -> DataFrame:
-    """N units per stratum, ranked by md5(unit || '|' || salt).
+def stratified_sample(prepared: DataFrame, sizes: DataFrame, salt: str, by: Sequence[str] = (EXP, "grp"),
+                      unit: str = "user_id", required: str = "n_required") -> DataFrame:
+    """The required n units per stratum, ranked by md5(unit || '|' || salt).
 
-    A literal n becomes a partial WindowGroupLimit, so each task ships at
-    most n rows per stratum.
+    ``sizes`` holds the required n per experiment (column ``required``); a
+    smaller arm is kept whole, as is one without a required n.  Strata are
+    numbered by range partitions, so a large n is not ranked in one task.
     """
     h = F.md5(F.concat(F.col(unit).cast("string"), F.lit("|"), F.lit(salt)))
-    return top_per_group(prepared.withColumn("sample_key", h), list(by),
-                         [F.col("sample_key"), F.col(unit)], n)
+    ranked = row_number_within(prepared.withColumn("sample_key", h), list(by),
+                               [F.col("sample_key"), F.col(unit)], "__rn")
+    return (ranked.join(sizes.select(EXP, F.col(required).alias("__n")), EXP, "left")
+            .where(F.col("__n").isNull() | (F.col("__rn") <= F.col("__n"))).drop("__rn", "__n"))
 
 
 def traffic_summary(prepared: DataFrame, ts: str = "ts", arm: str = "grp") -> DataFrame:
@@ -147,8 +151,11 @@ def traffic_summary(prepared: DataFrame, ts: str = "ts", arm: str = "grp") -> Da
 def designs_from_data(summary: DataFrame, traffic: DataFrame, relative_mde: float = 0.10,
                       alpha: float = 0.05, power: float = 0.8, alternative: str = "two-sided",
                       control: str = "control", arm: str = "grp") -> DataFrame:
-    """One design row per experiment: baseline = observed control rate, traffic = users/day."""
-    base = summary.where(F.col(arm) == control).select(EXP, F.col("rate").alias("p1"))
+    """One design row per experiment: baseline = observed control rate, traffic = users/day.
+
+    An experiment without a control arm keeps its row, with a NULL baseline.
+    """
+    base = summary.groupBy(EXP).agg(F.max(F.when(F.col(arm) == control, F.col("rate"))).alias("p1"))
     return base.join(traffic.select(EXP, F.col("users_per_day").alias("daily_traffic")), EXP).select(
         EXP, "p1", F.lit(None).cast("double").alias("p2"), F.lit(relative_mde).alias("relative_mde"),
         F.lit(alpha).alias("alpha"), F.lit(power).alias("power"), F.lit(alternative).alias("alternative"),
@@ -180,12 +187,13 @@ def arms(summary: DataFrame, control: str = "control", treatment: str = "treatme
 def two_proportion_z(a: DataFrame, alternative: str = "two-sided", alpha: float = 0.05) -> DataFrame:
     """Pooled z-test (N11), lift, reject flag.
 
-    ``larger``: treatment above control; ``smaller``: below.
+    ``larger``: treatment above control; ``smaller``: below.  An empty or
+    missing arm, or a pooled rate of 0 or 1, gives NULL for that row only.
     """
     p_c, p_t = ratio(F.col("x_c"), F.col("n_c")), ratio(F.col("x_t"), F.col("n_t"))
     pool = ratio(F.col("x_c") + F.col("x_t"), F.col("n_c") + F.col("n_t"))
     d = a.withColumn("p_c", p_c).withColumn("p_t", p_t).withColumn("p_pool", pool)
-    se = F.sqrt(F.col("p_pool") * (1 - F.col("p_pool")) * (1.0 / F.col("n_c") + 1.0 / F.col("n_t")))
+    se = F.sqrt(F.col("p_pool") * (1 - F.col("p_pool")) * (ratio(F.lit(1.0), F.col("n_c")) + ratio(F.lit(1.0), F.col("n_t"))))
     d = d.withColumn("se_pooled", se).withColumn("z", F.try_divide(F.col("p_t") - F.col("p_c"), F.col("se_pooled")))
     if alternative == "two-sided":
         p = 2 * ST.norm_sf(F.abs(F.col("z")))
@@ -204,7 +212,7 @@ def two_proportion_z(a: DataFrame, alternative: str = "two-sided", alpha: float
 
 def wald_ci(tested: DataFrame, alpha: float = 0.05) -> DataFrame:
     """Unpooled Wald CI on p_t - p_c, and the CI in z space."""
-    se = F.sqrt(F.col("p_c") * (1 - F.col("p_c")) / F.col("n_c") + F.col("p_t") * (1 - F.col("p_t")) / F.col("n_t"))
+    se = F.sqrt(ratio(F.col("p_c") * (1 - F.col("p_c")), F.col("n_c")) + ratio(F.col("p_t") * (1 - F.col("p_t")), F.col("n_t")))
     zc = ST.norm_ppf(F.lit(1 - alpha / 2))
     d = tested.withColumn("se_unpooled", se).withColumn("z_crit", zc)
     diff = F.col("p_t") - F.col("p_c")
@@ -327,10 +335,10 @@ def welch_t(df: DataFrame, value: str, arm: str = "arm", treatment: str = "test"
     g = v.groupBy(*by).agg(m(treatment, F.avg).alias("mean_t"), m(control, F.avg).alias("mean_c"),
                            m(treatment, F.var_samp).alias("var_t"), m(control, F.var_samp).alias("var_c"),
                            m(treatment, F.count).alias("n_t"), m(control, F.count).alias("n_c"))
-    st = F.col("var_t") / F.col("n_t") + F.col("var_c") / F.col("n_c")
+    st = ratio(F.col("var_t"), F.col("n_t")) + ratio(F.col("var_c"), F.col("n_c"))
     t = F.try_divide(F.col("mean_t") - F.col("mean_c"), F.sqrt(st))
-    dfree = F.try_divide(F.pow(st, 2), F.pow(F.col("var_t") / F.col("n_t"), 2) / (F.col("n_t") - 1)
-                         + F.pow(F.col("var_c") / F.col("n_c"), 2) / (F.col("n_c") - 1))
+    dfree = F.try_divide(F.pow(st, 2), ratio(F.pow(ratio(F.col("var_t"), F.col("n_t")), 2), F.col("n_t") - 1)
+                         + ratio(F.pow(ratio(F.col("var_c"), F.col("n_c")), 2), F.col("n_c") - 1))
     g = g.withColumn("t_stat", F.when(st > 0, t)).withColumn("df", F.when(st > 0, dfree))
     two = 2 * ST.t_sf(F.abs(F.col("t_stat")), F.col("df"))
     g = g.withColumn("p_two_sided", two)
@@ -374,7 +382,8 @@ def experiment_report(tested: DataFrame, sizes: DataFrame) -> DataFrame:
 
 def novelty_by_week(prepared: DataFrame, ts: str = "ts", alpha: float = 0.05) -> DataFrame:
     """K23 (novelty): the z-test per experiment and calendar week of first exposure,
-    plus each experiment's lift trend over weeks (least-squares slope)."""
+    plus each experiment's lift trend over weeks (least-squares slope).  A week
+    that one arm did not reach stays, with NULL statistics."""
     wk = prepared.withColumn("week_start", week_start(F.col(ts)))
     s = wk.groupBy(EXP, "week_start", "grp").agg(F.count(F.lit(1)).alias("users"),
                                                    F.sum("converted").cast("long").alias("conversions"))
@@ -382,10 +391,10 @@ def novelty_by_week(prepared: DataFrame, ts: str = "ts", alpha: float = 0.05) ->
         *[F.sum(F.when(F.col("grp") == g, F.col(c))).cast("long").alias(o)
           for g, c, o in (("control", "users", "n_c"), ("control", "conversions", "x_c"),
                           ("treatment", "users", "n_t"), ("treatment", "conversions", "x_t"))])
-    t = two_proportion_z(a.where((F.col("n_c") > 0) & (F.col("n_t") > 0)), "two-sided", alpha)
+    t = two_proportion_z(a, "two-sided", alpha)
     w = Window.partitionBy(EXP)      # one experiment's weeks
     week_no = F.datediff(F.to_date("week_start"), F.lit("1970-01-05").cast("date")) / 7.0
-    t = t.withColumn("__wk", week_no)
+    t = t.withColumn("__wk", F.when(F.col("lift_abs").isNotNull(), week_no))
     slope = F.try_divide(F.covar_pop("lift_abs", "__wk").over(w), F.var_pop("__wk").over(w))
     return t.select(EXP, "week_start", "n_c", "x_c", "n_t", "x_t", "lift_abs", "z", "p_value",
                     slope.alias("lift_trend_per_week"))
@@ -397,58 +406,75 @@ def multi_arm_anova(df: DataFrame, value: str, arm: str, by: Sequence[str] = (EX
 
     Per-arm moments come from one aggregate; the test itself runs over one
     row per arm (a window over an experiment's arms only).  Arms with fewer
-    than two values or zero variance are left out.
+    than two values or zero variance have no weight; an experiment with fewer
+    than two weighted arms keeps its row with NULL statistics and a reason.
     """
     by = list(by)
     y = F.log1p(F.col(value)) if log1p else F.col(value).cast("double")
-    g = (df.where(F.col(value).isNotNull()).groupBy(*by, arm)
-           .agg(F.count(F.lit(1)).alias("n"), F.avg(y).alias("m"), F.var_samp(y).alias("s2"))
-           .where((F.col("n") > 1) & (F.col("s2") > 0))
-           .withColumn("w", F.col("n") / F.col("s2")))
+    g = (df.groupBy(*by, arm).agg(F.count(F.col(value)).alias("n"), F.avg(y).alias("m"), F.var_samp(y).alias("s2"))
+           .withColumn("w", F.when((F.col("n") > 1) & (F.col("s2") > 0), F.col("n") / F.col("s2"))))
     e = Window.partitionBy(*by)
     g = (g.withColumn("wsum", F.sum("w").over(e))
-          .withColumn("mw", F.sum(F.col("w") * F.col("m")).over(e) / F.col("wsum")))
+          .withColumn("mw", ratio(F.sum(F.col("w") * F.col("m")).over(e), F.col("wsum"))))
     t = g.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("arms"),
+        F.count("w").alias("arms"),
         F.sum(F.col("w") * F.pow(F.col("m") - F.col("mw"), 2)).alias("__a"),
-        F.sum(F.pow(1 - F.col("w") / F.col("wsum"), 2) / (F.col("n") - 1)).alias("__lam"))
+        F.sum(F.when(F.col("w").isNotNull(), F.pow(1 - ratio(F.col("w"), F.col("wsum")), 2)
+                     / F.greatest(F.col("n") - 1, F.lit(1)))).alias("__lam"))
     k = F.col("arms").cast("double")
-    f_stat = (F.col("__a") / (k - 1)) / (1 + 2 * (k - 2) * F.col("__lam") / (k * k - 1))
-    df2 = (k * k - 1) / (3 * F.col("__lam"))
-    t = (t.where(F.col("arms") >= 2)
-          .withColumn("f_stat", f_stat).withColumn("df1", k - 1).withColumn("df2", df2))
+    enough = F.col("arms") >= 2
+    f_stat = ratio(ratio(F.col("__a"), k - 1), 1 + ratio(2 * (k - 2) * F.col("__lam"), k * k - 1))
+    df2 = ratio(k * k - 1, 3 * F.col("__lam"))
+    t = (t.withColumn("f_stat", F.when(enough, f_stat)).withColumn("df1", F.when(enough, k - 1))
+          .withColumn("df2", F.when(enough, df2)))
     return t.select(*by, "arms", "f_stat", "df1", "df2",
-                    ST.f_sf(F.col("f_stat"), F.col("df1"), F.col("df2")).alias("p_value"))
+                    F.when(enough, ST.f_sf(F.col("f_stat"), F.col("df1"), F.col("df2"))).alias("p_value"),
+                    F.when(~enough, F.lit("fewer than two arms with spread")).alias("reason"))
+
+
+FISHER_CHUNK = 4096
 
 
 def fisher_exact(a: DataFrame) -> DataFrame:
     """Fisher's exact test on each experiment's 2x2 table (n_c, x_c, n_t, x_t).
 
-    Sums hypergeometric probabilities over the tables with the observed
-    margins (one array per experiment row, as long as the smallest margin).
-    Two-sided: tables no more likely than the observed one (relative
-    tolerance 1e-7); ``p_greater``: treatment successes at least as high.
+    Sums hypergeometric probabilities over all tables with the observed
+    margins.  The support is cut into chunks of ``FISHER_CHUNK`` tables, one
+    row each; a chunk starts from one log probability and goes on by the ratio
+    of neighbouring terms, and the chunks are added up, so the margins may be
+    any size.  The log probability is a sum of deviances (saddle-point form),
+    which keeps its digits for counts of billions.  Two-sided: tables no more
+    likely than the observed one (relative tolerance 1e-7); ``p_greater``:
+    treatment successes at least as high.  A missing arm gives NULL.
     """
-    N = F.col("n_c") + F.col("n_t")
-    K = F.col("x_c") + F.col("x_t")
-    n = F.col("n_t")
-    lo = F.greatest(F.lit(0).cast("long"), K - F.col("n_c"))
-    hi = F.least(K, n)
-    lf = ST.log_factorial
-    const = lf(K) + lf(N - K) - lf(N) + lf(n) + lf(N - n)
+    d = (a.withColumn("__K", F.col("x_c") + F.col("x_t"))
+          .withColumn("__lo", F.greatest(F.lit(0).cast("long"), F.col("__K") - F.col("n_c")))
+          .withColumn("__hi", F.least("__K", "n_t")))
 
     def logp(x):
-        return const - lf(x) - lf(K - x) - lf(n - x) - lf(N - K - n + x)
-
-    d = a.withColumn("__lobs", logp(F.col("x_t")))
-    xs = F.sequence(lo, hi)
-    two = F.aggregate(xs, F.lit(0.0), lambda acc, x: acc + F.when(
-        logp(x) <= F.col("__lobs") + math.log1p(1e-7), F.exp(logp(x))).otherwise(F.lit(0.0)))
-    greater = F.aggregate(xs, F.lit(0.0), lambda acc, x: acc + F.when(
-        x >= F.col("x_t"), F.exp(logp(x))).otherwise(F.lit(0.0)))
-    return d.select(EXP, "n_c", "x_c", "n_t", "x_t",
-                    F.least(F.lit(1.0), two).alias("p_two_sided"),
-                    F.least(F.lit(1.0), greater).alias("p_greater"))
+        return ST.log_hypergeometric(x, F.col("n_t"), F.col("n_c"), F.col("__K"))
+
+    d = d.withColumn("__lobs", logp(F.col("x_t")))
+    whole = F.col("n_c").isNotNull() & F.col("n_t").isNotNull() & F.col("__K").isNotNull()
+    starts = F.when(whole, F.sequence("__lo", "__hi", F.lit(FISHER_CHUNK).cast("long")))
+    rows = d.withColumn("__from", F.explode_outer(starts))
+    upto = F.least(F.col("__from") + FISHER_CHUNK - 1, F.col("__hi"))
+    limit = F.col("__lobs") + math.log1p(1e-7)
+
+    def step(acc, x):
+        # acc: log probability of x, sums so far; term(x+1)/term(x) = (K-x)(n_t-x) / ((x+1)(n_c-K+x+1))
+        xd = x.cast("double")
+        p = F.exp(acc["lp"])
+        more = ((F.col("__K") - xd) * (F.col("n_t") - xd)) / ((xd + 1) * F.greatest(F.col("n_c") - F.col("__K") + xd + 1, F.lit(1.0)))
+        return F.struct((acc["lp"] + F.log(F.greatest(more, F.lit(1e-300)))).alias("lp"),
+                        (acc["two"] + F.when(acc["lp"] <= limit, p).otherwise(0.0)).alias("two"),
+                        (acc["gt"] + F.when(x >= F.col("x_t"), p).otherwise(0.0)).alias("gt"))
+
+    zero = F.struct(logp(F.col("__from")).alias("lp"), F.lit(0.0).alias("two"), F.lit(0.0).alias("gt"))
+    rows = rows.withColumn("__s", F.aggregate(F.sequence("__from", upto), zero, step))
+    return rows.groupBy(EXP, "n_c", "x_c", "n_t", "x_t").agg(
+        F.least(F.lit(1.0), F.sum("__s.two")).alias("p_two_sided"),
+        F.least(F.lit(1.0), F.sum("__s.gt")).alias("p_greater"))
 
 
 def adequacy(summary: DataFrame, sizes: DataFrame, arm: str = "grp") -> DataFrame:

@@ -219,8 +219,8 @@ def density(df: DataFrame, col: str, grid: int = 64, by: Sequence[str] = (), cut
     """Gaussian kernel density (Scott bandwidth) on an evenly spaced grid.
 
     Every distinct value adds its kernel (times its count) to the ``grid``
-    points; the sums combine map-side, so the shuffle holds grid x groups
-    rows, not the data.
+    points; the sums combine map-side, so the last shuffle holds one row per
+    group and task.  A group of one value has NULL densities.
     """
     by = list(by)
     v = F.col(col).cast("double")
@@ -233,16 +233,16 @@ def density(df: DataFrame, col: str, grid: int = 64, by: Sequence[str] = (), cut
     # identical values share one kernel evaluation, weighted by how often they occur
     distinct_v = src.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__w"))
     joined = distinct_v.join(stats, by) if by else attach(distinct_v, stats)  # size-checked join
-    contrib = joined.select(*by, "__n", "__h", "__g0", "__step", F.posexplode(F.transform(
-        F.sequence(F.lit(0), F.lit(grid - 1)),
-        lambda j: F.col("__w") * F.exp(
-            -0.5 * F.pow((F.col("__g0") + j * F.col("__step") - F.col("__v")) / F.col("__h"), 2))
-    )).alias("grid_index", "__k"))
-    sums = contrib.groupBy(*by, "grid_index", "__n", "__h", "__g0", "__step").agg(F.sum("__k").alias("__s"))
-    return sums.select(*by, F.col("grid_index").cast("long").alias("grid_index"),
-                       (F.col("__g0") + F.col("grid_index") * F.col("__step")).alias("x"),
-                       (F.col("__s") / (F.col("__n") * F.col("__h") * F.lit((2 * 3.141592653589793) ** 0.5)))
-                       .alias("density"))
+    def kernel(j):
+        u = F.try_divide(F.col("__g0") + j * F.col("__step") - F.col("__v"), F.col("__h"))
+        return F.sum(F.col("__w") * F.exp(-0.5 * F.pow(u, 2)))
+    # one sum per grid point, combined map-side; rows are never multiplied by the grid
+    sums = joined.groupBy(*by, "__n", "__h", "__g0", "__step").agg(F.array(*[kernel(j) for j in range(grid)]).alias("__s"))
+    points = sums.select(*by, "__n", "__h", "__g0", "__step", F.posexplode("__s").alias("grid_index", "__k"))
+    return points.select(*by, F.col("grid_index").cast("long").alias("grid_index"),
+                         (F.col("__g0") + F.col("grid_index") * F.col("__step")).alias("x"),
+                         F.try_divide(F.col("__k"), F.col("__n") * F.col("__h") * F.lit((2 * 3.141592653589793) ** 0.5))
+                         .alias("density"))
 
 
 def distinct_by(df: DataFrame, by: Sequence[str], col: str, approx: bool = False,

@@ -275,15 +275,18 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     """Linearly interpolated quantiles (pandas / quantile_cont semantics), JVM only.
 
     Returns (*by, prob, quantile).  Spark's exact ``percentile`` keeps every
-    distinct value of a group in one buffer; here no task sees more than
-    one range partition:
-
-    1. range-partition (group, value) - a hot group spans many partitions;
-    2. count rows per (group, partition) (partial aggregation, tiny output)
-       and turn the counts into each partition's rank interval;
-    3. locate the partition holding each target rank (a join of two
-       small tables: targets x partitions of the same group);
-    4. rank values only inside the located partitions and pick the targets.
+    distinct value of a group in one buffer; here equal values are counted
+    first, so ties are one row, and no task sees more than one range partition
+    of (group, value, count):
+
+    1. count rows per (group, value) (partial aggregation) and range-partition
+       the counts - a hot group spans many partitions, a hot value is one row;
+    2. sum the counts per (group, partition) and turn them into each
+       partition's rank interval;
+    3. locate the partition holding each target rank (a join of two small
+       tables: targets x partitions of the same group);
+    4. cumulate the counts only inside the located partitions and pick the
+       values whose rank interval holds a target.
 
     Steps 2 and 4 read the same exchange (the aggregate also takes the
     maximum value so no column is pruned below it), hence the same bounds.
@@ -295,9 +298,10 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
         return res.drop("__all")
     n = num_partitions or shuffle_partitions(df.sparkSession)
     vals = df.select(*by, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
+    vals = vals.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__w"))
     ranged = (vals.repartitionByRange(n, *[F.col(b).asc_nulls_first() for b in by], F.col("__v").asc())
                   .withColumn(_PID, F.spark_partition_id()))
-    parts = ranged.groupBy(*by, _PID).agg(F.count(F.lit(1)).alias("__c"), F.max("__v").alias("__mx"))
+    parts = ranged.groupBy(*by, _PID).agg(F.sum("__w").alias("__c"), F.max("__v").alias("__mx"))
     w = Window.partitionBy(*by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     parts = (parts.withColumn("__end", F.sum("__c").over(w))        # one group's partitions only
                   .withColumn("__start", F.col("__end") - F.col("__c")))
@@ -316,8 +320,9 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     hot = loc.select(*by, _PID).distinct()
     cand = ranged.join(hot, by + [_PID], "left_semi")
     wj = Window.partitionBy(*by, _PID).orderBy("__v")               # one range partition
-    picked = (cand.withColumn("__j", F.row_number().over(wj).cast("long"))
-                  .join(loc, by + [_PID, "__j"]))
+    picked = (cand.withColumn("__upto", F.sum("__w").over(wj.rowsBetween(Window.unboundedPreceding, 0)))
+                  .join(loc, by + [_PID])
+                  .where((F.col("__j") > F.col("__upto") - F.col("__w")) & (F.col("__j") <= F.col("__upto"))))
     agg = picked.groupBy(*by, "prob", "__d").agg(
         F.max(F.when(F.col("__side") == 0, F.col("__v"))).alias("__vlo"),
         F.max(F.when(F.col("__side") == 1, F.col("__v"))).alias("__vhi"))

@@ -206,12 +206,13 @@ def kmeans_fit_many(features: DataFrame, ks: Sequence[int], cols: Sequence[str]
 
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
-    vec = VectorAssembler(inputCols=list(cols), outputCol="features").transform(features).select("features")
     # every Lloyd step is a job over all partitions: size them by rows (about
     # 100k per partition), never above what the input already has
+    # the layout depends on the rows alone: dealt by value and sorted, so the
+    # seeded starts and the order of the sums are the same on any cluster
     rows = features.count()
-    parts = vec.rdd.getNumPartitions()
-    vec = vec.coalesce(max(1, min(parts, math.ceil(rows / 100_000)))).cache()
+    points = features.select(*cols).repartition(max(1, math.ceil(rows / 100_000)), *cols).sortWithinPartitions(*cols)
+    vec = VectorAssembler(inputCols=list(cols), outputCol="features").transform(points).select("features").cache()
     vec.count()
 
     def fit(job):
@@ -291,7 +292,7 @@ def cluster_profile(assigned: DataFrame, label: str = "cluster") -> DataFrame:
         *[F.avg(c).alias(c) for c in RFM_COLS], F.count(F.lit(1)).alias("count"),
         F.sum("monetary_value").alias("total_revenue"))
     total = prof.agg(F.sum("total_revenue").alias("overall_total_revenue"))
-    share = F.rint(F.col("total_revenue") / F.col("overall_total_revenue") * 100 * 10) / 10
+    share = F.rint(F.try_divide(F.col("total_revenue"), F.col("overall_total_revenue")) * 100 * 10) / 10
     return attach(prof, total).withColumn("revenue_share_pct", share)
 
 

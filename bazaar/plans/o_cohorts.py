@@ -59,11 +59,12 @@ def _():
 
 @sql("retention_triangle")
 def _():
-    return base() + """
+    months = ", ".join(map(str, range(1, 81)))
+    return base() + f"""
 SELECT * FROM (
   PIVOT (SELECT CAST(cohort_date AS TIMESTAMP) AS cohort_date, cohort_index,
                 CAST(active_customers AS DOUBLE) AS v FROM activity)
-  ON cohort_index USING first(v) GROUP BY cohort_date)"""
+  ON cohort_index IN ({months}) USING first(v) GROUP BY cohort_date)"""
 
 
 @sql("retention_pct")

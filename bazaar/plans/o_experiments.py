@@ -33,11 +33,11 @@ def _tested_cte(source: str = "arms", alternative: str = "two-sided", name: str
             "smaller": sql_norm_sf("-z")}[alternative]
     zc = sql_norm_ppf(repr(1 - 0.05 / 2))
     return f"""{name}0 AS (
-  SELECT *, CAST(x_c AS DOUBLE) / CAST(n_c AS DOUBLE) AS p_c, CAST(x_t AS DOUBLE) / CAST(n_t AS DOUBLE) AS p_t,
-         CAST(x_c + x_t AS DOUBLE) / CAST(n_c + n_t AS DOUBLE) AS p_pool
+  SELECT *, CAST(x_c AS DOUBLE) / nullif(CAST(n_c AS DOUBLE), 0) AS p_c, CAST(x_t AS DOUBLE) / nullif(CAST(n_t AS DOUBLE), 0) AS p_t,
+         CAST(x_c + x_t AS DOUBLE) / nullif(CAST(n_c + n_t AS DOUBLE), 0) AS p_pool
   FROM {source}),
 {name}1 AS (
-  SELECT *, sqrt(p_pool * (1 - p_pool) * (1.0 / n_c + 1.0 / n_t)) AS se_pooled FROM {name}0),
+  SELECT *, sqrt(p_pool * (1 - p_pool) * (1.0 / nullif(n_c, 0) + 1.0 / nullif(n_t, 0))) AS se_pooled FROM {name}0),
 {name}2 AS (SELECT *, (p_t - p_c) / nullif(se_pooled, 0) AS z FROM {name}1),
 {name}3 AS (
   SELECT *, {pval} AS p_value, p_t - p_c AS lift_abs, (p_t - p_c) / nullif(p_c, 0) AS lift_rel,
@@ -45,7 +45,7 @@ def _tested_cte(source: str = "arms", alternative: str = "two-sided", name: str
   FROM {name}2),
 {name}4 AS (
   SELECT *, p_value < 0.05 AS reject_h0,
-         sqrt(p_c * (1 - p_c) / n_c + p_t * (1 - p_t) / n_t) AS se_unpooled, {zc} AS z_crit
+         sqrt(p_c * (1 - p_c) / nullif(n_c, 0) + p_t * (1 - p_t) / nullif(n_t, 0)) AS se_unpooled, {zc} AS z_crit
   FROM {name}3),
 {name} AS (
   SELECT *, (p_t - p_c) - z_crit * se_unpooled AS ci_lower, (p_t - p_c) + z_crit * se_unpooled AS ci_upper,
@@ -53,8 +53,9 @@ def _tested_cte(source: str = "arms", alternative: str = "two-sided", name: str
   FROM {name}4)"""
 
 
-SIZES = f"""designs AS (
-  SELECT s.experiment_id, s.rate AS p1, s.rate * (1 + CAST(0.1 AS DOUBLE)) AS p2, 0.05 AS alpha,
+def _sizes_cte(mde: float = 0.1) -> str:
+    return f"""designs AS (
+  SELECT s.experiment_id, s.rate AS p1, s.rate * (1 + CAST({mde!r} AS DOUBLE)) AS p2, 0.05 AS alpha,
          0.8 AS power, t.users_per_day AS daily_traffic
   FROM summary s JOIN traffic t ON s.experiment_id = t.experiment_id WHERE s.grp = 'control'),
 sizes0 AS (
@@ -63,16 +64,18 @@ sizes0 AS (
   FROM designs),
 sizes AS (
   SELECT *,
-         CAST(trunc(pow(z_alpha + z_beta, 2) * (p1 * (1 - p1) + p2 * (1 - p2)) / pow(p2 - p1, 2)) AS BIGINT) + 1
+         CAST(trunc(pow(z_alpha + z_beta, 2) * (p1 * (1 - p1) + p2 * (1 - p2)) / nullif(pow(p2 - p1, 2), 0)) AS BIGINT) + 1
            AS n_formula,
-         CAST(trunc(2 * pow((z_alpha + z_beta) / cohens_h, 2)) AS BIGINT) + 1 AS n_cohen
-  FROM sizes0),
-results AS (
+         CAST(trunc(2 * pow((z_alpha + z_beta) / nullif(cohens_h, 0), 2)) AS BIGINT) + 1 AS n_cohen
+  FROM sizes0)"""
+
+
+RESULTS = """results AS (
   SELECT t.*, s.abs_mde, s.n_formula AS n_required FROM tested t JOIN sizes s ON t.experiment_id = s.experiment_id)"""
 
 
 def base() -> str:
-    return with_(AB_UNITS, PREP, _tested_cte(), SIZES)
+    return with_(AB_UNITS, PREP, _tested_cte(), _sizes_cte(), RESULTS)
 
 
 def r6(c: str) -> str:
@@ -97,15 +100,19 @@ def _():
     return base() + f"SELECT experiment_id, grp, users, conversions, {r6('rate')}, non_converted FROM summary"
 
 
+def _sampled() -> str:
+    """The md5-ordered sample, cut at each experiment's own required n."""
+    return _sizes_cte(0.35) + """,
+sampled AS (
+  SELECT p.*, md5(CAST(user_id AS VARCHAR) || '|' || 'ab-sample') AS sample_key
+  FROM prepared p JOIN sizes z USING (experiment_id)
+  QUALIFY row_number() OVER (PARTITION BY experiment_id, grp ORDER BY sample_key, user_id) <= coalesce(z.n_formula, 9e18))"""
+
+
 @sql("stratified_sample")
 def _():
-    return base() + """
-SELECT experiment_id, user_id, row_id, ts, grp, landing_page, converted, sample_key FROM (
-  SELECT *, md5(CAST(user_id AS VARCHAR) || '|' || 'ab-sample') AS sample_key,
-         row_number() OVER (PARTITION BY experiment_id, grp
-                            ORDER BY md5(CAST(user_id AS VARCHAR) || '|' || 'ab-sample'), user_id) AS rn
-  FROM prepared)
-WHERE rn <= 500"""
+    return with_(AB_UNITS, PREP, _sampled()) + """
+SELECT experiment_id, user_id, row_id, ts, grp, landing_page, converted, sample_key FROM sampled"""
 
 
 @sql("traffic_summary")
@@ -250,15 +257,41 @@ warms AS (
          CAST(sum(CASE WHEN grp = 'treatment' THEN users END) AS BIGINT) AS n_t,
          CAST(sum(CASE WHEN grp = 'treatment' THEN conversions END) AS BIGINT) AS x_t
   FROM ws GROUP BY 1, 2),
-warms_ok AS (SELECT * FROM warms WHERE n_c > 0 AND n_t > 0),
-{_tested_cte('warms_ok', 'two-sided', 'wt')},
-wn AS (SELECT *, date_diff('day', DATE '1970-01-05', CAST(week_start AS DATE)) / 7.0 AS wkno FROM wt)
-SELECT experiment_id, week_start, n_c, x_c, n_t, x_t, {r6('lift_abs')}, {r6('z')}, {r6('p_value')},
+{_tested_cte('warms', 'two-sided', 'wt')},
+wn AS (SELECT *, CASE WHEN lift_abs IS NOT NULL THEN date_diff('day', DATE '1970-01-05', CAST(week_start AS DATE)) / 7.0 END
+         AS wkno FROM wt)
+SELECT experiment_id, week_start, CAST(n_c AS DOUBLE) AS n_c, CAST(x_c AS DOUBLE) AS x_c, CAST(n_t AS DOUBLE) AS n_t,
+       CAST(x_t AS DOUBLE) AS x_t, {r6('lift_abs')}, {r6('z')}, {r6('p_value')},
        round(covar_pop(lift_abs, wkno) OVER (PARTITION BY experiment_id)
              / nullif(var_pop(wkno) OVER (PARTITION BY experiment_id), 0), 6) AS lift_trend_per_week
 FROM wn"""
 
 
+@sql("degenerate_experiments")
+def _():
+    spoil = """summary_all AS (SELECT * FROM summary),
+spoiled AS (
+  SELECT experiment_id, grp,
+         CASE WHEN experiment_id = '2-HIGH' AND grp = 'treatment' THEN 0 ELSE users END AS users,
+         CASE WHEN experiment_id = '1-URGENT' AND grp = 'control' THEN 0
+              WHEN experiment_id = '2-HIGH' AND grp = 'treatment' THEN 0 ELSE conversions END AS conversions
+  FROM summary WHERE NOT (experiment_id = '3-MEDIUM' AND grp = 'treatment')),
+sparms AS (
+  SELECT experiment_id, CAST(sum(users) FILTER (WHERE grp = 'control') AS BIGINT) AS n_c,
+         CAST(sum(conversions) FILTER (WHERE grp = 'control') AS BIGINT) AS x_c,
+         CAST(sum(users) FILTER (WHERE grp = 'treatment') AS BIGINT) AS n_t,
+         CAST(sum(conversions) FILTER (WHERE grp = 'treatment') AS BIGINT) AS x_t
+  FROM spoiled GROUP BY 1)"""
+    prep = PREP.replace("summary AS (", "raw_summary AS (").replace("FROM summary GROUP BY 1)", "FROM raw_summary GROUP BY 1)")
+    spoil = spoil.replace("summary_all AS (SELECT * FROM summary),\n", "").replace("FROM summary WHERE", "FROM raw_summary WHERE")
+    rates = """summary AS (
+  SELECT experiment_id, grp, CAST(conversions AS DOUBLE) / nullif(CAST(users AS DOUBLE), 0) AS rate FROM spoiled)"""
+    doubles = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in ("n_c", "x_c", "n_t", "x_t", "n_formula", "n_cohen"))
+    return with_(AB_UNITS, prep, spoil, rates, _tested_cte("sparms", "two-sided", "dg"), _sizes_cte()) + f"""
+SELECT d.experiment_id, {doubles}, {r6('z')}, {r6('p_value')}, {r6('ci_lower')}, {r6('ci_upper')}
+FROM dg d JOIN sizes USING (experiment_id)"""
+
+
 # ---- campaign ----
 
 _RATES = """rates AS (
@@ -362,22 +395,24 @@ def _():
     return f"""WITH g0 AS (
   SELECT o_orderpriority AS experiment_id,
          CASE o_custkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE 'C' END AS arm,
-         count(*) AS n, avg(ln(1 + o_totalprice)) AS m, var_samp(ln(1 + o_totalprice)) AS s2
-  FROM orders WHERE o_totalprice IS NOT NULL GROUP BY 1, 2),
-g1 AS (SELECT *, n / s2 AS w FROM g0 WHERE n > 1 AND s2 > 0),
+         count(o_totalprice) AS n, avg(ln(1 + o_totalprice)) AS m, var_samp(ln(1 + o_totalprice)) AS s2
+  FROM orders GROUP BY 1, 2),
+g1 AS (SELECT * , n / s2 AS w FROM g0 WHERE n > 1 AND s2 > 0),
 g2 AS (SELECT *, sum(w) OVER (PARTITION BY experiment_id) AS wsum,
               sum(w * m) OVER (PARTITION BY experiment_id) / sum(w) OVER (PARTITION BY experiment_id) AS mw
        FROM g1),
 t AS (
   SELECT experiment_id, count(*) AS arms, sum(w * pow(m - mw, 2)) AS a, sum(pow(1 - w / wsum, 2) / (n - 1)) AS lam
-  FROM g2 GROUP BY 1 HAVING count(*) >= 2),
+  FROM g2 GROUP BY 1),
 t2 AS (
   SELECT *, (a / (arms - 1)) / (1 + 2 * (arms - 2) * lam / (arms * arms - 1)) AS f_stat,
          CAST(arms - 1 AS DOUBLE) AS df1, (arms * arms - 1) / (3 * lam) AS df2
-  FROM t)
-SELECT experiment_id, arms, {r6('f_stat')}, {r6('df1')}, {r6('df2')},
-       round({sql_f_sf('f_stat', 'df1', 'df2')}, 6) AS p_value
-FROM t2"""
+  FROM t WHERE arms >= 2)
+SELECT e.experiment_id, coalesce(t.arms, 0) AS arms, {r6('f_stat')}, {r6('df1')}, {r6('df2')},
+       round({sql_f_sf('f_stat', 'df1', 'df2')}, 6) AS p_value,
+       CASE WHEN t2.arms IS NULL THEN 'fewer than two arms with spread' END AS reason
+FROM (SELECT DISTINCT experiment_id FROM g0) e LEFT JOIN t ON e.experiment_id = t.experiment_id
+     LEFT JOIN t2 ON e.experiment_id = t2.experiment_id"""
 
 
 @sql("fisher_exact")
@@ -417,13 +452,7 @@ FROM summary s JOIN sizes z ON s.experiment_id = z.experiment_id"""
 
 @sql("sampled_z_test")
 def _():
-    sample = """sampled AS (
-  SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY experiment_id, grp
-                                 ORDER BY md5(CAST(user_id AS VARCHAR) || '|' || 'ab-sample'), user_id) AS rn
-    FROM prepared)
-  WHERE rn <= 500),
-ssum AS (
+    sample = """ssum AS (
   SELECT experiment_id, grp, count(*) AS users, CAST(sum(converted) AS BIGINT) AS conversions,
          CAST(sum(converted) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS rate
   FROM sampled GROUP BY 1, 2),
@@ -438,7 +467,7 @@ sarms AS (
          CAST(sum(CASE WHEN grp = 'treatment' THEN conversions END) AS BIGINT) AS x_t
   FROM ssum GROUP BY 1)"""
     cols = ", ".join(r6(c) for c in ("z", "p_value", "lift_abs", "ci_lower", "ci_upper"))
-    return with_(AB_UNITS, PREP, sample, _tested_cte("sarms", "two-sided", "st")) + f"""
+    return with_(AB_UNITS, PREP, _sampled(), sample, _tested_cte("sarms", "two-sided", "st")) + f"""
 SELECT t.experiment_id, n_c, x_c, n_t, x_t, {cols}, reject_h0, o.normal_approx_ok
 FROM st t JOIN sok o ON t.experiment_id = o.experiment_id"""
 

@@ -84,10 +84,9 @@ FROM counts c LEFT JOIN firsts f ON c.stock_code = f.stock_code"""
 @sql("value_sets")
 def _():
     return with_(RETAIL) + f"""
-SELECT stock_code, count(*) AS n_values, string_agg(description, '|' ORDER BY description) AS values
-FROM (SELECT DISTINCT stock_code, description FROM retail_lines
-      WHERE regexp_matches(stock_code, {STD}) AND description IS NOT NULL)
-GROUP BY 1"""
+SELECT stock_code, description, count(*) AS rows FROM retail_lines
+WHERE regexp_matches(stock_code, {STD}) AND description IS NOT NULL
+GROUP BY 1, 2"""
 
 
 @sql("value_counts")
@@ -350,13 +349,13 @@ p AS (SELECT *, sd * pow(n, -0.2) AS h FROM s),
 g AS (SELECT *, lo - 3.0 * h AS g0, (hi - lo + 2 * 3.0 * h) / 63 AS step FROM p),
 k AS (
   SELECT g.device_type, r.range AS grid_index, g.g0, g.step, g.n, g.h,
-         sum(exp(-0.5 * pow((g.g0 + r.range * g.step - e.session_duration_minutes) / g.h, 2))) AS ks
+         sum(exp(-0.5 * pow((g.g0 + r.range * g.step - e.session_duration_minutes) / nullif(g.h, 0), 2))) AS ks
   FROM user_events e JOIN g ON e.device_type = g.device_type
   CROSS JOIN range(0, 64) r
   WHERE e.session_duration_minutes IS NOT NULL
   GROUP BY 1, 2, 3, 4, 5, 6)
 SELECT device_type, CAST(grid_index AS BIGINT) AS grid_index, round(g0 + grid_index * step, 6) AS x,
-       round(ks / (n * h * sqrt(2 * pi())), 6) AS density
+       round(ks / nullif(n * h * sqrt(2 * pi()), 0), 6) AS density
 FROM k"""
 
 

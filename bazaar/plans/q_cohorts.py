@@ -32,9 +32,12 @@ def cohort_activity(spark, sf):
     return finish(CO.cohort_activity(_lines(spark, sf)))
 
 
+CALENDAR_MONTHS = 80        # the orders run from 1995-01 to 2001-08 at every scale
+
+
 @query("retention_triangle")
 def retention_triangle(spark, sf):
-    tri = CO.retention_triangle(CO.cohort_activity(_lines(spark, sf)))
+    tri = CO.retention_triangle(CO.cohort_activity(_lines(spark, sf)), months=CALENDAR_MONTHS)
     return finish(tri, nullable_ints=tuple(c for c in tri.columns if c != "cohort_date"))
 
 

@@ -1,5 +1,8 @@
+import uuid
+
 from bazaar.operators import events as E
 from bazaar.plans.registry import finish, query
+from bazaar.session import ensure_checkpoint_dir
 from bazaar.sources import fixtures as X
 
 
@@ -23,14 +26,25 @@ def session_rank_full(spark, sf):
     return finish(E.session_rank_methods(X.user_events(spark, sf)))
 
 
+def _export_path(spark):
+    """A new folder below the session's shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/exports/hourly_metrics-{uuid.uuid4().hex}"
+
+
 @query("hourly_metrics_export")
 def hourly_metrics_export(spark, sf):
-    exported, _ = E.create_analytics_pipeline(X.user_events(spark, sf))
-    return exported
+    return E.create_analytics_pipeline(X.user_events(spark, sf), _export_path(spark))[0]
 
 
 @query("pipeline_summary")
 def pipeline_summary(spark, sf):
-    """L8 summary: rows in and out, time span, files and bytes written (rows-only check)."""
-    _, summary = E.create_analytics_pipeline(X.user_events(spark, sf))
-    return summary
+    """L8 summary: rows in and out and the time span."""
+    _, summary = E.create_analytics_pipeline(X.user_events(spark, sf), _export_path(spark))
+    return summary.select("rows_in", "rows_out", "first_event", "last_event")
+
+
+@query("pipeline_files")
+def pipeline_files(spark, sf):
+    """L8 summary: files and bytes written (rows-only check)."""
+    _, summary = E.create_analytics_pipeline(X.user_events(spark, sf), _export_path(spark))
+    return summary.select("files_written", "bytes_written")

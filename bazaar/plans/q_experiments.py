@@ -9,7 +9,7 @@ from bazaar.sources import fixtures as X
 from bazaar.sources.tables import table
 
 SAMPLE_SALT = "ab-sample"
-SAMPLE_PER_ARM = 500
+SAMPLE_MDE = 0.35        # relative MDE of the sampled test: some arms are larger than its n, some smaller
 RELATIVE_MDE = 0.10
 
 
@@ -26,13 +26,18 @@ def _summary(spark, sf, stats=None):
     return E.summary_from_stats(stats if stats is not None else _stats(spark, sf))
 
 
-def _sizes(spark, sf, stats=None):
+def _sizes(spark, sf, stats=None, relative_mde=RELATIVE_MDE):
     stats = stats if stats is not None else _stats(spark, sf)
     designs = E.designs_from_data(E.summary_from_stats(stats), E.traffic_from_stats(stats),
-                                  relative_mde=RELATIVE_MDE)
+                                  relative_mde=relative_mde)
     return E.sample_size(designs)
 
 
+def _sampled(spark, sf):
+    required = _sizes(spark, sf, relative_mde=SAMPLE_MDE).select(E.EXP, F.col("n_formula").alias("n_required"))
+    return E.stratified_sample(_prepared(spark, sf), required, SAMPLE_SALT)
+
+
 def _tested(spark, sf, stats=None):
     return E.wald_ci(E.two_proportion_z(E.arms(_summary(spark, sf, stats))))
 
@@ -60,7 +65,7 @@ def conversion_summary(spark, sf):
 
 @query("stratified_sample")
 def stratified_sample(spark, sf):
-    return E.stratified_sample(_prepared(spark, sf), SAMPLE_PER_ARM, SAMPLE_SALT)
+    return _sampled(spark, sf)
 
 
 @query("traffic_summary")
@@ -122,7 +127,24 @@ def experiment_report(spark, sf):
 
 @query("novelty_by_week")
 def novelty_by_week(spark, sf):
-    return finish(E.novelty_by_week(_prepared(spark, sf)))
+    return finish(E.novelty_by_week(_prepared(spark, sf)), nullable_ints=("n_c", "x_c", "n_t", "x_t"))
+
+
+@query("degenerate_experiments")
+def degenerate_experiments(spark, sf):
+    """Experiments with a control that never converts, an empty arm and a missing arm, beside sound ones."""
+    stats = _stats(spark, sf)
+    spoiled = (stats.where(~((F.col(E.EXP) == "3-MEDIUM") & (F.col("grp") == "treatment")))
+               .withColumn("conversions", F.when((F.col(E.EXP) == "1-URGENT") & (F.col("grp") == "control"), 0)
+                           .when(F.col(E.EXP) == "2-HIGH", F.when(F.col("grp") == "treatment", 0).otherwise(F.col("conversions")))
+                           .otherwise(F.col("conversions")))
+               .withColumn("users", F.when((F.col(E.EXP) == "2-HIGH") & (F.col("grp") == "treatment"), 0).otherwise(F.col("users"))))
+    summary = E.summary_from_stats(spoiled)
+    sizes = E.sample_size(E.designs_from_data(summary, E.traffic_from_stats(spoiled), relative_mde=RELATIVE_MDE))
+    tested = E.wald_ci(E.two_proportion_z(E.arms(summary)))
+    out = tested.join(sizes.select(E.EXP, "n_formula", "n_cohen"), E.EXP).select(
+        E.EXP, "n_c", "x_c", "n_t", "x_t", "z", "p_value", "ci_lower", "ci_upper", "n_formula", "n_cohen")
+    return finish(out, nullable_ints=("n_c", "x_c", "n_t", "x_t", "n_formula", "n_cohen"))
 
 
 # ---- campaign (daily rows per arm) ----
@@ -198,8 +220,8 @@ def adequacy(spark, sf):
 
 @query("sampled_z_test")
 def sampled_z_test(spark, sf):
-    """The reference's flow: fixed-n sample per arm -> summary -> success-failure -> z-test -> CI."""
-    sample = E.stratified_sample(_prepared(spark, sf), SAMPLE_PER_ARM, SAMPLE_SALT)
+    """The reference's flow: design-sized sample per arm -> summary -> success-failure -> z-test -> CI."""
+    sample = _sampled(spark, sf)
     summary = E.conversion_summary(sample)
     ok = E.success_failure(summary).groupBy(E.EXP).agg(F.bool_and("success_failure_ok").alias("normal_approx_ok"))
     tested = E.wald_ci(E.two_proportion_z(E.arms(summary)))

@@ -48,13 +48,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting points at shared storage and is used as is.
-    Only when it is unset (tests, a laptop) a scratch folder is created.
+    Only with a local master (tests, a laptop) an unset one becomes a scratch
+    folder; elsewhere it is an error, as executors would not share it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     target = configured or tempfile.mkdtemp(prefix="bazaar-ckpt-")
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir()

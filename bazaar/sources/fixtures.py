@@ -56,7 +56,7 @@ def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
            .join(F.broadcast(n), c.c_nationkey == n.n_nationkey))
     cancel = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") % 2 == 0)
     code = F.when(F.col("p_size") == 1, F.lit("POST")).otherwise(
-        F.concat(zpad(F.col("p_partkey"), 5),
+        F.concat(zpad(F.col("p_partkey") % 100_000, 5),     # five digits for any number of parts
                  F.when(F.col("p_size") % 5 == 0, F.lit("A")).otherwise(F.lit(""))))
     qty = F.col("l_quantity").cast("int")
     return j.select(

@@ -101,12 +101,13 @@ def test_fk_audit_orphans_and_findings(spark):
     assert got[3][1] == "OK"
 
 
-def test_two_level_mode_equals_buffered_mode(spark):
+def test_modal_device_equals_buffered_mode(spark):
     from bazaar.sources import fixtures as X
     from conftest import SF_SMALL
     ue = X.user_events(spark, SF_SMALL)
     a = {r.hour: r.most_popular_device for r in EV.hourly_metrics(ue).collect()}
-    b = {r.hour: r.most_popular_device for r in EV.hourly_metrics(ue, mode="two_level").collect()}
+    b = {r.hour: r.d for r in ue.groupBy(EV.hour_of("ts").alias("hour")).agg(
+        F.mode("device_type", deterministic=True).alias("d")).collect()}
     assert a == b and len(a) > 100
 
 

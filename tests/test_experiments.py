@@ -112,9 +112,12 @@ def test_welch_matches_known_t(spark):
 def test_stratified_sample_is_fixed_n_and_deterministic(spark):
     df = spark.createDataFrame([("e", i, "control" if i % 2 else "treatment") for i in range(200)],
                                "experiment_id string, user_id long, grp string")
-    a = E.stratified_sample(df, 30, "salt").select("user_id").collect()
-    b = E.stratified_sample(df.repartition(7), 30, "salt").select("user_id").collect()
+    sizes = spark.createDataFrame([("e", 30)], "experiment_id string, n_required long")
+    a = E.stratified_sample(df, sizes, "salt").select("user_id").collect()
+    b = E.stratified_sample(df.repartition(7), sizes, "salt").select("user_id").collect()
     assert len(a) == 60 and sorted(a) == sorted(b)
+    large = spark.createDataFrame([("e", 300)], "experiment_id string, n_required long")
+    assert E.stratified_sample(df, large, "salt").count() == 200          # smaller arms are kept whole
 
 
 def test_fisher_exact_matches_enumeration(spark):

@@ -43,7 +43,7 @@ def test_triangle_null_inside(spark):
     lines = spark.createDataFrame(
         [(1, dt.datetime(2020, 1, 3), 1, 1.0), (1, dt.datetime(2020, 3, 3), 1, 1.0)],
         "customer_id long, invoice_date timestamp_ntz, quantity int, price double")
-    tri = CO.retention_triangle(CO.cohort_activity(lines), max_index=3).first()
+    tri = CO.retention_triangle(CO.cohort_activity(lines), months=3).first()
     assert (tri["1"], tri["2"], tri["3"]) == (1, None, 1)
 
 
