@@ -169,7 +169,8 @@ def verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8,
-                    samples: int = 16, minima: int = 3, seed: int = 3, max_rounds: int = 8) -> DataFrame:
+                    samples: int = 16, minima: int = 3, seed: int = 3, first_centres: int = 4,
+                    centres: int = 16) -> DataFrame:
     """Classes of near-duplicate documents: id, class_id (smallest id of the class) and kept.
 
     Two texts are linked if the longest common alignment of their
@@ -180,11 +181,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Candidates share an Order-MinHash key: at similarity 0.8 a key of
     ``minima`` = 3 agrees with probability 0.8^3, so ``samples`` = 16 keys miss
     a pair once in 100,000.  No bucket is expanded into pairs.  In each round
-    every bucket draws a centre by seeded hash and its members of other
-    components are aligned with it; found links are contracted, and the rounds
-    go on, with new centres, until one finds nothing new.  A bucket's rows are
+    every bucket draws ``centres`` of its texts by seeded hashes, and its members
+    of other components are aligned with them; found links are contracted, and
+    the rounds go on, with new centres, until one finds nothing new.  A bucket
+    of up to that many texts is so compared whole.  A bucket's rows are
     never ranked or collected, so a group of near copies of any size stays
-    spread; candidates grow with samples * rows.
+    spread; candidates of a round grow with samples * centres * rows.
 
     Null texts are empty; texts without words are compared as they are (equal:
     one class); null ids take no part; repeated rows share one class; an empty
@@ -200,24 +202,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     needed = buckets.select("id").distinct()
     words = saved(word_table(docs, id_col, text_col).join(needed, "id", "left_semi").dropDuplicates(["id"]), "words")
 
-    links, component = None, None
-    for turn in range(max_rounds):
+    links, component, turn = None, None, 0
+    while True:
         members = buckets if component is None else buckets.join(component.withColumnRenamed("node", "id"), "id", "left")
         root = F.col("id") if component is None else F.coalesce("component", "id")
         members = members.select("key", "id", root.alias("root"))
-        # one lot per text and round: buckets that share many texts share their centre, and the pairs coincide
-        lot = F.struct(F.xxhash64(F.lit(seed + turn), "id").alias("h"), F.col("id").alias("id"), F.col("root").alias("root"))
-        centres = (members.groupBy("key").agg(F.min(lot).alias("c"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-                   .where("lo <> hi").select("key", F.col("c.id").alias("centre"), F.col("c.root").alias("centre_root")))
-        pairs = (members.join(saved(centres, "centres"), "key").where(F.col("root") != F.col("centre_root"))
-                 .select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct())
+        # at first a text has one lot per draw: buckets that share many texts share their centres, and the
+        # pairs coincide; what is still apart then meets different centres in every bucket
+        lot = ["id"] if not turn else ["key", "id"]
+        draws = [F.min(F.struct(F.xxhash64(F.lit(seed + 1000 * turn + t), *lot).alias("h"), F.col("id").alias("id"),
+                                F.col("root").alias("root"))).alias(f"c{t}") for t in range(first_centres if not turn else centres)]
+        drawn = (members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), *draws).where("lo <> hi")
+                 .select("key", F.explode(F.array_distinct(F.array(*[
+                     F.struct(F.col(f"c{t}.id").alias("id"), F.col(f"c{t}.root").alias("root")) for t in range(len(draws))]))).alias("c")))
+        pairs = (members.join(saved(drawn, "centres"), "key").where(F.col("root") != F.col("c.root"))
+                 .select(F.least("id", F.col("c.id")).alias("a"), F.greatest("id", F.col("c.id")).alias("b")).distinct())
         new = saved(verified(pairs, words, similarity).select("a", "b"), "links")
-        added = new.count()
-        if added:
-            links = new if links is None else links.union(new)
-            component = saved(connected_components(links), "components")
-        if not added and turn:
+        if not new.take(1):
             break
+        links = new if links is None else links.union(new)
+        component = saved(connected_components(links), "components")
+        turn += 1
     groups = same.select("h1", "h2", F.col("class").alias("node"))
     if component is None:
         groups = groups.select("h1", "h2", F.col("node").alias("class_id"))
