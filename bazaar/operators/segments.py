@@ -323,13 +323,40 @@ def name_clusters(profile: DataFrame, label: str = "cluster") -> DataFrame:
     return p.select(label, name.alias("cluster_name"))
 
 
+LOW_VALUE = "Low value"
+
+
 def all_segments(assigned: DataFrame, names: DataFrame, whales: DataFrame,
-                 user: str = "customer_id") -> DataFrame:
-    """J12 (+B18): main customers with their cluster name, unioned with the whales."""
+                 user: str = "customer_id", include_low: DataFrame | None = None) -> DataFrame:
+    """J12 (+B18): main customers with their cluster name, unioned with the whales.
+
+    ``include_low``: the customers below the fences, added as ``LOW_VALUE``.
+    """
     main = assigned.join(F.broadcast(names), "cluster", "left").select(  # k-row name table
         user, *RFM_COLS, F.col("cluster_name").alias("segment"))
     wh = whales.select(user, *RFM_COLS, F.col("whale_segment").alias("segment"))
-    return main.unionByName(wh)
+    out = main.unionByName(wh)
+    if include_low is not None:
+        out = out.unionByName(include_low.select(user, *RFM_COLS, F.lit(LOW_VALUE).alias("segment")))
+    return out
+
+
+def split_dormant(segments: DataFrame, label: str = CLUSTER_NAMES[1]) -> DataFrame:
+    """The lost customers by history: previously active (over one order) or one and done."""
+    kind = F.when(F.col("frequency") > 1, "previously active").otherwise("one and done")
+    return segments.withColumn("segment", F.when(
+        F.col("segment") == label, F.concat_ws(": ", F.col("segment"), kind)).otherwise(F.col("segment")))
+
+
+def split_by_account_age(segments: DataFrame, first_purchases: DataFrame, as_of: str, days: int = 365,
+                         label: str = CLUSTER_NAMES[3], user: str = "customer_id") -> DataFrame:
+    """The occasional customers by account age: new (first purchase within ``days``) or occasional."""
+    age = F.date_diff(F.lit(as_of).cast("date"), F.to_date("first_purchase_date"))
+    kind = F.when(age <= days, "new").otherwise("occasional")
+    dated = segments.join(first_purchases.select(user, "first_purchase_date"), user, "left")
+    return dated.withColumn("segment", F.when(
+        F.col("segment") == label, F.concat_ws(": ", F.col("segment"), kind)).otherwise(F.col("segment"))
+    ).drop("first_purchase_date")
 
 
 def segment_summary(segments: DataFrame, user: str = "customer_id") -> DataFrame:

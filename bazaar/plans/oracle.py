@@ -221,5 +221,5 @@ GROUP BY 1"""
 
 def load_all() -> dict[str, str]:
     """Import the SQL modules (their decorators fill SQL) and return the oracle map."""
-    from bazaar.plans import o_cohorts, o_experiments, o_quality, o_segments  # noqa: F401
+    from bazaar.plans import o_cohorts, o_experiments, o_more, o_quality, o_segments  # noqa: F401
     return dict(SQL)

@@ -145,3 +145,36 @@ def test_welch_anova_two_groups_equals_welch_t_squared(spark):
     assert an.f_stat == pytest.approx(wt.t_stat ** 2, rel=1e-9)
     assert an.df2 == pytest.approx(wt.df, rel=1e-9)
     assert an.p_value == pytest.approx(wt.p_two_sided, abs=1e-7)
+
+
+def test_huge_arms(spark):
+    """Billions of units: the z-test rejects and Fisher's test runs and agrees with it."""
+    rows = [("big", 40_000_000_000, 20_000_000_000, 40_000_000_000, 20_500_000_000),
+            ("fisher", 2_000_000, 1_000_000, 2_000_000, 1_001_500)]
+    df = spark.createDataFrame(rows, "experiment_id string, n_c long, x_c long, n_t long, x_t long")
+    z = {r.experiment_id: r for r in E.two_proportion_z(df).collect()}
+    assert z["big"].p_value == 0.0 and z["big"].reject_h0
+    f = E.fisher_exact(df.where("experiment_id = 'fisher'")).first()
+    assert f.p_two_sided == pytest.approx(z["fisher"].p_value, rel=1e-2)
+
+
+def test_log_hypergeometric_keeps_digits(spark):
+    from math import comb, log
+    from bazaar.functions import stats as ST
+    rows = [(9, 12, 10, 11), (0, 5, 7, 3), (5, 5, 7, 6), (40, 100, 90, 77), (3, 1000, 2000, 10)]
+    df = spark.createDataFrame(rows, "x long, n_t long, n_c long, k long")
+    got = df.select("x", "n_t", "n_c", "k", ST.log_hypergeometric(F.col("x"), F.col("n_t"), F.col("n_c"), F.col("k"))).collect()
+    for x, n_t, n_c, k, v in got:
+        assert v == pytest.approx(log(comb(n_t, x) * comb(n_c, k - x) / comb(n_t + n_c, k)), abs=1e-10)
+
+
+def test_one_bad_experiment_leaves_the_others(spark):
+    rows = [("ok", 100, 10, 100, 20), ("empty", 100, 10, 0, 0), ("zero", 100, 0, 100, 5), ("gone", 100, 10, None, None)]
+    df = spark.createDataFrame(rows, "experiment_id string, n_c long, x_c long, n_t long, x_t long")
+    got = {r.experiment_id: r for r in E.wald_ci(E.two_proportion_z(df)).collect()}
+    assert got["ok"].z is not None and got["zero"].z is not None
+    assert got["empty"].z is None and got["gone"].p_value is None and got["empty"].ci_lower is None
+    v = spark.createDataFrame([("e", "A", 1.0), ("e", "A", 1.0), ("e", "B", 2.0), ("e", "B", 3.0)],
+                              "experiment_id string, arm string, v double")
+    an = E.multi_arm_anova(v, "v", "arm").first()
+    assert an.f_stat is None and an.reason == "fewer than two arms with spread"

@@ -54,3 +54,24 @@ def test_log_factorial(spark):
     df = spark.createDataFrame([(m,) for m in (0, 1, 2, 5, 9, 10, 11, 50, 1000)], "m long")
     for r in df.select("m", ST.log_factorial("m").alias("lf")).collect():
         assert r.lf == pytest.approx(math.lgamma(r.m + 1), abs=1e-10)
+
+
+def test_tails_keep_their_precision(spark):
+    import math
+    zs = [0.0, 0.3, 2.5, 8.0, 20.0, 37.0, 40.0, 3000.0, -8.0]
+    got = [r[0] for r in spark.createDataFrame([(z,) for z in zs], "z double").select(ST.norm_sf("z")).collect()]
+    for z, p in zip(zs, got):
+        want = 0.5 * math.erfc(z / math.sqrt(2))
+        assert p >= 0 and abs(p - want) <= 1e-10 * want
+    # closed forms: Cauchy and two degrees of freedom; no jump between large degrees of freedom
+    cases = [(2.0, 1.0, 0.5 - math.atan(2) / math.pi), (3.0, 2.0, 0.5 * (1 - 3 / math.sqrt(11))),
+             (1e6, 2.0, 0.5 * (1 - 1e6 / math.sqrt(2 + 1e12)))]
+    rows = spark.createDataFrame([c[:2] for c in cases], "t double, n double").select(ST.t_sf("t", "n")).collect()
+    for (_, _, want), r in zip(cases, rows):
+        assert abs(r[0] - want) <= 1e-4 * want if want < 1e-10 else abs(r[0] - want) <= 1e-10 * want
+    ns = [10.0 ** (k / 4) for k in range(12, 37)]
+    ts = [r[0] for r in spark.createDataFrame([(n,) for n in ns], "n double").select(ST.t_sf(F.lit(2.0), "n")).collect()]
+    assert all(a > b for a, b in zip(ts, ts[1:])) and abs(ts[-1] - 0.5 * math.erfc(math.sqrt(2))) < 1e-9
+    # F with one numerator degree is t squared
+    r = spark.range(1).select(ST.f_sf(F.lit(81.0), F.lit(1.0), F.lit(30.0)), 2 * ST.t_sf(F.lit(9.0), F.lit(30.0))).first()
+    assert r[0] == pytest.approx(r[1], rel=1e-10)
