@@ -113,12 +113,17 @@ def norm_ppf(p) -> Column:
     return F.when((p > 0) & (p < 1), refined)
 
 
+def _power_near_one(x: Column, e: Column) -> Column:
+    """(1 + x)^e for x >= -1, precise for tiny x and huge e."""
+    return F.when(e == 0, 1.0).when(x <= -1.0, 0.0).otherwise(F.exp(e * F.log1p(x)))
+
+
 def _cos_integral(m: Column, slope: Column) -> Column:
     """Integral of (cos v - slope sin v)^m from 0 to its zero."""
     full = math.pi / 2.0 - F.atan(slope)
     k = F.greatest(m, F.lit(1e-300))
     width = F.least(full, 2.0 * DROP / k / (slope + F.sqrt(slope * slope + (1.0 + slope * slope) * 2.0 * DROP / k)))
-    return _tail_integral(lambda v: F.pow(F.greatest(F.cos(v) - slope * F.sin(v), F.lit(0.0)), m), width, m)
+    return _tail_integral(lambda v: _power_near_one(-2.0 * F.pow(F.sin(v / 2.0), F.lit(2.0)) - slope * F.sin(v), m), width, m)
 
 
 def t_sf(t, nu) -> Column:
@@ -233,10 +238,11 @@ def _f_upper(f: Column, d1: Column, d2: Column) -> Column:
         full = math.pi / 2.0 - u if up else u
         root = F.sqrt(slope * slope + 2.0 * DROP * n)
         width = F.least(full, F.when(slope < 0, 2.0 * DROP / (root - slope)).otherwise((slope + root) / n))
+        cot, tan = F.cos(u) / F.greatest(F.sin(u), F.lit(1e-300)), F.sin(u) / F.greatest(F.cos(u), F.lit(1e-300))
+
         def g(v):
-            w = u + v if up else u - v
-            return (F.pow(F.greatest(F.sin(w), F.lit(0.0)) / F.greatest(F.sin(u), F.lit(1e-300)), a)
-                    * F.pow(F.greatest(F.cos(w), F.lit(0.0)) / F.greatest(F.cos(u), F.lit(1e-300)), b))
+            bend = 2.0 * F.pow(F.sin(v / 2.0), F.lit(2.0))
+            return (_power_near_one(sign * cot * F.sin(v) - bend, a) * _power_near_one(-sign * tan * F.sin(v) - bend, b))
         return _tail_integral(g, width, b if up else a)
 
     factor = F.exp(a * F.log(F.sin(at) / F.greatest(F.sin(top), F.lit(1e-300)))
@@ -255,14 +261,14 @@ def f_sf(f, d1, d2) -> Column:
 
 
 def log_factorial(m) -> Column:
-    """ln(m!) for m >= 0: exact sum below 10, Stirling series (error < 1e-12) above."""
+    """ln(m!) for m >= 0: exact sum below 20, Stirling series (error < 1e-14) above."""
     m = _lit(m)
     md = m.cast("double")
     exact = F.aggregate(F.sequence(F.lit(1), F.greatest(m.cast("int"), F.lit(1))), F.lit(0.0),
                         lambda acc, i: acc + F.log(i.cast("double")))
     stirling = (md * F.log(md) - md + 0.5 * F.log(2.0 * math.pi * md) + 1.0 / (12.0 * md)
-                - 1.0 / (360.0 * F.pow(md, 3)) + 1.0 / (1260.0 * F.pow(md, 5)))
-    return F.when(m <= 1, F.lit(0.0)).when(m < 10, exact).otherwise(stirling)
+                - 1.0 / (360.0 * F.pow(md, 3)) + 1.0 / (1260.0 * F.pow(md, 5)) - 1.0 / (1680.0 * F.pow(md, 7)))
+    return F.when(m <= 1, F.lit(0.0)).when(m < 20, exact).otherwise(stirling)
 
 
 def _deviance(x: Column, np_: Column) -> Column:
@@ -314,5 +320,5 @@ def sql_log_factorial(m: str) -> str:
     exact = f"list_reduce(list_transform(range(1, greatest(CAST({m} AS BIGINT), 1) + 1), " \
             f"lambda i: ln(CAST(i AS DOUBLE))), lambda x, y: x + y)"
     stirling = f"({md} * ln({md}) - {md} + 0.5 * ln(2.0 * pi() * {md}) + 1.0 / (12.0 * {md}) " \
-               f"- 1.0 / (360.0 * pow({md}, 3)) + 1.0 / (1260.0 * pow({md}, 5)))"
-    return f"(CASE WHEN {m} <= 1 THEN 0.0 WHEN {m} < 10 THEN {exact} ELSE {stirling} END)"
+               f"- 1.0 / (360.0 * pow({md}, 3)) + 1.0 / (1260.0 * pow({md}, 5)) - 1.0 / (1680.0 * pow({md}, 7)))"
+    return f"(CASE WHEN {m} <= 1 THEN 0.0 WHEN {m} < 20 THEN {exact} ELSE {stirling} END)"
