@@ -37,6 +37,15 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sized(df: DataFrame, rows: int, per_task: int = 50_000) -> DataFrame:
+    """``df`` in no more tasks than ``rows`` short rows need (never in more than it has).
+
+    For small derived tables on their way through many shuffles, where AQE
+    may not merge partitions; large tables keep all their partitions.
+    """
+    return df.coalesce(max(6, -(-rows // per_task)))
+
+
 def text_of(col: str = "text") -> Column:
     """The text column with null read as empty."""
     return F.coalesce(F.col(col), F.lit(""))

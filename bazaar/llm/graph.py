@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from bazaar.llm.common import saved
+from bazaar.llm.common import saved, sized
 
 SALTS = 8
 
@@ -19,25 +19,28 @@ def connected_components(edges: DataFrame) -> DataFrame:
     round is written to the shared folder; only a count and a checksum come
     to the driver.
     """
-    def put(df: DataFrame) -> tuple[DataFrame, tuple]:
+    def put(df: DataFrame, rows: int) -> tuple[DataFrame, tuple]:
         """Save the edges; the same job counts and sums them."""
         seen = Observation()
-        out = saved(df.distinct().observe(seen, F.count(F.lit(1)).alias("n"),
+        out = saved(sized(df.distinct(), rows).observe(seen, F.count(F.lit(1)).alias("n"),
                                           F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")), "edges")
         return out, (seen.get["n"], seen.get["sum"])
 
-    e, now = put(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")))
+    e, now = put(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")),
+                 edges.count())
     before = None
     while now != before and now[0]:
         before = now
+        n = 2 * now[0]
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = (both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+        least = (sized(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), n)
                  .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
         large = (both.where(F.col("v") > F.col("u")).withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
-                 .join(least, ["u", "salt"]).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        small = large.groupBy("u").agg(F.min("v").alias("m"))
+                 .join(least, ["u", "salt"]).select(F.col("v").alias("u"), F.col("m").alias("v")))
+        large = sized(sized(large, n).distinct(), n)
+        small = sized(large.groupBy("u").agg(F.min("v").alias("m")), n)
         rest = (large.join(small, "u").where(F.col("v") != F.col("m"))
                 .select(F.col("v").alias("u"), F.col("m").alias("v")))
-        e, now = put(rest.union(small.select("u", F.col("m").alias("v"))))
+        e, now = put(sized(rest, n).union(small.select("u", F.col("m").alias("v"))), n)
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaar.llm.common import prepared, saved, text_of
+from bazaar.llm.common import prepared, saved, sized, text_of
 from bazaar.llm.graph import connected_components
 
 SHINGLE = 5
@@ -169,8 +169,7 @@ def verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8,
-                    samples: int = 16, minima: int = 3, seed: int = 3, first_centres: int = 4,
-                    centres: int = 16) -> DataFrame:
+                    samples: int = 16, minima: int = 3, seed: int = 3, centres: int = 2) -> DataFrame:
     """Classes of near-duplicate documents: id, class_id (smallest id of the class) and kept.
 
     Two texts are linked if the longest common alignment of their
@@ -181,12 +180,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Candidates share an Order-MinHash key: at similarity 0.8 a key of
     ``minima`` = 3 agrees with probability 0.8^3, so ``samples`` = 16 keys miss
     a pair once in 100,000.  No bucket is expanded into pairs.  In each round
-    every bucket draws ``centres`` of its texts by seeded hashes, and its members
-    of other components are aligned with them; found links are contracted, and
-    the rounds go on, with new centres, until one finds nothing new.  A bucket
-    of up to that many texts is so compared whole.  A bucket's rows are
-    never ranked or collected, so a group of near copies of any size stays
-    spread; candidates of a round grow with samples * centres * rows.
+    every bucket has ``centres`` of its texts as centres, in the first the one
+    whose keys most other texts share, else drawn by seeded hashes, and its
+    members of other components are aligned with them; found links are
+    contracted, and the rounds go on, with new centres, until one finds nothing
+    new.  A bucket's rows are never ranked or collected, so a group of near
+    copies of any size stays spread; candidates of a round grow with samples *
+    centres * rows.
 
     Null texts are empty; texts without words are compared as they are (equal:
     one class); null ids take no part; repeated rows share one class; an empty
@@ -197,26 +197,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sketch = saved(sketches(docs, id_col, text_col, samples, minima, seed), "sketches")
     same = saved(sketch.groupBy("h1", "h2").agg(F.min("id").alias("class"), F.any_value("keys").alias("keys")), "classes")
     buckets = same.select(F.explode("keys").alias("key"), F.col("class").alias("id"))
-    shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    buckets = saved(buckets.join(shared, "key", "left_semi"), "buckets")
+    shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("mass")).where("mass > 1")
+    buckets = saved(buckets.join(shared, "key"), "buckets")
+    # the texts of a group lie closest to the one whose keys most others share
+    central = buckets.groupBy("id").agg(F.sum("mass").alias("mass"))
+    buckets = saved(buckets.drop("mass").join(central, "id"), "buckets")
     needed = buckets.select("id").distinct()
     words = saved(word_table(docs, id_col, text_col).join(needed, "id", "left_semi").dropDuplicates(["id"]), "words")
 
+    n = buckets.count()
     links, component, turn = None, None, 0
     while True:
         members = buckets if component is None else buckets.join(component.withColumnRenamed("node", "id"), "id", "left")
         root = F.col("id") if component is None else F.coalesce("component", "id")
-        members = members.select("key", "id", root.alias("root"))
-        # at first a text has one lot per draw: buckets that share many texts share their centres, and the
-        # pairs coincide; what is still apart then meets different centres in every bucket
+        members = members.select("key", "id", "mass", root.alias("root"))
+        if component is not None:
+            members = sized(members, n)
+        # the first centre of a bucket is its most central text; the others are drawn by hash, and after the first
+        # round differently in every bucket
         lot = ["id"] if not turn else ["key", "id"]
-        draws = [F.min(F.struct(F.xxhash64(F.lit(seed + 1000 * turn + t), *lot).alias("h"), F.col("id").alias("id"),
-                                F.col("root").alias("root"))).alias(f"c{t}") for t in range(first_centres if not turn else centres)]
+        orders = [-F.col("mass") if not t and not turn else F.xxhash64(F.lit(seed + 1000 * turn + t), *lot) for t in range(centres)]
+        draws = [F.min(F.struct(o.alias("h"), F.col("id").alias("id"), F.col("root").alias("root"))).alias(f"c{t}")
+                 for t, o in enumerate(orders)]
         drawn = (members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), *draws).where("lo <> hi")
                  .select("key", F.explode(F.array_distinct(F.array(*[
                      F.struct(F.col(f"c{t}.id").alias("id"), F.col(f"c{t}.root").alias("root")) for t in range(len(draws))]))).alias("c")))
-        pairs = (members.join(saved(drawn, "centres"), "key").where(F.col("root") != F.col("c.root"))
-                 .select(F.least("id", F.col("c.id")).alias("a"), F.greatest("id", F.col("c.id")).alias("b")).distinct())
+        pairs = (members.join(saved(sized(drawn, n), "centres"), "key").where(F.col("root") != F.col("c.root"))
+                 .select(F.least("id", F.col("c.id")).alias("a"), F.greatest("id", F.col("c.id")).alias("b")))
+        pairs = sized(pairs, n).distinct()
         new = saved(verified(pairs, words, similarity).select("a", "b"), "links")
         if not new.take(1):
             break
