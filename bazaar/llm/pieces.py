@@ -29,6 +29,15 @@ def _keys(codes: np.ndarray, width: int) -> np.ndarray:
     return np.ascontiguousarray(windows).view(f"S{4 * width}").ravel()
 
 
+def chunks_of(text: str) -> list[str]:
+    """The text's chunks, each without the space sign that starts it."""
+    if not text:
+        return []
+    if SPACE in text or "  " in text or text[0] == " " or text[-1] == " ":
+        return [c[1:] for c in _CHUNK.findall(SPACE + text.replace(" ", SPACE))]
+    return text.split(" ")
+
+
 class PieceModel(dict):
     """Chunk of text -> its ids as little-endian 32-bit bytes (``limit`` chunks are remembered).
 
@@ -37,7 +46,7 @@ class PieceModel(dict):
     encoded once.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 600_000):
         super().__init__()
         import sentencepiece
         m = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -51,6 +60,10 @@ class PieceModel(dict):
         self.known = [i for i in range(n) if not special[i]]
         if any(SPACE in self.pieces[i].lstrip(SPACE) for i in self.known):
             raise ValueError("a piece holds a space inside: chunks are not independent")
+        # single ASCII bytes are characters of their own; other byte ids take the slow way
+        self.plain = np.array([chr(self.byte[i]) if i in self.byte else "" if i in self.silent else p
+                               for i, p in enumerate(self.pieces)], dtype=object)
+        self.joined = np.array([self.byte.get(i, 0) >= 0x80 for i in range(n)])
         self.known_ids, self.known_score = np.array(self.known), np.array([self.score[i] for i in self.known])
         self.width = max(len(self.pieces[i]) for i in self.known)
         size = np.array([len(self.pieces[i]) for i in self.known])
@@ -152,11 +165,12 @@ class PieceModel(dict):
         raw = flat.astype("<u4").tobytes()
         return [raw[cut[i]:cut[i + 1]] for i in range(len(starts) - 1)]
 
-    def learn(self, chunks: list[str], batch_chars: int = 200_000, long: int = 256) -> None:
-        """Encode new chunks, a concatenation of about ``batch_chars`` characters at a time.
+    def learn(self, keys: list[str], batch_chars: int = 200_000, long: int = 256) -> None:
+        """Encode new chunks (given without their first space sign), a concatenation of about ``batch_chars`` characters at a time.
 
         Chunks of over ``long`` characters stand alone and merge by a heap: the same merges, in n log n steps.
         """
+        chunks = [SPACE + k for k in keys]
         lo = 0
         while lo < len(chunks):
             hi, total = lo, 0
@@ -171,14 +185,14 @@ class PieceModel(dict):
             whole = at + self.size[which] < starts[owner + 1]
             at, which, owner = at[whole], which[whole], owner[whole]
             if len(part[0]) > long:
-                keys = (at * (self.width + 1) + self.size[which]).tolist()
-                self[part[0]] = self._relax_long(part[0], dict(zip(keys, self.known_ids[which].tolist())))
+                spots = (at * (self.width + 1) + self.size[which]).tolist()
+                self[keys[lo]] = self._relax_long(part[0], dict(zip(spots, self.known_ids[which].tolist())))
             else:
-                self.update(zip(part, self._relax(text, starts, at, which, owner)))
+                self.update(zip(keys[lo:hi], self._relax(text, starts, at, which, owner)))
             lo = hi
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
-        cut = [_CHUNK.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
+        cut = list(map(chunks_of, texts))
         wanted = set().union(*cut)
         new = sorted(wanted.difference(self))
         if len(self) + len(new) > self.limit:                  # start anew, with what this batch uses
@@ -190,8 +204,12 @@ class PieceModel(dict):
 
     def decode(self, ids) -> str:
         """Text of the ids; ids outside the vocabulary raise, byte ids that are no UTF-8 become U+FFFD."""
+        ids = np.asarray(ids, dtype=np.int64)
+        if not self.joined[ids].any():
+            text = "".join(self.plain[ids].tolist())
+            return (text[1:] if text.startswith(SPACE) else text).replace(SPACE, " ")
         out, raw = [], bytearray()
-        for i in ids:
+        for i in ids.tolist():
             if i in self.byte:
                 raw.append(self.byte[i])
                 continue
@@ -247,7 +265,7 @@ def decode_pieces(encoded: DataFrame, model_path: str | None = None, id_col: str
             rows = []
             for i, ids in zip(batch.column(0).to_pylist(), batch.column(1)):
                 own = ids.values.to_numpy(zero_copy_only=False).astype("<u4") if ids.is_valid else np.zeros(0, "<u4")
-                rows.append((i, len(own), zlib.crc32(own.tobytes()), model.decode(own.tolist())))
+                rows.append((i, len(own), zlib.crc32(own.tobytes()), model.decode(own)))
             cols = list(zip(*rows)) if rows else [[] for _ in schema]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
 
