@@ -1,9 +1,8 @@
-"""Near-duplicates by Order MinHash: occurrence-labelled shingles in text order, verified by banded alignment."""
+"""Near-duplicates by Order MinHash: keys of occurrence-labelled shingles, verified by banded alignment of plain ones."""
 from __future__ import annotations
 
 import functools
 import re
-from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -40,11 +39,8 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def labelled_shingles(words: np.ndarray, k: int = SHINGLE) -> np.ndarray:
-    """64-bit values of the k-word shingles in text order, each labelled with its occurrence number.
-
-    A text of 1 to k - 1 words is one shingle.
-    """
+def plain_shingles(words: np.ndarray, k: int = SHINGLE) -> np.ndarray:
+    """64-bit values of the k-word shingles in text order; a text of 1 to k - 1 words is one shingle."""
     if not len(words):
         return np.zeros(0, dtype=np.uint64)
     w = words.astype(np.uint64)
@@ -52,6 +48,14 @@ def labelled_shingles(words: np.ndarray, k: int = SHINGLE) -> np.ndarray:
     s = np.full(n, size, dtype=np.uint64)
     for i in range(size):
         s = _mix(s * np.uint64(0x9E3779B97F4A7C15) + w[i:i + n])
+    return s
+
+
+def labelled(s: np.ndarray) -> np.ndarray:
+    """The shingles, each labelled with its occurrence number, so that none repeats."""
+    n = len(s)
+    if not n:
+        return s
     order = np.argsort(s, kind="stable")
     ranked = s[order]
     first = np.r_[True, ranked[1:] != ranked[:-1]]
@@ -61,6 +65,11 @@ def labelled_shingles(words: np.ndarray, k: int = SHINGLE) -> np.ndarray:
     return _mix(s + times * np.uint64(0xD6E8FEB86659FD93))
 
 
+def labelled_shingles(words: np.ndarray, k: int = SHINGLE) -> np.ndarray:
+    """The k-word shingles in text order, each labelled with its occurrence number."""
+    return labelled(plain_shingles(words, k))
+
+
 def order_minhash(shingles: np.ndarray, samples: int, minima: int, seed: int) -> np.ndarray:
     """One key per sample: the ``minima`` shingles smallest under the sample's hash, kept in text order."""
     n = len(shingles)
@@ -81,31 +90,60 @@ def order_minhash(shingles: np.ndarray, samples: int, minima: int, seed: int) ->
     return out
 
 
-def aligned_similarity(a: np.ndarray, b: np.ndarray, least: float) -> float:
+def _common_run(a: list, b: list, band: int) -> int:
+    """Length of the longest common subsequence of places at most ``band`` apart.
+
+    Bit-parallel: a zero bit marks a place of ``b`` where the length grows.
+    Only the band's bits are held; those that it leaves are counted.
+    """
+    masks: dict[int, tuple[int, int]] = {}
+    bits = lo = hi = length = 0
+    for i, x in enumerate(a):
+        end = min(len(b), i + band + 1)
+        if end > hi:
+            bits |= (1 << (end - lo)) - (1 << (hi - lo))
+            for at in range(hi, end):
+                base, mask = masks.get(b[at], (at, 0))
+                masks[b[at]] = base, mask | 1 << (at - base)
+            hi = end
+        start = min(max(0, i - band), hi)
+        if start > lo:
+            gone = start - lo
+            length += gone - (bits & ((1 << gone) - 1)).bit_count()
+            bits, lo = bits >> gone, start
+        if x in masks:
+            base, mask = masks[x]
+            if base < lo:
+                mask >>= lo - base
+                masks[x] = lo, mask
+                base = lo
+            found = bits & (mask << (base - lo))
+            if found:
+                bits = ((bits + found) | (bits - found)) & ((1 << (hi - lo)) - 1)
+    return length + hi - lo - bits.bit_count()
+
+
+def aligned_similarity(a: np.ndarray, b: np.ndarray, least: float, labels: tuple | None = None) -> float:
     """Shingles aligned in order over all shingles of both; 0 where ``least`` cannot be reached.
 
     An alignment that reaches it leaves at most ``band`` shingles out, so its
-    pairs lie within that many diagonals.  Occurrence labels make shingles
-    unique, so the longest alignment is a longest increasing run of places.
+    pairs lie within that many diagonals.  ``labels`` are the labelled shingles
+    of both: what they share bounds the alignment.  If their places rise, they
+    are the longest alignment; repeated shingles may else align with another
+    occurrence, so the sequences themselves are aligned.
     """
     na, nb = len(a), len(b)
     if not na or not nb or min(na, nb) < least * max(na, nb):
         return 0.0
-    _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    la, lb = labels or (labelled(a), labelled(b))
+    _, i, j = np.intersect1d(la, lb, assume_unique=True, return_indices=True)
     if len(i) < least * (na + nb - len(i)):
         return 0.0
     band = na + nb - 2 * int(np.ceil(least / (1 + least) * (na + nb) - 1e-9))
-    order = np.argsort(i)
-    i, j = i[order], j[order]
-    j = j[np.abs(i - j) <= band]
-    if len(j) > 1 and not (j[1:] > j[:-1]).all():
-        tails: list[int] = []
-        for x in j.tolist():
-            at = bisect_left(tails, x)
-            tails[at:at + 1] = [x]
-        length = len(tails)
-    else:
-        length = len(j)
+    j = j[np.argsort(i)]
+    length = len(j)
+    if length > 1 and not (j[1:] > j[:-1]).all():
+        length = _common_run(a.tolist(), b.tolist(), band)
     similarity = length / (na + nb - length)
     return similarity if similarity >= least else 0.0
 
@@ -154,11 +192,18 @@ def verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("similarity", pa.float64())])
 
     def align(batches):
-        shingled = functools.lru_cache(maxsize=64)(lambda raw: labelled_shingles(np.frombuffer(raw, dtype=np.uint32)))
+        @functools.lru_cache(maxsize=64)
+        def shingled(raw):
+            plain = plain_shingles(np.frombuffer(raw, dtype=np.uint32))
+            return plain, labelled(plain)
+
+        def similar(x, y):
+            (s, ls), (t, lt) = shingled(x), shingled(y)
+            return aligned_similarity(s, t, least, (ls, lt))
+
         for batch in batches:
             a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            got = [aligned_similarity(shingled(x.as_py()), shingled(y.as_py()), least)
-                   for x, y in zip(batch.column(2), batch.column(3))]
+            got = [similar(x.as_py(), y.as_py()) for x, y in zip(batch.column(2), batch.column(3))]
             keep = [i for i, s in enumerate(got) if s]
             yield pa.RecordBatch.from_arrays([pa.array([c[i] for i in keep], f.type) for c, f in zip((a, b, got), schema)],
                                              schema=schema)
@@ -172,9 +217,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     samples: int = 16, minima: int = 3, seed: int = 3, centres: int = 2) -> DataFrame:
     """Classes of near-duplicate documents: id, class_id (smallest id of the class) and kept.
 
-    Two texts are linked if the longest common alignment of their
-    occurrence-labelled five-word shingles holds at least ``similarity`` of
-    all their shingles; classes are the connected components.  Texts of equal
+    Two texts are linked if the longest common alignment of their five-word
+    shingles holds at least ``similarity`` of all their shingles; classes are the connected components.  Texts of equal
     words are one class from the start and go on as one row (its smallest id).
 
     Candidates share an Order-MinHash key: at similarity 0.8 a key of

@@ -2,11 +2,12 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pytest
 from helpers import documents
 
 from bazaar.llm.graph import connected_components
 from bazaar.llm.neardup import (aligned_similarity, keep_one, labelled_shingles, near_duplicates, order_minhash,
-                                word_hashes)
+                                plain_shingles, word_hashes)
 
 
 def sentence(rng, n):
@@ -136,3 +137,48 @@ def test_components(spark):
             par[hi] = lo
     got = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r["node"]: r["component"] for r in got} == {n: find(n) for n in par} and len(got) == len(par)
+
+
+def repeated(words, lines, changed):
+    w = [f"w{i}" for i in range(words)] * lines
+    return " ".join(w), " ".join("x" if i in changed else x for i, x in enumerate(w))
+
+
+def unlabelled_similarity(a, b):
+    """Longest common subsequence of plain shingles over all of them, by the full table."""
+    x, y = ([tuple(w[i:i + 5]) for i in range(max(len(w) - 4, 1))] for w in (a.split(), b.split()))
+    row = [0] * (len(y) + 1)
+    for u in x:
+        new = [0]
+        for j, v in enumerate(y):
+            new.append(row[j] + 1 if u == v else max(row[j + 1], new[j]))
+        row = new
+    return row[-1] / (len(x) + len(y) - row[-1])
+
+
+@pytest.mark.parametrize("words,changed", [(20, {9}), (30, {3}), (40, {30}), (60, {10, 40})])
+def test_repetitive_texts_are_aligned_without_labels(words, changed):
+    a, b = repeated(words, 40, changed)
+    want = unlabelled_similarity(a, b)
+    assert want >= 0.97
+    assert abs(aligned_similarity(*[plain_shingles(word_hashes(t)) for t in (a, b)], 0.8) - want) < 1e-12
+
+
+def test_repetitive_alignment_matches_full_table():
+    rng, above = random.Random(11), 0
+    for _ in range(300):
+        line = rng.choices("a b c d e f g h".split(), k=rng.randint(1, 12))
+        a = line * rng.randint(2, 12) + rng.choices("a b c".split(), k=rng.randint(0, 9))
+        b = edited(rng, " ".join(a), rng.randint(0, 3)).split() if rng.random() < 0.7 else a[rng.randint(0, 5):] + a[:rng.randint(0, 5)]
+        a, b = " ".join(a), " ".join(b)
+        if not b:
+            continue
+        want = unlabelled_similarity(a, b)
+        above += 0.8 <= want < 1
+        assert abs(aligned_similarity(*[plain_shingles(word_hashes(t)) for t in (a, b)], 0.8) - (want if want >= 0.8 else 0.0)) < 1e-12
+    assert above > 30
+
+
+def test_repetitive_near_copies_share_a_class(spark):
+    a, b = repeated(20, 40, {9})
+    assert {r["class_id"] for r in near_duplicates(documents(spark, [a, b])).collect()} == {0}
