@@ -213,8 +213,92 @@ def verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
     return both.select("a", "b", "wa", "wb").mapInArrow(align, "a long, b long, similarity double")
 
 
+def rare_prefixes(texts: DataFrame, least: float, slots: int = 1 << 17) -> DataFrame:
+    """(token, id, root, size, at): the rarest labelled shingles of each text (id, root, words).
+
+    Two texts whose alignment reaches ``least`` share ``least`` of the labelled
+    shingles of either, so under any one order of all shingles both have a
+    shared one among their first n - ceil(least * n) + 1.  The order is by how
+    often a shingle's slot (its value modulo ``slots``) occurs, then by value;
+    the counts of the slots are all that comes to the driver.
+    """
+    def shingled(raw) -> np.ndarray:
+        return labelled_shingles(np.frombuffer(raw.as_py(), dtype=np.uint32))
+
+    def tally(batches):
+        n = np.zeros(slots, dtype=np.int64)
+        for batch in batches:
+            for raw in batch.column(0):
+                n += np.bincount((shingled(raw) % np.uint64(slots)).astype(np.int64), minlength=slots)
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], names=["slot", "n"])
+
+    counts = (texts.select("words").mapInArrow(tally, "slot long, n long")
+              .groupBy("slot").agg(F.sum("n").alias("n")).toArrow())
+    often = np.zeros(slots, dtype=np.int64)
+    often[counts["slot"].to_numpy()] = counts["n"].to_numpy()
+    names = ["token", "id", "root", "size", "at"]
+
+    def cut(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 64):
+                out = []
+                for i, root, raw in zip(*[c for c in batch.slice(lo, 64).columns]):
+                    x = shingled(raw)
+                    n = len(x)
+                    keep = n - int(np.ceil(least * n - 1e-9)) + 1
+                    first = x[np.lexsort((x, often[(x % np.uint64(slots)).astype(np.int64)]))[:keep]].view(np.int64)
+                    out.append((first, *[np.full(len(first), v, np.int64) for v in (i.as_py(), root.as_py(), n)],
+                                np.arange(len(first))))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=names)
+
+    return texts.select("id", "root", "words").mapInArrow(cut, ", ".join(f"{c} long" for c in names))
+
+
+def prefix_pairs(rows: DataFrame, least: float, tile_rows: int = 1000) -> DataFrame:
+    """(a, b): texts of different roots with a common token that sizes and places of it let reach ``least``.
+
+    The members of a token's commonest root meet only those of other roots;
+    the members of a frequent token are dealt over tiles.
+    """
+    tally = rows.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("token").agg(
+        F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("roots"))
+    tally = tally.where("roots > 1").select(
+        "token", F.col("top.root").alias("main"), F.ceil(F.col("n") / tile_rows).cast("int").alias("tiles"))
+    rows = saved(rows.join(tally, "token"), "tokens")
+    own = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
+    x = rows.where("root <> main").select("token", own.alias("i"), every.alias("j"), F.struct("id", "root", "size", "at").alias("x"))
+    y = rows.select("token", every.alias("i"), own.alias("j"), F.struct("id", "root", "main", "size", "at").alias("y"))
+    n, m = F.col("x.size"), F.col("y.size")
+    needed = F.ceil(F.lit(least / (1 + least)) * (n + m) - 1e-9)
+    ok = ((F.col("x.root") != F.col("y.root")) & ((F.col("y.root") == F.col("y.main")) | (F.col("x.id") < F.col("y.id")))
+          & (F.least(n - F.col("x.at"), m - F.col("y.at")) >= needed) & (F.least(n, m) >= F.lit(least) * F.greatest(n, m) - 1e-9))
+    return (x.join(y, ["token", "i", "j"]).where(ok)
+            .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")))
+
+
+def open_pairs(members: DataFrame, words: DataFrame, least: float, whole: int) -> DataFrame:
+    """(a, b): every pair of a bucket with different roots that can reach ``least``, from rows (key, id, root).
+
+    Buckets of up to ``whole`` texts give all their pairs; the texts of larger
+    ones meet by their rarest shingles.
+    """
+    tally = members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n"))
+    rows = saved(members.select("key", "id", "root").join(tally.where("lo <> hi").select("key", "n"), "key"), "open")
+    small = rows.where(F.col("n") <= whole)
+    pairs = (small.select("key", F.col("id").alias("a"), F.col("root").alias("ra"))
+             .join(small.select("key", F.col("id").alias("b"), F.col("root").alias("rb")), "key")
+             .where("a < b and ra <> rb").select("a", "b"))
+    large = rows.where(F.col("n") > whole).select("id", "root").distinct()
+    if large.take(1):
+        texts = saved(large.join(words, "id"), "open-texts")
+        pairs = pairs.union(prefix_pairs(rare_prefixes(texts, least), least))
+    return pairs.distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8,
-                    samples: int = 16, minima: int = 3, seed: int = 3, centres: int = 2) -> DataFrame:
+                    samples: int = 16, minima: int = 3, seed: int = 3, centres: int = 2, whole: int = 16) -> DataFrame:
     """Classes of near-duplicate documents: id, class_id (smallest id of the class) and kept.
 
     Two texts are linked if the longest common alignment of their five-word
@@ -223,14 +307,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Candidates share an Order-MinHash key: at similarity 0.8 a key of
     ``minima`` = 3 agrees with probability 0.8^3, so ``samples`` = 16 keys miss
-    a pair once in 100,000.  No bucket is expanded into pairs.  In each round
-    every bucket has ``centres`` of its texts as centres, in the first the one
-    whose keys most other texts share, else drawn by seeded hashes, and its
-    members of other components are aligned with them; found links are
-    contracted, and the rounds go on, with new centres, until one finds nothing
-    new.  A bucket's rows are never ranked or collected, so a group of near
-    copies of any size stays spread; candidates of a round grow with samples *
-    centres * rows.
+    a pair once in 100,000.  Rounds first contract large groups: every bucket
+    has ``centres`` of its texts as centres, in the first round the one whose
+    keys most other texts share, else drawn by seeded hashes, and its members
+    of other components are aligned with them, until a round links few texts.
+    Then every pair of a bucket that is still in different components is
+    aligned or excluded by an exact bound: buckets of up to ``whole`` texts
+    are compared whole, the texts of larger ones meet by their rarest shingles
+    (a prefix filter, exact at ``similarity``).  Members of one component are
+    never paired, so a group of near copies of any size stays linear.
 
     Null texts are empty; texts without words are compared as they are (equal:
     one class); null ids take no part; repeated rows share one class; an empty
@@ -251,12 +336,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     n = buckets.count()
     links, component, turn = None, None, 0
-    while True:
+
+    def rooted() -> DataFrame:
         members = buckets if component is None else buckets.join(component.withColumnRenamed("node", "id"), "id", "left")
         root = F.col("id") if component is None else F.coalesce("component", "id")
-        members = members.select("key", "id", "mass", root.alias("root"))
-        if component is not None:
-            members = sized(members, n)
+        return members.select("key", "id", "mass", root.alias("root"))
+
+    while True:
+        members = rooted() if component is None else sized(rooted(), n)
         # the first centre of a bucket is its most central text; the others are drawn by hash, and after the first
         # round differently in every bucket
         lot = ["id"] if not turn else ["key", "id"]
@@ -270,11 +357,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                  .select(F.least("id", F.col("c.id")).alias("a"), F.greatest("id", F.col("c.id")).alias("b")))
         pairs = sized(pairs, n).distinct()
         new = saved(verified(pairs, words, similarity).select("a", "b"), "links")
-        if not new.take(1):
+        found = new.count()
+        if found:
+            links = new if links is None else links.union(new)
+            component = saved(connected_components(links), "components")
+        if found * 500 * samples <= n:            # the rest is left to the exact comparison
             break
-        links = new if links is None else links.union(new)
-        component = saved(connected_components(links), "components")
         turn += 1
+    new = saved(verified(open_pairs(rooted(), words, similarity, whole), words, similarity).select("a", "b"), "links")
+    if new.take(1):
+        component = saved(connected_components(new if links is None else links.union(new)), "components")
     groups = same.select("h1", "h2", F.col("class").alias("node"))
     if component is None:
         groups = groups.select("h1", "h2", F.col("node").alias("class_id"))

@@ -182,3 +182,38 @@ def test_repetitive_alignment_matches_full_table():
 def test_repetitive_near_copies_share_a_class(spark):
     a, b = repeated(20, 40, {9})
     assert {r["class_id"] for r in near_duplicates(documents(spark, [a, b])).collect()} == {0}
+
+
+@pytest.mark.parametrize("others", [6, 60])
+def test_pair_that_shares_only_crowded_buckets(spark, others):
+    """One pair of 0.84 among texts of below 0.8; every key that it shares, most of the others have too."""
+    rng = random.Random(others)
+    def text(private, shared=()):
+        return " ".join([f"c{i}" for i in range(100)] + [f"p{rng.randint(0, 10 ** 9)}" for _ in range(private)] + list(shared))
+    def keys(t):
+        return set(order_minhash(labelled_shingles(word_hashes(t)), 16, 3, 3).tolist())
+    crowd = [text(14) for _ in range(others)]
+    crowded = [keys(t) for t in crowd]
+    while True:
+        end = [f"s{rng.randint(0, 10 ** 9)}" for _ in range(14)]
+        pair = text(6, end), text(6, end)
+        common = keys(pair[0]) & keys(pair[1])
+        if common and all(sum(k in c for c in crowded) > 2 for k in common):
+            break
+    texts = crowd + list(pair)
+    assert plain_similarity(*pair) >= 0.8 and max(plain_similarity(x, y) for x in texts for y in crowd if x is not y) < 0.8
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates(documents(spark, texts)).collect()}
+    assert got == {i: min(i, others) for i in range(len(texts))}
+
+
+def test_prefix_pairs_lose_no_similar_pair(spark):
+    from bazaar.llm.neardup import prefix_pairs, rare_prefixes, word_table
+    rng = random.Random(17)
+    texts = [sentence(rng, rng.choice([3, 8, 40, 90])) for _ in range(12)]
+    texts += [edited(rng, t, rng.randint(0, 4)) for t in texts for _ in range(4)] + ["a b c d e " * k for k in range(4, 16)]
+    texts = [t for t in texts if t]
+    docs = documents(spark, texts)
+    words = word_table(docs, "doc_id", "text").selectExpr("id", "id % 3 as root", "words")
+    got = {(r["a"], r["b"]) for r in prefix_pairs(rare_prefixes(words, 0.8), 0.8, tile_rows=3).collect()}
+    want = {(i, j) for j in range(len(texts)) for i in range(j) if i % 3 != j % 3 and plain_similarity(texts[i], texts[j]) >= 0.8}
+    assert len(want) > 20 and want <= got and all(a % 3 != b % 3 for a, b in got)
