@@ -1,4 +1,4 @@
-"""Embedding near-duplicates by NN-descent: refined neighbour lists, enlarged when saturated, audited recall."""
+"""Embedding near-duplicates by NN-descent: refined neighbour lists, exact joins of large components, audited recall."""
 from __future__ import annotations
 
 import logging
@@ -169,6 +169,87 @@ def linked_counts(nodes: DataFrame, component: DataFrame, least: float, tile_row
     return tiles.groupBy("node").agg(F.sum("n").alias("n"))
 
 
+def _near_balls(least: float):
+    """The (node, ball) of a tile whose angle lets a member of the ball reach ``least`` with the node."""
+    reach = float(np.arccos(np.clip(least, -1.0, 1.0))) + 1e-6
+    schema = pa.schema([("node", pa.int64()), ("ball", pa.int64())])
+
+    def near(table: pa.Table) -> pa.Table:
+        node, own, wide, ball, radius, m = (table["node"].to_numpy(), table["own"].to_numpy(),
+                                            table["wide"].to_numpy(zero_copy_only=False), table["ball"].to_numpy(),
+                                            table["radius"].to_numpy(), _matrix(table, "unit"))
+        rows, cols = np.flatnonzero(ball < 0), np.flatnonzero(ball >= 0)
+        out = [np.zeros((2, 0), dtype=np.int64)]
+        for lo in range(0, len(rows), 512):
+            part = rows[lo:lo + 512]
+            angle = np.arccos(np.clip(m[part] @ m[cols].T, -1.0, 1.0))
+            # two balls meet once: the members of the later one are compared with the earlier
+            meets = (angle <= radius[cols] + reach) & np.where(wide[part][:, None], own[part][:, None] > own[cols], own[part][:, None] != own[cols])
+            i, j = np.nonzero(meets)
+            out.append(np.stack([node[part[i]], own[cols[j]]]))
+        return pa.table(list(map(pa.array, np.concatenate(out, axis=1))), schema=schema)
+    return near
+
+
+def _first_links(least: float):
+    """For each candidate of a tile that reaches ``least`` with one of its members: one such pair."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def first(table: pa.Table) -> pa.Table:
+        node, side, m = table["node"].to_numpy(), table["side"].to_numpy(zero_copy_only=False), _matrix(table, "unit")
+        rows, cols = np.flatnonzero(side), np.flatnonzero(~side)
+        out = [np.zeros((2, 0), dtype=np.int64)]
+        for lo in range(0, len(rows) if len(cols) else 0, 512):
+            part = rows[lo:lo + 512]
+            linked = m[part] @ m[cols].T >= least
+            hit = np.flatnonzero(linked.any(axis=1))
+            out.append(np.stack([node[part[hit]], node[cols[linked[hit].argmax(axis=1)]]]))
+        return pa.table(list(map(pa.array, np.concatenate(out, axis=1))), schema=schema)
+    return first
+
+
+def cross_links(nodes: DataFrame, component: DataFrame, least: float, above: int, tile_rows: int) -> DataFrame:
+    """(a, b): links that join a component of more than ``above`` nodes with a node outside it, exact.
+
+    Each such component is a ball around its smallest node; by the triangle
+    inequality of angles only nodes near the ball can link with a member, and
+    these are compared with all its members by tiles.  A node yields one link
+    per component at most.  ``above`` = 0 leaves no link between components.
+    """
+    owner = nodes.join(component, "node", "left").select("node", "space", "unit", F.coalesce("component", "node").alias("own"))
+    sizes = owner.groupBy("own").agg(F.count(F.lit(1)).alias("n"))
+    owner = saved(owner.join(sizes, "own").withColumn("wide", F.col("n") > above), "owners")
+    wide = owner.where("wide")
+    centre = wide.where("node = own").select("own", F.col("unit").alias("centre"), F.explode(
+        F.sequence(F.lit(0), F.floor(F.col("n") / tile_rows))).alias("salt"))
+    salt = F.pmod(F.xxhash64("node"), F.floor(F.col("n") / tile_rows) + 1)
+    dot = F.aggregate(F.zip_with("unit", "centre", lambda x, y: x * y), F.lit(0.0), lambda t, x: t + x)
+    radius = (wide.withColumn("salt", salt).join(centre, ["own", "salt"])
+              .groupBy("own").agg(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.min(dot)))).alias("radius")))
+    balls = saved(wide.where("node = own").join(radius, "own").select("space", "own", "radius", "unit"), "balls")
+
+    block = 4 * tile_rows
+    tiles = (owner.groupBy("space").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("ni"))
+             .join(balls.groupBy("space").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("nj")), "space"))
+    def part(col, of):
+        return F.pmod(F.xxhash64(col), F.col(of)).cast("int")
+    def every(of):
+        return F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    x = owner.join(tiles, "space").select("space", part("node", "ni").alias("i"), every("nj").alias("j"), "node", "own", "wide",
+                                          F.lit(-1).cast("long").alias("ball"), F.lit(0.0).alias("radius"), "unit")
+    y = balls.join(tiles, "space").select("space", every("ni").alias("i"), part("own", "nj").alias("j"), F.col("own").alias("node"), "own",
+                                          F.lit(True).alias("wide"), F.lit(0).cast("long").alias("ball"), "radius", "unit")
+    near = saved(x.union(y).groupBy("space", "i", "j").applyInArrow(_near_balls(least), "node long, ball long"), "near")
+
+    counts = near.groupBy("ball").agg(F.ceil(F.count(F.lit(1)) / tile_rows).cast("int").alias("ni"))
+    counts = counts.join(sizes.select(F.col("own").alias("ball"), F.ceil(F.col("n") / tile_rows).cast("int").alias("nj")), "ball")
+    asked = near.join(counts, "ball").join(nodes.select("node", "unit"), "node")
+    inside = wide.select(F.col("own").alias("ball"), "node", "unit").join(counts, "ball")
+    x = asked.select("ball", part("node", "ni").alias("i"), every("nj").alias("j"), "node", F.lit(True).alias("side"), "unit")
+    y = inside.select("ball", every("ni").alias("i"), part("node", "nj").alias("j"), "node", F.lit(False).alias("side"), "unit")
+    return x.union(y).groupBy("ball", "i", "j").applyInArrow(_first_links(least), "a long, b long")
+
+
 def audit_recall(nodes: DataFrame, counts: DataFrame, least: float, sample: int, seed: int) -> float:
     """Share of the true links of ``sample`` nodes (smallest seeded hashes) that were found.
 
@@ -213,10 +294,13 @@ def embedding_duplicates(vectors: DataFrame, least: float = 0.98, id_col: str =
 
     Equal vectors are one node with copies.  NN-descent gives neighbour lists;
     their pairs at ``least`` or more make components, and inside a component
-    every pair is compared by tiles, so saturated lists lose no link of their
-    group.  The recall of ``sample`` nodes is audited against brute force; below
-    ``recall`` the search is repeated with twice the trees and the new pairs
-    are added (at most ``max_tries`` times, then a warning).  Vectors that
+    every pair is compared by tiles.  A node whose list is saturated lies in a
+    component of more than ``size`` nodes; these are compared with all nodes
+    outside that can link with them, so saturated lists lose no link.  The
+    recall of sampled nodes is audited against brute force; below ``recall``
+    the search is repeated with twice the trees and list size and one more
+    turn, and the new pairs are added.  If ``max_tries`` do not reach it, every
+    component is compared with all nodes outside: exact.  Vectors that
     are null, empty, zero or hold null or non-finite components, and null
     labels, link with nothing; null ids keep a row of their own with null
     component; repeated rows count once and each keep a row.
@@ -226,16 +310,29 @@ def embedding_duplicates(vectors: DataFrame, least: float = 0.98, id_col: str =
     key = ["space", "unit"]
     nodes = saved(units.groupBy(*key).agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("copies")), "nodes")
     links, counts, component = None, None, None
-    for attempt in range(max_tries):
-        lists = neighbour_lists(nodes, least, size, trees << attempt, leaf_rows, turns, seed + 100 * attempt)
-        new = lists.where(F.col("cos") >= least).select(F.col("u").alias("a"), F.col("v").alias("b"))
+
+    def join(new: DataFrame, above: int) -> None:
+        """Add links; components that a saturated list may have split (more than ``above`` nodes) are joined exactly."""
+        nonlocal links, component
         links = new if links is None else links.union(new)
         component = saved(connected_components(links), "components")
+        across = saved(cross_links(nodes, component, least, above, tile_rows), "across")
+        if across.take(1):
+            links = links.union(across)
+            component = saved(connected_components(links), "components")
+
+    for attempt in range(max_tries):
+        lists = neighbour_lists(nodes, least, size << attempt, trees << attempt, leaf_rows, turns + attempt, seed + 100 * attempt)
+        new = lists.where(F.col("cos") >= least).select(F.col("u").alias("a"), F.col("v").alias("b"))
+        join(new, size)
         counts = saved(linked_counts(nodes, component, least, tile_rows), "counts")
         found = audit_recall(nodes, counts, least, sample, seed)
         if found >= recall:
             break
         log.warning("recall %.4f after attempt %d", found, attempt + 1)
+    else:
+        join(links, 0)
+        counts = saved(linked_counts(nodes, component, least, tile_rows), "counts")
     per_node = (nodes.join(component, "node", "left").join(counts, "node", "left")
                 .select(*key, (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
                         F.coalesce("component", "node").alias("component_id")))

@@ -59,3 +59,18 @@ def test_edges(spark):
     assert run(spark, []) == {}
     twice = embedding_duplicates(spark.createDataFrame([*rows[:2], rows[1], (None, [1.0, 0.0], 1)], COLS)).collect()
     assert len(twice) == 4 and sorted((r["vec_id"] or 0, r["n_links"]) for r in twice) == [(0, 0), (1, 1), (2, 1), (2, 1)]
+
+
+def test_families_beyond_saturated_lists_are_joined(spark):
+    """Two families, 0.999 alike within and 0.985 across: no list holds a cross link."""
+    rng = np.random.default_rng(5)
+    a = rng.normal(size=32)
+    a /= np.linalg.norm(a)
+    b = rng.normal(size=32)
+    b -= (b @ a) * a
+    b = 0.985 * a + np.sqrt(1 - 0.985 ** 2) * b / np.linalg.norm(b)
+    rows = [(k, [float(x) for x in ((a, b)[k % 2] + rng.normal(size=32) * 0.003).astype(np.float32)], 1) for k in range(300)]
+    rows += [(300 + k, [float(x) for x in rng.normal(size=32).astype(np.float32)], 1) for k in range(20)]
+    want = brute(rows)
+    assert sum(k for _, _, k in want.values()) == 21 and want[0][0] > 200
+    assert run(spark, rows, tile_rows=64) == want
