@@ -250,37 +250,57 @@ def cross_links(nodes: DataFrame, component: DataFrame, least: float, above: int
     return x.union(y).groupBy("ball", "i", "j").applyInArrow(_first_links(least), "a long, b long")
 
 
-def audit_recall(nodes: DataFrame, counts: DataFrame, least: float, sample: int, seed: int) -> float:
-    """Share of the true links of ``sample`` nodes (smallest seeded hashes) that were found.
-
-    At most ``sample`` vectors are sent to the tasks, which compare them with
-    every node of their space in blocks.
+def audit_recall(nodes: DataFrame, component: DataFrame, counts: DataFrame, least: float, sample: int, size: int,
+                 seed: int) -> float:
+    """Mean share of its true links that a linked node has, the lower one of two groups of nodes.
+
+    The groups are the nodes in components of more than ``size`` nodes and all
+    others, so a hot component does not hide lost links of small ones.
+    Sampled by smallest seeded hashes are ``sample`` nodes of the first group,
+    ``sample`` linked ones of the second and four times as many unlinked ones,
+    weighted by how many nodes each stands for.  The sampled vectors are sent
+    to the tasks, which compare them with every node of their space in blocks.
     """
-    asked = (nodes.orderBy(F.xxhash64(F.lit(seed), "node"), "node").limit(sample)
-             .select("node", "space", "unit").collect())
+    sizes = component.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    kind = F.when(F.col("n") > size, "large").when(F.col("n") > 1, "small").otherwise("single")
+    kinds = component.join(sizes, "component").select("node", kind.alias("kind"))
+    grouped = saved(nodes.join(kinds, "node", "left").withColumn("kind", F.coalesce("kind", F.lit("single"))), "audited")
+    many = {r["kind"]: r["n"] for r in grouped.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
     by_space: dict[tuple, tuple] = {}
-    for r in asked:
-        got = by_space.setdefault((r["space"], len(r["unit"])), ([], []))
-        got[0].append(r["node"]), got[1].append(r["unit"])
+    weights: dict[int, tuple] = {}
+    for name, most in (("large", sample), ("small", sample), ("single", 4 * sample)):
+        asked = (grouped.where(F.col("kind") == name).orderBy(F.xxhash64(F.lit(seed), "node"), "node").limit(most)
+                 .select("node", "space", "unit").collect() if name in many else [])
+        for r in asked:
+            got = by_space.setdefault((r["space"], len(r["unit"])), ([], []))
+            got[0].append(r["node"]), got[1].append(r["unit"])
+            weights[r["node"]] = name == "large", many[name] / len(asked)
     by_space = {k: (np.array(a), np.array(b)) for k, (a, b) in by_space.items()}
     schema = pa.schema([("node", pa.int64()), ("n", pa.int64())])
 
     def compare(batches):
+        total = {k: np.zeros(len(ids), dtype=np.int64) for k, (ids, _) in by_space.items()}
         for batch in batches:
-            t = pa.Table.from_batches([batch])
-            for (space, d), (ids, units) in by_space.items():
-                own = t.filter(pa.array(t["space"].to_numpy() == space))
-                if own.num_rows:
-                    cos = units @ _matrix(own, "unit").T
-                    linked = (cos >= least) & (ids[:, None] != own["node"].to_numpy()[None, :])
-                    n = linked @ own["copies"].to_numpy()
-                    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n.astype(np.int64))], schema=schema)
-
-    true = nodes.select("node", "space", "copies", "unit").mapInArrow(compare, "node long, n long")
+            for lo in range(0, batch.num_rows, 1024):
+                t = pa.Table.from_batches([batch.slice(lo, 1024)])
+                spaces = t["space"].to_numpy()
+                for (space, d), (ids, units) in by_space.items():
+                    own = t.filter(pa.array(spaces == space))
+                    if own.num_rows:
+                        cos = units @ _matrix(own, "unit").T
+                        linked = (cos >= least) & (ids[:, None] != own["node"].to_numpy()[None, :])
+                        total[space, d] += linked @ own["copies"].to_numpy()
+        for k, (ids, _) in by_space.items():
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[k])], schema=schema)
+
+    true = grouped.select("node", "space", "copies", "unit").mapInArrow(compare, "node long, n long")
     true = true.groupBy("node").agg(F.sum("n").alias("t")).where("t > 0")
-    total, got = true.join(counts, "node", "left").agg(
-        F.sum("t"), F.sum(F.least(F.col("t"), F.coalesce("n", F.lit(0))))).first()
-    return 1.0 if not total else got / total
+    linked, had = {True: 0.0, False: 0.0}, {True: 0.0, False: 0.0}
+    for r in true.join(counts, "node", "left").select("node", "t", F.coalesce("n", F.lit(0)).alias("n")).collect():
+        large, weight = weights[r["node"]]
+        linked[large] += weight
+        had[large] += weight * min(r["n"], r["t"]) / r["t"]
+    return min([had[k] / linked[k] for k in linked if linked[k]], default=1.0)
 
 
 def embedding_duplicates(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id", vec_col: str = "embedding",
@@ -297,7 +317,7 @@ def embedding_duplicates(vectors: DataFrame, least: float = 0.98, id_col: str =
     every pair is compared by tiles.  A node whose list is saturated lies in a
     component of more than ``size`` nodes; these are compared with all nodes
     outside that can link with them, so saturated lists lose no link.  The
-    recall of sampled nodes is audited against brute force; below ``recall``
+    recall per sampled node is audited against brute force; below ``recall``
     the search is repeated with twice the trees and list size and one more
     turn, and the new pairs are added.  If ``max_tries`` do not reach it, every
     component is compared with all nodes outside: exact.  Vectors that
@@ -326,7 +346,7 @@ def embedding_duplicates(vectors: DataFrame, least: float = 0.98, id_col: str =
         new = lists.where(F.col("cos") >= least).select(F.col("u").alias("a"), F.col("v").alias("b"))
         join(new, size)
         counts = saved(linked_counts(nodes, component, least, tile_rows), "counts")
-        found = audit_recall(nodes, counts, least, sample, seed)
+        found = audit_recall(nodes, component, counts, least, sample, size, seed)
         if found >= recall:
             break
         log.warning("recall %.4f after attempt %d", found, attempt + 1)

@@ -74,3 +74,17 @@ def test_families_beyond_saturated_lists_are_joined(spark):
     want = brute(rows)
     assert sum(k for _, _, k in want.values()) == 21 and want[0][0] > 200
     assert run(spark, rows, tile_rows=64) == want
+
+
+def test_lost_small_groups_fail_the_audit(spark):
+    """A hot group with all its links does not hide pairs that one coarse tree misses."""
+    rng = np.random.default_rng(9)
+    hot = rng.normal(size=24)
+    near = lambda c: [float(x) for x in (c + rng.normal(size=24) * 0.02).astype(np.float32)]
+    rows = [(k, near(hot), 1) for k in range(300)]
+    for k in range(120):
+        c = rng.normal(size=24)
+        rows += [(1000 + 2 * k, near(c), 1), (1001 + 2 * k, near(c), 1)]
+    want = brute(rows)
+    assert want[1][0] > 250 and sum(want[1000 + k][0] for k in range(240)) >= 230
+    assert run(spark, rows, trees=1, leaf_rows=2, turns=1, max_tries=1, tile_rows=64) == want
