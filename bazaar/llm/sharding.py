@@ -17,15 +17,19 @@ def shuffle_shards(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Deal all rows into ``n_shards`` shards in a seeded random order; adds size, shard and slot.
 
     Pass 1 scatters whole records with a seeded hash of (id, text) into
-    ceil(total size / bucket_bytes) buckets, one partition each.  Pass 2 brings
+    ceil(total size / bucket_bytes) buckets, one partition each.  Rows of one
+    (id, text) that hold over a quarter of ``bucket_bytes`` are hashed by all
+    their columns and a copy number: equal ones are counted and dealt out
+    again, so they spread over the buckets.  Pass 2 brings
     a bucket into a fixed order and applies Spark's seeded ``shuffle`` (a
     Fisher-Yates over the bucket's array, seeded by seed + bucket).  The
     buckets end to end are one random permutation of the table, cut into
     shards whose row counts differ by at most one (law ``rows``); ``slot`` is
     the 0-based place in the shard.
 
-    A task holds one bucket.  The only broadcast is one (bucket, first row)
-    pair per bucket, that is 16 bytes for every ``bucket_bytes`` of input.
+    A task holds one bucket.  The only broadcasts are one (bucket, first row)
+    pair per bucket, that is 16 bytes for every ``bucket_bytes`` of input, and
+    the hashes of repeated rows that are dealt out (fewer than four per bucket).
     The order depends on the data and the seed alone, so a recomputed task
     writes the same rows.  Null ids and texts are hashed like any value;
     repeated rows stay, each in a slot of its own; an empty table gives none.
@@ -36,6 +40,8 @@ def shuffle_shards(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "__hash", F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)))
     total, count = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
     n_buckets = max(1, -(-total // bucket_bytes))
+    if n_buckets > 1:
+        rows = _dealt_copies(rows, df.columns, seed, bucket_bytes // 4)
     rows = rows.withColumn("__bucket", F.pmod("__hash", F.lit(n_buckets)).cast("int"))
     counts = rows.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -59,6 +65,21 @@ def shuffle_shards(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             .drop("__place"))
 
 
+def _dealt_copies(rows: DataFrame, names: list[str], seed: int, most: int) -> DataFrame:
+    """``rows`` with a new ``__hash`` where several rows of one hash hold over ``most`` bytes: another one for each."""
+    heavy = (rows.groupBy("__hash").agg(F.count(F.lit(1)).alias("__n"), F.sum("size").alias("__bytes"))
+             .where((F.col("__n") > 1) & (F.col("__bytes") > most)).select("__hash"))
+    if not heavy.take(1):
+        return rows
+    heavy = F.broadcast(heavy)
+    cols = [F.col(f"`{c}`") for c in names]
+    # equal rows cannot be told apart, so their number is all that has to be kept
+    copies = rows.join(heavy, "__hash", "left_semi").groupBy(*cols, "size").agg(F.count(F.lit(1)).alias("__n"))
+    copies = (copies.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n"))))
+              .withColumn("__hash", F.xxhash64(F.lit(seed), *cols, "__copy")))
+    return rows.join(heavy, "__hash", "left_anti").unionByName(copies.select(*rows.columns))
+
+
 def write_shards(sharded: DataFrame, path: str) -> None:
     """Write the shuffled records, one folder per shard; ``slot`` keeps the order within it.
 

@@ -73,3 +73,17 @@ def test_query(spark):
     assert all(r["size"] == len((docs[r["doc_id"]] or "").encode()) + 8 for r in rows)
     plan = QUERIES["op2_sharding"](spark, SF).select(F.count("*"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_repeated_rows_spread_over_buckets(spark):
+    """A third of all rows alike, and as many with null id and text: no bucket holds them all."""
+    docs = documents(spark, [(i, f"text {i} " * 5) for i in range(300)] + [(7, "same row " * 5)] * 300 + [(None, None)] * 300)
+    out = shuffle_shards(docs, n_shards=3, bucket_bytes=2000)
+    a = rows_of(out)
+    check_law(a, 3)
+    assert Counter((i, t) for i, t, _, _ in a) == Counter((-1 if r["doc_id"] is None else r["doc_id"], r["text"] or "") for r in docs.collect())
+    assert a == rows_of(shuffle_shards(docs.repartition(5), n_shards=3, bucket_bytes=2000))
+    # a bucket is a run of places: neither kind fills a long one
+    placed = [i for i, _, _, _ in sorted(a, key=lambda r: (r[2], r[3]))]
+    for kind in (7, -1):
+        assert all(placed[k:k + 60].count(kind) < 50 for k in range(0, len(placed), 20))
