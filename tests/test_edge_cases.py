@@ -103,7 +103,7 @@ def test_fk_audit_orphans_and_findings(spark):
 
 def test_modal_device_equals_buffered_mode(spark):
     from bazaar.sources import fixtures as X
-    from conftest import SF_SMALL
+    from tests.paths import SF_SMALL
     ue = X.user_events(spark, SF_SMALL)
     a = {r.hour: r.most_popular_device for r in EV.hourly_metrics(ue).collect()}
     b = {r.hour: r.d for r in ue.groupBy(EV.hour_of("ts").alias("hour")).agg(

@@ -8,7 +8,7 @@ from bazaar.operators import experiments as E
 from bazaar.operators import segments as S
 from bazaar.sources import fixtures as X
 
-from conftest import SF_SMALL
+from tests.paths import SF_SMALL
 
 
 @pytest.fixture(scope="module")

@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.join(ROOT, "scripts"))
 import __spark_entry__ as ENTRY  # noqa: E402
 from check_oracle import rows_of  # noqa: E402
 
-from conftest import SF_SMALL  # noqa: E402
+from tests.paths import SF_SMALL  # noqa: E402
 
 QUERIES = ENTRY.queries()
 SQLS = ENTRY.oracle_sql()

@@ -9,7 +9,7 @@ from bazaar.operators import ranking as R
 from bazaar.operators.events import rank_sessions
 from bazaar.sources import fixtures as X
 
-from conftest import SF_SMALL
+from tests.paths import SF_SMALL
 
 
 def _plan(df):

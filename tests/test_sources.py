@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from bazaar.operators import cleaning as CL
 from bazaar.sources import tables as T
 
-from conftest import SF_SMALL
+from tests.paths import SF_SMALL
 
 HEADER = ("Campaign Name;Date;Spend [USD];# of Impressions;Reach;# of Website Clicks;# of Searches;"
           "# of View Content;# of Add to Cart;# of Purchase")

@@ -7,7 +7,7 @@ from bazaar.operators import events as E
 from bazaar.sources import fixtures as X
 from bazaar.streaming import hourly as S
 
-from conftest import SF_SMALL
+from tests.paths import SF_SMALL
 
 
 def test_stream_matches_batch_on_closed_windows(spark):
