@@ -1,6 +1,6 @@
 import re
 
-from helpers import documents
+from tests.llm.helpers import documents
 
 from bazaar.llm.licenses import BASE_PHRASES, scan_licenses
 

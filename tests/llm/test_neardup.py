@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from helpers import documents
+from tests.llm.helpers import documents
 
 from bazaar.llm.graph import connected_components
 from bazaar.llm.neardup import (aligned_similarity, keep_one, labelled_shingles, near_duplicates, order_minhash,

@@ -3,7 +3,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
-from helpers import documents
+from tests.llm.helpers import documents
 from tokenizers import Tokenizer
 
 from bazaar.llm.packing import CapacityTree, best_fit_decreasing, default_tokenizer, pack_documents, sequences

@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 import pytest
 import sentencepiece
-from helpers import crc, documents
+from tests.llm.helpers import crc, documents
 
 from bazaar.llm.pieces import PieceModel, decode_pieces, default_model, encode_pieces
 

@@ -1,7 +1,7 @@
 """Every stage of the corpus pipeline against a plain version of itself, each on its own input."""
 import corpus_pipeline
-from helpers import documents
-from test_packing import check
+from tests.llm.helpers import documents
+from tests.llm.test_packing import check
 from test_secrets import plain
 
 from bazaar.llm.common import read, saved

@@ -1,7 +1,7 @@
 import math
 import zlib
 
-from helpers import documents
+from tests.llm.helpers import documents
 
 from bazaar.llm.quality import (FEATURES, RuleModel, condition, keep_quality, score_quality, statistics, text_statistics,
                                 tree_rules)

@@ -3,7 +3,7 @@ import random
 import re
 import string
 
-from helpers import documents
+from tests.llm.helpers import documents
 
 from bazaar.llm.secrets import Automaton, base_spans, find_secrets, infer_automaton, redact_secrets
 

@@ -1,6 +1,6 @@
 from collections import Counter
 
-from helpers import crc, documents
+from tests.llm.helpers import crc, documents
 from pyspark.sql import functions as F
 
 from bazaar.llm.sharding import shuffle_shards, write_shards
