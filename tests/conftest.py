@@ -7,6 +7,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+
 @pytest.fixture(scope="session")
 def spark():
     from bazaar.session import get_spark
