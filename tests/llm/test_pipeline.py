@@ -2,7 +2,7 @@
 import corpus_pipeline
 from tests.llm.helpers import documents
 from tests.llm.test_packing import check
-from test_secrets import plain
+from tests.llm.test_secrets import plain
 
 from bazaar.llm.common import read, saved
 from bazaar.llm.neardup import aligned_similarity, labelled_shingles, word_hashes
