@@ -90,3 +90,11 @@ def op7_sentencepiece(spark, sf_dir):
     from bazaar.llm.pieces import decode_pieces, encode_pieces
     out = decode_pieces(encode_pieces(read(spark, sf_dir, "documents")))
     return out.select("doc_id", "n_tokens", "ids_crc32", F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
+
+
+@query
+def op11_hard_negatives(spark, sf_dir):
+    """Three hard negatives per positive of every 50th vector; the label of every seventh row is moved on by one."""
+    from bazaar.llm.negatives import mine_hard_negatives
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(read(spark, sf_dir, "embeddings").withColumn("label", moved), is_anchor=F.col("id") % 50 == 0)

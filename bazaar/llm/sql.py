@@ -24,3 +24,22 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
        vec_id, score
 FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
 """
+
+SQL["op11_hard_negatives"] = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
+           FROM embeddings
+           WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND label IS NOT NULL
+             AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS vec_id, a.label = b.label AS same,
+             CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+w AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+                   AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM w WHERE rank <= 3
+"""
