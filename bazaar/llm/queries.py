@@ -98,3 +98,10 @@ def op11_hard_negatives(spark, sf_dir):
     from bazaar.llm.negatives import mine_hard_negatives
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return mine_hard_negatives(read(spark, sf_dir, "embeddings").withColumn("label", moved), is_anchor=F.col("id") % 50 == 0)
+
+
+@query
+def op12_language_id(spark, sf_dir):
+    """Language of every document by averaged hashed subword embeddings."""
+    from bazaar.llm.language import identify_language
+    return identify_language(read(spark, sf_dir, "documents"))
