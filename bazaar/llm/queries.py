@@ -105,3 +105,10 @@ def op12_language_id(spark, sf_dir):
     """Language of every document by averaged hashed subword embeddings."""
     from bazaar.llm.language import identify_language
     return identify_language(read(spark, sf_dir, "documents"))
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    """Words of all documents, thinned by checksum, with their near words, form and root."""
+    from bazaar.llm.spelling import count_words, group_variants
+    return group_variants(count_words(read(spark, sf_dir, "documents")))

@@ -50,7 +50,8 @@ def test_oracle(spark):
     con = duckdb.connect()
     for t in ("embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
-    for name, text in SQL.items():
+    for name in ("op4_chat_formatting", "op8_topk_search", "op11_hard_negatives"):
+        text = SQL[name]
         df = QUERIES[name](spark, sf)
         want = con.execute(text).df()[df.columns]
         assert sorted(map(tuple, df.collect())) == sorted(map(tuple, want.itertuples(index=False))), name
