@@ -1,24 +1,20 @@
 """Normal, Student-t and F distribution functions as Spark column expressions.
 
 Neither Spark SQL nor the SQL oracle has erf, an inverse normal or a t
-distribution, and the statistics here are evaluated on one row per
-experiment, so they are plain expressions (no UDF).  Every tail is integrated
-itself, with the value of the density at its start taken out as a factor, so
-it keeps its relative precision however small it is (0 where a double cannot
-hold it), and one formula serves all degrees of freedom:
-
-* normal: Q(z) = phi(z) * integral of exp(-z t - t^2/2) over t >= 0;
-* Student-t: with t = sqrt(nu) tan(u) the density is cos(u)^(nu-1), and
-  cos(u + v) = cos(u) (cos v - tan u sin v) gives the factor;
-* F: with tan^2(u) = d1 f / d2 the density is sin(u)^(d1-1) cos(u)^(d2-1);
-* Phi^-1 by a rational approximation (Acklam, relative error < 1.2e-9)
-  refined with one Newton step on the integrated tail.
-
-The integrands are log-concave, which bounds where they fall below e^-40; the
-composite Boole rule runs up to there (``aggregate`` over ``sequence``).
+distribution.  All tails keep their relative precision however small they are
+(0 where a double cannot hold them):
+
+* normal: erfc by rational approximations on three ranges (Cody 1969), its
+  inverse by three more (Wichura's AS 241): a fixed number of terms in plain
+  arithmetic, so they may be evaluated on every data row within codegen;
+* Student-t and F: the regularised incomplete beta function.  Its leading
+  factor is a binomial density in saddle-point form (deviances and errors of
+  Stirling's formula, after Loader), so it keeps its digits for any degrees of
+  freedom; the rest is the continued fraction, on the side where it converges,
+  with a number of levels bounded by the parameters.  One row per experiment.
 
 ``sql_*`` helpers give DuckDB the same functions by other methods: series and
-continued fractions of the error function and of the incomplete beta.
+plain continued fractions with log-gamma factors.
 """
 from __future__ import annotations
 
@@ -27,11 +23,33 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-STEPS = 2000
-DROP = 40.0                      # integrands are followed down to e^-DROP
 _SQRT_2PI = math.sqrt(2.0 * math.pi)
 
-# Acklam's rational approximation of the inverse normal CDF.
+# Cody's rational approximations of erf (|x| <= 0.46875) and erfc (up to 4, above 4).
+CODY_P1 = (1.85777706184603153e-1, 3.16112374387056560e+0, 1.13864154151050156e+2, 3.77485237685302021e+2, 3.20937758913846947e+3)
+CODY_Q1 = (1.0, 2.36012909523441209e+1, 2.44024637934444173e+2, 1.28261652607737228e+3, 2.84423683343917062e+3)
+CODY_P2 = (2.15311535474403846e-8, 5.64188496988670089e-1, 8.88314979438837594e+0, 6.61191906371416295e+1, 2.98635138197400131e+2,
+           8.81952221241769090e+2, 1.71204761263407058e+3, 2.05107837782607147e+3, 1.23033935479799725e+3)
+CODY_Q2 = (1.0, 1.57449261107098347e+1, 1.17693950891312499e+2, 5.37181101862009858e+2, 1.62138957456669019e+3,
+           3.29079923573345963e+3, 4.36261909014324716e+3, 3.43936767414372164e+3, 1.23033935480374942e+3)
+CODY_P3 = (1.63153871373020978e-2, 3.05326634961232344e-1, 3.60344899949804439e-1, 1.25781726111229246e-1,
+           1.60837851487422766e-2, 6.58749161529837803e-4)
+CODY_Q3 = (1.0, 2.56852019228982242e+0, 1.87295284992346725e+0, 5.27905102951428412e-1, 6.05183413124413191e-2,
+           2.33520497626869185e-3)
+# Wichura's rational approximations of the inverse normal (AS 241), highest power first.
+PPND_A = (2.5090809287301226727e+3, 3.3430575583588128105e+4, 6.7265770927008700853e+4, 4.5921953931549871457e+4,
+          1.3731693765509461125e+4, 1.9715909503065514427e+3, 1.3314166789178437745e+2, 3.3871328727963666080e+0)
+PPND_B = (5.2264952788528545610e+3, 2.8729085735721942674e+4, 3.9307895800092710610e+4, 2.1213794301586595867e+4,
+          5.3941960214247511077e+3, 6.8718700749205790830e+2, 4.2313330701600911252e+1, 1.0)
+PPND_C = (7.74545014278341407640e-4, 2.27238449892691845833e-2, 2.41780725177450611770e-1, 1.27045825245236838258e+0,
+          3.64784832476320460504e+0, 5.76949722146069140550e+0, 4.63033784615654529590e+0, 1.42343711074968357734e+0)
+PPND_D = (1.05075007164441684324e-9, 5.47593808499534494600e-4, 1.51986665636164571966e-2, 1.48103976427480074590e-1,
+          6.89767334985100004550e-1, 1.67638483018380384940e+0, 2.05319162663775882187e+0, 1.0)
+PPND_E = (2.01033439929228813265e-7, 2.71155556874348757815e-5, 1.24266094738807843860e-3, 2.65321895265761230930e-2,
+          2.96560571828504891230e-1, 1.78482653991729133580e+0, 5.46378491116411436990e+0, 6.65790464350110377720e+0)
+PPND_F = (2.04426310338993978564e-15, 1.42151175831644588870e-7, 1.84631831751005468180e-5, 7.86869131145613259100e-4,
+          1.48753612908506148525e-2, 1.36929880922735805310e-1, 5.99832206555887937690e-1, 1.0)
+# Acklam's rational approximation of the inverse normal CDF (start of the SQL text's inverse).
 ACKLAM_A = (-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02,
             1.383577518672690e+02, -3.066479806614716e+01, 2.506628277459239e+00)
 ACKLAM_B = (-5.447609879822406e+01, 1.615858368580409e+02, -1.556989798598866e+02,
@@ -51,30 +69,33 @@ def _lit(x) -> Column:
     return F.lit(float(x))
 
 
-def _tail_integral(g, width: Column, power: Column) -> Column:
-    """Integral of g over [0, width] by the composite Boole rule.
+def _poly(coefs, x: Column) -> Column:
+    acc = F.lit(coefs[0])
+    for c in coefs[1:]:
+        acc = acc * x + F.lit(c)
+    return acc
 
-    Where g ends like (width - v)^power with a low power, the points crowd
-    towards that end, so that the rule keeps its order.
-    """
-    low = power < 8.0
 
-    def point(i):
-        q = i.cast("double") / STEPS
-        v = width * F.when(low, 1.0 - F.pow(q, F.lit(5.0))).otherwise(1.0 - q)
-        w = (F.when((i == 0) | (i == STEPS), 7.0).when(i % 4 == 0, 14.0).when(i % 2 == 0, 12.0).otherwise(32.0))
-        return w * g(v) * F.when(low, 5.0 * F.pow(q, F.lit(4.0))).otherwise(1.0)
+def _let(fn, **values: Column) -> Column:
+    """fn over a struct of the values, each computed once (a one-element transform)."""
+    bound = F.array(F.struct(*[v.alias(k) for k, v in values.items()]))
+    return F.element_at(F.transform(bound, fn), 1)
 
-    total = F.aggregate(F.sequence(F.lit(0), F.lit(STEPS)), F.lit(0.0), lambda acc, i: acc + point(i))
-    return total * width * (2.0 / 45.0 / STEPS)
 
+# ---- normal ------------------------------------------------------------------
 
 def norm_sf(z) -> Column:
     """P(Z > z) for a standard normal Z."""
     z = _lit(z)
-    x = F.abs(z)
-    width = 2.0 * DROP / (x + F.sqrt(x * x + 2.0 * DROP))
-    upper = norm_pdf(x) * _tail_integral(lambda t: F.exp(-x * t - t * t / 2.0), width, F.lit(DROP))
+    x = F.abs(z) / math.sqrt(2.0)
+    near = 0.5 - 0.5 * x * _poly(CODY_P1, x * x) / _poly(CODY_Q1, x * x)
+    # exp(-x^2) in two factors, the first of an exact square
+    head = F.floor(F.least(x, F.lit(1e4)) * 16.0) / 16.0
+    decay = F.exp(-head * head) * F.exp(-(x - head) * (x + head))
+    r = 1.0 / F.greatest(x * x, F.lit(1.0))
+    middle = 0.5 * decay * _poly(CODY_P2, x) / _poly(CODY_Q2, x)
+    far = 0.5 * decay / F.greatest(x, F.lit(1.0)) * (1.0 / math.sqrt(math.pi) - r * _poly(CODY_P3, r) / _poly(CODY_Q3, r))
+    upper = F.when(x <= 0.46875, near).when(x <= 4.0, middle).when(x <= 40.0, far).otherwise(x - x)
     return F.when(z >= 0, upper).otherwise(F.lit(1.0) - upper)
 
 
@@ -87,55 +108,117 @@ def norm_pdf(z) -> Column:
     return F.exp(-z * z / 2.0) / _SQRT_2PI
 
 
-def _poly(coefs, x: Column) -> Column:
-    acc = F.lit(coefs[0])
-    for c in coefs[1:]:
-        acc = acc * x + F.lit(c)
-    return acc
+def norm_ppf(p) -> Column:
+    """Phi^-1(p) for 0 < p < 1 (NULL outside)."""
+    p = _lit(p)
+    q = p - 0.5
+    inner = 0.180625 - q * q
+    tail = F.sqrt(-F.log(F.least(p, 1.0 - p)))
+    mid = q * _poly(PPND_A, inner) / _poly(PPND_B, inner)
+    near = _poly(PPND_C, tail - 1.6) / _poly(PPND_D, tail - 1.6)
+    far = _poly(PPND_E, tail - 5.0) / _poly(PPND_F, tail - 5.0)
+    out = F.when(tail <= 5.0, near).otherwise(far)
+    return F.when((p > 0) & (p < 1), F.when(F.abs(q) <= 0.425, mid).when(q < 0, -out).otherwise(out))
 
 
-def _acklam(p: Column) -> Column:
-    q_low = F.sqrt(-2.0 * F.log(p))
-    q_high = F.sqrt(-2.0 * F.log(1.0 - p))
-    q = p - 0.5
-    r = q * q
-    low = _poly(ACKLAM_C, q_low) / (_poly(ACKLAM_D, q_low) * q_low + 1.0)
-    high = -_poly(ACKLAM_C, q_high) / (_poly(ACKLAM_D, q_high) * q_high + 1.0)
-    mid = _poly(ACKLAM_A, r) * q / (_poly(ACKLAM_B, r) * r + 1.0)
-    return (F.when(p < ACKLAM_P_LOW, low).when(p > 1.0 - ACKLAM_P_LOW, high).otherwise(mid))
+# ---- pieces of gamma functions ------------------------------------------------
 
+_SHIFT = 16
 
-def norm_ppf(p) -> Column:
-    """Phi^-1(p) for 0 < p < 1 (NULL outside)."""
-    p = _lit(p)
-    x0 = _acklam(p)
-    refined = x0 - (norm_cdf(x0) - p) / norm_pdf(x0)
-    return F.when((p > 0) & (p < 1), refined)
 
+def _stirling_error(n) -> Column:
+    """ln n! - (n + 1/2) ln n + n - ln(2 pi) / 2 for real n > 0: the series at n + 16, and a product of 16 factors below 16."""
+
+    def series(x: Column) -> Column:
+        return (1.0 / 12 - (1.0 / 360 - (1.0 / 1260 - (1.0 / 1680 - (1.0 / 1188) / (x * x)) / (x * x)) / (x * x)) / (x * x)) / x
+
+    def value(p):
+        product = F.lit(1.0)
+        for k in range(1, _SHIFT + 1):
+            product = product * (p["near"] + float(k))
+        up = p["near"] + float(_SHIFT)
+        low = series(up) + (up + 0.5) * F.log(up) - _SHIFT - F.log(product) - (p["near"] + 0.5) * F.log(p["near"])
+        return F.when(p["d"] >= _SHIFT, series(p["far"])).otherwise(low)
+
+    d = _lit(n).cast("double")
+    return _let(value, d=d, far=F.greatest(d, F.lit(float(_SHIFT))), near=F.least(F.greatest(d, F.lit(1e-300)), F.lit(float(_SHIFT))))
+
+
+def log_factorial(m) -> Column:
+    """ln(m!) for m >= 0 by Stirling's formula and its error term."""
+    m = _lit(m)
+    d = F.greatest(m.cast("double"), F.lit(1.0))
+    return F.when(m <= 1, F.lit(0.0)).otherwise((d + 0.5) * F.log(d) - d + 0.5 * math.log(2.0 * math.pi) + _stirling_error(d))
+
+
+def _deviance(x: Column, np_: Column) -> Column:
+    """x ln(x / np) + np - x without cancellation, 0 at x = np."""
+
+    def value(p):
+        terms = F.lit(1.0 / 25)
+        for k in range(11, 0, -1):
+            terms = terms * p["v"] * p["v"] + 1.0 / (2 * k + 1)
+        near = (p["x"] - p["np"]) * p["v"] + 2.0 * p["x"] * p["v"] * p["v"] * p["v"] * terms
+        ratio = F.log(F.greatest(p["x"], F.lit(1e-300)) / F.greatest(p["np"], F.lit(1e-300)))
+        far = F.when(p["x"] > 0, p["x"] * ratio).otherwise(0.0) + p["np"] - p["x"]
+        return F.when(F.abs(p["v"]) < 0.1, near).otherwise(far)
 
-def _power_near_one(x: Column, e: Column) -> Column:
-    """(1 + x)^e for x >= -1, precise for tiny x and huge e."""
-    return F.when(e == 0, 1.0).when(x <= -1.0, 0.0).otherwise(F.exp(e * F.log1p(x)))
+    return _let(lambda p: _let(value, x=p["x"], np=p["np"], v=F.try_divide(p["x"] - p["np"], p["x"] + p["np"])),
+                x=x.cast("double"), np=np_.cast("double"))
 
 
-def _cos_integral(m: Column, slope: Column) -> Column:
-    """Integral of (cos v - slope sin v)^m from 0 to its zero."""
-    full = math.pi / 2.0 - F.atan(slope)
-    k = F.greatest(m, F.lit(1e-300))
-    width = F.least(full, 2.0 * DROP / k / (slope + F.sqrt(slope * slope + (1.0 + slope * slope) * 2.0 * DROP / k)))
-    return _tail_integral(lambda v: _power_near_one(-2.0 * F.pow(F.sin(v / 2.0), F.lit(2.0)) - slope * F.sin(v), m), width, m)
+# ---- Student-t and F ------------------------------------------------------------
+
+def _beta(a: Column, b: Column, x: Column, y: Column) -> Column:
+    """Regularised incomplete beta I_x(a, b) for a, b >= 1/2 and y = 1 - x."""
+
+    def value(p):
+        n = p["a"] + p["b"]
+        # x^a y^b / B(a, b) from the density of "a of a + b" at x
+        density = F.exp(_stirling_error(n) - _stirling_error(p["a"]) - _stirling_error(p["b"])
+                        - _deviance(p["a"], n * p["x"]) - _deviance(p["b"], n * p["y"])) * F.sqrt(n * p["a"] * p["b"] / (2.0 * math.pi)) / n
+        levels = F.least(F.lit(4000.0), 60.0 + 2.0 * F.sqrt(F.least(p["a"], p["b"]))).cast("int")
+
+        # even part of the continued fraction; x and y enter apart, so that neither cancels next to 1
+        def term(m):
+            return (m + F.when(m > 0, m * (p["b"] - m) * p["x"] / (p["a"] + 2.0 * m - 1.0)).otherwise(0.0)
+                    + (p["a"] + m) * (p["a"] * p["y"] - p["b"] * p["x"] + 1.0 + m * (1.0 + p["y"])) / (p["a"] + 2.0 * m + 1.0))
+
+        def level(acc, i):
+            top = (p["a"] + i - 1.0) * (n + i - 1.0) * i * (p["b"] - i) * p["x"] * p["x"] / F.pow(p["a"] + 2.0 * i - 1.0, F.lit(2.0))
+            return term(i - 1.0) + top / F.when(acc == 0.0, 1e-300).otherwise(acc)
+
+        part = density / F.aggregate(F.sequence(levels, F.lit(1)), levels.cast("double"), level)
+        return F.when(p["swapped"], 1.0 - part).otherwise(part)
+
+    swapped = x >= (a + 1.0) / (a + b + 2.0)
+    pick = lambda u, v: F.when(swapped, v).otherwise(u)
+    inside = _let(value, a=pick(a, b), b=pick(b, a), x=pick(x, y), y=pick(y, x), swapped=swapped)
+    return F.when(x <= 0, 0.0).when(y <= 0, 1.0).when(a.isNotNull() & b.isNotNull() & x.isNotNull(), inside)
+
+
+def _real(c) -> Column:
+    """A parameter as a double, NULL where it is not a number."""
+    c = _lit(c).cast("double")
+    return F.when(~F.isnan(c), c)
 
 
 def t_sf(t, nu) -> Column:
     """P(T > t) for Student's t with ``nu`` >= 1 degrees of freedom (real-valued)."""
-    t, nu = _lit(t), _lit(nu)
-    slope = F.abs(t) / F.sqrt(nu)
-    m = nu - 1.0
-    factor = F.exp(-m / 2.0 * F.log1p(t * t / nu))
-    tail = factor * _cos_integral(m, slope) / (2.0 * _cos_integral(m, F.lit(0.0)))
+    t, nu = _real(t), _real(nu)
+    x, y = F.try_divide(nu, nu + t * t), F.try_divide(t * t, nu + t * t)
+    tail = 0.5 * _beta(nu / 2.0, F.lit(0.5), x, y)
     return F.when(t >= 0, tail).otherwise(F.lit(1.0) - tail)
 
 
+def f_sf(f, d1, d2) -> Column:
+    """P(F > f) for the F distribution with d1 >= 1 and d2 >= 1 degrees of freedom (real-valued)."""
+    f, d1, d2 = _real(f), _real(d1), _real(d2)
+    total = d2 + d1 * F.greatest(f, F.lit(0.0))
+    upper = _beta(d2 / 2.0, d1 / 2.0, F.try_divide(d2, total), F.try_divide(d1 * f, total))
+    return F.when(f <= 0, F.lit(1.0)).otherwise(upper)
+
+
 def cohens_h(p1, p2) -> Column:
     """2 asin(sqrt(p1)) - 2 asin(sqrt(p2))."""
     return 2.0 * F.asin(F.sqrt(_lit(p1))) - 2.0 * F.asin(F.sqrt(_lit(p2)))
@@ -223,73 +306,7 @@ def sql_cohens_h(p1: str, p2: str) -> str:
     return f"(2.0 * asin(sqrt({p1})) - 2.0 * asin(sqrt({p2})))"
 
 
-# ---- F distribution and log-factorials --------------------------------------
-
-def _f_upper(f: Column, d1: Column, d2: Column) -> Column:
-    """P(F > f) for f >= 1, where the density falls (or has all but reached its top)."""
-    a, b = d1 - 1.0, d2 - 1.0
-    n = F.greatest(a + b, F.lit(1e-300))
-    at, top = F.atan(F.sqrt(d1 * f / d2)), F.atan2(F.sqrt(a), F.sqrt(F.greatest(b, F.lit(1e-300))))
-
-    def rest(u, up: bool) -> Column:
-        """Integral of the density over its value at u, from u to the end of the range."""
-        sign = 1.0 if up else -1.0
-        slope = sign * (a * F.cos(u) / F.greatest(F.sin(u), F.lit(1e-300)) - b * F.sin(u) / F.greatest(F.cos(u), F.lit(1e-300)))
-        full = math.pi / 2.0 - u if up else u
-        root = F.sqrt(slope * slope + 2.0 * DROP * n)
-        width = F.least(full, F.when(slope < 0, 2.0 * DROP / (root - slope)).otherwise((slope + root) / n))
-        cot, tan = F.cos(u) / F.greatest(F.sin(u), F.lit(1e-300)), F.sin(u) / F.greatest(F.cos(u), F.lit(1e-300))
-
-        def g(v):
-            bend = 2.0 * F.pow(F.sin(v / 2.0), F.lit(2.0))
-            return (_power_near_one(sign * cot * F.sin(v) - bend, a) * _power_near_one(-sign * tan * F.sin(v) - bend, b))
-        return _tail_integral(g, width, b if up else a)
-
-    factor = F.exp(a * F.log(F.sin(at) / F.greatest(F.sin(top), F.lit(1e-300)))
-                   + b * F.log(F.cos(at) / F.greatest(F.cos(top), F.lit(1e-300))))
-    level = F.when(a > 0, factor).otherwise(F.pow(F.cos(at), b))       # d1 = 1: the top is at 0
-    whole = rest(top, True) + F.when(a > 0, rest(top, False)).otherwise(0.0)
-    return level * rest(at, True) / whole
-
-
-def f_sf(f, d1, d2) -> Column:
-    """P(F > f) for the F distribution with d1 >= 1 and d2 >= 1 degrees of freedom (real-valued)."""
-    f, d1, d2 = _lit(f), _lit(d1), _lit(d2)
-    up = _f_upper(F.greatest(f, F.lit(1.0)), d1, d2)
-    low = _f_upper(F.greatest(F.try_divide(F.lit(1.0), f), F.lit(1.0)), d2, d1)
-    return F.when(f <= 0, F.lit(1.0)).when(f >= 1, up).otherwise(1.0 - low)
-
-
-def log_factorial(m) -> Column:
-    """ln(m!) for m >= 0: exact sum below 20, Stirling series (error < 1e-14) above."""
-    m = _lit(m)
-    md = m.cast("double")
-    exact = F.aggregate(F.sequence(F.lit(1), F.greatest(m.cast("int"), F.lit(1))), F.lit(0.0),
-                        lambda acc, i: acc + F.log(i.cast("double")))
-    stirling = (md * F.log(md) - md + 0.5 * F.log(2.0 * math.pi * md) + 1.0 / (12.0 * md)
-                - 1.0 / (360.0 * F.pow(md, 3)) + 1.0 / (1260.0 * F.pow(md, 5)) - 1.0 / (1680.0 * F.pow(md, 7)))
-    return F.when(m <= 1, F.lit(0.0)).when(m < 20, exact).otherwise(stirling)
-
-
-def _deviance(x: Column, np_: Column) -> Column:
-    """x ln(x / np) + np - x without cancellation, 0 at x = np."""
-    x, np_ = x.cast("double"), np_.cast("double")
-    v = F.try_divide(x - np_, x + np_)
-    near = F.aggregate(F.sequence(F.lit(1), F.lit(12)), F.struct((x - np_).alias("unused"), ((x - np_) * v).alias("s"), (2.0 * x * v).alias("e")),
-                       lambda acc, i: F.struct(acc["unused"].alias("unused"),
-                                               (acc["s"] + acc["e"] * v * v / (2.0 * i.cast("double") + 1.0)).alias("s"),
-                                               (acc["e"] * v * v).alias("e")))["s"]
-    far = F.when(x > 0, x * F.log(F.greatest(x, F.lit(1e-300)) / F.greatest(np_, F.lit(1e-300)))).otherwise(0.0) + np_ - x
-    return F.when(F.abs(x - np_) < 0.1 * (x + np_), near).otherwise(far)
-
-
-def _stirling_error(n: Column) -> Column:
-    """ln n! - (n + 1/2) ln n + n - ln(2 pi) / 2, exact sums below 16, series above."""
-    d = F.greatest(n.cast("double"), F.lit(1.0))
-    exact = log_factorial(F.least(n, F.lit(15))) - (d + 0.5) * F.log(d) + d - 0.5 * math.log(2.0 * math.pi)
-    series = (1.0 / 12 - (1.0 / 360 - (1.0 / 1260 - (1.0 / 1680) / (d * d)) / (d * d)) / (d * d)) / d
-    return F.when(n < 16, exact).otherwise(series)
-
+# ---- hypergeometric terms ---------------------------------------------------
 
 def _log_binomial(x: Column, n: Column, p: Column) -> Column:
     """ln of the binomial probability of x in n (saddle-point form), for 0 <= p <= 1."""

@@ -228,12 +228,8 @@ def _pct(x: Column) -> Column:       # {:+.2%}
     return F.format_string("%+.2f%%", x * 100)
 
 
-def decide_ladder(results: DataFrame, alpha: float = 0.05) -> DataFrame:
-    """Significance -> direction -> CI vs MDE, with three reasons.
-
-    Needs p_value, lift_abs, lift_rel, ci_upper, abs_mde, n_required, n_c, n_t.
-    The null-result text depends on whether the test reached its sample size.
-    """
+def ladder_columns(alpha: float = 0.05) -> dict[str, Column]:
+    """The ladder's decision and its three reasons as columns over one row per experiment."""
     a = F.lit(str(alpha))
     sig = F.col("p_value") < alpha
     excl_mde = F.col("ci_upper") < F.col("abs_mde")
@@ -255,21 +251,25 @@ def decide_ladder(results: DataFrame, alpha: float = 0.05) -> DataFrame:
     r3 = (F.when(ship, fill(REASON_CI_MDE, **fields)).when(neg, F.lit(REASON_ROLL_BACK))
            .when(small, fill(REASON_SHORT, **fields)).when(powered, F.lit(REASON_NULL))
            .otherwise(F.lit(REASON_MORE_DATA)))
-    return results.select(EXP, decision.alias("decision"), r1.alias("reason_1"), r2.alias("reason_2"),
-                          r3.alias("reason_3"))
+    return {"decision": decision, "reason_1": r1, "reason_2": r2, "reason_3": r3}
 
 
-def ship_checklist(results: DataFrame, alpha: float = 0.05, guardrail: str | None = "guardrail_ok") -> DataFrame:
-    """The six ship checks, the verdict and the first failed check.
+def decide_ladder(results: DataFrame, alpha: float = 0.05) -> DataFrame:
+    """Significance -> direction -> CI vs MDE, with three reasons.
 
-    A missing guardrail is an open check (NULL): the verdict is then
-    ``PENDING`` unless another check fails.
+    Needs p_value, lift_abs, lift_rel, ci_upper, abs_mde, n_required, n_c, n_t.
+    The null-result text depends on whether the test reached its sample size.
     """
+    return results.select(EXP, *[c.alias(n) for n, c in ladder_columns(alpha).items()])
+
+
+def with_checklist(results: DataFrame, alpha: float = 0.05, guardrail: str | None = "guardrail_ok") -> DataFrame:
+    """``results`` with the six ship checks, the verdict and the first failed check."""
     direction = F.when(F.col("alternative") == "smaller", F.col("lift_abs") < 0).otherwise(F.col("lift_abs") > 0)
     g = F.col(guardrail) if guardrail and guardrail in results.columns else F.lit(None).cast("boolean")
     checks = [F.col("p_value") < alpha, direction, F.abs(F.col("lift_abs")) >= F.col("abs_mde"),
               (F.col("ci_lower") > 0) | (F.col("ci_upper") < 0), F.col("ci_lower") >= F.col("abs_mde"), g]
-    d = results.select(EXP, *[c.alias(n) for c, n in zip(checks, SHIP_CHECKS)])
+    d = results.withColumns(dict(zip(SHIP_CHECKS, checks)))
     any_false = F.lit(False)
     all_true = F.lit(True)
     first = F.lit(None).cast("string")
@@ -279,16 +279,28 @@ def ship_checklist(results: DataFrame, alpha: float = 0.05, guardrail: str | Non
         any_false = any_false | F.coalesce(~F.col(n), F.lit(False))
         all_true = all_true & F.coalesce(F.col(n), F.lit(False))
     verdict = F.when(all_true, "SHIP").when(any_false, "DO NOT SHIP").otherwise("PENDING")
-    return d.select("*", verdict.alias("verdict"), first.alias("first_failed_check"))
+    return d.withColumns({"verdict": verdict, "first_failed_check": first})
+
+
+def ship_checklist(results: DataFrame, alpha: float = 0.05, guardrail: str | None = "guardrail_ok") -> DataFrame:
+    """The six ship checks, the verdict and the first failed check.
+
+    A missing guardrail is an open check (NULL): the verdict is then
+    ``PENDING`` unless another check fails.
+    """
+    return with_checklist(results, alpha, guardrail).select(EXP, *SHIP_CHECKS, "verdict", "first_failed_check")
+
+
+def _reading() -> Column:
+    lo, hi, m = F.col("ci_lower"), F.col("ci_upper"), F.col("abs_mde")
+    return (F.when(hi < 0, "entirely below zero").when(lo <= 0, "straddles zero")
+             .when(hi < m, "above zero, below MDE").when(lo < m, "straddles MDE")
+             .otherwise("entirely above MDE"))
 
 
 def ci_reading(results: DataFrame) -> DataFrame:
     """Where the CI sits relative to 0 and the MDE."""
-    lo, hi, m = F.col("ci_lower"), F.col("ci_upper"), F.col("abs_mde")
-    reading = (F.when(hi < 0, "entirely below zero").when(lo <= 0, "straddles zero")
-                .when(hi < m, "above zero, below MDE").when(lo < m, "straddles MDE")
-                .otherwise("entirely above MDE"))
-    return results.select(EXP, "ci_lower", "ci_upper", "abs_mde", reading.alias("ci_reading"))
+    return results.select(EXP, "ci_lower", "ci_upper", "abs_mde", _reading().alias("ci_reading"))
 
 
 # -------------------------------------------------------------- campaign --
@@ -370,11 +382,8 @@ def qq_points(df: DataFrame, value: str, by: Sequence[str] = ("arm",)) -> DataFr
 
 def experiment_report(tested: DataFrame, sizes: DataFrame) -> DataFrame:
     """One row per experiment with counts, rates, test, CI, sample size and verdicts."""
-    r = tested.join(sizes.select(EXP, "abs_mde", F.col("n_formula").alias("n_required")), EXP)
-    ladder = decide_ladder(r)
-    checks = ship_checklist(r).select(EXP, "verdict", "first_failed_check")
-    reading = ci_reading(r).select(EXP, "ci_reading")
-    return (r.join(ladder, EXP).join(checks, EXP).join(reading, EXP)
+    r = with_checklist(tested.join(sizes.select(EXP, "abs_mde", F.col("n_formula").alias("n_required")), EXP))
+    return (r.withColumns({"decision": ladder_columns()["decision"], "ci_reading": _reading()})
              .select(EXP, "n_c", "x_c", "n_t", "x_t", "p_c", "p_t", "z", "p_value", "lift_abs", "lift_rel",
                      "ci_lower", "ci_upper", "abs_mde", "n_required", "decision", "verdict",
                      "first_failed_check", "ci_reading"))

@@ -103,8 +103,8 @@ SELECT customer_id, email, tier, country, CAST(registration_date AS TIMESTAMP) A
        round(mean_order, 6) AS avg_order_value, f.category AS favorite_category,
        DATE '2002-01-01' - registration_date AS days_since_registration,
        CAST(last_day - first_day AS DOUBLE) AS customer_lifespan_days,
-       ['inactive', 'occasional', 'regular', 'vip'][1 + CAST(coalesce(n_orders, 0) > 0 AS INTEGER)
-         + CAST(coalesce(n_orders, 0) >= 5 AS INTEGER) + CAST(coalesce(n_orders, 0) >= 15 AS INTEGER)] AS customer_segment
+       CASE WHEN n_orders IS NULL OR n_orders = 0 THEN 'inactive' WHEN n_orders < 5 THEN 'occasional'
+            WHEN n_orders < 15 THEN 'regular' ELSE 'vip' END AS customer_segment
 FROM app_customers LEFT JOIN per_customer USING (customer_id) LEFT JOIN favourite f USING (customer_id)"""
 
 

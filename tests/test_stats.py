@@ -75,3 +75,32 @@ def test_tails_keep_their_precision(spark):
     # F with one numerator degree is t squared
     r = spark.range(1).select(ST.f_sf(F.lit(81.0), F.lit(1.0), F.lit(30.0)), 2 * ST.t_sf(F.lit(9.0), F.lit(30.0))).first()
     assert r[0] == pytest.approx(r[1], rel=1e-10)
+
+
+def test_no_loops_in_expressions_for_data_rows(spark):
+    df = spark.range(1).select(ST.norm_sf(F.lit(1.0)).alias("a"), ST.norm_ppf(F.col("id") / 2.0).alias("b"))
+    plan = df._jdf.queryExecution().analyzed().toString()
+    assert "aggregate(" not in plan and "transform(" not in plan
+    grid = [k / 997 for k in range(1, 997)] + [10.0 ** -k for k in range(4, 300, 5)]
+    for r in spark.createDataFrame([(p,) for p in grid], "p double").select("p", ST.norm_ppf("p").alias("x")).collect():
+        assert r.x == pytest.approx(N.inv_cdf(r.p), rel=1e-13, abs=1e-15)
+
+
+def test_t_and_f_against_closed_forms(spark):
+    import math
+    # even degrees of freedom: P(|T| < t) is a finite sum (Abramowitz and Stegun 26.7.4)
+    def upper(t, nu):
+        theta, term, total = math.atan(t / math.sqrt(nu)), 1.0, 1.0
+        for k in range(2, nu - 1, 2):
+            term *= (k - 1) / k * math.cos(theta) ** 2
+            total += term
+        return 0.5 * (1 - math.sin(theta) * total)
+    cases = [(t, n) for t in (0.1, 1.0, 1.7, 1.74, 2.5, 4.0) for n in (2, 4, 10, 50, 400)]
+    rows = spark.createDataFrame([(t, float(n)) for t, n in cases], "t double, n double").select(ST.t_sf("t", "n").alias("p")).collect()
+    for (t, n), r in zip(cases, rows):
+        assert r.p == pytest.approx(upper(t, n), rel=1e-9, abs=1e-13)
+    # F(f; d1, d2) = 1 - F(1 / f; d2, d1)
+    cases = [(f, a, b) for f in (0.3, 0.97, 1.02, 1.4) for a, b in ((3.0, 7.5), (50.0, 2000.0), (900.0, 40.0), (1e5, 1e5))]
+    rows = spark.createDataFrame(cases, "f double, a double, b double").select(
+        (ST.f_sf("f", "a", "b") + ST.f_sf(1 / F.col("f"), "b", "a")).alias("one")).collect()
+    assert all(r.one == pytest.approx(1.0, abs=1e-10) for r in rows)
