@@ -76,10 +76,19 @@ def _poly(coefs, x: Column) -> Column:
     return acc
 
 
-def _let(fn, **values: Column) -> Column:
-    """fn over a struct of the values, each computed once (a one-element transform)."""
+def _let(body: str, **values: Column) -> Column:
+    """``body``, SQL text over p.<name>, with each value computed once (a transform of one element).
+
+    Long formulas stay text, so that they cost one call from Python and not
+    one for every operator.
+    """
     bound = F.array(F.struct(*[v.alias(k) for k, v in values.items()]))
-    return F.element_at(F.transform(bound, fn), 1)
+    return F.element_at(F.call_function("transform", bound, F.expr(f"p -> {body}")), 1)
+
+
+def _bind(body: str, name: str, **values: str) -> str:
+    """The same within SQL text: ``body`` over name.<key>."""
+    return f"element_at(transform(array(struct({', '.join(f'{v} AS {k}' for k, v in values.items())})), {name} -> {body}), 1)"
 
 
 # ---- normal ------------------------------------------------------------------
@@ -121,79 +130,68 @@ def norm_ppf(p) -> Column:
     return F.when((p > 0) & (p < 1), F.when(F.abs(q) <= 0.425, mid).when(q < 0, -out).otherwise(out))
 
 
-# ---- pieces of gamma functions ------------------------------------------------
+# ---- pieces of gamma functions, as SQL text ---------------------------------------
 
 _SHIFT = 16
 
 
-def _stirling_error(n) -> Column:
+def _stirling_error(n: str) -> str:
     """ln n! - (n + 1/2) ln n + n - ln(2 pi) / 2 for real n > 0: the series at n + 16, and a product of 16 factors below 16."""
 
-    def series(x: Column) -> Column:
-        return (1.0 / 12 - (1.0 / 360 - (1.0 / 1260 - (1.0 / 1680 - (1.0 / 1188) / (x * x)) / (x * x)) / (x * x)) / (x * x)) / x
+    def series(x):
+        return f"(1D/12 - (1D/360 - (1D/1260 - (1D/1680 - (1D/1188) / ({x} * {x})) / ({x} * {x})) / ({x} * {x})) / ({x} * {x})) / {x}"
 
-    def value(p):
-        product = F.lit(1.0)
-        for k in range(1, _SHIFT + 1):
-            product = product * (p["near"] + float(k))
-        up = p["near"] + float(_SHIFT)
-        low = series(up) + (up + 0.5) * F.log(up) - _SHIFT - F.log(product) - (p["near"] + 0.5) * F.log(p["near"])
-        return F.when(p["d"] >= _SHIFT, series(p["far"])).otherwise(low)
+    product = " * ".join(f"(s.near + {k}D)" for k in range(1, _SHIFT + 1))
+    up = f"(s.near + {_SHIFT}D)"
+    low = f"{series(up)} + ({up} + 0.5D) * ln({up}) - {_SHIFT}D - ln({product}) - (s.near + 0.5D) * ln(s.near)"
+    return _bind(f"CASE WHEN s.d >= {_SHIFT} THEN {series('s.far')} ELSE {low} END", "s",
+                 d=n, far=f"greatest({n}, {_SHIFT}D)", near=f"least(greatest({n}, 1e-300D), {_SHIFT}D)")
 
-    d = _lit(n).cast("double")
-    return _let(value, d=d, far=F.greatest(d, F.lit(float(_SHIFT))), near=F.least(F.greatest(d, F.lit(1e-300)), F.lit(float(_SHIFT))))
+
+def _deviance(x: str, np_: str) -> str:
+    """x ln(x / np) + np - x without cancellation, 0 at x = np."""
+    terms = f"{1 / 25!r}D"
+    for k in range(11, 0, -1):
+        terms = f"({terms} * d.v * d.v + 1D/{2 * k + 1})"
+    near = f"(d.x - d.np) * d.v + 2 * d.x * d.v * d.v * d.v * {terms}"
+    far = "CASE WHEN d.x > 0 THEN d.x * ln(greatest(d.x, 1e-300D) / greatest(d.np, 1e-300D)) ELSE 0D END + d.np - d.x"
+    return _bind(f"CASE WHEN abs(d.v) < 0.1 THEN {near} ELSE {far} END", "d",
+                 x=x, np=np_, v=f"try_divide({x} - {np_}, {x} + {np_})")
 
 
 def log_factorial(m) -> Column:
     """ln(m!) for m >= 0 by Stirling's formula and its error term."""
     m = _lit(m)
-    d = F.greatest(m.cast("double"), F.lit(1.0))
-    return F.when(m <= 1, F.lit(0.0)).otherwise((d + 0.5) * F.log(d) - d + 0.5 * math.log(2.0 * math.pi) + _stirling_error(d))
+    body = f"(p.d + 0.5D) * ln(p.d) - p.d + {0.5 * math.log(2.0 * math.pi)!r}D + {_stirling_error('p.d')}"
+    return F.when(m <= 1, F.lit(0.0)).otherwise(_let(body, d=F.greatest(m.cast("double"), F.lit(1.0))))
 
 
-def _deviance(x: Column, np_: Column) -> Column:
-    """x ln(x / np) + np - x without cancellation, 0 at x = np."""
+# ---- Student-t and F ------------------------------------------------------------
 
-    def value(p):
-        terms = F.lit(1.0 / 25)
-        for k in range(11, 0, -1):
-            terms = terms * p["v"] * p["v"] + 1.0 / (2 * k + 1)
-        near = (p["x"] - p["np"]) * p["v"] + 2.0 * p["x"] * p["v"] * p["v"] * p["v"] * terms
-        ratio = F.log(F.greatest(p["x"], F.lit(1e-300)) / F.greatest(p["np"], F.lit(1e-300)))
-        far = F.when(p["x"] > 0, p["x"] * ratio).otherwise(0.0) + p["np"] - p["x"]
-        return F.when(F.abs(p["v"]) < 0.1, near).otherwise(far)
+def _beta_text() -> str:
+    """I_x(a, b) over p.a, p.b, p.x, p.y, p.n = a + b, on the side where the fraction converges."""
+    # x^a y^b / B(a, b) from the density of "a of a + b" at x
+    density = (f"exp({_stirling_error('p.n')} - {_stirling_error('p.a')} - {_stirling_error('p.b')}"
+               f" - {_deviance('p.a', '(p.n * p.x)')} - {_deviance('p.b', '(p.n * p.y)')})"
+               f" * sqrt(p.n * p.a * p.b / {2.0 * math.pi!r}D) / p.n")
+    levels = "CAST(least(4000D, 60D + 2D * sqrt(least(p.a, p.b))) AS INT)"
 
-    return _let(lambda p: _let(value, x=p["x"], np=p["np"], v=F.try_divide(p["x"] - p["np"], p["x"] + p["np"])),
-                x=x.cast("double"), np=np_.cast("double"))
+    # even part of the continued fraction; x and y enter apart, so that neither cancels next to 1
+    def term(m):
+        return (f"({m} + CASE WHEN {m} > 0 THEN {m} * (p.b - {m}) * p.x / (p.a + 2D * {m} - 1D) ELSE 0D END"
+                f" + (p.a + {m}) * (p.a * p.y - p.b * p.x + 1D + {m} * (1D + p.y)) / (p.a + 2D * {m} + 1D))")
 
+    top = "(p.a + i - 1D) * (p.n + i - 1D) * i * (p.b - i) * p.x * p.x / pow(p.a + 2D * i - 1D, 2D)"
+    fraction = (f"aggregate(sequence({levels}, 1), CAST({levels} AS DOUBLE), "
+                f"(acc, i) -> {term('(i - 1D)')} + {top} / CASE WHEN acc = 0 THEN 1e-300D ELSE acc END)")
+    return _bind("CASE WHEN p.swapped THEN 1D - r.part ELSE r.part END", "r", part=f"{density} / {fraction}")
 
-# ---- Student-t and F ------------------------------------------------------------
 
 def _beta(a: Column, b: Column, x: Column, y: Column) -> Column:
     """Regularised incomplete beta I_x(a, b) for a, b >= 1/2 and y = 1 - x."""
-
-    def value(p):
-        n = p["a"] + p["b"]
-        # x^a y^b / B(a, b) from the density of "a of a + b" at x
-        density = F.exp(_stirling_error(n) - _stirling_error(p["a"]) - _stirling_error(p["b"])
-                        - _deviance(p["a"], n * p["x"]) - _deviance(p["b"], n * p["y"])) * F.sqrt(n * p["a"] * p["b"] / (2.0 * math.pi)) / n
-        levels = F.least(F.lit(4000.0), 60.0 + 2.0 * F.sqrt(F.least(p["a"], p["b"]))).cast("int")
-
-        # even part of the continued fraction; x and y enter apart, so that neither cancels next to 1
-        def term(m):
-            return (m + F.when(m > 0, m * (p["b"] - m) * p["x"] / (p["a"] + 2.0 * m - 1.0)).otherwise(0.0)
-                    + (p["a"] + m) * (p["a"] * p["y"] - p["b"] * p["x"] + 1.0 + m * (1.0 + p["y"])) / (p["a"] + 2.0 * m + 1.0))
-
-        def level(acc, i):
-            top = (p["a"] + i - 1.0) * (n + i - 1.0) * i * (p["b"] - i) * p["x"] * p["x"] / F.pow(p["a"] + 2.0 * i - 1.0, F.lit(2.0))
-            return term(i - 1.0) + top / F.when(acc == 0.0, 1e-300).otherwise(acc)
-
-        part = density / F.aggregate(F.sequence(levels, F.lit(1)), levels.cast("double"), level)
-        return F.when(p["swapped"], 1.0 - part).otherwise(part)
-
     swapped = x >= (a + 1.0) / (a + b + 2.0)
     pick = lambda u, v: F.when(swapped, v).otherwise(u)
-    inside = _let(value, a=pick(a, b), b=pick(b, a), x=pick(x, y), y=pick(y, x), swapped=swapped)
+    inside = _let(_beta_text(), a=pick(a, b), b=pick(b, a), n=a + b, x=pick(x, y), y=pick(y, x), swapped=swapped)
     return F.when(x <= 0, 0.0).when(y <= 0, 1.0).when(a.isNotNull() & b.isNotNull() & x.isNotNull(), inside)
 
 
@@ -308,21 +306,21 @@ def sql_cohens_h(p1: str, p2: str) -> str:
 
 # ---- hypergeometric terms ---------------------------------------------------
 
-def _log_binomial(x: Column, n: Column, p: Column) -> Column:
-    """ln of the binomial probability of x in n (saddle-point form), for 0 <= p <= 1."""
-    nd, xd = n.cast("double"), x.cast("double")
-    inside = (_stirling_error(n) - _stirling_error(x) - _stirling_error(n - x)
-              - _deviance(x, nd * p) - _deviance(n - x, nd * (1.0 - p))
-              + 0.5 * F.log(F.greatest(nd, F.lit(1.0)) / (2.0 * math.pi * F.greatest(xd, F.lit(1.0)) * F.greatest(nd - xd, F.lit(1.0)))))
-    none = nd * F.log1p(-F.least(p, F.lit(1.0 - 1e-16)))
-    every = nd * F.log(F.greatest(p, F.lit(1e-300)))
-    return F.when(n == 0, 0.0).when(x == 0, none).when(x == n, every).otherwise(inside)
+def _log_binomial(x: str, n: str, q: str) -> str:
+    """ln of the binomial probability of x in n (saddle-point form), for 0 <= q <= 1."""
+    inside = (f"{_stirling_error(n)} - {_stirling_error(x)} - {_stirling_error(f'({n} - {x})')}"
+              f" - {_deviance(x, f'({n} * {q})')} - {_deviance(f'({n} - {x})', f'({n} * (1D - {q}))')}"
+              f" + 0.5D * ln(greatest({n}, 1D) / ({2.0 * math.pi!r}D * greatest({x}, 1D) * greatest({n} - {x}, 1D)))")
+    return (f"CASE WHEN {n} = 0 THEN 0D WHEN {x} = 0 THEN {n} * log1p(-least({q}, {1.0 - 1e-16!r}D)) "
+            f"WHEN {x} = {n} THEN {n} * ln(greatest({q}, 1e-300D)) ELSE {inside} END")
 
 
 def log_hypergeometric(x: Column, n_t: Column, n_c: Column, k: Column) -> Column:
-    """ln P(x of k successes fall in n_t of n_t + n_c units), as three binomials with p = k / N."""
-    p = F.try_divide(k.cast("double"), (n_t + n_c).cast("double"))
-    return _log_binomial(x, n_t, p) + _log_binomial(k - x, n_c, p) - _log_binomial(k, n_t + n_c, p)
+    """ln P(x of k successes fall in n_t of n_t + n_c units), as three binomials with probability k / N."""
+    d = {n: c.cast("double") for n, c in (("x", x), ("t", n_t), ("c", n_c), ("k", k))}
+    body = (f"{_log_binomial('p.x', 'p.t', 'p.q')} + {_log_binomial('(p.k - p.x)', 'p.c', 'p.q')}"
+            f" - {_log_binomial('p.k', '(p.t + p.c)', 'p.q')}")
+    return _let(body, **d, q=F.try_divide(d["k"], d["t"] + d["c"]))
 
 
 def sql_f_sf(f: str, d1: str, d2: str) -> str:

@@ -22,6 +22,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.driver.memory": "16g",
+    # no Python call sites on expressions: capturing one costs more than building the expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # remove checkpoint files once the checkpointed DataFrame is garbage collected
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
