@@ -5,22 +5,18 @@ are one-row aggregates attached to the rows as a scalar subquery (computed
 once, a constant in the row projection) - no join, no unpartitioned window
 over the data.  Centroids travel as one row holding an array of k structs, so
 nearest-centroid assignment is a per-row expression (no k-way join).
-K-means itself is ``pyspark.ml.clustering.KMeans`` (distributed Lloyd
-iterations with k-means|| seeding); everything downstream of the labels is
-plain DataFrame code and checked against SQL with centroids derived
-deterministically from the data.
+K-means itself is in :mod:`bazaar.operators.clustering`.
 """
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from bazaar.operators import clustering
 from bazaar.operators.profile import attach, iqr_bounds
 from bazaar.operators.ranking import exact_quantiles
-from bazaar.session import materialize
 
 RFM_COLS = ("monetary_value", "frequency", "recency")
 SCALED_COLS = ("monetary_value_scaled", "frequency_scaled", "recency_scaled")
@@ -186,93 +182,14 @@ def silhouette_sq(assigned: DataFrame, cols: Sequence[str] = SCALED_COLS,
     return j.agg(F.avg(s).alias("silhouette"), F.count(F.lit(1)).alias("points"))
 
 
-def kmeans_fit(features: DataFrame, k: int, cols: Sequence[str] = SCALED_COLS, n_init: int = 10,
-               seed: int = 42, max_iter: int = 1000, tol: float = 1e-4):
-    """Best of ``n_init`` Spark ML K-means fits (lowest training cost).
-
-    Returns (model, cost).  The assembled features are cached for the
-    restarts and unpersisted afterwards.
-    """
-    return kmeans_fit_many(features, [k], cols, n_init, seed, max_iter, tol)[k]
-
-
-def kmeans_fit_many(features: DataFrame, ks: Sequence[int], cols: Sequence[str] = SCALED_COLS,
-                    n_init: int = 10, seed: int = 42, max_iter: int = 1000, tol: float = 1e-4,
-                    parallel: int = 8) -> dict:
-    """Best-of-``n_init`` fits for several K; the independent fits run as
-    concurrent Spark jobs over one cached feature set.  Returns {k: (model, cost)}.
-    """
-    from concurrent.futures import ThreadPoolExecutor
-
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
-    # every Lloyd step is a job over all partitions: size them by rows (about
-    # 100k per partition), never above what the input already has
-    # the layout depends on the rows alone: dealt by value and sorted, so the
-    # seeded starts and the order of the sums are the same on any cluster
-    rows = features.count()
-    points = features.select(*cols).repartition(max(1, math.ceil(rows / 100_000)), *cols).sortWithinPartitions(*cols)
-    vec = VectorAssembler(inputCols=list(cols), outputCol="features").transform(points).select("features").cache()
-    vec.count()
-
-    def fit(job):
-        k, r = job
-        km = KMeans(k=k, seed=seed + r, maxIter=max_iter, tol=tol, featuresCol="features",
-                    predictionCol="cluster")
-        model = km.fit(vec)
-        return k, r, model, model.summary.trainingCost
-
-    jobs = [(k, r) for k in ks for r in range(n_init)]
-    best: dict = {}
-    try:
-        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-            for k, r, model, cost in pool.map(fit, jobs):
-                # lowest cost wins; equal costs keep the lower restart number
-                if k not in best or cost < best[k][1]:
-                    best[k] = (model, cost)
-    finally:
-        vec.unpersist()
-    return best
-
-
-def kmeans_centroids(model, cols: Sequence[str] = SCALED_COLS, order_col: int = 0):
-    """The model's centroids as a DataFrame, renumbered by feature ``order_col`` descending.
-
-    k rows: the model holds them on the driver already.
-    """
-    spark = model.sparkSession if hasattr(model, "sparkSession") else None
-    from pyspark.sql import SparkSession
-    spark = spark or SparkSession.getActiveSession()
-    cs = sorted((tuple(float(x) for x in c) for c in model.clusterCenters()), key=lambda c: -c[order_col])
-    return spark.createDataFrame([(i, *c) for i, c in enumerate(cs)],
-                                 ["cluster", *cols])
+def kmeans_segments(features: DataFrame, k: int = 4, cols: Sequence[str] = SCALED_COLS, **options) -> DataFrame:
+    """Clusters of :func:`bazaar.operators.clustering.kmeans_segments` over the scaled features."""
+    return clustering.kmeans_segments(features, k, cols, **options)
 
 
-def kmeans_segments(features: DataFrame, k: int = 4, cols: Sequence[str] = SCALED_COLS,
-                    n_init: int = 10, seed: int = 42) -> DataFrame:
-    """Fit, then assign every row to its (renumbered) nearest centroid.
-
-    The features are materialised once (a reliable checkpoint under the session's
-    checkpoint dir) so the restarts and the assignment don't re-run their plan.
-    """
-    features = materialize(features)
-    model, _ = kmeans_fit(features, k, cols, n_init, seed)
-    return assign_nearest(features, kmeans_centroids(model, cols), cols)
-
-
-def kmeans_sweep(features: DataFrame, ks: Sequence[int] = range(2, 11), cols: Sequence[str] = SCALED_COLS,
-                 n_init: int = 10, seed: int = 42) -> DataFrame:
-    """Inertia and squared-Euclidean silhouette per K (one small row per K)."""
-    spark = features.sparkSession
-    features = materialize(features)   # one materialisation for all K
-    fits = kmeans_fit_many(features, list(ks), cols, n_init, seed)
-    rows = []
-    for k in ks:
-        model, cost = fits[k]
-        assigned = assign_nearest(features, kmeans_centroids(model, cols), cols)
-        sil = silhouette_sq(assigned, cols).first()["silhouette"]
-        rows.append((int(k), float(cost), float(sil)))
-    return spark.createDataFrame(rows, "k long, inertia double, silhouette double")
+def kmeans_sweep(features: DataFrame, ks: Sequence[int] = range(2, 11), cols: Sequence[str] = SCALED_COLS, **options) -> DataFrame:
+    """Inertia and silhouette per K (:func:`bazaar.operators.clustering.kmeans_sweep`)."""
+    return clustering.kmeans_sweep(features, ks, cols, **options)
 
 
 def k_selection(sweep: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Oracle SQL for the RFM / segmentation queries (K-means itself has none)."""
+"""Oracle SQL for the RFM / segmentation queries."""
 from bazaar.plans.oracle import RETAIL, sql, with_
 
 STD = r"'^\d{5}[A-Za-z]?$'"
@@ -282,3 +282,74 @@ SELECT b.segment AS from_segment, count(*) AS customers,
 FROM snap0 b JOIN snap0_rfm r0 ON b.customer_id = r0.customer_id
 JOIN snap1 a ON b.customer_id = a.customer_id JOIN snap1_rfm r1 ON a.customer_id = r1.customer_id
 GROUP BY 1"""
+
+
+def _lloyd(ks) -> str:
+    """The same K-means in SQL: bands of each feature as starts, one recursion for the steps of all runs, the best start per K."""
+    cols = ("monetary_value_scaled", "frequency_scaled", "recency_scaled")
+    bands = []
+    for k in ks:
+        for i, c in enumerate(cols):
+            below = " + ".join(f"CAST({c} <= (SELECT quantile_cont({c}, CAST({j / k!r} AS DOUBLE)) FROM scaled) AS INTEGER)" for j in range(1, k)) or "0"
+            bands.append(f"SELECT {k * 100 + i} AS run, {below} AS cluster, {', '.join(cols)} FROM scaled")
+    union = "\n  UNION ALL ".join(bands)
+    return f""",
+pts AS MATERIALIZED (SELECT customer_id, {cols[0]} AS x, {cols[1]} AS y, {cols[2]} AS z FROM scaled),
+bands AS (
+  {union}),
+means AS (SELECT run, cluster, avg({cols[0]}) AS x, avg({cols[1]}) AS y, avg({cols[2]}) AS z FROM bands GROUP BY 1, 2),
+starts AS (SELECT run, list({{'cluster': cluster, 'x': x, 'y': y, 'z': z}} ORDER BY cluster) AS cents FROM means GROUP BY run),
+walk AS (
+  SELECT run, 0 AS step, cents, CAST('inf' AS DOUBLE) AS moved FROM starts
+  UNION ALL
+  SELECT run, step + 1, list({{'cluster': cluster, 'x': x, 'y': y, 'z': z}} ORDER BY cluster),
+         sum((x - ox) * (x - ox) + (y - oy) * (y - oy) + (z - oz) * (z - oz))
+  FROM (
+    SELECT o.run AS run, o.step AS step, o.c.cluster AS cluster, coalesce(n.x, o.c.x) AS x, coalesce(n.y, o.c.y) AS y, coalesce(n.z, o.c.z) AS z,
+           o.c.x AS ox, o.c.y AS oy, o.c.z AS oz
+    FROM (SELECT run, step, unnest(cents) AS c FROM walk WHERE moved > 1e-4) o
+    LEFT JOIN (
+      SELECT run, cluster, avg(x) AS x, avg(y) AS y, avg(z) AS z
+      FROM (SELECT w.run, p.x, p.y, p.z,
+                   list_min([{{'d': (p.x - c.x) * (p.x - c.x) + (p.y - c.y) * (p.y - c.y) + (p.z - c.z) * (p.z - c.z),
+                               'cluster': c.cluster}} FOR c IN w.cents]).cluster AS cluster
+            FROM walk w, pts p WHERE w.moved > 1e-4)
+      GROUP BY run, cluster) n ON n.run = o.run AND n.cluster = o.c.cluster)
+  GROUP BY run, step),
+ends AS (SELECT run, step, cents FROM walk QUALIFY row_number() OVER (PARTITION BY run ORDER BY step DESC) = 1),
+near AS (
+  SELECT run, customer_id, x, y, z,
+         list_min([{{'d': (x - c.x) * (x - c.x) + (y - c.y) * (y - c.y) + (z - c.z) * (z - c.z), 'cluster': c.cluster}} FOR c IN cents]) AS best
+  FROM ends, pts),
+inertias AS (SELECT run, CAST(floor(run / 100) AS BIGINT) AS k, sum(best.d) AS inertia FROM near GROUP BY run),
+best_run AS (SELECT run, k, inertia FROM inertias QUALIFY row_number() OVER (PARTITION BY k ORDER BY round(inertia, 9), run) = 1),
+renamed AS (
+  SELECT run, c.cluster AS cluster, row_number() OVER (PARTITION BY run ORDER BY c.x DESC, c.y DESC, c.z DESC) - 1 AS number
+  FROM (SELECT run, unnest(cents) AS c FROM ends)),
+labelled AS MATERIALIZED (
+  SELECT b.k, n.customer_id, n.x, n.y, n.z, r.number AS cluster, n.best.d AS d
+  FROM near n JOIN best_run b ON b.run = n.run JOIN renamed r ON r.run = n.run AND r.cluster = n.best.cluster)"""
+
+
+@sql("kmeans_segments")
+def _():
+    return base().replace("WITH ", "WITH RECURSIVE ", 1) + _lloyd([4]) + """
+SELECT customer_id, CAST(cluster AS INTEGER) AS cluster, round(d, 6) AS sq_distance FROM labelled"""
+
+
+@sql("kmeans_sweep")
+def _():
+    return base().replace("WITH ", "WITH RECURSIVE ", 1) + _lloyd(range(2, 11)) + """,
+groups AS (SELECT k, cluster, count(*) AS n, avg(x) AS mx, avg(y) AS my, avg(z) AS mz,
+                  avg(x * x + y * y + z * z) AS mq FROM labelled GROUP BY 1, 2),
+apart AS (
+  SELECT l.k, l.customer_id,
+         max(CASE WHEN g.cluster = l.cluster THEN g.n END) AS own,
+         max(CASE WHEN g.cluster = l.cluster THEN (x * x + y * y + z * z + mq - 2 * (x * mx + y * my + z * mz)) * g.n / nullif(g.n - 1, 0) END) AS a,
+         min(CASE WHEN g.cluster <> l.cluster THEN x * x + y * y + z * z + mq - 2 * (x * mx + y * my + z * mz) END) AS b
+  FROM labelled l JOIN groups g ON g.k = l.k GROUP BY 1, 2),
+sil AS (SELECT k, avg(CASE WHEN own = 1 OR a = b THEN 0 WHEN a < b THEN 1 - a / b ELSE b / a - 1 END) AS s FROM apart GROUP BY k)
+SELECT k, round(inertia, 6) AS inertia, round(s, 6) AS silhouette,
+       round(lag(inertia) OVER (ORDER BY k) - inertia, 6) AS inertia_drop,
+       s > coalesce(lag(s) OVER (ORDER BY k), '-inf'::DOUBLE) AND s > coalesce(lead(s) OVER (ORDER BY k), '-inf'::DOUBLE) AS silhouette_peak
+FROM best_run JOIN sil USING (k)"""

@@ -131,7 +131,7 @@ def segment_drift(spark, sf):
 
 @query("kmeans_segments")
 def kmeans_segments(spark, sf):
-    seg = S.kmeans_segments(S.scaled_features(_rfm(spark, sf)), k=4, n_init=10, seed=42)
+    seg = S.kmeans_segments(S.scaled_features(_rfm(spark, sf)), k=4)
     return finish(seg.select("customer_id", "cluster", "sq_distance"))
 
 
