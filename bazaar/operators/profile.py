@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaar.operators.ranking import exact_quantiles
-from bazaar.sources.tables import table
+from bazaar.sources.tables import file_metadata, table
 
 # Box-plot band labels, in plot order.
 BOX_BANDS = ("outlier_low", "whisker_low_to_Q1", "IQR_box (25-75%)", "Q3_to_whisker_high", "outlier_high")
@@ -183,7 +183,8 @@ def selectivity_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def table_profile(spark: SparkSession, sf_dir: str, names: Sequence[str]) -> DataFrame:
-    """Rows and columns per table, largest first (one count job per table)."""
+    """Rows, columns, files and bytes per table (one count per table; sizes from one listing of all)."""
+    base = sf_dir.rstrip("/")
     parts = []
     for n in names:
         t = table(spark, sf_dir, n)
@@ -192,7 +193,11 @@ def table_profile(spark: SparkSession, sf_dir: str, names: Sequence[str]) -> Dat
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    sizes = (file_metadata(spark, [f"{base}/{n}.parquet" for n in names])
+             .groupBy(F.regexp_extract("path", r"/([^/]+)\.parquet(/[^/]*)*$", 1).alias("table_name"))
+             .agg(F.count(F.lit(1)).alias("files"), F.sum("file_bytes").alias("bytes")))
+    return out.join(sizes, "table_name", "left").select(
+        "table_name", "rows", "columns", F.coalesce("files", F.lit(0)).alias("files"), F.coalesce("bytes", F.lit(0)).alias("bytes"))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 20, by: Sequence[str] = ()) -> DataFrame:

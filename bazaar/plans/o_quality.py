@@ -176,12 +176,30 @@ _DRIVER_TABLES = ("region nation customer supplier part orders lineitem events d
                   "embeddings pages benchmark labels conversations").split()
 
 
+# sizes of the files behind the views: those that a view's text names, or else the tables of the oracle run
+_SIZES = """sizes AS (
+  SELECT regexp_extract(f.filename, '([^/]+)[.]parquet$', 1) AS table_name, parse_filename(f.filename) AS file_name, f.size AS bytes
+  FROM read_blob('/root/testdata/sf*/*.parquet') f
+  WHERE CASE WHEN (SELECT count(*) FROM duckdb_views() WHERE sql LIKE '%/root/testdata/sf%') > 0
+             THEN EXISTS (SELECT 1 FROM duckdb_views() v WHERE contains(v.sql, f.filename))
+             ELSE starts_with(f.filename, '/root/testdata/sf0.01/') END)"""
+
+
 @sql("table_profile")
 def _():
-    return "\nUNION ALL\n".join(
+    return f"WITH {_SIZES},\nt AS (" + "\nUNION ALL\n".join(
         f"SELECT '{t}' AS table_name, count(*) AS rows, "
         f"(SELECT CAST(count(*) AS BIGINT) FROM (DESCRIBE {t})) AS columns FROM {t}"
-        for t in _DRIVER_TABLES)
+        for t in _DRIVER_TABLES) + """)
+SELECT t.table_name, rows, columns, CAST(count(*) AS BIGINT) AS files, CAST(sum(bytes) AS BIGINT) AS bytes
+FROM t JOIN sizes s ON s.table_name = t.table_name GROUP BY 1, 2, 3"""
+
+
+@sql("file_inventory")
+def _():
+    return f"WITH {_SIZES},\nt AS (" + "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in _DRIVER_TABLES) + """)
+SELECT t.table_name, file_name, CAST(bytes AS BIGINT) AS file_bytes, rows FROM t JOIN sizes s ON s.table_name = t.table_name"""
 
 
 _FK = """

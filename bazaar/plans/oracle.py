@@ -202,6 +202,20 @@ SELECT event_id, user_id, device_type, round(session_duration_minutes, 6) AS ses
 FROM user_events WHERE action_type = 'view'"""
 
 
+@sql("hourly_metrics_stream")
+def _():
+    """The hours whose end the watermark (one hour behind the newest event) has reached."""
+    return with_(USER_EVENTS) + """,
+counts AS (
+  SELECT date_trunc('hour', ts) AS hour, device_type, count(*) AS n FROM user_events GROUP BY 1, 2),
+modal AS (SELECT hour, device_type FROM counts QUALIFY row_number() OVER (PARTITION BY hour ORDER BY n DESC, device_type) = 1)
+SELECT m.hour, count(*) AS session_count, count(DISTINCT e.user_id) AS unique_users,
+       round(avg(e.session_duration_minutes), 6) AS avg_session_duration, any_value(m.device_type) AS most_popular_device
+FROM user_events e JOIN modal m ON date_trunc('hour', e.ts) = m.hour
+WHERE m.hour + INTERVAL 2 HOUR <= (SELECT date_trunc('millisecond', max(ts)) FROM user_events)
+GROUP BY m.hour"""
+
+
 @sql("hourly_metrics_export")
 def _():
     return with_(USER_EVENTS) + """,
@@ -221,5 +235,5 @@ GROUP BY 1"""
 
 def load_all() -> dict[str, str]:
     """Import the SQL modules (their decorators fill SQL) and return the oracle map."""
-    from bazaar.plans import o_cohorts, o_experiments, o_more, o_quality, o_segments  # noqa: F401
+    from bazaar.plans import o_cohorts, o_experiments, o_more, o_quality, o_segments, o_sources  # noqa: F401
     return dict(SQL)

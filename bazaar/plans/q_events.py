@@ -4,6 +4,8 @@ from bazaar.operators import events as E
 from bazaar.plans.registry import finish, query
 from bazaar.session import ensure_checkpoint_dir
 from bazaar.sources import fixtures as X
+from bazaar.sources.tables import table_stream
+from bazaar.streaming import hourly as ST
 
 
 @query("hourly_metrics")
@@ -26,9 +28,9 @@ def session_rank_full(spark, sf):
     return finish(E.session_rank_methods(X.user_events(spark, sf)))
 
 
-def _export_path(spark):
+def _export_path(spark, name="hourly_metrics"):
     """A new folder below the session's shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/exports/hourly_metrics-{uuid.uuid4().hex}"
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/exports/{name}-{uuid.uuid4().hex}"
 
 
 @query("hourly_metrics_export")
@@ -48,3 +50,13 @@ def pipeline_files(spark, sf):
     """L8 summary: files and bytes written (rows-only check)."""
     _, summary = E.create_analytics_pipeline(X.user_events(spark, sf), _export_path(spark))
     return summary.select("files_written", "bytes_written")
+
+
+@query("hourly_metrics_stream")
+def hourly_metrics_stream(spark, sf):
+    """The event table read as a stream to its end; the hours that the watermark has closed, exact users."""
+    events = table_stream(spark, sf, "events")
+    ue = X.user_events_of(events)
+    out = _export_path(spark, "hourly_stream")
+    ST.run_available_now(ST.hourly_metrics_exact_stream(ue), f"{out}/rows", f"{out}/state")
+    return finish(spark.read.parquet(f"{out}/rows"))

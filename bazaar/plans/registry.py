@@ -66,5 +66,5 @@ def finish(df: DataFrame, digits: int = 6, money: dict[str, int] | None = None,
 def load_all() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Import the query modules (their decorators fill QUERIES) and return the registry."""
     from bazaar.plans import (q_cohorts, q_customers, q_events, q_experiments, q_more,  # noqa: F401
-                              q_quality, q_segments)
+                              q_quality, q_segments, q_sources)
     return dict(QUERIES)

@@ -29,7 +29,11 @@ def device_of(event_id: Column) -> Column:
 
 def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """user_events <- events: one row per session event."""
-    e = table(spark, sf_dir, "events")
+    return user_events_of(table(spark, sf_dir, "events"))
+
+
+def user_events_of(e: DataFrame) -> DataFrame:
+    """The session events of an ``events`` table or stream."""
     return e.select(
         "event_id", "user_id", "ts",
         device_of(F.col("event_id")).alias("device_type"),

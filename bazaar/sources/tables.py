@@ -6,9 +6,9 @@ just ``select``/``filter`` the returned DataFrame.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -19,6 +19,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """One driver table as a stream of its files (the schema is the table's)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory():
+        return reader.parquet(path)
+    # a table of one file: a stream's source must be a folder, so its folder, and that file alone
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType, fmt: str = "csv",
                sep: str = ",", header: bool = True, date_format: str | None = None,
                timestamp_format: str | None = None) -> DataFrame:
@@ -33,6 +46,55 @@ def read_table(spark: SparkSession, path: str, schema: StructType, fmt: str = "c
     return reader.format(fmt).load(path)
 
 
+CORRUPT = "_corrupt_record"
+
+
+def read_checked(spark: SparkSession, path, schema: StructType, sep: str = ",", header: bool = True,
+                 date_format: str | None = None, timestamp_format: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of delimited files with a fixed schema: malformed lines are set aside, not read as nulls.
+
+    A line is malformed when it has another number of fields than the schema
+    or a value that its type cannot hold.  ``rejects`` keeps the whole line in
+    ``record``, its ``file`` and the ``reason`` (``fields`` or ``value``);
+    empty values are nulls and sound, empty lines are no lines.  Every line
+    but those and the headers is in exactly one of the two.  Partition columns
+    of the path stay in both.  Fields are parsed whole even if a caller selects
+    few columns, so the same lines are rejected whatever is read later.
+    """
+    taken = {f.name.lower() for f in schema.fields}
+    corrupt = next(n for n in (CORRUPT, *(f"{CORRUPT}_{i}" for i in range(len(taken) + 1))) if n.lower() not in taken)
+    full = StructType([*schema.fields, StructField(corrupt, StringType())])
+    reader = (spark.read.schema(full).option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", corrupt).option("columnPruning", False)
+              .option("enforceSchema", True))
+    if date_format:
+        reader = reader.option("dateFormat", date_format)
+    if timestamp_format:
+        reader = reader.option("timestampFormat", timestamp_format)
+    raw = reader.csv(path)
+    bad = F.col(f"`{corrupt}`")
+    # separators outside quotes count the fields of a rejected line
+    bare = F.regexp_replace(bad, '"[^"]*"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + 1
+    reason = F.when(fields == len(schema.fields), F.lit("value")).otherwise(F.lit("fields"))
+    kept = [c for c in raw.columns if c != corrupt]
+    # always true; it makes the scan parse every field, and Spark refuses to read the lines alone
+    parsed = F.xxhash64(*[F.col(f"`{f.name}`") for f in schema.fields]) % 1 == 0
+    found = [c for c in kept if c.lower() not in taken]
+    rejects = (raw.withColumn("__file", F.col("_metadata.file_path")).where(bad.isNotNull() & parsed)
+               .select(F.col("__file").alias("file"), bad.alias("record"), reason.alias("reason"), *[F.col(f"`{c}`") for c in found]))
+    return raw.where(bad.isNull() & parsed).select(*[F.col(f"`{c}`") for c in kept]), rejects
+
+
+def rejects_by(rows: DataFrame, rejects: DataFrame, by: list[str]) -> DataFrame:
+    """Lines read, sound and rejected (by reason) per ``by``, also where all or none are rejected."""
+    flags = rows.select(*by, F.lit(None).cast("string").alias("reason")).unionByName(rejects.select(*by, "reason"))
+    return flags.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("lines"), F.count_if(F.col("reason").isNull()).alias("sound"),
+        F.count("reason").alias("rejected"), F.count_if(F.col("reason") == "fields").alias("rejected_fields"),
+        F.count_if(F.col("reason") == "value").alias("rejected_values"))
+
+
 def read_arms(spark: SparkSession, paths: dict[str, str], schema: StructType,
               sep: str = ";", arm_col: str = "arm", **kw) -> DataFrame:
     """One file per experiment arm -> one tagged DataFrame (A2)."""
@@ -80,16 +142,28 @@ def export_parquet(df: DataFrame, path: str, partition_by: list[str] | None = No
     return path
 
 
+def _plain_path(c: str) -> Column:
+    """A file path with one slash after the scheme, as the several sources write it differently."""
+    return F.regexp_replace(c, "^([A-Za-z0-9]+):/+", "$1:/")
+
+
+def file_metadata(spark: SparkSession, paths) -> DataFrame:
+    """(path, file_name, file_bytes, modified) of all files below ``paths``: a listing, no file is opened."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    return listed.select(_plain_path("path").alias("path"), F.element_at(F.split("path", "/"), -1).alias("file_name"),
+                         F.col("length").alias("file_bytes"), F.col("modificationTime").alias("modified"))
+
+
 def file_inventory(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Files of a dataset with their sizes and row counts (A10).
+    """Files of a dataset with their sizes and row counts (A10); a file without rows has 0.
 
-    Uses the hidden ``_metadata`` column, so it is one distributed scan.
+    Sizes come from the listing, rows from one scan grouped by the hidden
+    ``_metadata`` path (no data column is read).
     """
-    df = spark.read.format(fmt).load(path)
-    return (df.select(F.col("_metadata.file_name").alias("file_name"),
-                      F.col("_metadata.file_size").alias("file_bytes"))
-              .groupBy("file_name", "file_bytes")
-              .agg(F.count(F.lit(1)).alias("rows")))
+    rows = (spark.read.format(fmt).load(path).groupBy(_plain_path("_metadata.file_path").alias("path"))
+            .agg(F.count(F.lit(1)).alias("rows")))
+    return (file_metadata(spark, path).join(rows, "path", "left")
+            .select("file_name", "file_bytes", F.coalesce("rows", F.lit(0)).alias("rows")))
 
 
 def table_files(spark: SparkSession, sf_dir: str, names) -> DataFrame:
@@ -116,17 +190,29 @@ def rename_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in mapping.items() if k in df.columns})
 
 
-def read_campaign_arms(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+def read_campaign_arms(spark: SparkSession, paths: dict[str, str], checked: bool = False):
     """A2 + B11 + B21: ';'-separated daily campaign files (one per arm),
-    dates as d.M.yyyy, renamed to snake_case, tagged with the arm."""
+    dates as d.M.yyyy, renamed to snake_case, tagged with the arm.
+
+    With ``checked`` also the rejected lines: (rows, rejects).
+    """
     from pyspark.sql import types as T
     fields = [T.StructField("Campaign Name", T.StringType()), T.StructField("Date", T.StringType()),
               T.StructField("Spend [USD]", T.DoubleType()), T.StructField("# of Impressions", T.LongType()),
               T.StructField("Reach", T.LongType()), T.StructField("# of Website Clicks", T.LongType()),
               T.StructField("# of Searches", T.LongType()), T.StructField("# of View Content", T.LongType()),
               T.StructField("# of Add to Cart", T.LongType()), T.StructField("# of Purchase", T.LongType())]
-    raw = read_arms(spark, paths, T.StructType(fields), sep=";")
-    return rename_columns(raw, CAMPAIGN_RENAMES).withColumn("date", F.to_date("date", "d.M.yyyy"))
+    def tidy(raw):
+        return rename_columns(raw, CAMPAIGN_RENAMES).withColumn("date", F.to_date("date", "d.M.yyyy"))
+
+    if not checked:
+        return tidy(read_arms(spark, paths, T.StructType(fields), sep=";"))
+    pairs = [[part.withColumn("arm", F.lit(arm)) for part in read_checked(spark, p, T.StructType(fields), sep=";")]
+             for arm, p in paths.items()]
+    rows, rejects = pairs[0]
+    for more, bad in pairs[1:]:
+        rows, rejects = rows.unionByName(more), rejects.unionByName(bad)
+    return tidy(rows), rejects
 
 
 # Column headers of the reference's input files and the names used here.
@@ -158,18 +244,22 @@ def read_retail_lines(spark: SparkSession, path: str, fmt: str = "csv",
                      "price", F.col("customer_id").cast("long").alias("customer_id"), "country")
 
 
-def read_ab_units(spark: SparkSession, path: str, experiment_id: str = "ab") -> DataFrame:
+def read_ab_units(spark: SparkSession, path: str, experiment_id: str = "ab", checked: bool = False):
     """A1: the unit-level A/B file (user, timestamp, group, page, converted) with a fixed
-    schema, tagged with an experiment id and a row number in file order as tie-break."""
+    schema, tagged with an experiment id and a row number in file order as tie-break.
+
+    With ``checked`` also the rejected lines: (rows, rejects).
+    """
     from pyspark.sql import types as T
     schema = T.StructType([
         T.StructField("user_id", T.LongType()), T.StructField("timestamp", T.StringType()),
         T.StructField("group", T.StringType()), T.StructField("landing_page", T.StringType()),
         T.StructField("converted", T.IntegerType())])
-    raw = rename_columns(read_table(spark, path, schema), AB_RENAMES)
-    return raw.select(F.lit(experiment_id).alias("experiment_id"),
+    raw, rejects = read_checked(spark, path, schema) if checked else (read_table(spark, path, schema), None)
+    rows = rename_columns(raw, AB_RENAMES).select(F.lit(experiment_id).alias("experiment_id"),
                       F.monotonically_increasing_id().alias("row_id"), "user_id",
                       F.to_timestamp_ntz(F.col("ts")).alias("ts"), "grp", "landing_page", "converted")
+    return (rows, rejects) if checked else rows
 
 
 def read_user_events(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

@@ -106,3 +106,51 @@ def test_read_user_events_feeds_hourly_metrics(spark):
     ev = T.read_user_events(spark, d)
     got = {r.hour: (r.session_count, r.unique_users) for r in EV.hourly_metrics(ev).collect()}
     assert got == {dt.datetime(2024, 5, 1, 10): (2, 2), dt.datetime(2024, 5, 1, 11): (1, 1)}
+
+
+def _lines(text, name="f.csv"):
+    d = tempfile.mkdtemp(prefix="bazaar-csv-")
+    with open(os.path.join(d, name), "w") as f:
+        f.write(text)
+    return d
+
+
+def test_malformed_lines_are_set_aside(spark):
+    from pyspark.sql import types as TY
+    schema = TY.StructType([TY.StructField("id", TY.LongType()), TY.StructField("_corrupt_record", TY.StringType()),
+                            TY.StructField("x", TY.DoubleType()), TY.StructField("d", TY.DateType())])
+    d = _lines('id,n,x,d\n1,a,2.5,2020-01-02\n2,"b,c",,2020-01-03\nthree,a,1,2020-01-04\n4,a,1\n5,a,1,2020-01-05,more\n'
+               '\n6,"q,r",bad,2020-01-06\n7,a,1,2020-02-31\n,,,\n')
+    rows, rejects = T.read_checked(spark, d, schema, date_format="yyyy-MM-dd")
+    good = {r.id: r for r in rows.collect()}
+    assert set(good) == {1, 2, None} and good[2]["_corrupt_record"] == "b,c" and good[2].x is None
+    bad = {r.record: r.reason for r in rejects.collect()}
+    assert bad == {"three,a,1,2020-01-04": "value", "4,a,1": "fields", "5,a,1,2020-01-05,more": "fields",
+                   '6,"q,r",bad,2020-01-06': "value", "7,a,1,2020-02-31": "value"}
+    assert rows.select("id").count() == 3 and rows.count() == 3 and rejects.count() == 5   # pruned reads reject the same lines
+    assert rejects.first().file.endswith("f.csv")
+    report = T.rejects_by(rows.withColumn("all", F.lit(1)), rejects.withColumn("all", F.lit(1)), ["all"]).first()
+    assert (report.lines, report.sound, report.rejected, report.rejected_fields, report.rejected_values) == (8, 3, 5, 2, 3)
+
+
+def test_checked_readers(spark):
+    d = _lines("user_id,timestamp,group,landing_page,converted\n1,2017-01-02 03:04:05,control,old_page,0\nx,2017-01-02 03:04:05,control,old_page,1\n")
+    rows, rejects = T.read_ab_units(spark, d, checked=True)
+    assert [r.user_id for r in rows.collect()] == [1] and rejects.count() == 1
+    p = {a: _lines(HEADER + f"\nC;1.08.2019;2280;82702;56930;{v};2290;2159;1819;618\n") for a, v in (("control", "7016"), ("test", "many"))}
+    rows, rejects = T.read_campaign_arms(spark, p, checked=True)
+    assert [r.clicks for r in rows.collect()] == [7016]
+    assert [(r.arm, r.reason) for r in rejects.collect()] == [("test", "value")]
+
+
+def test_files_without_rows_and_folders(spark):
+    d = tempfile.mkdtemp(prefix="bazaar-files-")
+    spark.range(10).repartition(2).write.parquet(f"{d}/t.parquet")
+    spark.range(0).write.mode("append").parquet(f"{d}/t.parquet")
+    inv = T.file_inventory(spark, f"{d}/t.parquet").collect()
+    sizes = {f: os.path.getsize(f"{d}/t.parquet/{f}") for f in os.listdir(f"{d}/t.parquet") if f.endswith(".parquet")}
+    assert {r.file_name: r.file_bytes for r in inv} == sizes
+    assert sum(r.rows for r in inv) == 10 and min(r.rows for r in inv) == 0
+    from bazaar.operators.profile import table_profile
+    r = table_profile(spark, d, ["t"]).first()
+    assert (r.rows, r.columns, r.files, r.bytes) == (10, 1, len(sizes), sum(sizes.values()))
