@@ -441,6 +441,79 @@ def multi_arm_anova(df: DataFrame, value: str, arm: str, by: Sequence[str] = (EX
                     F.when(~enough, F.lit("fewer than two arms with spread")).alias("reason"))
 
 
+# Poisson(1) cumulative probabilities 0..11 in units of 2^-32: a 32-bit hash at or above the k-th counts one more
+POISSON_STEPS = tuple(int(2 ** 32 * sum(math.exp(-1) / math.factorial(j) for j in range(k + 1))) for k in range(12))
+
+
+def poisson_weights(unit: Column, salt: str, replicates: int) -> Column:
+    """Array of (replicate, w): Poisson(1) weights from md5(unit | salt | block), four replicates to a digest.
+
+    The weight of a unit depends on its id alone: any task, order or rerun
+    gives the same replicates, and replicates of parts of the data add up.
+    """
+    def block(b):
+        digest = F.md5(F.concat_ws("|", unit.cast("string"), F.lit(salt), b.cast("string")))
+
+        def word(i):
+            u = F.conv(F.substring(digest, 8 * i + 1, 8), 16, 10).cast("long")
+            w = sum((F.when(u >= t, 1).otherwise(0) for t in POISSON_STEPS), F.lit(0))
+            return F.struct((4 * b + i).cast("int").alias("replicate"), w.alias("w"))
+        return F.array(*[word(i) for i in range(4)])
+
+    blocks = F.transform(F.sequence(F.lit(0), F.lit(-(-replicates // 4) - 1)), block)
+    return F.filter(F.flatten(blocks), lambda x: x["replicate"] < replicates)
+
+
+def pilot_sample_size(pilot: DataFrame, value: str, unit: str, by: Sequence[str] = (EXP,), relative_mde: float = 0.05,
+                      alpha: float = 0.05, power: float = 0.8, replicates: int = 64, coverage: float = 0.9,
+                      salt: str = "pilot") -> DataFrame:
+    """K23 (pilot variance): units per arm for a skewed metric whose variance a pilot estimates.
+
+    n = 2 ((z_a + z_b) sd / effect)^2, rounded as N12, on two scales: ``raw``
+    (effect = relative MDE times the mean) and ``log1p`` (effect = ln(1 +
+    relative MDE); defined for values above -1).  The variance of a skewed
+    metric is itself uncertain, so n comes with a bootstrap range
+    (``coverage`` of the replicates, interpolated): Poisson(1) weights per unit
+    and replicate, all replicates in one aggregate whose sums are added up
+    before the shuffle, so they never meet the driver or one task, and sums of
+    two pilots merge.  Rows of one unit share its weights.
+
+    NULL values take no part; a NULL unit is the unit ''.  Fewer than two
+    values, no spread or a zero mean give NULL sizes; replicates without two
+    units' weight or with a zero mean are left out of the range.
+    """
+    by = list(by)
+    rows = pilot.where(F.col(value).isNotNull()).select(
+        *by, F.col(value).cast("double").alias("__x"), F.coalesce(F.col(unit).cast("string"), F.lit("")).alias("__u"))
+    rows = rows.withColumn("__l", F.when(F.col("__x") > -1, F.log1p("__x")))
+    whole = F.array(F.struct(F.lit(-1).alias("replicate"), F.lit(1).alias("w")))
+    each = F.explode(F.concat(whole, poisson_weights(F.col("__u"), salt, replicates)))
+    one = rows.select(*by, "__x", "__l", each.alias("__e")).where(F.col("__e.w") > 0)
+    w = F.col("__e.w").cast("double")
+
+    def scale(name, x):
+        c, there = F.col(x), F.col(x).isNotNull()
+        return F.struct(F.lit(name).alias("scale"), F.coalesce(F.sum(F.when(there, w)), F.lit(0.0)).alias("w"), F.sum(w * c).alias("s"),
+                        F.sum(w * c * c).alias("q"), F.count_if(there).alias("n"))
+
+    sums = one.groupBy(*by, F.col("__e.replicate").alias("replicate")).agg(F.array(scale("raw", "__x"), scale("log1p", "__l")).alias("__s"))
+    sums = sums.select(*by, "replicate", F.explode("__s").alias("__s")).select(*by, "replicate", "__s.*")
+    mean = F.try_divide(F.col("s"), F.col("w"))
+    var = F.when(F.col("w") > 1, F.greatest(F.col("q") - F.col("s") * F.try_divide(F.col("s"), F.col("w")), F.lit(0.0)) / (F.col("w") - 1))
+    effect = F.when(F.col("scale") == "raw", F.abs(F.col("mean")) * relative_mde).otherwise(F.lit(math.log1p(relative_mde)))
+    z = ST.norm_ppf(F.lit(1 - alpha / 2)) + ST.norm_ppf(F.lit(power))
+    sums = (sums.withColumn("mean", mean).withColumn("sd", F.sqrt(var)).withColumn("__z", z)
+            .withColumn("size", F.when(F.col("sd") > 0, 2 * F.pow(F.try_divide(F.col("__z") * F.col("sd"), effect), F.lit(2.0)))))
+    low, high = (1 - coverage) / 2, (1 + coverage) / 2
+    own, drawn = F.col("replicate") == -1, F.when(F.col("replicate") >= 0, F.col("size"))
+    out = sums.groupBy(*by, "scale").agg(
+        F.max(F.when(own, F.col("n"))).alias("pilot_units"), F.max(F.when(own, F.col("mean"))).alias("mean"),
+        F.max(F.when(own, F.col("sd"))).alias("sd"), F.max(F.when(own, F.col("size"))).alias("size"),
+        F.percentile(drawn, F.array(F.lit(low), F.lit(high))).alias("__r"), F.count(drawn).alias("replicates"))
+    return out.select(*by, "scale", "pilot_units", "mean", "sd", (F.col("size").cast("long") + 1).alias("n_required"),
+                      (F.col("__r")[0].cast("long") + 1).alias("n_low"), (F.col("__r")[1].cast("long") + 1).alias("n_high"), "replicates")
+
+
 FISHER_CHUNK = 4096
 
 

@@ -415,6 +415,39 @@ FROM (SELECT DISTINCT experiment_id FROM g0) e LEFT JOIN t ON e.experiment_id =
      LEFT JOIN t2 ON e.experiment_id = t2.experiment_id"""
 
 
+@sql("pilot_sample_size")
+def _():
+    """The same hash weights, joined as rows; quantiles of the sizes by quantile_cont."""
+    import math
+    steps = ", ".join(str(int(2 ** 32 * sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)))) for k in range(12))
+    return f"""WITH spend AS (
+  SELECT o_orderpriority AS experiment_id, o_custkey, sum(o_totalprice) AS x FROM orders GROUP BY 1, 2),
+draws AS (
+  SELECT experiment_id, x, 4 * b + i AS replicate,
+         CAST('0x' || substr(md5(CAST(o_custkey AS VARCHAR) || '|pilot|' || CAST(b AS VARCHAR)), CAST(8 * i + 1 AS INTEGER), 8) AS BIGINT) AS u
+  FROM spend, range(16) bs(b), range(4) ws(i)),
+weighted AS (
+  SELECT experiment_id, -1 AS replicate, x, 1.0::DOUBLE AS w FROM spend
+  UNION ALL SELECT experiment_id, replicate, x, CAST(len(list_filter([{steps}], lambda t: u >= t)) AS DOUBLE) FROM draws),
+both_scales AS (
+  SELECT experiment_id, replicate, 'raw' AS scale, x AS v, w FROM weighted WHERE w > 0
+  UNION ALL SELECT experiment_id, replicate, 'log1p', ln(1 + x), w FROM weighted WHERE w > 0),
+moments AS (
+  SELECT experiment_id, replicate, scale, count(*) AS n, sum(w * v) / sum(w) AS mean,
+         sqrt((sum(w * v * v) - sum(w * v) * sum(w * v) / sum(w)) / (sum(w) - 1)) AS sd
+  FROM both_scales GROUP BY 1, 2, 3),
+sized AS (
+  SELECT *, 2 * pow(({sql_norm_ppf('CAST(0.975 AS DOUBLE)')} + {sql_norm_ppf('CAST(0.8 AS DOUBLE)')}) * sd
+                    / CASE scale WHEN 'raw' THEN abs(mean) * 0.05::DOUBLE ELSE ln(1.05::DOUBLE) END, 2) AS size
+  FROM moments)
+SELECT s.experiment_id, s.scale, s.n AS pilot_units, round(s.mean, 6) AS mean, round(s.sd, 6) AS sd,
+       trunc(s.size) + 1 AS n_required, trunc(r.low) + 1 AS n_low, trunc(r.high) + 1 AS n_high, r.replicates
+FROM sized s JOIN (
+  SELECT experiment_id, scale, quantile_cont(size, 0.05) AS low, quantile_cont(size, 0.95) AS high, count(size) AS replicates
+  FROM sized WHERE replicate >= 0 GROUP BY 1, 2) r ON r.experiment_id = s.experiment_id AND r.scale = s.scale
+WHERE s.replicate = -1"""
+
+
 @sql("fisher_exact")
 def _():
     from bazaar.functions.stats import sql_log_factorial as lf

@@ -201,6 +201,14 @@ def multi_arm_anova(spark, sf):
     return finish(E.multi_arm_anova(_three_arm_orders(spark, sf), "order_value", "arm"))
 
 
+@query("pilot_sample_size")
+def pilot_sample_size(spark, sf):
+    """Users per arm to see 5 % more spend per user, from the spend so far as the pilot."""
+    o = table(spark, sf, "orders")
+    spend = o.groupBy(F.col("o_orderpriority").alias(E.EXP), "o_custkey").agg(F.sum("o_totalprice").alias("spend"))
+    return finish(E.pilot_sample_size(spend, "spend", "o_custkey"), nullable_ints=("n_required", "n_low", "n_high"))
+
+
 @query("fisher_exact")
 def fisher_exact(spark, sf):
     return finish(E.fisher_exact(E.arms(_summary(spark, sf))))

@@ -178,3 +178,48 @@ def test_one_bad_experiment_leaves_the_others(spark):
                               "experiment_id string, arm string, v double")
     an = E.multi_arm_anova(v, "v", "arm").first()
     assert an.f_stat is None and an.reason == "fewer than two arms with spread"
+
+
+def test_poisson_weights_and_pilot_sizes(spark):
+    import hashlib
+    import math
+
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from bazaar.operators import experiments as E
+
+    steps = [int(2 ** 32 * sum(math.exp(-1) / math.factorial(j) for j in range(k + 1))) for k in range(12)]
+
+    def weights(u, r):
+        out = []
+        for b in range(-(-r // 4)):
+            d = hashlib.md5(f"{u}|pilot|{b}".encode()).hexdigest()
+            out += [sum(int(d[8 * i:8 * i + 8], 16) >= t for t in steps) for i in range(4)]
+        return out[:r]
+
+    rng = np.random.default_rng(3)
+    rows = [("e", f"u{i}", float(v)) for i, v in enumerate(rng.lognormal(2, 1, 300))] + [("e", "u1", 9.0), ("e", None, 4.0), ("e", "x", None),
+                                                                                       ("one", "a", 5.0), ("flat", "a", 2.0), ("flat", "b", 2.0), ("low", "a", -3.0), ("low", "b", 3.0)]
+    df = spark.createDataFrame(rows, "experiment_id string, user string, spend double")
+    got = df.select(F.coalesce("user", F.lit("")).alias("u"), E.poisson_weights(F.coalesce("user", F.lit("")), "pilot", 10).alias("w")).distinct().collect()
+    assert all([x.w for x in r.w] == weights(r.u, 10) for r in got)
+    mean = np.mean([w for i in range(300) for w in weights(f"u{i}", 64)])
+    assert abs(mean - 1) < 0.03
+
+    out = {(r.experiment_id, r.scale): r for r in E.pilot_sample_size(df.repartition(3), "spend", "user", replicates=10).collect()}
+    e = [(u or "", v) for x, u, v in rows if x == "e" and v is not None]
+    z = 1.959963984540054 + 0.8416212335729143
+    for scale, f, effect in (("raw", lambda v: v, None), ("log1p", np.log1p, math.log(1.05))):
+        v = np.array([f(x) for _, x in e])
+        w = np.array([weights(u, 10) for u, _ in e], float)
+        size = lambda m, s: 2 * (z * s / (effect or 0.05 * m)) ** 2
+        sizes = []
+        for r in range(10):
+            m = (w[:, r] * v).sum() / w[:, r].sum()
+            sizes.append(size(m, math.sqrt((w[:, r] * (v - m) ** 2).sum() / (w[:, r].sum() - 1))))
+        row = out["e", scale]
+        assert row.pilot_units == len(e) and row.n_required == int(size(v.mean(), v.std(ddof=1))) + 1
+        assert (row.n_low, row.n_high) == tuple(int(q) + 1 for q in np.quantile(sizes, [0.05, 0.95]))
+    assert out["one", "raw"].n_required is None and out["flat", "log1p"].n_required is None
+    assert out["low", "raw"].n_required is None and out["low", "log1p"].pilot_units == 1
