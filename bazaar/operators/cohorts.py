@@ -4,7 +4,12 @@ Lines are first reduced to distinct (customer, month) pairs - a partial
 aggregate, so even a customer with a third of all lines becomes at most
 one row per month - and the cohort of each customer is taken from those
 pairs.  Only the row-level ``assign_cohort`` joins the first purchase back
-to every line (a join on customer, where AQE splits a hot key).
+to every line; customers with many lines are cut over salts in that join, as
+many as their count asks for, all others are not copied.
+
+Day retention keeps a bitmap of purchase days per customer (64 days to a
+word, put together by ``bit_or``), so one pass answers any set of days and
+windows.
 """
 from __future__ import annotations
 
@@ -14,9 +19,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaar.functions.columns import ratio
+from bazaar.operators.profile import attach
+from bazaar.session import materialize
 
-
-COHORT_SALTS = 16
+SHARES = 10_000          # a customer is heavy with more than this part of all lines: at most so many are
 
 
 def first_purchase(lines: DataFrame, user: str = "customer_id", ts: str = "invoice_date") -> DataFrame:
@@ -35,13 +41,26 @@ def cohort_index(year, month, cohort_year, cohort_month):
     return ((year - cohort_year) * 12 + (month - cohort_month) + 1).cast("long")
 
 
-def assign_cohort(lines: DataFrame, user: str = "customer_id", ts: str = "invoice_date") -> DataFrame:
-    """Every line with its customer's cohort fields and cohort index."""
-    fp = first_purchase(lines, user, ts).select(user, "first_purchase_date", *_cohort_cols())
-    # deal a customer's lines over salts and copy the one first-purchase row to each
-    fp = fp.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(COHORT_SALTS - 1))))
-    salt = F.pmod(F.xxhash64(*lines.columns), F.lit(COHORT_SALTS)).cast("int")
-    j = lines.withColumn("__salt", salt).join(fp, [user, "__salt"])
+def assign_cohort(lines: DataFrame, user: str = "customer_id", ts: str = "invoice_date", shares: int = SHARES,
+                  least: int = 1000) -> DataFrame:
+    """Every line with its customer's cohort fields and cohort index.
+
+    The lines per customer are counted with the first purchase.  A customer
+    with more than 1 / ``shares`` of all lines is heavy: his lines are dealt by
+    hash over as many salts as he has such shares, and his first purchase is
+    copied to each.  There are fewer than ``shares`` heavy customers and salts
+    together stay below twice that, whatever the data, so the table of heavy
+    ones is broadcast; all others meet their one row.  Lines without a customer
+    have no cohort and go.
+    """
+    per = lines.where(F.col(user).isNotNull()).groupBy(user).agg(F.min(ts).alias("first_purchase_date"), F.count(F.lit(1)).alias("__n"))
+    per = materialize(per)
+    share = per.agg(F.greatest(F.ceil(F.sum("__n") / shares), F.lit(least)).alias("__share"))
+    per = attach(per, share).withColumn("__cut", F.ceil(F.col("__n") / F.col("__share")).cast("int"))
+    heavy = F.broadcast(per.where(F.col("__cut") > 1).select(user, F.col("__cut").alias("__of")))
+    fp = per.select(user, "first_purchase_date", *_cohort_cols(), F.explode(F.sequence(F.lit(0), F.col("__cut") - 1)).alias("__salt"))
+    salt = F.pmod(F.xxhash64(*lines.columns), F.coalesce("__of", F.lit(1))).cast("int")
+    j = lines.join(heavy, user, "left").withColumn("__salt", salt).join(fp, [user, "__salt"])
     return j.select(*lines.columns,
                     F.year(ts).cast("long").alias("year"), F.month(ts).cast("long").alias("month"),
                     F.dayofmonth(ts).cast("long").alias("day"),
@@ -120,30 +139,60 @@ def retention_cells(pct: DataFrame) -> DataFrame:
                       F.concat(n, F.lit("\n("), pr, F.lit("%)")).alias("cell_multiline"))
 
 
+def purchase_days(lines: DataFrame, user: str = "customer_id", ts: str = "invoice_date") -> DataFrame:
+    """(user, first_day, words): a bitmap of the days with a purchase per customer.
+
+    ``words`` holds (word, bits) with bit d of word w for day 64 w + d since
+    1970.  Words are put together by ``bit_or`` before and after the shuffle, so
+    a customer with a third of all lines comes as one row per task and word; a
+    customer has no more words than the calendar has spans of 64 days.
+    """
+    day = F.unix_date(F.to_date(ts))
+    bits = (lines.where(F.col(user).isNotNull() & F.col(ts).isNotNull()).withColumn("__day", day)
+            .groupBy(user, F.floor(F.col("__day") / 64).cast("int").alias("word"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, pmod(__day, 64))")).alias("bits"), F.min("__day").alias("__first")))
+    return bits.groupBy(user).agg(F.min("__first").alias("first_day"), F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("words"))
+
+
+# whether a customer's bitmap has a day from first_day + lo to first_day + hi: the words between them, cut to those days
+_ACTIVE = """exists(words, w -> w.word BETWEEN floor((first_day + {lo}) / 64) AND floor((first_day + {hi}) / 64)
+  AND (shiftrightunsigned(shiftleft(w.bits, 63 - least(63, first_day + {hi} - 64 * w.word)),
+                          63 - least(63, first_day + {hi} - 64 * w.word) + greatest(0, first_day + {lo} - 64 * w.word))) <> 0)"""
+FOREVER = 1 << 20        # days; the open end of a window
+
+
+def retention_windows(lines: DataFrame, windows: Sequence[tuple[int, int | None]], user: str = "customer_id",
+                      ts: str = "invoice_date") -> DataFrame:
+    """Customers per monthly cohort active in each window of days after their first purchase.
+
+    ``windows`` are (from, to) offsets, both inclusive, ``to`` None for ever.
+    Every window is read from the same bitmaps in one aggregate, so hundreds of
+    windows cost one pass and one plan.  Returns cohort_date, from_day, to_day
+    (NULL for ever), cohort_size, active_customers; a window in which no
+    customer of a cohort is active has 0.
+    """
+    spans = F.array(*[F.struct(F.lit(lo).alias("lo"), F.lit(FOREVER if hi is None else hi).alias("hi")) for lo, hi in windows])
+    per = purchase_days(lines, user, ts).withColumn("cohort_date", F.trunc(F.date_from_unix_date("first_day"), "MM"))
+    each = per.select("cohort_date", "first_day", "words", F.explode(spans).alias("s"))
+    counted = each.groupBy("cohort_date", "s.lo", "s.hi").agg(
+        F.count(F.lit(1)).alias("cohort_size"), F.count_if(F.expr(_ACTIVE.format(lo="s.lo", hi="s.hi"))).alias("active_customers"))
+    return counted.select("cohort_date", F.col("lo").cast("long").alias("from_day"),
+                          F.when(F.col("hi") < FOREVER, F.col("hi")).cast("long").alias("to_day"), "cohort_size", "active_customers")
+
+
 def rolling_retention(lines: DataFrame, days: Sequence[int] = (1, 7, 30, 90),
                       user: str = "customer_id", ts: str = "invoice_date") -> DataFrame:
     """N-day retention per monthly cohort.
 
     ``active_on_day``: bought exactly N days after the first purchase;
-    ``active_on_or_after``: bought on day N or later (rolling retention).
-    Per customer only distinct purchase days are kept, then one aggregate
-    per customer and one per cohort.
+    ``active_on_or_after``: bought on day N or later (rolling retention).  Both
+    are windows of :func:`retention_windows`.
     """
-    pdays = lines.select(user, F.to_date(ts).alias("d")).dropDuplicates()
-    w = Window.partitionBy(user)    # a customer's distinct purchase days
-    off = pdays.withColumn("first_day", F.min("d").over(w)).withColumn(
-        "offset", F.datediff("d", "first_day"))
-    per_cust = off.groupBy(user, "first_day").agg(
-        F.max("offset").alias("max_offset"),
-        *[F.bool_or(F.col("offset") == n).alias(f"on_{n}") for n in days])
-    cohort = per_cust.withColumn("cohort_date", F.trunc("first_day", "MM"))
-    agg = cohort.groupBy("cohort_date").agg(
-        F.count(F.lit(1)).alias("cohort_size"),
-        *[F.count_if(F.col(f"on_{n}")).alias(f"a_{n}") for n in days],
-        *[F.count_if(F.col("max_offset") >= n).alias(f"r_{n}") for n in days])
-    arr = F.array(*[F.struct(F.lit(n).cast("long").alias("day_n"), F.col(f"a_{n}").alias("active_on_day"),
-                             F.col(f"r_{n}").alias("active_on_or_after")) for n in days])
-    long = agg.select("cohort_date", "cohort_size", F.inline(arr))
+    counts = retention_windows(lines, [w for n in days for w in ((n, n), (n, None))], user, ts)
+    on, after = F.col("to_day").isNotNull(), F.col("to_day").isNull()
+    long = counts.groupBy("cohort_date", F.col("from_day").alias("day_n")).agg(
+        F.max("cohort_size").alias("cohort_size"), F.max(F.when(on, F.col("active_customers"))).alias("active_on_day"),
+        F.max(F.when(after, F.col("active_customers"))).alias("active_on_or_after"))
     return long.select("cohort_date", "day_n", "cohort_size", "active_on_day", "active_on_or_after",
                        (ratio(F.col("active_on_day"), F.col("cohort_size")) * 100).alias("day_retention_pct"),
                        (ratio(F.col("active_on_or_after"), F.col("cohort_size")) * 100)

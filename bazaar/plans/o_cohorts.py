@@ -119,6 +119,23 @@ agg AS (
 {rows}"""
 
 
+@sql("retention_curve")
+def _():
+    """Distinct purchase days joined with the windows."""
+    return base() + """,
+pdays AS (SELECT DISTINCT customer_id, CAST(invoice_date AS DATE) AS d FROM ret),
+offs AS (SELECT customer_id, min(d) OVER (PARTITION BY customer_id) AS first_day, d FROM pdays),
+spans AS (SELECT n AS lo, n + w AS hi FROM range(1, 61) a(n), (VALUES (0), (6), (NULL)) b(w)),
+sizes AS (SELECT date_trunc('month', first_day) AS cohort_date, count(DISTINCT customer_id) AS cohort_size FROM offs GROUP BY 1),
+hits AS (
+  SELECT date_trunc('month', first_day) AS cohort_date, lo, hi, count(DISTINCT customer_id) AS n
+  FROM offs JOIN spans ON d - first_day >= lo AND (hi IS NULL OR d - first_day <= hi) GROUP BY 1, 2, 3)
+SELECT CAST(s.cohort_date AS TIMESTAMP) AS cohort_date, CAST(p.lo AS BIGINT) AS from_day, CAST(p.hi AS DOUBLE) AS to_day,
+       s.cohort_size, coalesce(h.n, 0) AS active_customers
+FROM sizes s CROSS JOIN spans p
+LEFT JOIN hits h ON h.cohort_date = s.cohort_date AND h.lo = p.lo AND h.hi IS NOT DISTINCT FROM p.hi"""
+
+
 @sql("segment_retention")
 def _():
     return base() + """,

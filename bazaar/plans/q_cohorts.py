@@ -56,6 +56,16 @@ def rolling_retention(spark, sf):
     return finish(CO.rolling_retention(_lines(spark, sf)))
 
 
+CURVE_DAYS = range(1, 61)
+
+
+@query("retention_curve")
+def retention_curve(spark, sf):
+    """I8: for each of 60 days the customers active on it, in the week it starts and from it on."""
+    windows = [w for n in CURVE_DAYS for w in ((n, n), (n, n + 6), (n, None))]
+    return finish(CO.retention_windows(_lines(spark, sf), windows), nullable_ints=("to_day",))
+
+
 @query("segment_retention")
 def segment_retention(spark, sf):
     return finish(CO.segment_retention(_lines(spark, sf), "country"))
