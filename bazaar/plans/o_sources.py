@@ -14,3 +14,23 @@ SELECT arm, count(*) AS lines, count(*) FILTER (WHERE NOT miscounted AND NOT unr
        count(*) FILTER (WHERE unreadable AND NOT miscounted) AS rejected_values,
        round(sum(o_totalprice) FILTER (WHERE NOT miscounted AND NOT unreadable), 2) AS amount
 FROM o GROUP BY arm"""
+
+
+@sql("incremental_export")
+def _():
+    return """WITH d AS (
+  SELECT CAST(ts AS DATE) AS day, count(DISTINCT date_trunc('hour', ts)) AS hours FROM events WHERE ts IS NOT NULL GROUP BY 1)
+SELECT count(*) AS days, CAST(1 AS BIGINT) AS days_written, count(*) - 1 AS days_kept, CAST(0 AS BIGINT) AS days_removed,
+       max_by(hours, day) AS hours_written FROM d"""
+
+
+@sql("merged_profile")
+def _():
+    """Exact values; the estimates' checks must hold."""
+    parts = []
+    for c, number in (("o_custkey", True), ("o_totalprice", True), ("o_orderpriority", False)):
+        x = f"CAST({c} AS DOUBLE)" if number else "CAST(NULL AS DOUBLE)"
+        parts.append(f"""SELECT '{c}' AS column_name, count(*) AS total, count(*) - count({c}) AS nulls, count({c}) AS count,
+       round(avg({x}), 6) AS mean, round(stddev_samp({x}), 6) AS std, round(min({x}), 6) AS min, round(max({x}), 6) AS max,
+       TRUE AS distinct_within_error, TRUE AS quantiles_within_error FROM orders""")
+    return "\nUNION ALL\n".join(parts)
