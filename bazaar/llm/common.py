@@ -34,7 +34,23 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def dropped(*tables: DataFrame | None) -> None:
+    """Delete the files of tables that :func:`saved` wrote.
+
+    Only for tables whose last reader has been saved itself: a frame that still
+    depends on one could no longer be recomputed.
+    """
+    for df in tables:
+        path = getattr(df, "_scratch", None)
+        if path:
+            spark = df.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def sized(df: DataFrame, rows: int, per_task: int = 50_000) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from bazaar.llm.common import saved, sized
+from bazaar.llm.common import dropped, saved, sized
 
 SALTS = 8
 
@@ -16,8 +16,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     neighbourhood, small-star its smaller ones; the edges become stars around
     the smallest nodes after a logarithmic number of rounds.  A node with very
     many neighbours is dealt over salts in the one join that meets it.  Each
-    round is written to the shared folder; only a count and a checksum come
-    to the driver.
+    round is written to the shared folder and replaces the one before; only a
+    count and a checksum come to the driver.  No side is broadcast, as all grow
+    with the data.  The result is written too.
     """
     def put(df: DataFrame, rows: int) -> tuple[DataFrame, tuple]:
         """Save the edges; the same job counts and sums them."""
@@ -36,11 +37,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
         least = (sized(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), n)
                  .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
         large = (both.where(F.col("v") > F.col("u")).withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
-                 .join(least, ["u", "salt"]).select(F.col("v").alias("u"), F.col("m").alias("v")))
+                 .join(least.hint("merge"), ["u", "salt"]).select(F.col("v").alias("u"), F.col("m").alias("v")))
         large = sized(sized(large, n).distinct(), n)
         small = sized(large.groupBy("u").agg(F.min("v").alias("m")), n)
-        rest = (large.join(small, "u").where(F.col("v") != F.col("m"))
+        rest = (large.join(small.hint("merge"), "u").where(F.col("v") != F.col("m"))
                 .select(F.col("v").alias("u"), F.col("m").alias("v")))
+        old = e
         e, now = put(sized(rest, n).union(small.select("u", F.col("m").alias("v"))), n)
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-        e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+        dropped(old)
+    out = saved(e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
+        e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()), "components")
+    dropped(e)
+    return out

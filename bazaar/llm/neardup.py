@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaar.llm.common import prepared, saved, sized, text_of
+from bazaar.llm.common import dropped, prepared, saved, sized, text_of
 from bazaar.llm.graph import connected_components
 
 SHINGLE = 5
@@ -148,16 +148,21 @@ def aligned_similarity(a: np.ndarray, b: np.ndarray, least: float, labels: tuple
     return similarity if similarity >= least else 0.0
 
 
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text_key, text): null texts empty; the key tells different texts of one id apart."""
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_of(text_col)).alias("text_key"), text_of(text_col).alias("text"))
+
+
 def sketches(docs: DataFrame, id_col: str, text_col: str, samples: int, minima: int, seed: int) -> DataFrame:
-    """(id, h1, h2, keys): a 128-bit hash of the words (of the raw text without words) and the sketch keys."""
-    schema = pa.schema([("id", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("keys", pa.list_(pa.int64()))])
+    """(id, text_key, h1, h2, keys): a hash of the text, a 128-bit hash of its words (of the raw text without words), the sketch keys."""
+    schema = pa.schema([("id", pa.int64()), ("text_key", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("keys", pa.list_(pa.int64()))])
 
     def sketch(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
                 h1, h2, keys = [], [], []
-                for t in part.column(1):
+                for t in part.column(2):
                     t = t.as_py()
                     words = word_hashes(t)
                     raw = words.tobytes() if len(words) else b"\0" + t.encode("utf-8", "surrogatepass")
@@ -165,26 +170,24 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, samples: int, minima:
                     h1.append(h[0]), h2.append(h[1])
                     keys.append(order_minhash(labelled_shingles(words), samples, minima, seed).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).cast(pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()),
+                    [part.column(0).cast(pa.int64()), part.column(1), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()),
                      pa.array(keys, pa.list_(pa.int64()))], schema=schema)
 
-    return (docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-            .mapInArrow(sketch, "id long, h1 long, h2 long, keys array<long>"))
+    return _texts(docs, id_col, text_col).mapInArrow(sketch, "id long, text_key long, h1 long, h2 long, keys array<long>")
 
 
 def word_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, words): the word hashes of each text as bytes."""
-    schema = pa.schema([("id", pa.int64()), ("words", pa.binary())])
+    """(id, text_key, words): the word hashes of each text as bytes."""
+    schema = pa.schema([("id", pa.int64()), ("text_key", pa.int64()), ("words", pa.binary())])
 
     def hashed(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
-                words = [word_hashes(t.as_py()).tobytes() for t in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(words, pa.binary())], schema=schema)
+                words = [word_hashes(t.as_py()).tobytes() for t in part.column(2)]
+                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), part.column(1), pa.array(words, pa.binary())], schema=schema)
 
-    return (docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-            .mapInArrow(hashed, "id long, words binary"))
+    return _texts(docs, id_col, text_col).mapInArrow(hashed, "id long, text_key long, words binary")
 
 
 def verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
@@ -208,8 +211,8 @@ def verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([c[i] for i in keep], f.type) for c, f in zip((a, b, got), schema)],
                                              schema=schema)
 
-    both = (pairs.join(words.select(F.col("id").alias("a"), F.col("words").alias("wa")), "a")
-            .join(words.select(F.col("id").alias("b"), F.col("words").alias("wb")), "b"))
+    both = (pairs.join(words.select(F.col("id").alias("a"), F.col("words").alias("wa")).hint("merge"), "a")
+            .join(words.select(F.col("id").alias("b"), F.col("words").alias("wb")).hint("merge"), "b"))
     return both.select("a", "b", "wa", "wb").mapInArrow(align, "a long, b long, similarity double")
 
 
@@ -255,7 +258,7 @@ def rare_prefixes(texts: DataFrame, least: float, slots: int = 1 << 17) -> DataF
     return texts.select("id", "root", "words").mapInArrow(cut, ", ".join(f"{c} long" for c in names))
 
 
-def prefix_pairs(rows: DataFrame, least: float, tile_rows: int = 1000) -> DataFrame:
+def prefix_pairs(rows: DataFrame, least: float, tile_rows: int = 1000, scratch: list[DataFrame] | None = None) -> DataFrame:
     """(a, b): texts of different roots with a common token that sizes and places of it let reach ``least``.
 
     The members of a token's commonest root meet only those of other roots;
@@ -265,7 +268,9 @@ def prefix_pairs(rows: DataFrame, least: float, tile_rows: int = 1000) -> DataFr
         F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("roots"))
     tally = tally.where("roots > 1").select(
         "token", F.col("top.root").alias("main"), F.ceil(F.col("n") / tile_rows).cast("int").alias("tiles"))
-    rows = saved(rows.join(tally, "token"), "tokens")
+    rows = saved(rows.join(tally.hint("merge"), "token"), "tokens")
+    if scratch is not None:
+        scratch.append(rows)
     own = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
     x = rows.where("root <> main").select("token", own.alias("i"), every.alias("j"), F.struct("id", "root", "size", "at").alias("x"))
@@ -274,74 +279,79 @@ def prefix_pairs(rows: DataFrame, least: float, tile_rows: int = 1000) -> DataFr
     needed = F.ceil(F.lit(least / (1 + least)) * (n + m) - 1e-9)
     ok = ((F.col("x.root") != F.col("y.root")) & ((F.col("y.root") == F.col("y.main")) | (F.col("x.id") < F.col("y.id")))
           & (F.least(n - F.col("x.at"), m - F.col("y.at")) >= needed) & (F.least(n, m) >= F.lit(least) * F.greatest(n, m) - 1e-9))
-    return (x.join(y, ["token", "i", "j"]).where(ok)
+    return (x.join(y.hint("merge"), ["token", "i", "j"]).where(ok)
             .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")))
 
 
-def open_pairs(members: DataFrame, words: DataFrame, least: float, whole: int) -> DataFrame:
+def open_pairs(members: DataFrame, words: DataFrame, least: float, whole: int, scratch: list[DataFrame]) -> DataFrame:
     """(a, b): every pair of a bucket with different roots that can reach ``least``, from rows (key, id, root).
 
     Buckets of up to ``whole`` texts give all their pairs; the texts of larger
-    ones meet by their rarest shingles.
+    ones meet by their rarest shingles.  The tables written on the way are
+    added to ``scratch``.
     """
     tally = members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n"))
-    rows = saved(members.select("key", "id", "root").join(tally.where("lo <> hi").select("key", "n"), "key"), "open")
+    rows = saved(members.select("key", "id", "root").join(tally.where("lo <> hi").select("key", "n").hint("merge"), "key"), "open")
+    scratch.append(rows)
     small = rows.where(F.col("n") <= whole)
     pairs = (small.select("key", F.col("id").alias("a"), F.col("root").alias("ra"))
-             .join(small.select("key", F.col("id").alias("b"), F.col("root").alias("rb")), "key")
+             .join(small.select("key", F.col("id").alias("b"), F.col("root").alias("rb")).hint("merge"), "key")
              .where("a < b and ra <> rb").select("a", "b"))
     large = rows.where(F.col("n") > whole).select("id", "root").distinct()
     if large.take(1):
-        texts = saved(large.join(words, "id"), "open-texts")
-        pairs = pairs.union(prefix_pairs(rare_prefixes(texts, least), least))
+        texts = saved(large.join(words.hint("merge"), "id"), "open-texts")
+        scratch.append(texts)
+        pairs = pairs.union(prefix_pairs(rare_prefixes(texts, least), least, scratch=scratch))
     return pairs.distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8,
-                    samples: int = 16, minima: int = 3, seed: int = 3, centres: int = 2, whole: int = 16) -> DataFrame:
-    """Classes of near-duplicate documents: id, class_id (smallest id of the class) and kept.
-
-    Two texts are linked if the longest common alignment of their five-word
-    shingles holds at least ``similarity`` of all their shingles; classes are the connected components.  Texts of equal
-    words are one class from the start and go on as one row (its smallest id).
-
-    Candidates share an Order-MinHash key: at similarity 0.8 a key of
-    ``minima`` = 3 agrees with probability 0.8^3, so ``samples`` = 16 keys miss
-    a pair once in 100,000.  Rounds first contract large groups: every bucket
-    has ``centres`` of its texts as centres, in the first round the one whose
-    keys most other texts share, else drawn by seeded hashes, and its members
-    of other components are aligned with them, until a round links few texts.
-    Then every pair of a bucket that is still in different components is
-    aligned or excluded by an exact bound: buckets of up to ``whole`` texts
-    are compared whole, the texts of larger ones meet by their rarest shingles
-    (a prefix filter, exact at ``similarity``).  Members of one component are
-    never paired, so a group of near copies of any size stays linear.
+def text_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8,
+                 samples: int = 16, minima: int = 3, seed: int = 3, centres: int = 2, whole: int = 16) -> DataFrame:
+    """(id, text_key, class_id, first): the class of every row of ``docs`` with an id, and whether it is the class's first.
 
-    Null texts are empty; texts without words are compared as they are (equal:
-    one class); null ids take no part; repeated rows share one class; an empty
-    table gives no rows; other columns are ignored.
+    See :func:`near_duplicates`.  Nodes of the graph are distinct word
+    sequences, numbered by their smallest id; where one id is the smallest of
+    several, each of those gets a 64-bit hash as its number, so different
+    texts of one id stay apart.  ``class_id`` is the smallest id of the class,
+    ``first`` marks its rows with the smallest (id, text).  Every scratch
+    table is deleted once the last one that reads it is written; no side of a
+    join is broadcast by hint or by its present size, as all grow with the data.
     """
     prepared(docs.sparkSession)
     docs = docs.where(F.col(id_col).isNotNull())
     sketch = saved(sketches(docs, id_col, text_col, samples, minima, seed), "sketches")
-    same = saved(sketch.groupBy("h1", "h2").agg(F.min("id").alias("class"), F.any_value("keys").alias("keys")), "classes")
-    buckets = same.select(F.explode("keys").alias("key"), F.col("class").alias("id"))
+    first = saved(sketch.groupBy("h1", "h2").agg(F.min(F.struct("id", "text_key")).alias("first"), F.any_value("keys").alias("keys")), "first")
+    clash = first.groupBy(F.col("first.id").alias("id")).agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
+    node = F.when(F.col("texts").isNull(), F.col("first.id")).otherwise(F.xxhash64("h1", "h2", "first.id"))
+    same = saved(first.withColumn("id", F.col("first.id")).join(clash.hint("merge"), "id", "left")
+                 .select("h1", "h2", node.alias("node"), "first", "keys"), "classes")
+    dropped(first)
+    buckets = same.select(F.explode("keys").alias("key"), F.col("node").alias("id"))
     shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("mass")).where("mass > 1")
-    buckets = saved(buckets.join(shared, "key"), "buckets")
+    narrow = saved(buckets.join(shared.hint("merge"), "key"), "buckets")
     # the texts of a group lie closest to the one whose keys most others share
-    central = buckets.groupBy("id").agg(F.sum("mass").alias("mass"))
-    buckets = saved(buckets.drop("mass").join(central, "id"), "buckets")
-    needed = buckets.select("id").distinct()
-    words = saved(word_table(docs, id_col, text_col).join(needed, "id", "left_semi").dropDuplicates(["id"]), "words")
+    central = narrow.groupBy("id").agg(F.sum("mass").alias("mass"))
+    buckets = saved(narrow.drop("mass").join(central.hint("merge"), "id"), "buckets")
+    dropped(narrow)
+    needed = (buckets.select(F.col("id").alias("node")).distinct().join(same.select("node", "first").hint("merge"), "node")
+              .select("node", "first.id", "first.text_key"))
+    words = saved(word_table(docs, id_col, text_col).join(needed.hint("merge"), ["id", "text_key"])
+                  .select(F.col("node").alias("id"), "words").dropDuplicates(["id"]), "words")
 
     n = buckets.count()
-    links, component, turn = None, None, 0
+    links, component, turn = [], None, 0
 
     def rooted() -> DataFrame:
-        members = buckets if component is None else buckets.join(component.withColumnRenamed("node", "id"), "id", "left")
+        members = buckets if component is None else buckets.join(component.withColumnRenamed("node", "id").hint("merge"), "id", "left")
         root = F.col("id") if component is None else F.coalesce("component", "id")
         return members.select("key", "id", "mass", root.alias("root"))
 
+    def joined() -> DataFrame:
+        """Components of all links so far; the ones before go."""
+        out = connected_components(functools.reduce(DataFrame.union, links))
+        dropped(component)
+        return out
+
     while True:
         members = rooted() if component is None else sized(rooted(), n)
         # the first centre of a bucket is its most central text; the others are drawn by hash, and after the first
@@ -353,37 +363,77 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         drawn = (members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), *draws).where("lo <> hi")
                  .select("key", F.explode(F.array_distinct(F.array(*[
                      F.struct(F.col(f"c{t}.id").alias("id"), F.col(f"c{t}.root").alias("root")) for t in range(len(draws))]))).alias("c")))
-        pairs = (members.join(saved(sized(drawn, n), "centres"), "key").where(F.col("root") != F.col("c.root"))
+        drawn = saved(sized(drawn, n), "centres")
+        pairs = (members.join(drawn.hint("merge"), "key").where(F.col("root") != F.col("c.root"))
                  .select(F.least("id", F.col("c.id")).alias("a"), F.greatest("id", F.col("c.id")).alias("b")))
         pairs = sized(pairs, n).distinct()
         new = saved(verified(pairs, words, similarity).select("a", "b"), "links")
+        dropped(drawn)
+        links.append(new)
         found = new.count()
         if found:
-            links = new if links is None else links.union(new)
-            component = saved(connected_components(links), "components")
+            component = joined()
         if found * 500 * samples <= n:            # the rest is left to the exact comparison
             break
         turn += 1
-    new = saved(verified(open_pairs(rooted(), words, similarity, whole), words, similarity).select("a", "b"), "links")
+    scratch: list[DataFrame] = []
+    new = saved(verified(open_pairs(rooted(), words, similarity, whole, scratch), words, similarity).select("a", "b"), "links")
+    dropped(*scratch, words, buckets)
+    links.append(new)
     if new.take(1):
-        component = saved(connected_components(new if links is None else links.union(new)), "components")
-    groups = same.select("h1", "h2", F.col("class").alias("node"))
+        component = joined()
+    dropped(*links)
+    groups = same.select("h1", "h2", "node", "first")
     if component is None:
-        groups = groups.select("h1", "h2", F.col("node").alias("class_id"))
+        groups = groups.withColumn("component", F.col("node"))
     else:
-        groups = groups.join(component, "node", "left").select("h1", "h2", F.coalesce("component", "node").alias("class_id"))
-    return (sketch.select(F.col("id").alias(id_col), "h1", "h2").join(groups, ["h1", "h2"])
-            .select(id_col, "class_id", (F.col(id_col) == F.col("class_id")).alias("kept")))
+        groups = groups.join(component.hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    lead = groups.groupBy("component").agg(F.min("first").alias("lead"))
+    groups = saved(groups.join(lead.hint("merge"), "component").select("h1", "h2", "lead"), "groups")
+    dropped(same, component)
+    return (sketch.select("id", "text_key", "h1", "h2").join(groups.hint("merge"), ["h1", "h2"])
+            .select("id", "text_key", F.col("lead.id").alias("class_id"), (F.struct("id", "text_key") == F.col("lead")).alias("first")))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """Classes of near-duplicate documents: id, class_id (smallest id of the class) and kept.
+
+    Two texts are linked if the longest common alignment of their five-word
+    shingles holds at least ``similarity`` of all their shingles; classes are the connected components.  Texts of equal
+    words are one class from the start and go on as one row (its smallest id).
+
+    Candidates share an Order-MinHash key: at similarity 0.8 a key of
+    ``minima`` = 3 agrees with probability 0.8^3, so ``samples`` = 16 keys miss
+    a pair once in 100,000.  Rounds first contract large groups: every bucket
+    has ``centres`` of its texts as centres, in the first round the one whose
+    keys most other texts share, else drawn by seeded hashes, and its members
+    of other components are aligned with them, until a round links few texts.
+    Then every pair of a bucket that is still in different components is
+    aligned or excluded by an exact bound: buckets of up to ``whole`` texts
+    are compared whole, the texts of larger ones meet by their rarest shingles
+    (a prefix filter, exact at ``similarity``).  Members of one component are
+    never paired, so a group of near copies of any size stays linear.
+
+    Null texts are empty; texts without words are compared as they are (equal:
+    one class); null ids take no part; repeated rows share one class and are
+    kept or not together; different texts of one id are apart (classes with the
+    same smallest id share its number, each keeps its own text); an empty table
+    gives no rows; other columns are ignored.  Very long texts are sketched in
+    slices and aligned within the band; one pair is held in memory at a time.
+    """
+    out = text_classes(docs, id_col, text_col, **options)
+    return out.select(F.col("id").alias(id_col), "class_id", F.col("first").alias("kept"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` (all their columns) that stay: the smallest id of each class.
+    """The rows of ``docs`` (all their columns) that stay: of each class the one with the smallest id and text.
 
     Rows that repeat an id and its text are kept once; rows with a null id are
-    not compared and stay.
+    not compared and stay.  Columns may have any names: a row travels as one
+    struct.
     """
-    chosen = near_duplicates(docs, id_col, text_col, **options).where("kept").select(id_col).distinct()
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    same = docs.where(F.col(id_col).isNotNull()).join(chosen, id_col, "left_semi").withColumn("__same", F.xxhash64(text_col))
-    once = same.dropDuplicates([id_col, "__same"]).select(*names)
-    return once.unionByName(docs.where(F.col(id_col).isNull()).select(*names))
+    chosen = text_classes(docs, id_col, text_col, **options).where("first").select("id", "text_key").distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("id"),
+                       F.xxhash64(text_of(text_col)).alias("text_key"))
+    once = rows.where("id IS NOT NULL").join(chosen.hint("merge"), ["id", "text_key"], "left_semi").dropDuplicates(["id", "text_key"])
+    return once.select("row.*").union(rows.where("id IS NULL").select("row.*"))

@@ -335,11 +335,11 @@ def embedding_duplicates(vectors: DataFrame, least: float = 0.98, id_col: str =
         """Add links; components that a saturated list may have split (more than ``above`` nodes) are joined exactly."""
         nonlocal links, component
         links = new if links is None else links.union(new)
-        component = saved(connected_components(links), "components")
+        component = connected_components(links)
         across = saved(cross_links(nodes, component, least, above, tile_rows), "across")
         if across.take(1):
             links = links.union(across)
-            component = saved(connected_components(links), "components")
+            component = connected_components(links)
 
     for attempt in range(max_tries):
         lists = neighbour_lists(nodes, least, size << attempt, trees << attempt, leaf_rows, turns + attempt, seed + 100 * attempt)

@@ -169,8 +169,15 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **fit) -> DataFrame:
-    """The rows of ``docs`` (all their columns) whose text is predicted to be good."""
+    """The rows of ``docs`` (all their columns) whose text is predicted to be good.
+
+    Every text is measured once: its row is saved with the statistics, from
+    which the rules are learned and the decision is made.  A row travels as
+    one struct, so columns may have any names.
+    """
     prepared(docs.sparkSession)
-    stats = saved(text_statistics(docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col)), [id_col], text_col), "stats")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.col(id_col).cast("long").alias(id_col), F.col(text_col).alias("__whole"))
+    stats = saved(text_statistics(rows, ["row", id_col], "__whole"), "stats")
     model = fit_rules(stats, labels, id_col, **fit)
-    return text_statistics(docs, docs.columns, text_col).where(model.score() >= 0.5).select(*docs.columns)
+    return stats.where(model.score() >= 0.5).select("row.*")

@@ -293,6 +293,7 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", length_col: str = "n
     prepared(docs.sparkSession)
     models = learn_formats(docs, text_col, sample)
     names, at = docs.columns, docs.columns.index(text_col)
+    length_at = names.index(length_col) if length_col in names else None
 
     def mask(batches):
         machines = [Automaton(m["states"], m["floor"]) for m in models.values()]
@@ -302,12 +303,11 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", length_col: str = "n
                 base, added, _ = scan_text(t, machines) if t else ([], [], None)
                 changed.append(bool(base or added))
                 texts.append(redact(t, base + added, mark) if changed[-1] else t)
-            cols = [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(len(names))]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(changed, pa.bool_())], names=[*names, "__changed"])
-
-    from pyspark.sql.types import BooleanType, StructField, StructType
-    out = docs.mapInArrow(mask, StructType([*docs.schema.fields, StructField("__changed", BooleanType())]))
-    if length_col in names:
-        new = F.length(text_col).cast(docs.schema[length_col].dataType)
-        out = out.withColumn(length_col, F.when(F.col("__changed"), new).otherwise(F.col(length_col)))
-    return out.select(*[F.col(f"`{c}`") for c in names])
+            cols = list(batch.columns)
+            cols[at] = pa.array(texts, pa.string())
+            if length_at is not None:
+                old = cols[length_at]
+                cols[length_at] = pa.array([len(t) if c else n for t, c, n in zip(texts, changed, old.to_pylist())], old.type)
+            yield pa.RecordBatch.from_arrays(cols, names=names)
+
+    return docs.mapInArrow(mask, docs.schema)

@@ -217,3 +217,26 @@ def test_prefix_pairs_lose_no_similar_pair(spark):
     got = {(r["a"], r["b"]) for r in prefix_pairs(rare_prefixes(words, 0.8), 0.8, tile_rows=3).collect()}
     want = {(i, j) for j in range(len(texts)) for i in range(j) if i % 3 != j % 3 and plain_similarity(texts[i], texts[j]) >= 0.8}
     assert len(want) > 20 and want <= got and all(a % 3 != b % 3 for a, b in got)
+
+
+def test_one_id_with_two_texts(spark):
+    from bazaar.llm.neardup import keep_one
+    rng = random.Random(21)
+    a, b = sentence(rng, 60), sentence(rng, 60)
+    docs = documents(spark, [(1, a), (1, b), (2, a), (3, b), (0, edited(rng, b, 1)), (7, a.upper()), (7, a)])
+    got = sorted((r["doc_id"], r["class_id"], r["kept"]) for r in near_duplicates(docs).collect())
+    assert got == [(0, 0, True), (1, 0, False), (1, 1, True), (2, 1, False), (3, 0, False), (7, 1, False), (7, 1, False)]
+    assert sorted((r["doc_id"], r["text"]) for r in keep_one(docs).collect()) == sorted(
+        [(1, a)] + [(r["doc_id"], r["text"]) for r in docs.where("doc_id = 0").collect()])
+    # the smallest id of two classes keeps both its texts
+    docs = documents(spark, [(1, a), (1, b), (2, a), (3, b), (1, a)])
+    assert sorted((r["doc_id"], r["text"]) for r in keep_one(docs).collect()) == sorted([(1, a), (1, b)])
+
+
+def test_columns_of_any_name(spark):
+    from bazaar.llm.neardup import keep_one
+    extra = {c: "x" for c in ("id", "row", "text_key", "key", "__same", "class_id", "first", "h1", "node")}
+    docs = documents(spark, ["one two three four five six seven eight", "one two three four five six seven eight", "other"], extra)
+    out = keep_one(docs)
+    assert out.columns == docs.columns
+    assert sorted(r["doc_id"] for r in out.collect()) == [0, 2]

@@ -63,3 +63,22 @@ def test_run_and_empty(spark):
     empty = documents(spark, ["a"]).limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Extra columns named like the stages' own working columns pass through every filtering stage."""
+    import corpus_pipeline as P
+    extra = {c: "x" for c in ("row", "id", "__text", "__whole", "__changed", "__same", "__q_log_chars", "label", "v", "first", "h1")}
+    docs = documents(spark, ["one two three four five six seven eight nine ten"] * 2 + ["api_key = abcdef123456 and more words here", "", None], extra)
+    for name, stage in P.STAGES[:3]:
+        if name == "quality_classifier":
+            from bazaar.llm.quality import keep_quality
+            labels = spark.createDataFrame([(0, 1), (2, 1), (3, 1)], "doc_id long, quality int")
+            out = keep_quality(docs, labels)
+        else:
+            out = stage(spark, docs, "")
+        assert out.columns == docs.columns
+        rows = {r["doc_id"]: r for r in out.collect()}
+        assert rows and all(r[c] == "x" for r in rows.values() for c in extra)
+        if name == "secret_scan":
+            assert "abcdef123456" not in rows[2]["text"] and rows[2]["n_chars"] == len(rows[2]["text"])
