@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -48,19 +49,25 @@ def statistics(text: str) -> list[float]:
             n / (1 + raw[46] + raw[33] + raw[63]), float(-(p * np.log2(p)).sum())]
 
 
-def text_statistics(docs: DataFrame, keep: list[str], text_col: str = "text", prefix: str = "__q_") -> DataFrame:
-    """The ``keep`` columns and the statistics (named ``prefix`` + feature) of every whole text."""
+def text_statistics(docs: DataFrame, keep: list[str], text_col: str | None = "text", prefix: str = "__q_",
+                    text_at: int | None = None) -> DataFrame:
+    """The ``keep`` columns and the statistics (named ``prefix`` + feature) of every whole text.
+
+    With ``text_at`` the text is that field of the first of ``keep``, a struct, and does not travel twice.
+    """
     out = StructType([docs.schema[c] for c in keep] + [StructField(prefix + f, DoubleType()) for f in FEATURES])
 
     def measure(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
-                m = np.array([statistics(t.as_py()) for t in part.column(len(keep))]).reshape(-1, len(FEATURES))
+                texts = part.column(len(keep)) if text_at is None else pc.struct_field(part.column(0), text_at)
+                m = np.array([statistics(t.as_py()) for t in texts]).reshape(-1, len(FEATURES))
                 cols = [part.column(i) for i in range(len(keep))] + [pa.array(m[:, j]) for j in range(len(FEATURES))]
                 yield pa.RecordBatch.from_arrays(cols, names=[*keep, *[prefix + f for f in FEATURES]])
 
-    return docs.select(*[F.col(f"`{c}`") for c in keep], text_of(text_col).alias("__text")).mapInArrow(measure, out)
+    text = [] if text_col is None else [text_of(text_col).alias("__text")]
+    return docs.select(*[F.col(f"`{c}`") for c in keep], *text).mapInArrow(measure, out)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -177,7 +184,7 @@ def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     """
     prepared(docs.sparkSession)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                       F.col(id_col).cast("long").alias(id_col), F.col(text_col).alias("__whole"))
-    stats = saved(text_statistics(rows, ["row", id_col], "__whole"), "stats")
+                       F.col(id_col).cast("long").alias(id_col))
+    stats = saved(text_statistics(rows, ["row", id_col], None, text_at=docs.columns.index(text_col)), "stats")
     model = fit_rules(stats, labels, id_col, **fit)
     return stats.where(model.score() >= 0.5).select("row.*")
