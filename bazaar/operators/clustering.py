@@ -7,17 +7,19 @@ several features give each K several starts, of which the one with the least
 inertia wins.
 
 One step is one aggregate over the points: every point finds its nearest
-centroid in each run (a column expression over an array of centroids), and the
-means per (run, centroid) are the next centroids.  Partial sums are added up
-before the shuffle, so a step moves (sum of K) rows per task whatever the
-number of points.  Only those centroids (their number is fixed by the
-arguments) come to the driver.
+centroid in each run, and the means per (run, centroid) are the next centroids.
+The points are packed once into blocks of doubles, a task goes through its
+blocks in numpy and hands on its sums, so a step moves (sum of K) rows per task
+whatever the number of points.  Only those centroids (their number is fixed by
+the arguments) come to the driver.
 """
 from __future__ import annotations
 
 import json
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,8 @@ from bazaar.operators.ranking import exact_quantiles
 from bazaar.session import materialize
 
 State = dict[int, list[tuple[float, ...] | None]]
+BLOCK = 10_000           # points in one block at most
+TASK = 2_000_000         # points in one task of a Lloyd step, about, where there are more than cores take
 
 
 def _centroids(state: State) -> list:
@@ -54,6 +58,58 @@ def _assigned(points: DataFrame, state: State, cols: Sequence[str], keep: Sequen
                     F.col("__e.best.d").alias("d"), *cols))
 
 
+def _packed(points: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(x0, x1, ...): blocks of up to ``BLOCK`` points, one binary of doubles per feature."""
+    names = [f"x{i}" for i in range(len(cols))]
+
+    def pack(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(at, BLOCK)
+                yield pa.RecordBatch.from_arrays([pa.array([c.to_numpy(zero_copy_only=False).tobytes()], pa.binary()) for c in part.columns], names)
+
+    return (points.select(*[F.col(c).cast("double").alias(n) for c, n in zip(cols, names)])
+            .mapInArrow(pack, ", ".join(f"{n} binary" for n in names)))
+
+
+def _nearest_of(x: list, cents: Sequence[Sequence[float]]) -> tuple:
+    """(position, distance) of the nearest of ``cents`` for each point of the feature arrays ``x`` (ties: the first; NaN is far)."""
+    near, low = np.zeros(len(x[0]), np.int64), np.full(len(x[0]), np.inf)
+    for j, cent in enumerate(cents):
+        d = np.zeros(len(low))
+        for values, at in zip(x, cent):
+            move = values - at
+            move *= move
+            d += move
+        np.copyto(near, j, where=d < low)
+        np.fmin(low, d, out=low)
+    return near, low
+
+
+def _sums(blocks: DataFrame, state: State, cols: Sequence[str]) -> DataFrame:
+    """(run, cluster, n, d, s0, s1, ...): points, squared distances and feature sums per centroid that is nearest to any."""
+    runs = [(run, [i for i, c in enumerate(cents) if c is not None], [c for c in cents if c is not None]) for run, cents in sorted(state.items())]
+    sums = ["d", *[f"s{i}" for i in range(len(cols))]]
+
+    def add(batches):
+        totals = [np.zeros((len(sums) + 1, len(cents))) for _, _, cents in runs]
+        for batch in batches:
+            for row in range(batch.num_rows):
+                x = [np.frombuffer(c[row].as_buffer(), np.float64) for c in batch.columns]
+                for (_, _, cents), total in zip(runs, totals):
+                    near, d = _nearest_of(x, cents)
+                    total[0] += np.bincount(near, minlength=len(cents))
+                    for i, values in enumerate([d, *x], 1):
+                        total[i] += np.bincount(near, values, len(cents))
+        found = [(run, i, int(t[0]), *t[1:]) for (run, ids, _), total in zip(runs, totals) for i, t in zip(ids, total.T) if t[0]]
+        if found:
+            types = [pa.int32(), pa.int32(), pa.int64(), *[pa.float64()] * len(sums)]
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*found), types)], ["run", "cluster", "n", *sums])
+
+    parts = blocks.mapInArrow(add, "run int, cluster int, n long, " + ", ".join(f"{c} double" for c in sums))
+    return parts.groupBy("run", "cluster").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in sums])
+
+
 def band_starts(points: DataFrame, ks: Sequence[int], cols: Sequence[str]) -> State:
     """Starting centroids of run K * 100 + i: the means of K bands of feature i, the highest values first.
 
@@ -90,14 +146,16 @@ def lloyd(points: DataFrame, state: State, cols: Sequence[str], tol: float = 1e-
     stays where it is.  Points with a NULL feature must be left out before.
     """
     state, steps, open_ = dict(state), dict.fromkeys(state, 0), {run for run, cents in state.items() if any(cents)}
+    if open_:       # a step is short: no more tasks than cores, unless they were too large
+        tasks = max(points.sparkSession.sparkContext.defaultParallelism, -(-points.count() // TASK))
+        blocks = materialize(_packed(points.coalesce(tasks), cols))
     while open_:
-        now = {run: state[run] for run in open_}
-        means = _assigned(points, now, cols).groupBy("run", "cluster").agg(*[F.avg(c).alias(c) for c in cols]).collect()
+        means = _sums(blocks, {run: state[run] for run in open_}, cols).collect()
         moved = dict.fromkeys(open_, 0.0)
         for run in open_:
             state[run] = list(state[run])
         for r in sorted(means, key=lambda r: (r.run, r.cluster)):
-            new = tuple(r[c] for c in cols)
+            new = tuple(r[f"s{i}"] / r.n for i in range(len(cols)))
             moved[r.run] += sum((a - b) ** 2 for a, b in zip(new, state[r.run][r.cluster]))
             state[r.run][r.cluster] = new
         for run in list(open_):
@@ -116,7 +174,7 @@ def fit(points: DataFrame, ks: Sequence[int], cols: Sequence[str], tol: float =
     state = {run: cents for run, cents in state.items() if any(cents)}
     if not state:
         return {}
-    inertia = {r.run: r.inertia for r in _assigned(points, state, cols).groupBy("run").agg(F.sum("d").alias("inertia")).collect()}
+    inertia = {r.run: r.inertia for r in _sums(_packed(points, cols), state, cols).groupBy("run").agg(F.sum("d").alias("inertia")).collect()}
     out = {}
     for k in ks:
         runs = [run for run in state if run // 100 == k]
@@ -151,7 +209,8 @@ def silhouettes(assigned: DataFrame, by: str, label: str, cols: Sequence[str]) -
     """(by, silhouette, points): mean silhouette with squared distances per value of ``by``, exact in O(points * K).
 
     Per cluster the count, the feature sums and the sum of squared norms give
-    every point's mean distance to it; they travel as one array per ``by``.
+    every point's mean distance to it; they travel as one array per ``by``, of
+    which there are as many as clusterings, so the points stay where they are.
     """
     sq = F.lit(0.0)
     for c in cols:
@@ -169,7 +228,7 @@ def silhouettes(assigned: DataFrame, by: str, label: str, cols: Sequence[str]) -
     own = F.element_at(F.filter("__st", lambda s: s["__lab"] == F.col("__lab")), 1)
     a = F.try_divide(mean(own) * own["n"], own["n"] - 1)
     b = F.array_min(F.transform(F.filter("__st", lambda s: s["__lab"] != F.col("__lab")), mean))
-    j = pts.join(stats, by).withColumn("__a", a).withColumn("__b", b).withColumn("__n", own["n"])
+    j = pts.join(F.broadcast(stats), by).withColumn("__a", a).withColumn("__b", b).withColumn("__n", own["n"])
     value = (F.when(F.col("__n") == 1, 0.0).when(F.col("__a") < F.col("__b"), 1 - F.col("__a") / F.col("__b"))
              .when(F.col("__a") > F.col("__b"), F.col("__b") / F.col("__a") - 1).otherwise(0.0))
     return j.groupBy(by).agg(F.avg(value).alias("silhouette"), F.count(F.lit(1)).alias("points"))

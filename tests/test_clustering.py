@@ -78,3 +78,34 @@ def test_nulls_ties_and_few_points(spark):
     assert C.kmeans_sweep(spark.createDataFrame([], schema), [2, 3], COLS).collect() == []
     one = C.kmeans_sweep(df, [1, 2], COLS).orderBy("k").collect()
     assert [r.k for r in one] == [1, 2] and one[1].inertia == 0.0
+
+
+def test_step_sums_in_blocks(spark):
+    x = blobs(500, 5)
+    x[3] = x[4] = [1.0, 1.0]                            # as near to the first as to the second centroid: the lower one
+    state = {200: [(0.0, 1.0), (2.0, 1.0)], 301: [(4.0, 1.0), None, (-3.0, 5.0)], 202: [(9e9, 9e9), (0.0, 0.0)]}
+    df = spark.createDataFrame(x.tolist(), "a double, b double").repartition(3)
+    blocks = C._packed(df, COLS)
+    assert blocks.count() <= 4 and C._sums(C._packed(df.limit(0), COLS), state, COLS).collect() == []
+    got = {(r.run, r.cluster): r for r in C._sums(blocks, state, COLS).collect()}
+    want = set()
+    for run, cents in state.items():
+        ids = [i for i, c in enumerate(cents) if c]
+        d = np.stack([((x - np.array(cents[i])) ** 2).sum(1) for i in ids])
+        near = np.array(ids)[d.argmin(0)]
+        for i in set(near.tolist()):
+            own, r = x[near == i], got[run, i]
+            want.add((run, i))
+            assert r.n == len(own) and np.allclose((r.s0, r.s1), own.sum(0)) and np.isclose(r.d, d.min(0)[near == i].sum())
+    assert set(got) == want and (202, 0) not in got
+
+
+def test_points_stay_where_they_are_for_silhouettes(spark):
+    df = spark.createDataFrame([(1, 0, 0.0, 1.0), (1, 1, 2.0, 3.0)], "k long, c int, a double, b double")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = C.silhouettes(df, "k", "c", COLS)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
