@@ -451,17 +451,21 @@ def poisson_weights(unit: Column, salt: str, replicates: int) -> Column:
     The weight of a unit depends on its id alone: any task, order or rerun
     gives the same replicates, and replicates of parts of the data add up.
     """
-    def block(b):
-        digest = F.md5(F.concat_ws("|", unit.cast("string"), F.lit(salt), b.cast("string")))
-
-        def word(i):
-            u = F.conv(F.substring(digest, 8 * i + 1, 8), 16, 10).cast("long")
-            w = sum((F.when(u >= t, 1).otherwise(0) for t in POISSON_STEPS), F.lit(0))
-            return F.struct((4 * b + i).cast("int").alias("replicate"), w.alias("w"))
-        return F.array(*[word(i) for i in range(4)])
-
-    blocks = F.transform(F.sequence(F.lit(0), F.lit(-(-replicates // 4) - 1)), block)
-    return F.filter(F.flatten(blocks), lambda x: x["replicate"] < replicates)
+    def words(d):
+        return F.array(*[F.struct((4 * d["b"] + i).cast("int").alias("replicate"), F.substring(d["hex"], 8 * i + 1, 8).alias("hex"))
+                         for i in range(4)])
+
+    def weight(word):
+        # eight hex digits sort as the number they write, so the steps below a word need no conversion
+        w = F.when(word["hex"] < f"{POISSON_STEPS[0]:08x}", 0)
+        for k, t in enumerate(POISSON_STEPS[1:], 1):
+            w = w.when(word["hex"] < f"{t:08x}", k)
+        return F.struct(word["replicate"].alias("replicate"), w.otherwise(len(POISSON_STEPS)).alias("w"))
+
+    # each lambda binds the digest or word found before, so that it is computed once
+    blocks = F.transform(F.sequence(F.lit(0), F.lit(-(-replicates // 4) - 1)), lambda b: F.struct(
+        b.alias("b"), F.md5(F.concat_ws("|", unit.cast("string"), F.lit(salt), b.cast("string"))).alias("hex")))
+    return F.transform(F.filter(F.flatten(F.transform(blocks, words)), lambda x: x["replicate"] < replicates), weight)
 
 
 def pilot_sample_size(pilot: DataFrame, value: str, unit: str, by: Sequence[str] = (EXP,), relative_mde: float = 0.05,

@@ -223,3 +223,12 @@ def test_poisson_weights_and_pilot_sizes(spark):
         assert (row.n_low, row.n_high) == tuple(int(q) + 1 for q in np.quantile(sizes, [0.05, 0.95]))
     assert out["one", "raw"].n_required is None and out["flat", "log1p"].n_required is None
     assert out["low", "raw"].n_required is None and out["low", "log1p"].pilot_units == 1
+
+
+def test_poisson_weights_hash_each_block_once(spark):
+    from bazaar.operators import experiments as E
+
+    w = spark.range(3).select(E.poisson_weights(F.col("id"), "pilot", 7).alias("w"))
+    assert w._jdf.queryExecution().analyzed().toString().count("md5(") == 1        # not once per step of every weight
+    rows = [r.w for r in w.collect()]
+    assert [[x.replicate for x in r] for r in rows] == [list(range(7))] * 3 and all(0 <= x.w <= 12 for r in rows for x in r)
