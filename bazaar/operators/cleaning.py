@@ -66,6 +66,12 @@ def drop_duplicates_except(df: DataFrame, ignore: Sequence[str]) -> DataFrame:
     return agg.select(*df.columns)
 
 
+def retention_purchases(lines: DataFrame) -> DataFrame:
+    """I1 before duplicates are dropped: known customer (not 0), positive quantity and price."""
+    return clean(lines, not_null=["customer_id"], nonzero=["customer_id"],
+                 positive=["quantity", "price"])
+
+
 def clean_retention(lines: DataFrame, dedup_ignore: Sequence[str] = ("invoice",)) -> DataFrame:
     """Known customer (not 0), positive quantity and price, duplicates dropped.
 
@@ -73,9 +79,7 @@ def clean_retention(lines: DataFrame, dedup_ignore: Sequence[str] = ("invoice",)
     its duplicate check compares every column except the invoice; that is
     the default here (``dedup_ignore=()`` drops only exact duplicates).
     """
-    kept = clean(lines, not_null=["customer_id"], nonzero=["customer_id"],
-                 positive=["quantity", "price"])
-    return drop_duplicates_except(kept, dedup_ignore)
+    return drop_duplicates_except(retention_purchases(lines), dedup_ignore)
 
 
 def cleaning_funnel(df: DataFrame, steps: Sequence[tuple[str, Column]],

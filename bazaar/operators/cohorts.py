@@ -42,7 +42,7 @@ def cohort_index(year, month, cohort_year, cohort_month):
 
 
 def assign_cohort(lines: DataFrame, user: str = "customer_id", ts: str = "invoice_date", shares: int = SHARES,
-                  least: int = 1000) -> DataFrame:
+                  least: int = 1000, purchases: DataFrame | None = None) -> DataFrame:
     """Every line with its customer's cohort fields and cohort index.
 
     The lines per customer are counted with the first purchase.  A customer
@@ -52,8 +52,13 @@ def assign_cohort(lines: DataFrame, user: str = "customer_id", ts: str = "invoic
     together stay below twice that, whatever the data, so the table of heavy
     ones is broadcast; all others meet their one row.  Lines without a customer
     have no cohort and go.
+
+    ``purchases``: the lines before duplicates were dropped.  Their first dates
+    are the same and their counts cover those of ``lines``, but no line has to
+    be compared with others for them, so only customer and date are moved.
     """
-    per = lines.where(F.col(user).isNotNull()).groupBy(user).agg(F.min(ts).alias("first_purchase_date"), F.count(F.lit(1)).alias("__n"))
+    source = lines if purchases is None else purchases
+    per = source.where(F.col(user).isNotNull()).groupBy(user).agg(F.min(ts).alias("first_purchase_date"), F.count(F.lit(1)).alias("__n"))
     per = materialize(per)
     share = per.agg(F.greatest(F.ceil(F.sum("__n") / shares), F.lit(least)).alias("__share"))
     per = attach(per, share).withColumn("__cut", F.ceil(F.col("__n") / F.col("__share")).cast("int"))

@@ -19,7 +19,9 @@ def retention_cleaning(spark, sf):
 
 @query("cohort_assignment")
 def cohort_assignment(spark, sf):
-    return finish(CO.assign_cohort(_lines(spark, sf)), money={"revenue": 2})
+    lines = X.retail_lines(spark, sf)
+    cohorts = CO.assign_cohort(CL.clean_retention(lines), purchases=CL.retention_purchases(lines))
+    return finish(cohorts, money={"revenue": 2})
 
 
 @query("customer_month")

@@ -54,3 +54,19 @@ def test_heavy_customer_is_spread_by_its_count(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_first_purchases_from_lines_before_duplicates_were_dropped(spark):
+    from bazaar.operators import cleaning as CL
+
+    t = dt.datetime(2020, 3, 1)
+    rows = [(f"i{i}", c, t + dt.timedelta(days=40 * (i % 3) + c), 1, 2.0) for c in range(5) for i in range(12)]
+    rows += [("n", None, t, 1, 2.0), ("z", 0, t, 1, 2.0), ("q", 3, t - dt.timedelta(days=90), -1, 2.0)]
+    raw = spark.createDataFrame(rows, "invoice string, customer_id long, invoice_date timestamp_ntz, quantity int, price double").repartition(3)
+    lines, bought = CL.clean_retention(raw), CL.retention_purchases(raw)
+    key = ["customer_id", "invoice_date"]
+    plain = CO.assign_cohort(lines, shares=12, least=2).orderBy(*key).collect()
+    got = CO.assign_cohort(lines, shares=12, least=2, purchases=bought).orderBy(*key).collect()
+    assert got == plain and len(got) == 12 and bought.count() == 48          # four customers, three dates, each four times
+    only = CO.assign_cohort(lines, purchases=bought.where("customer_id = 2"))      # it is these lines that are read for the dates
+    assert {(r.customer_id, r.first_purchase_date) for r in only.collect()} == {(2, t + dt.timedelta(days=2))}
